@@ -1,101 +1,111 @@
 """Postal-code rules and repairs on joined rows.
 
-``postal_checks`` turns (country, postal, mapping zip) into every postal outcome of one joined row.
-It is a pure function of three columns, so the same expression is used twice: per joined row (for
-reports and counts) and per vault-mapping row with a fixed country class (for the per-key roll-up
-that decides removal without regrouping joined rows, see ``vaultshift.plans.pipeline``).
+``add_postal_columns`` turns (country, postal, mapping zip) into every postal outcome of one joined
+row. It depends on those three columns only, so it is used twice: per joined row (for reports and
+counts) and per vault-mapping row with a fixed country class (for the per-key roll-up that decides
+removal without regrouping joined rows, see ``vaultshift.plans.pipeline``).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultshift import constants as K
 from vaultshift.functions import text as T
 
 
-@dataclass(frozen=True)
-class PostalOutcome:
-    in_required: Column        # C7 population: country is one of the postal-required codes (exact)
-    missing_before: Column     # C7 before any fill
-    fillable: Column           # C15: C7 row whose mapping zip is non-blank
-    filled: Column             # G1 applied to this row
-    postal_after_fill: Column
-    missing: Column            # C7 after the fill
-    ca_rows: Column            # CA rows (trim + upper)
-    ca_population: Column      # CA rows with a postal code
-    ca_fails: Column           # C8
-    us_rows: Column            # country exactly US
-    us_population_before: Column
-    autocorrectable_before: Column  # C16 before the pad
-    autocorrected: Column      # G2 applied to this row
-    postal_final: Column
-    us_population: Column      # after the pad
-    autocorrectable: Column    # C16 after the pad
-    us_fails: Column           # C9 after the pad
-
-
-def mapping_zip_fill_value(zip_col: Column, is_us: Column) -> Column:
-    """G1 value: CSV-cleaned, stripped, one ``.0`` suffix removed; for US text before the first
-    ``-`` reduced to its digits (kept as is when it has none). Null when nothing can be filled."""
-    cleaned = T.clean_for_csv(zip_col)
-    v = T.py_strip(cleaned)
-    v = F.when(v.endswith(".0"), F.regexp_replace(v, r"\.0$", "")).otherwise(v)
+# Outcome columns added by ``add_postal_columns`` (names are prefixed by the caller).
+OUTCOMES = (
+    "_p_missing",                  # C7 population: country is a postal-required code (exact)
+    "_f_missing_before",           # C7 before any fill
+    "_c_fillable",                 # C15: C7 row whose mapping zip is non-blank
+    "_c_filled",                   # G1 applied to this row
+    "_postal_filled",
+    "_f_missing",                  # C7 after the fill
+    "_ca_rows", "_p_ca", "_f_ca",  # C8: CA rows (trim + upper), with a code, failing
+    "_us_rows",                    # country exactly US
+    "_c_autocorrectable_before",   # C16 before the pad
+    "_c_autocorrected",            # G2 applied to this row
+    "_postal_final",
+    "_p_us", "_c_autocorrectable", "_f_us",  # C9 / C16 after the pad
+    "_postal_fails",               # C7 | C8 | C9 of this row
+)
+
+
+def mapping_zip_fill_value(cleaned_stripped: Column, is_us: Column) -> Column:
+    """G1 value from the CSV-cleaned, stripped mapping zip: one ``.0`` suffix removed; for US the
+    text before the first ``-`` reduced to its digits (kept as is when it has none). Null when
+    there is nothing to fill."""
+    v = F.when(cleaned_stripped.endswith(".0"), F.regexp_replace(cleaned_stripped, r"\.0$", "")) \
+        .otherwise(cleaned_stripped)
     head = F.when(F.instr(v, "-") > 0, F.split_part(v, F.lit("-"), F.lit(1))).otherwise(v)
     digits = F.regexp_replace(head, "[^0-9]", "")
     us_value = F.when(digits != "", digits).otherwise(head)
-    value = F.when(is_us, us_value).otherwise(v)
-    return F.when(T.py_strip(cleaned) != "", value)
+    return F.when(cleaned_stripped != "", F.when(is_us, us_value).otherwise(v))
 
 
-def postal_checks(country: Column, postal: Column, mapping_zip: Column,
-                  use_mapping_zip: bool, autocorrect_us: bool) -> PostalOutcome:
-    in_required = F.coalesce(country.isin(*K.POSTAL_REQUIRED_COUNTRIES), F.lit(False))
-    missing_before = in_required & T.is_empty_after_strip(postal)
-    fillable = missing_before & ~T.is_empty_after_strip(mapping_zip)
-    is_us = F.coalesce(country == "US", F.lit(False))
-    if use_mapping_zip:
-        fill_value = mapping_zip_fill_value(mapping_zip, is_us)
-        filled = missing_before & fill_value.isNotNull()
-        after_fill = F.when(filled, fill_value).otherwise(postal)
-    else:
-        filled = F.lit(False)
-        after_fill = postal
-    missing = in_required & T.is_empty_after_strip(after_fill)
-
-    ca_rows = F.coalesce(F.upper(T.py_strip(country)) == "CA", F.lit(False))
-    ca_population = ca_rows & ~T.is_empty_after_strip(after_fill)
-    ca_fails = ca_population & ~T.full_match(T.ca_postal_norm(after_fill), "(?i)" + K.CA_POSTAL_PATTERN)
+def add_postal_columns(df: DataFrame, country: Column, postal: Column, mapping_zip: Column,
+                       use_mapping_zip: bool, autocorrect_us: bool, prefix: str = "") -> DataFrame:
+    """Every postal outcome of a joined row as columns ``prefix + OUTCOMES``.
 
-    norm = T.us_postal_norm(after_fill)
-    us_population_before = is_us & (norm != "")
-    four = T.full_match(norm, "^[0-9]{4}$")
-    autocorrectable_before = us_population_before & four
-    if autocorrect_us:
-        autocorrected = is_us & four
-        final = F.when(autocorrected, F.lpad(norm, 5, "0")).otherwise(after_fill)
+    Built in stages (stripped inputs, fill, checks, pad, re-check) so that each regex runs once
+    per row: Catalyst keeps the stages as separate projections instead of inlining an expensive
+    expression into every place that uses it.
+    """
+    n = {k: prefix + k for k in OUTCOMES}
+    t = {k: f"{prefix}_t_{k}" for k in ("country", "postal", "zip", "cu", "ps", "zs", "zc", "as", "fs")}
+    c = lambda k: F.col(t[k])
+    o = lambda k: F.col(n[k])
+    df = df.withColumns({t["country"]: country, t["postal"]: postal, t["zip"]: mapping_zip})
+    df = df.withColumns({
+        t["cu"]: F.upper(T.py_strip(c("country"))),
+        t["ps"]: T.py_strip(c("postal")),
+        t["zs"]: T.py_strip(c("zip")),
+        t["zc"]: T.py_strip(T.clean_for_csv(c("zip"))),
+    })
+    in_required = F.coalesce(c("country").isin(*K.POSTAL_REQUIRED_COUNTRIES), F.lit(False))
+    is_us = F.coalesce(c("country") == "US", F.lit(False))
+    df = df.withColumns({
+        n["_p_missing"]: in_required,
+        n["_us_rows"]: is_us,
+        n["_ca_rows"]: F.coalesce(c("cu") == "CA", F.lit(False)),
+    })
+    missing_before = o("_p_missing") & (c("postal").isNull() | (c("ps") == ""))
+    df = df.withColumn(n["_f_missing_before"], missing_before)
+    fillable = o("_f_missing_before") & ~(c("zip").isNull() | (c("zs") == ""))
+    if use_mapping_zip:
+        fill_value = mapping_zip_fill_value(c("zc"), o("_us_rows"))
+        filled = o("_f_missing_before") & fill_value.isNotNull()
+        df = df.withColumns({n["_c_fillable"]: fillable, n["_c_filled"]: filled})
+        df = df.withColumn(n["_postal_filled"],
+                           F.when(o("_c_filled"), fill_value).otherwise(c("postal")))
     else:
-        autocorrected = F.lit(False)
-        final = after_fill
-    norm_final = T.us_postal_norm(final)
-    us_population = is_us & (norm_final != "")
-    autocorrectable = us_population & T.full_match(norm_final, "^[0-9]{4}$")
-    us_fails = us_population & ~T.full_match(norm_final, "^[0-9]{5}$")
-    return PostalOutcome(
-        in_required, missing_before, fillable, filled, after_fill, missing,
-        ca_rows, ca_population, ca_fails, is_us, us_population_before, autocorrectable_before,
-        autocorrected, final, us_population, autocorrectable, us_fails,
-    )
-
-
-def postal_fails(country: Column, postal: Column, mapping_zip: Column,
-                 use_mapping_zip: bool, autocorrect_us: bool) -> Column:
-    """Any postal failure (C7 after fill, C8, C9 after pad) of one joined row."""
-    o = postal_checks(country, postal, mapping_zip, use_mapping_zip, autocorrect_us)
-    return o.missing | o.ca_fails | o.us_fails
+        df = df.withColumns({n["_c_fillable"]: fillable, n["_c_filled"]: F.lit(False),
+                             n["_postal_filled"]: c("postal")})
+    df = df.withColumn(t["as"], T.py_strip(o("_postal_filled")))
+    blank_after = o("_postal_filled").isNull() | (c("as") == "")
+    ca_ok = T.full_match(F.regexp_replace(F.upper(c("as")), f"{T._WS}+", " "), "(?i)" + K.CA_POSTAL_PATTERN)
+    us_norm = F.coalesce(c("as"), F.lit(""))
+    four = T.full_match(us_norm, "^[0-9]{4}$")
+    df = df.withColumns({
+        n["_f_missing"]: o("_p_missing") & blank_after,
+        n["_p_ca"]: o("_ca_rows") & ~blank_after,
+        n["_c_autocorrectable_before"]: o("_us_rows") & (us_norm != "") & four,
+        n["_c_autocorrected"]: (o("_us_rows") & four) if autocorrect_us else F.lit(False),
+    })
+    df = df.withColumns({
+        n["_f_ca"]: o("_p_ca") & ~ca_ok,
+        n["_postal_final"]: F.when(o("_c_autocorrected"), F.lpad(us_norm, 5, "0")).otherwise(o("_postal_filled")),
+    })
+    df = df.withColumn(t["fs"], F.coalesce(T.py_strip(o("_postal_final")), F.lit("")))
+    df = df.withColumn(n["_p_us"], o("_us_rows") & (c("fs") != ""))
+    df = df.withColumns({
+        n["_c_autocorrectable"]: o("_p_us") & T.full_match(c("fs"), "^[0-9]{4}$"),
+        n["_f_us"]: o("_p_us") & ~T.full_match(c("fs"), "^[0-9]{5}$"),
+    })
+    df = df.withColumn(n["_postal_fails"], o("_f_missing") | o("_f_ca") | o("_f_us"))
+    return df.drop(*t.values())
 
 
 def audit_issue(country: Column, postal: Column) -> tuple[Column, Column, Column]:

@@ -67,19 +67,14 @@ def skew_left_join(
     r_cold = r_cold.select("*", *[e.over(wl).alias(n) for n, e in ragg])
     cold = l_cold.join(r_cold, key, "left")
 
-    # Hot keys: statistics come from the broadcast table.
-    l_hot = left.join(hot_b.where(F.col("_ln").isNotNull()), key, "inner")
-    l_lonely = l_hot.where(F.coalesce(F.col("_rn"), F.lit(0)) == 0)
-    l_lonely = l_lonely.select(
-        *left.columns, *[F.col(n) for n in lnames],
-        *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right_cols],
-        *[F.col(n) for n in rnames],
-    )
+    # Hot keys: statistics come from the broadcast table; one scan of each side.
     # Grid: a left row sits in row ``salt_l`` of the grid and is copied to every column; a right
     # row sits in column ``salt_r`` and is copied to every row. Each pair meets in exactly one cell.
+    # A hot key without right rows has a one-column grid and keeps its single unmatched copy;
+    # for keys with right rows, copies that land in an empty cell are dropped.
     sl, sr = _ceil_div(F.col("_ln"), hot_rows), _ceil_div(F.col("_rn"), hot_rows)
     l_grid = (
-        l_hot.where(F.col("_rn") > 0)
+        left.join(hot_b.where(F.col("_ln").isNotNull()), key, "inner")
         .withColumn("_gi", F.pmod(F.xxhash64(F.col(left_uid)), sl.cast("long")).cast("int"))
         .withColumn("_gj", F.explode(F.sequence(F.lit(0), sr - 1)))
     )
@@ -88,12 +83,16 @@ def skew_left_join(
         .where(F.col("_ln").isNotNull() & (F.col("_rn") > 0))
         .withColumn("_gj", F.pmod(F.xxhash64(F.col(right_uid)), sr.cast("long")).cast("int"))
         .withColumn("_gi", F.explode(F.sequence(F.lit(0), sl - 1)))
-        .select(key, "_gi", "_gj", *right_cols)
+        .select(key, "_gi", "_gj", F.lit(True).alias("_g_hit"), *right_cols)
+    )
+    gridded = (
+        l_grid.join(r_grid, [key, "_gi", "_gj"], "left")
+        .where(F.col("_g_hit").isNotNull() | (F.coalesce(F.col("_rn"), F.lit(0)) == 0))
+        .drop("_gi", "_gj", "_g_hit")
     )
-    gridded = l_grid.join(r_grid, [key, "_gi", "_gj"], "inner").drop("_gi", "_gj")
 
     order = [*left.columns, *lnames, *right_cols, *rnames]
-    parts = [p.select(*order) for p in (cold, l_lonely, gridded)]
+    parts = [p.select(*order) for p in (cold, gridded)]
     out = reduce(DataFrame.unionByName, parts)
     return out.withColumn("_rn", F.coalesce(F.col("_rn"), F.lit(0)))
 

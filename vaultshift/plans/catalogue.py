@@ -26,6 +26,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def migration(spark: SparkSession, d: str, provider: str = "stripe", **opts) -> Migration:
+    """A run over the fixture tables; its flagged joined rows are written once (see ``materialize``)."""
+    return plain_migration(spark, d, provider, **opts).materialize()
+
+
+def plain_migration(spark: SparkSession, d: str, provider: str = "stripe", **opts) -> Migration:
     if provider == "bluesnap":
         sub, mp = FX.bluesnap_subscribers(spark, d), FX.bluesnap_mapping(spark, d)
     else:
@@ -95,13 +100,13 @@ def q_clean_for_csv(spark, d):
 
 
 def q_strip_fractional(spark, d):
-    m = migration(spark, d, strip_iso_date_fractional_suffix=True)
+    m = plain_migration(spark, d, strip_iso_date_fractional_suffix=True)
     return _rid(m.prepared_subscribers.select(ROW_ID, "current_period_started_at", "current_period_ends_at",
                                               "started_at"))
 
 
 def q_normalize_quantity(spark, d):
-    return _rid(migration(spark, d).prepared_subscribers.select(ROW_ID, "quantity_1", "quantity_2"))
+    return _rid(plain_migration(spark, d).prepared_subscribers.select(ROW_ID, "quantity_1", "quantity_2"))
 
 
 def q_layout_stripe(spark, d):
@@ -121,7 +126,7 @@ def q_anonymise_email(spark, d):
 
 def _sub_rule(flag: str, *cols: str) -> Query:
     def run(spark, d):
-        m = migration(spark, d)
+        m = plain_migration(spark, d)
         return _rid(m.prepared_subscribers.where(F.col(flag)).select(ROW_ID, *cols))
     return run
 
@@ -136,7 +141,7 @@ q_rule_date_period = _sub_rule("_f_date_period", "current_period_started_at", "c
 
 
 def q_rule_card_token_length(spark, d):
-    m = migration(spark, d, "bluesnap", card_token_check=True)
+    m = plain_migration(spark, d, "bluesnap", card_token_check=True)
     return _rid(m.prepared_subscribers.where(F.col("_f_card_token")).select(ROW_ID, "card_token"))
 
 

@@ -171,9 +171,13 @@ class Migration:
         m = M.prepare(self.mapping, self.options.provider)
         o = self.options
         # per mapping row: would this zip leave a missing-postal row of each country class failing?
+        # (only the fill makes the outcome depend on the mapping row)
+        if not o.use_mapping_zip_codes:
+            return m.withColumns({n: F.lit(False) for n in ("_m_fail_us", "_m_fail_ca", "_m_fail_other")})
         for name, country in (("_m_fail_us", "US"), ("_m_fail_ca", "CA"), ("_m_fail_other", "GB")):
-            m = m.withColumn(name, P.postal_fails(F.lit(country), F.lit(""), F.col("_m_zip"),
-                                                   o.use_mapping_zip_codes, o.autocorrect_us_zip))
+            m = P.add_postal_columns(m, F.lit(country), F.lit(""), F.col("_m_zip"), True,
+                                     o.autocorrect_us_zip, prefix=name)
+            m = m.withColumnRenamed(name + "_postal_fails", name).drop(*[name + k for k in P.OUTCOMES[:-1]])
         return m
 
     @cached_property
@@ -203,45 +207,56 @@ class Migration:
         )
         country = self._sub_col("address_country_code")
         postal = self._sub_col("address_postal_code")
-        out = P.postal_checks(country, postal, F.col("_m_zip"), o.use_mapping_zip_codes, o.autocorrect_us_zip)
         fan = F.greatest(F.col("_rn"), F.lit(1))
         if o.provider == "stripe":
             holder = F.coalesce(F.col("_m_holder"), self._sub_col("customer_full_name"))
         else:
             holder = F.col("_m_holder")
+        j = P.add_postal_columns(j, country, postal, F.col("_m_zip"), o.use_mapping_zip_codes,
+                                 o.autocorrect_us_zip)
         # removal: any failure over all joined rows of the subscriber row, from per-key statistics
-        fill_dependent = F.lit(o.use_mapping_zip_codes) & out.missing_before
-        class_any = (F.when(country == "US", F.col("_rn_fail_us"))
-                     .when(country == "CA", F.col("_rn_fail_ca"))
-                     .otherwise(F.col("_rn_fail_other")))
-        own_postal = P.postal_fails(country, postal, F.lit(None).cast("string"), False, o.autocorrect_us_zip)
-        postal_any = F.when(fill_dependent, F.coalesce(class_any, F.lit(True))).otherwise(own_postal)
+        if o.use_mapping_zip_codes:
+            j = P.add_postal_columns(j, country, postal, F.lit(None).cast("string"), False,
+                                     o.autocorrect_us_zip, prefix="_own")
+            j = j.drop(*["_own" + k for k in P.OUTCOMES[:-1]])
+            class_any = (F.when(country == "US", F.col("_rn_fail_us"))
+                         .when(country == "CA", F.col("_rn_fail_ca"))
+                         .otherwise(F.col("_rn_fail_other")))
+            postal_any = F.when(F.col("_f_missing_before"), F.coalesce(class_any, F.lit(True))) \
+                .otherwise(F.col("_own_postal_fails"))
+        else:
+            postal_any = F.col("_postal_fails")
         no_token_any = (F.col("_rn") == 0) | F.coalesce(F.col("_rn_null_token"), F.lit(False))
-        return j.withColumns({
+        j = j.withColumns({
             "is_duplicate_token": (F.col("_ln") * fan) > 1,
             "_dup_card_id": (F.col("_ln_email") * fan) > 1,
             "_holder": holder,
             "_token": F.col("_m_token"),
-            "_p_missing": out.in_required,
-            "_f_missing_before": out.missing_before,
-            "_c_fillable": out.fillable,
-            "_c_filled": out.filled,
-            "_postal_filled": out.postal_after_fill,
-            "_f_missing": out.missing,
-            "_c_available": out.missing & ~T.is_empty_after_strip(F.col("_m_zip")),
-            "_ca_rows": out.ca_rows,
-            "_p_ca": out.ca_population,
-            "_f_ca": out.ca_fails,
-            "_us_rows": out.us_rows,
-            "_c_autocorrectable_before": out.autocorrectable_before,
-            "_c_autocorrected": out.autocorrected,
-            "_postal_final": out.postal_final,
-            "_p_us": out.us_population,
-            "_c_autocorrectable": out.autocorrectable,
-            "_f_us": out.us_fails,
+            "_c_available": F.col("_f_missing") & ~T.is_empty_after_strip(F.col("_m_zip")),
             "_f_no_token": F.col("_m_token").isNull(),
             "_row_failed": F.col("_s_failed") | no_token_any | postal_any,
         })
+        return j
+
+    def materialize(self, path: str | None = None) -> "Migration":
+        """Write the flagged joined rows once (Parquet in the shared checkpoint folder, or ``path``)
+        and serve every report and count from that copy.
+
+        One computation feeds many sinks, lineage is cut (a lost executor re-reads files instead of
+        re-running the join), and later filters on flag columns are plain column predicates pushed
+        into the Parquet scan instead of re-derived rule expressions.
+        """
+        import uuid
+
+        from vaultshift.session import checkpoint_dir
+
+        spark = self.subscribers.sparkSession
+        if path is None:
+            path = f"{checkpoint_dir(spark).rstrip('/')}/vaultshift-joined-{uuid.uuid4().hex}"
+        self.joined_all.write.mode("overwrite").parquet(path)
+        self.__dict__["joined_all"] = spark.read.parquet(path)
+        self.__dict__.pop("completed", None)
+        return self
 
     def _sub_col(self, name: str) -> Column:
         return T.col_of(name) if name in self.file_columns else F.lit(None).cast("string")
