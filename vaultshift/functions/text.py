@@ -51,8 +51,8 @@ def full_match(c: Column, pattern: str) -> Column:
 
 def clean_for_csv(c: str | Column) -> Column:
     """Text written to report files: null and the cell ``nan`` become ``''``, one ``.0`` suffix goes."""
-    c = col_of(c)
-    base = F.when(c == "nan", F.lit("")).otherwise(F.coalesce(c.cast("string"), F.lit("")))
+    c = col_of(c).cast("string")
+    base = F.when(c == "nan", F.lit("")).otherwise(F.coalesce(c, F.lit("")))
     return F.regexp_replace(base, r"\.0$", "")
 
 

@@ -59,7 +59,14 @@ def write_csv(df: DataFrame, path: str, clean: bool = True, null_value: str = ""
               encoding: str = "UTF-8") -> None:
     """One report directory of CSV part files with a header. ``clean`` applies the report
     cleaning (null → '', ``nan`` → '', one ``.0`` suffix removed) to every column."""
-    out = df.select(*[T.clean_for_csv(c).alias(c) for c in df.columns]) if clean else df
+    if clean:
+        # booleans are written the way the reference's report files spell them
+        types = dict(df.dtypes)
+        cols = [F.when(F.col(f"`{c}`"), "True").when(~F.col(f"`{c}`"), "False") if types[c] == "boolean"
+                else F.col(f"`{c}`") for c in df.columns]
+        out = df.select(*[T.clean_for_csv(e).alias(c) for e, c in zip(cols, df.columns)])
+    else:
+        out = df
     (out.write.mode("overwrite").option("header", True)
      .option("quote", '"').option("escape", '"')
      .option("nullValue", null_value)
