@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from vaultshift import constants as K
 
 # Python's str.strip() removes 29 whitespace code points; Spark's trim() removes only the space.
-# This class is the same set: ASCII whitespace, the four separators 0x1C-0x1F, NEL and Unicode Z*.
+# The set is derived from str.isspace, and btrim removes any of its characters at both ends.
+PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+# The same set as a Java regex class (for collapsing inner runs): ASCII whitespace, the four
+# separators 0x1C-0x1F, NEL and the Unicode separators Z*.
 _WS = r"[\s\x{1C}-\x{1F}\x{85}\p{Z}]"
-_LEAD_WS = f"^{_WS}+"
-_TRAIL_WS = f"{_WS}+$"
 
 
 def col_of(c: str | Column) -> Column:
@@ -24,18 +25,21 @@ def col_of(c: str | Column) -> Column:
 
 def py_strip(c: str | Column) -> Column:
     """Unicode-aware strip with the same whitespace set as Python's ``str.strip``."""
-    return F.regexp_replace(F.regexp_replace(col_of(c), _LEAD_WS, ""), _TRAIL_WS, "")
+    return F.btrim(col_of(c), F.lit(PY_WHITESPACE))
 
 
-def is_blank(c: str | Column) -> Column:
-    """Null, or after strip + lower one of the blank tokens (``nan``, ``none``, ``nat``, empty)."""
+def is_blank(c: str | Column, stripped: Column | None = None) -> Column:
+    """Null, or after strip + lower one of the blank tokens (``nan``, ``none``, ``nat``, empty).
+    ``stripped`` is an already computed ``py_strip(c)`` (a staged column), when there is one."""
     c = col_of(c)
-    return c.isNull() | F.lower(py_strip(c)).isin(*K.BLANK_TOKENS)
+    s = py_strip(c) if stripped is None else stripped
+    return c.isNull() | F.lower(s).isin(*K.BLANK_TOKENS)
 
 
-def norm_cell(c: str | Column) -> Column:
+def norm_cell(c: str | Column, stripped: Column | None = None) -> Column:
     """Blank cells become ``''``; every other cell is stripped."""
-    return F.when(is_blank(c), F.lit("")).otherwise(py_strip(c))
+    s = py_strip(c) if stripped is None else stripped
+    return F.when(is_blank(c, s), F.lit("")).otherwise(s)
 
 
 def is_empty_after_strip(c: str | Column) -> Column:
@@ -56,12 +60,12 @@ def clean_for_csv(c: str | Column) -> Column:
     return F.regexp_replace(base, r"\.0$", "")
 
 
-def strip_fractional_seconds(c: str | Column) -> Column:
+def strip_fractional_seconds(c: str | Column, stripped: Column | None = None) -> Column:
     """``…T12:00:00.123Z`` → ``…T12:00:00Z`` when the stripped cell has exactly that shape."""
     c = col_of(c)
-    s = py_strip(c)
+    s = py_strip(c) if stripped is None else stripped
     return F.when(
-        ~is_blank(c) & full_match(s, K.ISO_Z_FRACTIONAL_PATTERN),
+        ~is_blank(c, s) & full_match(s, K.ISO_Z_FRACTIONAL_PATTERN),
         F.regexp_replace(s, r"\.[0-9]+Z$", "Z"),
     ).otherwise(c)
 
@@ -70,7 +74,7 @@ def strip_fractional_seconds(c: str | Column) -> Column:
 _FLOAT_TEXT = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 
-def normalize_quantity(c: str | Column) -> Column:
+def normalize_quantity(c: str | Column, stripped: Column | None = None) -> Column:
     """Whole non-negative numbers become plain digits (``2.0``→``2``, ``1e3``→``1000``, ``+2``→``2``).
 
     Anything else (negative, fractional, junk, blank, null) is returned unchanged so the quantity
@@ -78,7 +82,7 @@ def normalize_quantity(c: str | Column) -> Column:
     (``2d``, ``2f``) out of the numeric branch.
     """
     c = col_of(c)
-    s = py_strip(c)
+    s = py_strip(c) if stripped is None else stripped
     d = F.when(s.rlike(_FLOAT_TEXT), s.try_cast("double"))
     whole = d.isNotNull() & (d >= 0) & (d == F.rint(d))
     digits = d.try_cast("decimal(38,0)").cast("string")
@@ -101,6 +105,25 @@ def us_postal_norm(c: str | Column) -> Column:
     return F.coalesce(py_strip(c), F.lit(""))
 
 
+STRIPPED_PREFIX = "_strip__"
+
+
+def stripped_name(c: str) -> str:
+    return STRIPPED_PREFIX + c
+
+
+def with_stripped(df, columns):
+    """Stage ``py_strip`` of ``columns`` as helper columns (``_strip__<name>``), so that rules using a
+    stripped value many times reference one computed column instead of repeating the expression:
+    each generated method stays small enough for the JVM to compile."""
+    cols = [c for c in columns if c in df.columns]
+    return df.withColumns({stripped_name(c): py_strip(c) for c in cols})
+
+
+def stripped(c: str) -> Column:
+    return F.col(stripped_name(c))
+
+
 def subscriber_null_normalise(c: str | Column) -> Column:
     """Subscriber export: only ``_`` is null, a blank cell stays ``''``."""
     c = col_of(c)

@@ -21,6 +21,32 @@ from vaultshift import constants as K
 from vaultshift.functions import text as T
 
 
+def _strip(c: str) -> Column:
+    """The stripped value of input column ``c``: the staged helper column when the caller staged
+    one (``T.with_stripped``), else the expression itself."""
+    return _STAGED.get(c, T.py_strip(c)) if _STAGED is not None else T.py_strip(c)
+
+
+_STAGED: dict | None = None
+
+
+class staged_strips:
+    """Context in which rules read stripped values from staged helper columns."""
+
+    def __init__(self, columns):
+        self.columns = columns
+
+    def __enter__(self):
+        global _STAGED
+        self._prev = _STAGED
+        _STAGED = {c: T.stripped(c) for c in self.columns}
+        return self
+
+    def __exit__(self, *exc):
+        global _STAGED
+        _STAGED = self._prev
+
+
 @dataclass(frozen=True)
 class Rule:
     step: str
@@ -35,7 +61,7 @@ def country_format(columns: set[str]) -> Rule:
     c = "address_country_code"
     if c not in columns:
         return Rule(K.STEP_COUNTRY_FORMAT, F.lit(True), F.lit(False))
-    ok = ~T.is_blank(c) & T.full_match(T.py_strip(c), r"^\p{L}{2}$")
+    ok = ~T.is_blank(c, _strip(c)) & T.full_match(_strip(c), r"^\p{L}{2}$")
     return Rule(K.STEP_COUNTRY_FORMAT, F.lit(True), ~ok)
 
 
@@ -61,11 +87,11 @@ def price_ids(columns: set[str]) -> Rule:
     """``price_id_1`` non-blank and starting ``pri_``; other filled price ids start ``pri_``."""
     if "price_id_1" not in columns:
         return Rule(K.STEP_PRICE_ID, F.lit(True), F.lit(False))
-    first = T.norm_cell("price_id_1")
+    first = T.norm_cell("price_id_1", _strip("price_id_1"))
     fails = (first == "") | ~first.startswith("pri_")
     for c in sorted(columns):
         if c != "price_id_1" and K.numbered_index("price_id", c) is not None:
-            v = T.norm_cell(c)
+            v = T.norm_cell(c, _strip(c))
             fails = fails | ~((v == "") | v.startswith("pri_"))
     return Rule(K.STEP_PRICE_ID, F.lit(True), fails)
 
@@ -79,11 +105,11 @@ def quantities(columns: set[str]) -> Rule:
         p, q = f"price_id_{i}", f"quantity_{i}"
         if p not in columns:
             continue
-        filled = T.norm_cell(p) != ""
+        filled = T.norm_cell(p, _strip(p)) != ""
         if q not in columns:
             fails = fails | filled
         else:
-            fails = fails | (filled & ~T.full_match(T.norm_cell(q), "^[0-9]+$"))
+            fails = fails | (filled & ~T.full_match(T.norm_cell(q, _strip(q)), "^[0-9]+$"))
     return Rule(K.STEP_PRICE_ID, F.lit(True), fails)
 
 
@@ -95,10 +121,10 @@ def date_format(columns: set[str]) -> Rule:
         return Rule(K.STEP_DATE_FORMAT, F.lit(False), F.lit(False))
     fails = F.lit(False)
     for c in req:
-        fails = fails | ~(~T.is_blank(c) & T.full_match(T.col_of(c), K.ISO_Z_PATTERN))
+        fails = fails | ~(~T.is_blank(c, _strip(c)) & T.full_match(T.col_of(c), K.ISO_Z_PATTERN))
     for c in ("started_at", "paused_at"):
         if c in columns:
-            fails = fails | (~T.is_blank(c) & ~T.full_match(T.py_strip(c), K.ISO_Z_PATTERN))
+            fails = fails | (~T.is_blank(c, _strip(c)) & ~T.full_match(_strip(c), K.ISO_Z_PATTERN))
     return Rule(K.STEP_DATE_FORMAT, F.lit(True), fails)
 
 

@@ -25,13 +25,21 @@ from vaultshift.sources import fixtures as FX
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def migration(spark: SparkSession, d: str, provider: str = "stripe", **opts) -> Migration:
+def migration(spark: SparkSession, d: str, provider: str = "stripe", skewed: bool = False, **opts) -> Migration:
     """A run over the fixture tables; its flagged joined rows are written once (see ``materialize``)."""
-    return plain_migration(spark, d, provider, **opts).materialize()
+    return plain_migration(spark, d, provider, skewed, **opts).materialize()
 
 
-def plain_migration(spark: SparkSession, d: str, provider: str = "stripe", **opts) -> Migration:
-    if provider == "bluesnap":
+# Hot-group threshold of the adversarial queries: the 30 % groups exceed it from sf0.01 upwards,
+# so those runs take the salted-grid join and the broadcast semi-join.
+SKEW_HOT_ROWS = 1000
+
+
+def plain_migration(spark: SparkSession, d: str, provider: str = "stripe", skewed: bool = False,
+                    **opts) -> Migration:
+    if skewed:
+        sub, mp = FX.skewed_subscribers(spark, d), FX.stripe_mapping(spark, d)
+    elif provider == "bluesnap":
         sub, mp = FX.bluesnap_subscribers(spark, d), FX.bluesnap_mapping(spark, d)
     else:
         sub, mp = FX.subscribers(spark, d), FX.stripe_mapping(spark, d)
@@ -278,6 +286,29 @@ def q_run_summary_stripe_fixed(spark, d):
                      strip_iso_date_fractional_suffix=True).run_summary
 
 
+def q_run_summary_stripe_skewed(spark, d):
+    return migration(spark, d, skewed=True, hot_rows=SKEW_HOT_ROWS).run_summary
+
+
+def q_final_import_stripe_skewed(spark, d):
+    df = migration(spark, d, skewed=True, hot_rows=SKEW_HOT_ROWS).final_import
+    return df.select(*[T.clean_for_csv(c).alias(c) for c in df.columns])
+
+
+def q_duplicate_emails_skewed(spark, d):
+    return migration(spark, d, skewed=True, hot_rows=SKEW_HOT_ROWS).duplicate_emails.select(ROW_ID, "customer_email")
+
+
+def q_duplicate_subscription_ids_skewed(spark, d):
+    return migration(spark, d, skewed=True, hot_rows=SKEW_HOT_ROWS).duplicate_subscription_ids.select(
+        ROW_ID, "subscription_external_id")
+
+
+def q_no_token_skewed(spark, d):
+    m = migration(spark, d, skewed=True, hot_rows=SKEW_HOT_ROWS)
+    return m.no_token.select(ROW_ID, "card_id", "card_token", "customer_email", "is_duplicate_token")
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in dict(globals()).items() if name.startswith("q_") and callable(fn)
 }
@@ -409,4 +440,12 @@ def oracle() -> dict[str, str]:
         "run_summary_stripe": _summary_sql("stripe"),
         "run_summary_bluesnap": _summary_sql("bluesnap"),
         "run_summary_stripe_fixed": _summary_sql("stripe", fill=True, pad=True, frac_fix=True),
+        "run_summary_stripe_skewed": _summary_sql("stripe", skewed=True),
+        "final_import_stripe_skewed": _final_sql("stripe", skewed=True),
+        "duplicate_emails_skewed": _with("SELECT row_id AS _temp_row_id, customer_email FROM cr WHERE dup_email",
+                                         skewed=True),
+        "duplicate_subscription_ids_skewed": _with("SELECT row_id AS _temp_row_id, subscription_external_id FROM cr "
+                                                   "WHERE dup_sid", skewed=True),
+        "no_token_skewed": _with("SELECT row_id AS _temp_row_id, k AS card_id, m_token AS card_token, customer_email, "
+                                 "is_duplicate_token FROM cr WHERE f_no_token", skewed=True),
     }

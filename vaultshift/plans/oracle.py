@@ -78,10 +78,11 @@ AS_OF = "TIMESTAMP '1998-06-15 00:00:00'"
 SUB_COLUMNS = [c for c, _ in [("row_id", 0)]] + list(K.REQUIRED_SUBSCRIBER_COLUMNS) + ["price_id_2", "quantity_2"]
 
 
-def chain(provider: str = "stripe", fill: bool = False, pad: bool = False, frac_fix: bool = False) -> str:
+def chain(provider: str = "stripe", fill: bool = False, pad: bool = False, frac_fix: bool = False,
+          skewed: bool = False) -> str:
     """WITH-clause text ending in ``cr``: post-email joined rows with every flag and roll-up."""
     bs = provider == "bluesnap"
-    sub_src = "bsub" if bs else "sub"
+    sub_src = "bsub" if bs else ("ssub" if skewed else "sub")
     fixes = [f"{qnorm('quantity_1')} AS quantity_1", f"{qnorm('quantity_2')} AS quantity_2"]
     if frac_fix:
         fixes += [f"{frac(c)} AS {c}" for c in K.DATE_COLUMNS_WITH_FRACTION_FIX]
@@ -117,6 +118,7 @@ def chain(provider: str = "stripe", fill: bool = False, pad: bool = False, frac_
     )
     return f"""WITH sub AS ({FX.duck_sub_sql()}),
 bsub AS ({FX.duck_bsub_sql()}),
+ssub AS ({FX.duck_ssub_sql()}),
 map AS ({FX.duck_map_sql()}),
 bmap AS ({FX.duck_bmap_sql()}),
 s0 AS (SELECT * REPLACE ({', '.join(fixes)}) FROM {sub_src}),

@@ -142,25 +142,31 @@ class Migration:
         """Subscriber rows after the optional date fix and quantity normalisation, with rule flags."""
         df = self.subscribers
         cols = self.file_columns
-        fixes = {}
         if self.options.strip_iso_date_fractional_suffix:
-            for c in K.DATE_COLUMNS_WITH_FRACTION_FIX:
-                if c in cols:
-                    fixes[c] = T.strip_fractional_seconds(c)
-        if "price_id_1" in cols:
-            for c in cols:
-                if K.numbered_index("quantity", c) is not None:
-                    fixes[c] = T.normalize_quantity(c)
-        if fixes:
-            df = df.withColumns(fixes)
+            dates = [c for c in K.DATE_COLUMNS_WITH_FRACTION_FIX if c in cols]
+            df = T.with_stripped(df, dates)
+            df = df.withColumns({c: T.strip_fractional_seconds(c, T.stripped(c)) for c in dates})
+            df = df.drop(*[T.stripped_name(c) for c in dates])
+        quantities = [c for c in cols if K.numbered_index("quantity", c) is not None]
+        if "price_id_1" in cols and quantities:
+            df = T.with_stripped(df, quantities)
+            df = df.withColumns({c: T.normalize_quantity(c, T.stripped(c)) for c in quantities})
+            df = df.drop(*[T.stripped_name(c) for c in quantities])
+        # stage the stripped rule inputs once; every rule below reads those helper columns
+        rule_inputs = [c for c in cols if c in ("address_country_code", "started_at", "paused_at",
+                                                "current_period_started_at", "current_period_ends_at")
+                       or K.numbered_index("price_id", c) is not None or c in quantities]
+        df = T.with_stripped(df, rule_inputs)
+        with R.staged_strips(rule_inputs):
+            rules = R.subscriber_rules(set(cols), R.as_of_column(self.options.as_of),
+                                       self.options.card_token_check)
         names = ["_f_country", "_f_price", "_f_quantity", "_f_unsupported", "_f_date_format", "_f_date_period"]
-        rules = self.rules
         flags = {n: r.fails for n, r in zip(names, rules)}
         flags["_p_date_period"] = rules[5].population
         if self.options.card_token_check:
             flags["_f_card_token"] = rules[6].fails
             flags["_p_card_token"] = rules[6].population
-        df = df.withColumns(flags)
+        df = df.withColumns(flags).drop(*[T.stripped_name(c) for c in rule_inputs])
         s_failed = reduce(lambda a, b: a | b, [F.col(n) for n in flags if n.startswith("_f_")])
         # the period rule removes nothing when no row parses (the reference reports an error instead)
         return df.withColumn("_s_failed", s_failed)
@@ -239,12 +245,14 @@ class Migration:
         return j
 
     def materialize(self, path: str | None = None) -> "Migration":
-        """Write the flagged joined rows once (Parquet in the shared checkpoint folder, or ``path``)
-        and serve every report and count from that copy.
-
-        One computation feeds many sinks, lineage is cut (a lost executor re-reads files instead of
-        re-running the join), and later filters on flag columns are plain column predicates pushed
-        into the Parquet scan instead of re-derived rule expressions.
+        """Write the flagged subscriber rows, the shaped mapping and the flagged joined rows once
+        (Parquet in the shared checkpoint folder, or under ``path``) and serve every later step
+        from those copies.
+
+        The subscriber rules then run once instead of once per consumer (join statistics, cold and
+        hot branches, counts, rule reports), one computation feeds many sinks, lineage is cut (a
+        lost executor re-reads files instead of re-running the join), and filters on flag columns
+        become plain predicates pushed into the Parquet scan.
         """
         import uuid
 
@@ -252,9 +260,14 @@ class Migration:
 
         spark = self.subscribers.sparkSession
         if path is None:
-            path = f"{checkpoint_dir(spark).rstrip('/')}/vaultshift-joined-{uuid.uuid4().hex}"
-        self.joined_all.write.mode("overwrite").parquet(path)
-        self.__dict__["joined_all"] = spark.read.parquet(path)
+            path = f"{checkpoint_dir(spark).rstrip('/')}/vaultshift-run-{uuid.uuid4().hex}"
+        for name in ("prepared_subscribers", "prepared_mapping"):
+            getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
+            self.__dict__[name] = spark.read.parquet(f"{path}/{name}")
+        for name in ("keyed_subscribers", "joined_all", "completed"):
+            self.__dict__.pop(name, None)
+        self.joined_all.write.mode("overwrite").parquet(f"{path}/joined")
+        self.__dict__["joined_all"] = spark.read.parquet(f"{path}/joined")
         self.__dict__.pop("completed", None)
         return self
 

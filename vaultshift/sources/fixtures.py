@@ -66,6 +66,14 @@ BSUB_TOKEN_EXPR = (
     "lpad(cast(row_id % 10000 AS string), 4, '0')) END"
 )
 
+# Adversarial copy: three in ten subscribers share a blank card token, a blank subscription id and
+# one email address, so one key of each kind holds 30 % of the rows.
+SKEW_EXPRS: tuple[tuple[str, str], ...] = (
+    ("card_token", "CASE WHEN row_id % 10 < 3 THEN '' ELSE card_token END"),
+    ("subscription_external_id", "CASE WHEN row_id % 10 < 3 THEN '' ELSE subscription_external_id END"),
+    ("customer_email", "CASE WHEN row_id % 10 < 3 THEN 'shared@example.com' ELSE customer_email END"),
+)
+
 # Stripe vault mapping over orders × {d = 0, 1}; the header is the vault's dotted layout.
 MAP_EXPRS: tuple[tuple[str, str], ...] = (
     ("card.id", "concat('card_', cast(o_orderkey AS string))"),
@@ -122,11 +130,22 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(orders: DataFrame) -> DataFrame:
+    """Spread the orders over the session's shuffle partitions before deriving files from them.
+
+    A small test table is one unsplittable Parquet row group, i.e. one task; a real export arrives
+    as many file splits. An explicit partition count is kept by adaptive execution (it would
+    otherwise coalesce the few shuffled bytes into one partition before the string-heavy rules).
+    """
+    n = int(orders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return orders.repartition(n, "o_orderkey")
+
+
 def subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``sub``: one subscriber per order (row id = order key)."""
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = _read(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    joined = orders.join(customer, orders.o_custkey == customer.c_custkey)
+    joined = _spread(orders).join(customer, orders.o_custkey == customer.c_custkey)
     return joined.selectExpr(*sub_select_list())
 
 
@@ -136,6 +155,11 @@ def bluesnap_subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sub.withColumn("card_token", F.expr(BSUB_TOKEN_EXPR))
 
 
+def skewed_subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ssub``: ``sub`` with 30 % of rows on one blank card token, subscription id and email."""
+    return subscribers(spark, sf_dir).withColumns({a: F.expr(e) for a, e in SKEW_EXPRS})
+
+
 def _extra_row(spark: SparkSession, names: list[str], values: tuple) -> DataFrame:
     schema = ", ".join(f"`{n}` string" for n in names)
     return spark.createDataFrame([values], schema)
@@ -148,7 +172,7 @@ def stripe_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders has no card at all; one card row matches no subscriber.
     """
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    doubled = orders.withColumn("d", F.explode(F.array(F.lit(0), F.lit(1)))).where(MAP_FILTER)
+    doubled = _spread(orders).withColumn("d", F.explode(F.array(F.lit(0), F.lit(1)))).where(MAP_FILTER)
     rows = doubled.selectExpr(*[f"{e} AS `{a}`" for a, e in MAP_EXPRS])
     return rows.unionByName(_extra_row(spark, [a for a, _ in MAP_EXPRS], MAP_EXTRA_ROW))
 
@@ -156,7 +180,7 @@ def stripe_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bluesnap_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``bmap``: Bluesnap vault mapping; the last row repeats the derived key of order 7."""
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    rows = orders.where(BMAP_FILTER).selectExpr(*[f"{e} AS `{a}`" for a, e in BMAP_EXPRS])
+    rows = _spread(orders).where(BMAP_FILTER).selectExpr(*[f"{e} AS `{a}`" for a, e in BMAP_EXPRS])
     return rows.unionByName(_extra_row(spark, [a for a, _ in BMAP_EXPRS], BMAP_EXTRA_ROW))
 
 
@@ -173,6 +197,10 @@ def duck_bsub_sql() -> str:
     return f"SELECT * REPLACE ({BSUB_TOKEN_EXPR} AS card_token) FROM sub"
 
 
+def duck_ssub_sql() -> str:
+    return "SELECT * REPLACE (" + ", ".join(f"{e} AS {a}" for a, e in SKEW_EXPRS) + ") FROM sub"
+
+
 def _duck_literal(v) -> str:
     return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
 

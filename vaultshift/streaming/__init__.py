@@ -1 +1,7 @@
-"""streaming."""
+"""Streaming: nothing to build.
+
+The migration is a batch job over two files; the original tool has no streams, windows over event
+time, watermarks or state. The subscriber rules are stateless column expressions
+(``vaultshift.operators.rules``), so they can be applied unchanged to a streaming DataFrame, but no
+streaming job is part of this package.
+"""
