@@ -4,8 +4,9 @@ Any key may hold a large share of the rows (blank card tokens, one shared test e
 subscription id). Both helpers first count rows per key with a partial (map-side) aggregation,
 which is skew-proof, then treat *hot* keys — at least ``hot_rows`` rows on one side — apart:
 
-* the set of hot keys has at most ``(N + M) / hot_rows`` entries, so it is broadcast (a proven
-  bound, independent of the data values);
+* the set of hot keys has at most ``(N + M) / hot_rows`` entries, so it is fetched once and
+  broadcast (a proven bound, independent of the data values); when it is empty the hot branch is
+  left out of the plan;
 * cold keys take the ordinary hash-partitioned path, where no group exceeds ``hot_rows`` rows;
 * hot keys are split on a salted grid so no task receives more than about ``hot_rows`` rows of
   either side, and a hot key with no partner never shuffles at all.
@@ -52,8 +53,11 @@ def skew_left_join(
     rstats = right.groupBy(key).agg(*[e.alias(n) for n, e in ragg])
     stats = lstats.join(rstats, key, "full")
     hot = stats.where((F.col("_ln") >= hot_rows) | (F.col("_rn") >= hot_rows))
-    hot_b = F.broadcast(hot)
-    hot_keys_b = F.broadcast(hot.select(key))
+    # The hot set has at most (N + M) / hot_rows rows: fetch it once (a broadcast would ship it
+    # through the driver anyway) so the plan below reuses it without recomputing the statistics,
+    # and leaves out the hot branch when no key is hot.
+    hot_rows_found = hot.collect()
+    spark = left.sparkSession
 
     right_cols = [c for c in right.columns if c != key]
     lnames = [n for n, _ in lagg]
@@ -61,11 +65,19 @@ def skew_left_join(
 
     # Cold keys: one hash exchange per side; the window statistics reuse that partitioning.
     wl = Window.partitionBy(key)
-    l_cold = left.join(hot_keys_b, key, "left_anti")
+    l_cold, r_cold = left, right
+    if hot_rows_found:
+        hot = spark.createDataFrame(hot_rows_found, hot.schema)
+        hot_b = F.broadcast(hot)
+        hot_keys_b = F.broadcast(hot.select(key))
+        l_cold = left.join(hot_keys_b, key, "left_anti")
+        r_cold = right.join(hot_keys_b, key, "left_anti")
     l_cold = l_cold.select("*", *[e.over(wl).alias(n) for n, e in lagg])
-    r_cold = right.join(hot_keys_b, key, "left_anti")
     r_cold = r_cold.select("*", *[e.over(wl).alias(n) for n, e in ragg])
     cold = l_cold.join(r_cold, key, "left")
+    order = [*left.columns, *lnames, *right_cols, *rnames]
+    if not hot_rows_found:
+        return cold.select(*order).withColumn("_rn", F.coalesce(F.col("_rn"), F.lit(0)))
 
     # Hot keys: statistics come from the broadcast table; one scan of each side.
     # Grid: a left row sits in row ``salt_l`` of the grid and is copied to every column; a right
@@ -91,7 +103,6 @@ def skew_left_join(
         .drop("_gi", "_gj", "_g_hit")
     )
 
-    order = [*left.columns, *lnames, *right_cols, *rnames]
     parts = [p.select(*order) for p in (cold, gridded)]
     out = reduce(DataFrame.unionByName, parts)
     return out.withColumn("_rn", F.coalesce(F.col("_rn"), F.lit(0)))
@@ -109,8 +120,12 @@ def rows_in_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = DEFAULT_H
     """
     stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_g_n")).where(F.col("_g_n") > 1)
     renamed = [F.col(k).alias(f"_g_{k}") for k in keys]
-    hot = F.broadcast(stats.where(F.col("_g_n") >= hot_rows).select(*renamed))
     cold = stats.where(F.col("_g_n") < hot_rows).select(*renamed)
+    hot = stats.where(F.col("_g_n") >= hot_rows).select(*renamed)
+    found = hot.collect()  # at most N / hot_rows groups
+    if not found:
+        return df.join(cold, _null_safe_on(df, cold, keys), "left_semi")
+    hot = F.broadcast(df.sparkSession.createDataFrame(found, hot.schema))
     in_hot = df.join(hot, _null_safe_on(df, hot, keys), "left_semi")
     rest = df.join(hot, _null_safe_on(df, hot, keys), "left_anti")
     in_cold = rest.join(cold, _null_safe_on(rest, cold, keys), "left_semi")

@@ -309,6 +309,14 @@ def q_no_token_skewed(spark, d):
     return m.no_token.select(ROW_ID, "card_id", "card_token", "customer_email", "is_duplicate_token")
 
 
+def q_report_manifest(spark, d):
+    """A whole run writes every non-empty report; the manifest lists them (rows only)."""
+    from vaultshift.plans.run import run_to_directory
+    out = _roundtrip_dir(spark, "reports")
+    run_to_directory(plain_migration(spark, d, seller_name="Fixture Seller"), out)
+    return IO.report_manifest(spark, out)
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in dict(globals()).items() if name.startswith("q_") and callable(fn)
 }
