@@ -131,13 +131,15 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _spread(orders: DataFrame) -> DataFrame:
-    """Spread the orders over the session's shuffle partitions before deriving files from them.
+    """Spread the orders over every core before deriving files from them.
 
     A small test table is one unsplittable Parquet row group, i.e. one task; a real export arrives
-    as many file splits. An explicit partition count is kept by adaptive execution (it would
-    otherwise coalesce the few shuffled bytes into one partition before the string-heavy rules).
+    as many file splits. The partition count is the larger of the input splits and the cluster's
+    cores, so real inputs keep their parallelism; an explicit count is also kept by adaptive
+    execution, which would otherwise coalesce the few shuffled bytes into one partition before the
+    string-heavy rules.
     """
-    n = int(orders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = max(orders.rdd.getNumPartitions(), orders.sparkSession.sparkContext.defaultParallelism)
     return orders.repartition(n, "o_orderkey")
 
 
