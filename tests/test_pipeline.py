@@ -64,3 +64,22 @@ def test_plan_has_no_python_and_one_wide_shuffle_per_side(spark):
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     # cold path: exactly one hash exchange per side on the card key before the join
     assert plan.count("SortMergeJoin") >= 1
+
+
+def test_join_shuffles_each_side_once(spark):
+    """Without hot keys the joined rows need exactly two hash exchanges (one per side, on the card
+    key); the duplicate flags and the removal roll-up reuse that partitioning."""
+    m = C.plain_migration(spark, SF001)
+    prev = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        m.materialize()  # inputs become Parquet copies; the joined plan below starts from them
+        m.__dict__.pop("joined_all", None)
+        m.__dict__.pop("keyed_subscribers", None)
+        plan = m.joined_all._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)
+    assert plan.count("Exchange hashpartitioning(_key") == 2, plan
+    assert plan.count("Exchange") == 2, plan

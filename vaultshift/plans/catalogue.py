@@ -259,6 +259,8 @@ q_final_import_stripe = _final("stripe")
 q_final_import_bluesnap = _final("bluesnap")
 q_final_import_stripe_fixed = _final("stripe", use_mapping_zip_codes=True, autocorrect_us_zip=True,
                                      strip_iso_date_fractional_suffix=True)
+q_final_import_bluesnap_fixed = _final("bluesnap", use_mapping_zip_codes=True, autocorrect_us_zip=True,
+                                       strip_iso_date_fractional_suffix=True)
 
 
 def q_validation_summary(spark, d):
@@ -281,6 +283,11 @@ def q_run_summary_bluesnap(spark, d):
     return migration(spark, d, "bluesnap").run_summary
 
 
+def q_run_summary_bluesnap_fixed(spark, d):
+    return migration(spark, d, "bluesnap", use_mapping_zip_codes=True, autocorrect_us_zip=True,
+                     strip_iso_date_fractional_suffix=True).run_summary
+
+
 def q_run_summary_stripe_fixed(spark, d):
     return migration(spark, d, use_mapping_zip_codes=True, autocorrect_us_zip=True,
                      strip_iso_date_fractional_suffix=True).run_summary
@@ -442,6 +449,8 @@ def oracle() -> dict[str, str]:
         "final_import_stripe": _final_sql("stripe"),
         "final_import_bluesnap": _final_sql("bluesnap"),
         "final_import_stripe_fixed": _final_sql("stripe", fill=True, pad=True, frac_fix=True),
+        "final_import_bluesnap_fixed": _final_sql("bluesnap", fill=True, pad=True, frac_fix=True),
+        "run_summary_bluesnap_fixed": _summary_sql("bluesnap", fill=True, pad=True, frac_fix=True),
         "validation_summary": oracle_validation_summary("stripe"),
         "validation_summary_bluesnap": oracle_validation_summary("bluesnap"),
         "validation_messages": oracle_validation_messages("stripe"),
