@@ -22,7 +22,7 @@ Design points for large inputs:
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
-from functools import cached_property, reduce
+from functools import cached_property, partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -256,13 +256,17 @@ class Migration:
         """
         import uuid
 
+        from vaultshift.plans.actions import run_all
         from vaultshift.session import checkpoint_dir
 
         spark = self.subscribers.sparkSession
         if path is None:
             path = f"{checkpoint_dir(spark).rstrip('/')}/vaultshift-run-{uuid.uuid4().hex}"
-        for name in ("prepared_subscribers", "prepared_mapping"):
-            getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
+        inputs = ("prepared_subscribers", "prepared_mapping")
+        # the two prepared inputs are independent jobs: submit them together
+        writers = {n: getattr(self, n).write.mode("overwrite") for n in inputs}
+        run_all([partial(writers[n].parquet, f"{path}/{n}") for n in inputs])
+        for name in inputs:
             self.__dict__[name] = spark.read.parquet(f"{path}/{name}")
         for name in ("keyed_subscribers", "joined_all", "completed"):
             self.__dict__.pop(name, None)
@@ -466,6 +470,14 @@ class Migration:
                  self._long(d_sid, d_sid.columns), self._long(d_email, d_email.columns)]
         return reduce(DataFrame.unionByName, parts)
 
+    def fetch_metrics(self) -> "Migration":
+        """Count once per run: fetch the long metric table (one row per metric name, a number fixed
+        by the code, never by the data) and serve every later summary from that copy instead of
+        re-running the aggregates for each one."""
+        long = self.metrics
+        self.__dict__["metrics"] = long.sparkSession.createDataFrame(long.collect(), long.schema)
+        return self
+
     def wide_metrics(self, names: list[str]) -> DataFrame:
         """The chosen metrics pivoted into one row (no cross join: a grouped pivot of the long form)."""
         return (self.metrics.where(F.col("metric").isin(*names))

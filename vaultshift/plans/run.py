@@ -1,7 +1,10 @@
-"""A whole migration run: materialise once, write every non-empty report, return the summary.
+"""A whole migration run: materialise once, count once, write every non-empty report, return the
+summary.
 
-Only the one-row summary and the validation table (at most 15 rows) reach the driver; every
-report is written by the executors as a directory of CSV part files.
+Only the metric table (one row per metric name, a number fixed by the code), the one-row summary
+and the validation table (at most 15 rows) reach the driver; every report is written by the
+executors as a directory of CSV part files. The report writes are independent jobs over the same
+materialised copies, so they are submitted together (``vaultshift.plans.actions``).
 """
 
 from __future__ import annotations
@@ -9,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vaultshift import constants as K
+from vaultshift.plans.actions import DEFAULT_PARALLEL_ACTIONS, run_all
 from vaultshift.plans.pipeline import ROW_ID, Migration
 from vaultshift.plans.summary import validation_summary
 from vaultshift.sources import csv_io as IO
@@ -23,18 +27,19 @@ SUBSCRIBER_RULE_REPORTS = (
 )
 
 
-def run_to_directory(m: Migration, out_dir: str, subscriber_path: str = "") -> dict:
+def run_to_directory(m: Migration, out_dir: str, subscriber_path: str = "",
+                     parallel_sinks: int = DEFAULT_PARALLEL_ACTIONS) -> dict:
     o = m.options
     m.materialize()
+    m.fetch_metrics()
     summary = m.run_summary.collect()[0].asDict()
     steps = [r.asDict() for r in validation_summary(m).collect()]
     base = IO.output_base_name(o.seller_name, o.provider, o.is_sandbox, subscriber_path)
-    written = []
+    planned = []  # (report frame, directory name), in report order; only non-empty reports
 
     def sink(df, name, count):
         if count:
-            IO.write_csv(df, f"{out_dir.rstrip('/')}/{name}")
-            written.append(name)
+            planned.append((df, name))
 
     sink(m.final_import, f"{base}_{K.REPORT_FINAL_IMPORT}", summary["success_count"])
     sink(m.no_token, f"{base}_{K.REPORT_NO_TOKEN}", summary["no_tokens_count"])
@@ -73,4 +78,10 @@ def run_to_directory(m: Migration, out_dir: str, subscriber_path: str = "") -> d
             name = report + "_after_autocorrect"
         sink(m.layout(src.where(F.col(flag))), IO.rule_report_name(o.seller_name, name, o.is_sandbox),
              by_step.get(step, {}).get("incorrect_count"))
+
+    def writer(df, name):
+        return lambda: IO.write_csv(df, f"{out_dir.rstrip('/')}/{name}")
+
+    run_all([writer(df, name) for df, name in planned], parallel_sinks)
+    written = [name for _, name in planned]
     return {"summary": summary, "validation_results": steps, "reports": written}
