@@ -9,6 +9,7 @@ materialised copies, so they are submitted together (``vaultshift.plans.actions`
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultshift import constants as K
@@ -35,18 +36,19 @@ def run_to_directory(m: Migration, out_dir: str, subscriber_path: str = "",
     summary = m.run_summary.collect()[0].asDict()
     steps = [r.asDict() for r in validation_summary(m).collect()]
     base = IO.output_base_name(o.seller_name, o.provider, o.is_sandbox, subscriber_path)
-    planned = []  # (report frame, directory name), in report order; only non-empty reports
+    planned = []  # (report frame or a function building it, directory name), in report order
 
     def sink(df, name, count):
-        if count:
+        if count:  # empty reports are not written
             planned.append((df, name))
 
     sink(m.final_import, f"{base}_{K.REPORT_FINAL_IMPORT}", summary["success_count"])
     sink(m.no_token, f"{base}_{K.REPORT_NO_TOKEN}", summary["no_tokens_count"])
     sink(m.duplicate_tokens, f"{base}_{K.REPORT_DUP_TOKENS}", summary["duplicate_tokens_count"])
-    sink(m.duplicate_subscription_ids, f"{base}_{K.REPORT_DUP_SUBSCRIPTIONS}",
+    # built in their writer threads: each probes its hot groups with a job of its own first
+    sink(lambda: m.duplicate_subscription_ids, f"{base}_{K.REPORT_DUP_SUBSCRIPTIONS}",
          summary["duplicate_external_subscription_ids_count"])
-    sink(m.duplicate_emails, f"{base}_{K.REPORT_DUP_EMAILS}", summary["duplicate_emails_count"])
+    sink(lambda: m.duplicate_emails, f"{base}_{K.REPORT_DUP_EMAILS}", summary["duplicate_emails_count"])
     if o.provider == "stripe":
         sink(m.duplicate_card_ids, f"{base}_{K.REPORT_DUP_CARD_IDS}", summary["duplicate_card_ids_count"])
 
@@ -80,7 +82,7 @@ def run_to_directory(m: Migration, out_dir: str, subscriber_path: str = "",
              by_step.get(step, {}).get("incorrect_count"))
 
     def writer(df, name):
-        return lambda: IO.write_csv(df, f"{out_dir.rstrip('/')}/{name}")
+        return lambda: IO.write_csv(df if isinstance(df, DataFrame) else df(), f"{out_dir.rstrip('/')}/{name}")
 
     run_all([writer(df, name) for df, name in planned], parallel_sinks)
     written = [name for _, name in planned]
