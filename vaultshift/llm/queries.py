@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html_extract, jaccard_join, langid, mixing, quality, rules, toxicity
+from . import chat, decontaminate, html_extract, jaccard_join, langid, mixing, quality, rules, toxicity
 from .common import Scratch
 
 
@@ -30,6 +30,10 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.classes(table(spark, sf_dir, "documents"), Scratch(spark, "op7"))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), Scratch(spark, "op5"))
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return html_extract.extract_pages(pages, html_extract.fit(pages))
@@ -55,6 +59,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_language_id": op4_language_id,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op6_html_extraction": op6_html_extraction,
     "op8_chat_formatting": op8_chat_formatting,
