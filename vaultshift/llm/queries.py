@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_extract, jaccard_join, langid, mixing, quality, rules, toxicity
+from . import chat, decontaminate, html_extract, jaccard_join, langid, mixing, quality, rules, substring_dedup, toxicity
 from .common import Scratch
 
 
@@ -13,6 +13,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.report(table(spark, sf_dir, "documents"), Scratch(spark, "op1"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -56,6 +60,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_language_id": op4_language_id,
