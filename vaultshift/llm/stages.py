@@ -1,15 +1,67 @@
 """The stages of the corpus pipeline: (spark, docs, sf_dir) -> DataFrame.
 
 All but the last return the columns they were given. Rows whose doc_id is null cannot be named in a
-search's result and pass through the searching stages unchanged.
+search's result and pass through the searching stages unchanged. Decisions are joined back by doc_id,
+as a broadcast only while the list of decided ids is at most ``common.BROADCAST_ROWS`` rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing
-from .common import Scratch
+from . import decontaminate as bm25
+from . import jaccard_join, langid, mixing, substring_dedup
+from .common import Scratch, hint_small
+
+#: A document whose best language has a smaller share of its words is rejected.
+MIN_LANGUAGE_SHARE = 0.5
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    return docs.join(hint_small(ids), "doc_id", "left_anti")
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in some language: ``und`` and mixtures below ``MIN_LANGUAGE_SHARE`` go."""
+    scratch = Scratch(spark, "lang")
+    found = langid.predict(docs, langid.fit(docs))
+    rejected = found.where((F.col("lang_pred") == langid.UND) | (F.col("score") < MIN_LANGUAGE_SHARE)).select("doc_id")
+    return _without(docs, scratch.write(rejected.where("doc_id is not null").distinct(), "rejected"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of linked documents, the one with the least id. Rows that repeat a
+    doc_id are one document and leave one row."""
+    scratch = Scratch(spark, "near")
+    found = scratch.write(jaccard_join.classes(docs, scratch), "classes")
+    kept = _without(docs, scratch.write(found.where("doc_id <> class_id").select("doc_id").distinct(), "dropped"))
+    twice = scratch.write(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice")
+    if twice.isEmpty():
+        return kept
+    ids = hint_small(twice)
+    return kept.join(ids, "doc_id", "left_anti").unionByName(kept.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+
+
+def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with texts (and n_chars) that have lost the passages an earlier document holds."""
+    scratch = Scratch(spark, "passages")
+    new = substring_dedup.find_cuts(docs, scratch).select("doc_id", F.col("text").alias("_text"), F.col("n_chars").alias("_n_chars"))
+    new = scratch.write(new.dropDuplicates(["doc_id"]), "texts")
+    ids = new.select("doc_id")
+    clean = docs.join(hint_small(ids), "doc_id", "left_anti")
+    cut = docs.join(hint_small(ids), "doc_id", "left_semi").drop("text", *(["n_chars"] if "n_chars" in docs.columns else [])).join(new, "doc_id")
+    cut = cut.withColumn("text", F.col("_text"))
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.col("_n_chars").cast(docs.schema["n_chars"].dataType))
+    return cut.select(*docs.columns).unionByName(clean)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    scratch = Scratch(spark, "leaks")
+    found = bm25.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), scratch)
+    return _without(docs, scratch.write(found.select("doc_id").distinct(), "leaked"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
