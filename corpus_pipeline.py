@@ -16,6 +16,10 @@ from vaultshift.llm import stages
 from vaultshift.llm.common import Scratch
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", stages.language_id),
+    ("ngram_jaccard_join", stages.near_duplicates),
+    ("substring_dedup", stages.substring_dedup_stage),
+    ("benchmark_decontamination", stages.decontaminate),
     ("source_mixing", stages.mix_sources),
 ]
 
