@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold
+from .common import Scratch, fold
 from .textnum import Text, chunks, column
 from .training import MAX_TRAINING_CHARS
 
@@ -255,15 +255,18 @@ def train(texts: list[str], langs: list[str], epochs: int = 4, batch: int = 64,
 def fit(docs: DataFrame, modulus: int = 4, held: int = 2, per_language: int = PER_LANGUAGE) -> Model:
     """Trains on at most ``per_language`` documents of each of the ``MAX_LANGUAGES`` most frequent languages,
     least hash of the id first, whole texts of at most MAX_TRAINING_CHARS characters."""
-    known = docs.where(F.col("lang").isNotNull() & (fold(F.col("doc_id"), modulus) != held) & F.length("text").between(1, MAX_TRAINING_CHARS))
+    scratch = Scratch(docs.sparkSession, "langid")
+    usable = F.col("lang").isNotNull() & (fold(F.col("doc_id"), modulus) != held) & F.length("text").between(1, MAX_TRAINING_CHARS)
+    known = scratch.write(docs.where(usable).select("doc_id", "lang"), "known")
     languages = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
     if not languages:
         return train([], [])
-    shares = None
+    ids = None
     for lang in languages:
-        part = known.where(F.col("lang") == lang).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_language)
-        shares = part if shares is None else shares.unionByName(part)
-    rows = known.select("doc_id", "text", "lang").join(F.broadcast(shares.distinct()), "doc_id").collect()
+        part = known.where(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_language).select("doc_id")
+        ids = part if ids is None else ids.unionByName(part)
+    rows = docs.where(usable).select("doc_id", "text", "lang").join(F.broadcast(ids.distinct()), "doc_id").collect()
+    scratch.drop("known")
     rows = sorted({(r["doc_id"], r["text"], r["lang"]) for r in rows if r["lang"] in set(languages)})
     return train([r[1] for r in rows], [r[2] for r in rows])
 
