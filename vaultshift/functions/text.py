@@ -14,9 +14,6 @@ from vaultshift import constants as K
 # Python's str.strip() removes 29 whitespace code points; Spark's trim() removes only the space.
 # The set is derived from str.isspace, and btrim removes any of its characters at both ends.
 PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
-# The same set as a Java regex class (for collapsing inner runs): ASCII whitespace, the four
-# separators 0x1C-0x1F, NEL and the Unicode separators Z*.
-_WS = r"[\s\x{1C}-\x{1F}\x{85}\p{Z}]"
 
 
 def col_of(c: str | Column) -> Column:
@@ -49,7 +46,10 @@ def is_empty_after_strip(c: str | Column) -> Column:
 
 
 def full_match(c: Column, pattern: str) -> Column:
-    """Anchored regex match that is False (never null) on a null input."""
+    """Anchored regex match that is False (never null) on a null input. A final ``$`` tolerates one
+    line feed at the very end and no other line terminator, unlike the JVM's own ``$``."""
+    if pattern.endswith("$"):
+        pattern = pattern[:-1] + r"\n?\z"
     return F.coalesce(c.rlike(pattern), F.lit(False))
 
 
@@ -70,41 +70,66 @@ def strip_fractional_seconds(c: str | Column, stripped: Column | None = None) ->
     ).otherwise(c)
 
 
-# A number Python's float() reads (no inf/nan, no underscores): sign, digits, point, exponent.
-_FLOAT_TEXT = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+# Python's whitespace as a regex class, for collapsing inner runs: ASCII whitespace, the four separators
+# 0x1C-0x1F, NEL and the Unicode separators Z*.
+_WS = r"[\s\x{1C}-\x{1F}\x{85}\p{Z}]"
+
+# A number Python's float() reads (no inf/nan): sign, digits, point, exponent; single underscores may
+# stand between digits.
+_DIGITS = "[0-9](_?[0-9])*"
+_FLOAT_TEXT = rf"^[+-]?({_DIGITS}([.]({_DIGITS})?)?|[.]{_DIGITS})([eE][+-]?{_DIGITS})?\z"
+_LIMB = 1_000_000_000
+_LONG_END = float(1 << 63)
+
+
+def _div(x: Column) -> Column:
+    return F.call_function("div", x, F.lit(_LIMB).cast("long"))
+
+
+def _times(limbs: Column, factor: Column) -> Column:
+    """Little-endian limbs (base 10**9) times a factor below 2**29."""
+    step = F.aggregate(
+        limbs, F.struct(F.lit(0).cast("long").alias("c"), F.array().cast("array<bigint>").alias("o")),
+        lambda a, x: F.struct(_div(x * factor + a["c"]).alias("c"),
+                              F.concat(a["o"], F.array((x * factor + a["c"]) % _LIMB)).alias("o")),
+        lambda a: F.when(a["c"] > 0, F.concat(a["o"], F.array(a["c"]))).otherwise(a["o"]))
+    return step
+
+
+def _big_digits(d: Column) -> Column:
+    """All digits of a whole double of 2**63 or more: mantissa times a power of two, in limbs."""
+    e = (F.floor(F.log2(d)) - 55).cast("int")
+    m = (d / F.pow(F.lit(2.0), e)).cast("long")
+    limbs = F.array(m % _LIMB, _div(m))
+    big = F.aggregate(F.sequence(F.lit(1), F.lit(36)), limbs,
+                      lambda a, i: F.when(i * 28 <= e, _times(a, F.lit(1 << 28).cast("long"))).otherwise(a))
+    big = _times(big, F.pow(F.lit(2.0), F.pmod(e, F.lit(28))).cast("long"))
+    text = F.aggregate(big, F.lit(""), lambda a, x: F.concat(F.lpad(x.cast("string"), 9, "0"), a))
+    return F.regexp_replace(text, "^0+", "")
 
 
 def normalize_quantity(c: str | Column, stripped: Column | None = None) -> Column:
-    """Whole non-negative numbers become plain digits (``2.0``→``2``, ``1e3``→``1000``, ``+2``→``2``).
+    """Whole non-negative numbers become plain digits (``2.0``→``2``, ``1e3``→``1000``, ``+2``→``2``),
+    all digits of the double the text stands for, whatever its size.
 
-    Anything else (negative, fractional, junk, blank, null) is returned unchanged so the quantity
-    rule can reject it. The regex gate keeps inputs Spark would parse but Python would not
-    (``2d``, ``2f``) out of the numeric branch.
+    Anything else (negative, fractional, junk, blank, null, beyond the doubles) is returned unchanged
+    so the quantity rule can reject it. The regex gate keeps inputs Spark would parse but Python would
+    not (``2d``, ``2f``) out of the numeric branch.
     """
     c = col_of(c)
     s = py_strip(c) if stripped is None else stripped
-    d = F.when(s.rlike(_FLOAT_TEXT), s.try_cast("double"))
-    whole = d.isNotNull() & (d >= 0) & (d == F.rint(d))
-    digits = d.try_cast("decimal(38,0)").cast("string")
+    d = F.when(s.rlike(_FLOAT_TEXT), F.replace(s, F.lit("_"), F.lit("")).try_cast("double"))
+    whole = d.isNotNull() & (d >= 0) & (d == F.rint(d)) & (d < float("inf"))
     return (
         F.when(c.isNull(), c)
         .when(F.lower(s).isin(*K.BLANK_TOKENS), c)
-        .when(s.rlike("^[0-9]+$"), s)
-        .when(whole & digits.isNotNull(), digits)
+        .when(s.rlike(r"^[0-9]+\z"), s)
+        .when(whole & (d < _LONG_END), d.cast("long").cast("string"))
+        .when(whole, _big_digits(d))
         .otherwise(c)
     )
 
 
-def ca_postal_norm(c: str | Column) -> Column:
-    """Strip, upper-case, collapse inner whitespace runs to one space."""
-    return F.regexp_replace(F.upper(py_strip(c)), f"{_WS}+", " ")
-
-
-def us_postal_norm(c: str | Column) -> Column:
-    """Null → ``''``; text is stripped."""
-    return F.coalesce(py_strip(c), F.lit(""))
-
-
 STRIPPED_PREFIX = "_strip__"
 
 

@@ -1,53 +1,145 @@
 """CSV scans and report sinks.
 
 Everything is read as text: no schema inference, so postal codes keep their leading zeros and long
-ids are never turned into floats. ``multi_line`` is a parameter because a quoted newline inside a
-cell needs it, while it also makes a file unsplittable (one task per file).
+ids are never turned into floats. No scan loses or moves a cell without a sign:
+
+* Columns are taken by name. Files of one scan may order their columns differently; files with the
+  same header are read together and the groups are united by name.
+* A row with more cells than the header stops the run when it is read; a shorter one is padded.
+* Quoted line breaks are read by default (``multi_line=True``; one task per file). ``multi_line=False``
+  splits files at line ends for large clean exports, and stops at any line that leaves a quote open.
 """
 
 from __future__ import annotations
 
+import csv
 import re
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from vaultshift import constants as K
 from vaultshift.functions import text as T
 
 ROW_ID = "_temp_row_id"
-
-
-def _reader(spark: SparkSession, multi_line: bool, encoding: str = "UTF-8"):
-    return (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("multiLine", multi_line)
-        .option("quote", '"').option("escape", '"')
-        .option("encoding", encoding)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("mode", "PERMISSIVE")
-    )
-
-
-def scan_subscribers(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+CORRUPT = "_corrupt_record"
+_CELLS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+          "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
+
+def _header_line(spark: SparkSession, file: str, encoding: str) -> str:
+    """The first record of a file: lines are added while a quote is open."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
+        text = reader.readLine() or ""
+        while text.count('"') % 2 and (line := reader.readLine()) is not None:
+            text += "\n" + line
+        return text.removeprefix("\ufeff")
+    finally:
+        stream.close()
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """The data files a path, folder or glob stands for, in name order (names only, no contents)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for status in fs.globStatus(root) or []:
+        inner = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+        found += [f.getPath().toString() for f in inner if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
+    return sorted(found)
+
+
+def _checked(rows: DataFrame, n: int, what: str) -> DataFrame:
+    """Stops at a record with more cells than the header (delimiters outside quotes) or an open quote."""
+    rec = F.col(CORRUPT)
+    bare = F.regexp_replace(rec, '"[^"]*"', "")
+    long_row = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) >= n
+    open_quote = F.length(rec) - F.length(F.replace(rec, F.lit('"'), F.lit("")))
+    bad = F.when(open_quote % 2 == 1, F.concat(F.lit(f"{what}: a quote stays open in: "), rec)).when(
+        long_row, F.concat(F.lit(f"{what}: more cells than the header's {n}: "), rec))
+    # a filter is never pruned, whatever columns the query goes on with; it names a cell as well because
+    # the reader refuses queries over the record alone
+    fine = F.length(F.coalesce(T.col_of(rows.columns[0]), F.lit(""))) >= 0
+    return rows.where(F.when(bad.isNotNull(), F.raise_error(bad).cast("boolean")).otherwise(fine)).drop(CORRUPT)
+
+
+def _scan(spark: SparkSession, path: str, multi_line: bool, encoding: str = "UTF-8") -> DataFrame:
+    files = _files(spark, path)
+    if not files:
+        raise FileNotFoundError(path)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f in files:
+        header = next(csv.reader([_header_line(spark, f, encoding)]), [])
+        if len(set(header)) < len(header):
+            raise ValueError(f"{f}: the header repeats a column name")
+        groups.setdefault(tuple(header), []).append(f)
+    first = next(iter(groups))
+    parts = []
+    for header, members in groups.items():
+        if set(header) != set(first):
+            raise ValueError(f"{members[0]}: columns differ from those of {groups[first][0]}: {sorted(set(header) ^ set(first))}")
+        schema = StructType([StructField(c, StringType()) for c in [*header, CORRUPT]])
+        if multi_line:
+            reader = spark.read.schema(schema).options(**_CELLS, header=True, enforceSchema=False, multiLine=True, encoding=encoding, columnPruning=False)
+            rows = reader.csv(members)
+        else:
+            rows = _split_lines(spark, members, header, schema, encoding)
+        parts.append(_checked(rows, len(header), "CSV").select(*[T.col_of(c) for c in first]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _split_lines(spark: SparkSession, files: list[str], header: tuple[str, ...], schema: StructType, encoding: str) -> DataFrame:
+    """Lines of splittable text, each parsed by itself; a line with an odd number of quotes stops the run."""
+    lines = spark.read.text(files)
+    value = F.col("value") if encoding.upper() == "UTF-8" else F.decode(F.col("value").cast("binary"), encoding)
+    value = F.regexp_replace(value, "^\ufeff", "")
+    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
+    whole = F.when(quotes % 2 == 1, F.raise_error(F.concat(F.lit("CSV: a quoted line break needs multi_line=True: "), value)).cast("string")).otherwise(value)
+    cells = F.from_csv("line", _ddl(schema), _CELLS)
+    # a header line is where a file (not a split) begins
+    start = F.col("_metadata.file_block_start")
+    names = F.lit(_csv_line(header))
+    rows = lines.select(whole.alias("line"), start.alias("_at")).where((F.col("line") != "") & ~((F.col("_at") == 0) & (_bare(F.col("line")) == _bare(names))))
+    return rows.select(cells.alias("c")).select("c.*")
+
+
+def _bare(c: Column) -> Column:
+    return F.replace(c, F.lit('"'), F.lit(""))
+
+
+def _csv_line(cells: tuple[str, ...]) -> str:
+    return ",".join(cells)
+
+
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema)
+
+
+def scan_subscribers(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """A1 + A4: the subscriber export; ``_`` is null, blank cells stay ``''``; every row gets a
-    unique ``_temp_row_id`` (stable for a given file listing, so recomputation reproduces it)."""
-    raw = _reader(spark, multi_line).csv(path)
+    unique ``_temp_row_id``. The ids follow the scan's file splits: write the rows once (as
+    ``Migration.materialize`` does) before using the ids across jobs of a cluster that resizes."""
+    raw = _scan(spark, path, multi_line)
     cols = [T.subscriber_null_normalise(c).alias(c) for c in raw.columns]
     return raw.select(F.monotonically_increasing_id().alias(ROW_ID), *cols)
 
 
-def scan_mapping(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def scan_mapping(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """A2: the vault mapping, decoded as latin-1; the standard NA tokens are null."""
-    raw = _reader(spark, multi_line, encoding="ISO-8859-1").csv(path)
+    raw = _scan(spark, path, multi_line, encoding="ISO-8859-1")
     return raw.select(*[T.mapping_null_normalise(c).alias(c) for c in raw.columns])
 
 
-def scan_audit(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def scan_audit(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """A3: a file for the postal audit; it must carry the country and postal columns."""
-    raw = _reader(spark, multi_line).csv(path)
+    raw = _scan(spark, path, multi_line)
     need = {"address_country_code", "address_postal_code"}
     if not need <= set(raw.columns):
         raise ValueError("Required columns not found")
@@ -76,22 +168,21 @@ def write_csv(df: DataFrame, path: str, clean: bool = True, null_value: str = ""
      .csv(path))
 
 
+def _file_part(name: str) -> str:
+    """A seller's name as part of a file name: letters, digits, ``-`` and ``_`` stay, inner spaces
+    become ``_``, everything else goes."""
+    return re.sub(r"[^\w\- ]", "", name).rstrip().replace(" ", "_")
+
+
 def output_base_name(seller_name: str, provider: str, is_sandbox: bool, subscriber_path: str = "") -> str:
-    """``{seller}_{provider}[_sandbox]``; the seller keeps letters, digits, space, ``-``, ``_``,
-    right-trimmed, spaces → ``_``. Without a seller the subscriber file stem is used."""
-    if seller_name:
-        clean = "".join(ch for ch in seller_name if ch.isalnum() or ch in (" ", "-", "_")).rstrip()
-        base = f"{clean.replace(' ', '_')}_{provider.lower()}"
-    else:
-        stem = re.sub(r"\.[^./]*$", "", subscriber_path.rstrip("/").split("/")[-1])
-        base = f"{stem}_{provider.lower()}"
-    return base + ("_sandbox" if is_sandbox else "")
+    """``{seller}_{provider}[_sandbox]``; without a seller the subscriber file's stem is used."""
+    stem = _file_part(seller_name) if seller_name else re.sub(r"\.[^./]*$", "", subscriber_path.rstrip("/").split("/")[-1])
+    return f"{stem}_{provider.lower()}" + ("_sandbox" if is_sandbox else "")
 
 
 def rule_report_name(seller_name: str, report: str, is_sandbox: bool) -> str:
     """Name of a rule report: ``{seller}_{report}_{sandbox|production}``."""
-    clean = "".join(ch for ch in seller_name if ch.isalnum() or ch in (" ", "-", "_")).rstrip()
-    return f"{clean.replace(' ', '_')}_{report}{'_sandbox' if is_sandbox else '_production'}"
+    return "_".join((_file_part(seller_name), report, "sandbox" if is_sandbox else "production"))
 
 
 def report_manifest(spark: SparkSession, root: str) -> DataFrame:
