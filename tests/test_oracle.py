@@ -23,5 +23,6 @@ def test_oracle(results, name):
 
 def test_every_query_has_an_oracle_or_is_rows_only():
     import __spark_entry__ as E
-    missing = set(E.queries()) - set(E.oracle_sql())
+    from vaultshift.plans import catalogue as C
+    missing = set(C.QUERIES) - set(E.oracle_sql())
     assert missing == {"anonymise_email", "report_manifest"}

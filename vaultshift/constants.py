@@ -237,6 +237,7 @@ STEP_PRICE_ID = "price_id_validation"
 STEP_UNSUPPORTED = "unsupported_countries_validation"
 STEP_DATE_FORMAT = "date_format_validation"
 STEP_DATE_PERIOD = "date_validation"
+STEP_CARD_TOKEN = "card_token_validation"
 STEP_MISSING_POSTAL = "missing_zip_code_validation"
 STEP_CA_POSTAL = "ca_zip_code_validation"
 STEP_US_POSTAL = "us_zip_code_validation"
@@ -278,3 +279,19 @@ def numbered_index(kind: str, name: str) -> int | None:
     """Index N of a numbered column such as ``price_id_N``; None when ``name`` is not one."""
     m = _NUMBERED[kind].match(name)
     return int(m.group(1)) if m else None
+
+# FIXED VALUES: texts of the run's messages, by step: (count they speak of, SQL expression of the text).
+MESSAGES = {
+    STEP_DUP_TOKENS: ("duplicate_tokens", "concat('Found ', CAST(duplicate_tokens AS STRING), "
+                        "' records with duplicate card tokens.')"),
+    STEP_DUP_SUBSCRIPTIONS: ("duplicate_subscription_ids", "concat('Found ', CAST(duplicate_subscription_ids AS STRING), "
+                               "' records with duplicate external subscription IDs.')"),
+    STEP_DUP_EMAILS: ("duplicate_emails", "concat('Found ', CAST(duplicate_emails AS STRING), "
+                        "' records with duplicate customer emails.')"),
+    STEP_DUP_CARD_IDS: ("duplicate_card_ids", "concat('Found ', CAST(duplicate_card_ids AS STRING), "
+                          "' records with duplicate card IDs.')"),
+    STEP_NO_TOKEN: ("no_token", "CASE WHEN no_token > 0 THEN concat('Found ', CAST(no_token AS STRING), "
+                      "' records with no matching token in mapping file.') "
+                      "ELSE 'All records have matching tokens in mapping file.' END"),
+    STEP_SUCCESS: ("success", "concat('Successfully mapped ', CAST(success AS STRING), ' records ready for import.')"),
+}

@@ -12,6 +12,7 @@ Joined-row rules (evaluated per joined row): C7 missing postal, C8 CA postal, C9
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -21,30 +22,8 @@ from vaultshift import constants as K
 from vaultshift.functions import text as T
 
 
-def _strip(c: str) -> Column:
-    """The stripped value of input column ``c``: the staged helper column when the caller staged
-    one (``T.with_stripped``), else the expression itself."""
-    return _STAGED.get(c, T.py_strip(c)) if _STAGED is not None else T.py_strip(c)
-
-
-_STAGED: dict | None = None
-
-
-class staged_strips:
-    """Context in which rules read stripped values from staged helper columns."""
-
-    def __init__(self, columns):
-        self.columns = columns
-
-    def __enter__(self):
-        global _STAGED
-        self._prev = _STAGED
-        _STAGED = {c: T.stripped(c) for c in self.columns}
-        return self
-
-    def __exit__(self, *exc):
-        global _STAGED
-        _STAGED = self._prev
+#: Gives the stripped value of an input column: the expression itself, or a column staged before.
+Strip = Callable[[str], Column]
 
 
 @dataclass(frozen=True)
@@ -54,14 +33,12 @@ class Rule:
     fails: Column
 
 
-
-
-def country_format(columns: set[str]) -> Rule:
+def country_format(columns: set[str], strip: Strip = T.py_strip) -> Rule:
     """The country code must be two letters after strip (any case, any script)."""
     c = "address_country_code"
     if c not in columns:
         return Rule(K.STEP_COUNTRY_FORMAT, F.lit(True), F.lit(False))
-    ok = ~T.is_blank(c, _strip(c)) & T.full_match(_strip(c), r"^\p{L}{2}$")
+    ok = ~T.is_blank(c, strip(c)) & T.full_match(strip(c), r"^\p{L}{2}$")
     return Rule(K.STEP_COUNTRY_FORMAT, F.lit(True), ~ok)
 
 
@@ -83,20 +60,20 @@ def _line_indices(columns: set[str]) -> list[int]:
     return sorted(idx)
 
 
-def price_ids(columns: set[str]) -> Rule:
+def price_ids(columns: set[str], strip: Strip = T.py_strip) -> Rule:
     """``price_id_1`` non-blank and starting ``pri_``; other filled price ids start ``pri_``."""
     if "price_id_1" not in columns:
         return Rule(K.STEP_PRICE_ID, F.lit(True), F.lit(False))
-    first = T.norm_cell("price_id_1", _strip("price_id_1"))
+    first = T.norm_cell("price_id_1", strip("price_id_1"))
     fails = (first == "") | ~first.startswith("pri_")
     for c in sorted(columns):
         if c != "price_id_1" and K.numbered_index("price_id", c) is not None:
-            v = T.norm_cell(c, _strip(c))
+            v = T.norm_cell(c, strip(c))
             fails = fails | ~((v == "") | v.startswith("pri_"))
     return Rule(K.STEP_PRICE_ID, F.lit(True), fails)
 
 
-def quantities(columns: set[str]) -> Rule:
+def quantities(columns: set[str], strip: Strip = T.py_strip) -> Rule:
     """C4: a filled ``price_id_N`` needs ``quantity_N`` of plain digits (after normalisation)."""
     if "price_id_1" not in columns:
         return Rule(K.STEP_PRICE_ID, F.lit(True), F.lit(False))
@@ -105,15 +82,15 @@ def quantities(columns: set[str]) -> Rule:
         p, q = f"price_id_{i}", f"quantity_{i}"
         if p not in columns:
             continue
-        filled = T.norm_cell(p, _strip(p)) != ""
+        filled = T.norm_cell(p, strip(p)) != ""
         if q not in columns:
             fails = fails | filled
         else:
-            fails = fails | (filled & ~T.full_match(T.norm_cell(q, _strip(q)), "^[0-9]+$"))
+            fails = fails | (filled & ~T.full_match(T.norm_cell(q, strip(q)), "^[0-9]+$"))
     return Rule(K.STEP_PRICE_ID, F.lit(True), fails)
 
 
-def date_format(columns: set[str]) -> Rule:
+def date_format(columns: set[str], strip: Strip = T.py_strip) -> Rule:
     """Period start/end have the exact ``YYYY-MM-DDTHH:MM:SSZ`` shape (not trimmed);
     ``started_at``/``paused_at`` have it when filled (trimmed)."""
     req = ("current_period_started_at", "current_period_ends_at")
@@ -121,10 +98,10 @@ def date_format(columns: set[str]) -> Rule:
         return Rule(K.STEP_DATE_FORMAT, F.lit(False), F.lit(False))
     fails = F.lit(False)
     for c in req:
-        fails = fails | ~(~T.is_blank(c, _strip(c)) & T.full_match(T.col_of(c), K.ISO_Z_PATTERN))
+        fails = fails | ~(~T.is_blank(c, strip(c)) & T.full_match(T.col_of(c), K.ISO_Z_PATTERN))
     for c in ("started_at", "paused_at"):
         if c in columns:
-            fails = fails | (~T.is_blank(c, _strip(c)) & ~T.full_match(_strip(c), K.ISO_Z_PATTERN))
+            fails = fails | (~T.is_blank(c, strip(c)) & ~T.full_match(strip(c), K.ISO_Z_PATTERN))
     return Rule(K.STEP_DATE_FORMAT, F.lit(True), fails)
 
 
@@ -151,20 +128,20 @@ def date_period(columns: set[str], as_of: Column) -> Rule:
 def card_token_length(columns: set[str]) -> Rule:
     """C14 (opt-in): a filled ``card_token`` must be exactly 13 digits."""
     if "card_token" not in columns:
-        return Rule("card_token_validation", F.lit(False), F.lit(False))
+        return Rule(K.STEP_CARD_TOKEN, F.lit(False), F.lit(False))
     c = T.col_of("card_token")
     population = c.isNotNull() & (c != "")
-    return Rule("card_token_validation", population, population & ~T.full_match(c, "^[0-9]{13}$"))
+    return Rule(K.STEP_CARD_TOKEN, population, population & ~T.full_match(c, "^[0-9]{13}$"))
 
 
-def subscriber_rules(columns: set[str], as_of: Column, card_token_check: bool = False) -> list[Rule]:
+def subscriber_rules(columns: set[str], as_of: Column, card_token_check: bool = False, strip: Strip = T.py_strip) -> list[Rule]:
     """Subscriber-grain rules in the order the run reports them."""
     rules = [
-        country_format(columns),
-        price_ids(columns),
-        quantities(columns),
+        country_format(columns, strip),
+        price_ids(columns, strip),
+        quantities(columns, strip),
         unsupported_country(columns),
-        date_format(columns),
+        date_format(columns, strip),
         date_period(columns, as_of),
     ]
     if card_token_check:

@@ -82,26 +82,20 @@ def _any(c: Column) -> Column:
     return F.max(F.coalesce(c, F.lit(False)))
 
 
+def _numbered_pairs(columns, kinds: tuple[str, str]) -> list[str]:
+    """Columns of two numbered kinds by ascending number, the first kind before the second."""
+    found = [(n, k, c) for c in columns for k, kind in enumerate(kinds) if (n := K.numbered_index(kind, c)) is not None]
+    return [c for *_, c in sorted(found)]
+
+
 def ordered_custom_columns(columns) -> list[str]:
     """Custom-data key/value columns by ascending N, key before value."""
-    cols = set(columns)
-    idx = sorted({n for c in cols for n in (K.numbered_index("custom_key", c), K.numbered_index("custom_value", c))
-                  if n is not None})
-    out = []
-    for i in idx:
-        out += [c for c in (f"subscription_custom_data_key_{i}", f"subscription_custom_data_value_{i}") if c in cols]
-    return out
+    return _numbered_pairs(columns, ("custom_key", "custom_value"))
 
 
 def ordered_price_columns(columns) -> list[str]:
     """Price id/quantity columns by ascending N, price before quantity."""
-    cols = set(columns)
-    idx = sorted({n for c in cols for n in (K.numbered_index("price_id", c), K.numbered_index("quantity", c))
-                  if n is not None})
-    out = []
-    for i in idx:
-        out += [c for c in (f"price_id_{i}", f"quantity_{i}") if c in cols]
-    return out
+    return _numbered_pairs(columns, ("price_id", "quantity"))
 
 
 def column_check(columns) -> dict:
@@ -126,17 +120,13 @@ class Migration:
     subscribers: DataFrame
     mapping: DataFrame
     options: MigrationOptions = field(default_factory=MigrationOptions)
+    _fetched = False
 
     # ---- subscriber grain ---------------------------------------------------------------------
     @cached_property
     def file_columns(self) -> list[str]:
         return [c for c in self.subscribers.columns if c != ROW_ID]
 
-    @cached_property
-    def rules(self) -> list[R.Rule]:
-        return R.subscriber_rules(set(self.file_columns), R.as_of_column(self.options.as_of),
-                                  self.options.card_token_check)
-
     @cached_property
     def prepared_subscribers(self) -> DataFrame:
         """Subscriber rows after the optional date fix and quantity normalisation, with rule flags."""
@@ -157,9 +147,8 @@ class Migration:
                                                 "current_period_started_at", "current_period_ends_at")
                        or K.numbered_index("price_id", c) is not None or c in quantities]
         df = T.with_stripped(df, rule_inputs)
-        with R.staged_strips(rule_inputs):
-            rules = R.subscriber_rules(set(cols), R.as_of_column(self.options.as_of),
-                                       self.options.card_token_check)
+        rules = R.subscriber_rules(set(cols), R.as_of_column(self.options.as_of), self.options.card_token_check,
+                                   lambda c: T.stripped(c) if c in rule_inputs else T.py_strip(c))
         names = ["_f_country", "_f_price", "_f_quantity", "_f_unsupported", "_f_date_format", "_f_date_period"]
         flags = {n: r.fails for n, r in zip(names, rules)}
         flags["_p_date_period"] = rules[5].population
@@ -204,6 +193,7 @@ class Migration:
             self.keyed_subscribers, self.prepared_mapping, "_key", ROW_ID, "_m_uid",
             left_aggs=[("_ln_email", F.count(F.when(email.isNotNull(), F.lit(1))))],
             right_aggs=[
+                ("_rn_first", F.min("_m_uid")),
                 ("_rn_null_token", _any(F.col("_m_token").isNull())),
                 ("_rn_fail_us", _any(F.col("_m_fail_us"))),
                 ("_rn_fail_ca", _any(F.col("_m_fail_ca"))),
@@ -241,6 +231,8 @@ class Migration:
             "_c_available": F.col("_f_missing") & ~T.is_empty_after_strip(F.col("_m_zip")),
             "_f_no_token": F.col("_m_token").isNull(),
             "_row_failed": F.col("_s_failed") | no_token_any | postal_any,
+            # one joined row of each subscriber row: outcomes of whole subscriber rows are counted on it
+            "_first": F.col("_m_uid").isNull() | (F.col("_m_uid") == F.col("_rn_first")),
         })
         return j
 
@@ -382,13 +374,9 @@ class Migration:
         """Duplicate-email rows that are still in the run after removal."""
         if self.options.anonymising:
             return self.layout(self.completed.where(F.lit(False)))
-        kept = self.layout(self.completed.where(~F.col("_row_failed")), stage="emails")
-        dup = rows_in_groups(self.layout(stage="emails"), ["customer_email"], self.options.hot_rows)
-        return kept.join(dup.select(ROW_ID).distinct(), ROW_ID, "left_semi")
-
-    def rule_report(self, flag: str) -> DataFrame:
-        """Failing rows of one subscriber rule: every subscriber column plus the row id."""
-        return self.prepared_subscribers.where(F.col(flag)).select(ROW_ID, *[T.col_of(c) for c in self.file_columns])
+        rows = self.completed.select(*self._layout_exprs("emails"), "is_duplicate_token", ROW_ID, "_row_failed")
+        dup = rows_in_groups(rows, ["customer_email"], self.options.hot_rows)
+        return dup.where(~F.col("_row_failed")).drop("_row_failed")
 
     # ---- counts -------------------------------------------------------------------------------
     @cached_property
@@ -407,6 +395,8 @@ class Migration:
             _count_if(F.col("_f_date_period")).alias("date_period"),
             _count_if(F.col("_s_failed")).alias("subscriber_rows_failed"),
         ]
+        if self.options.card_token_check:
+            aggs += [_count_if(F.col("_f_card_token")).alias("card_token"), _count_if(F.col("_p_card_token")).alias("card_token_population")]
         key_col = "card_token" if "card_token" in self.file_columns else None
         if self.options.provider == "stripe" and key_col:
             aggs.append(_count_if(T.col_of(key_col).isNull()).alias("dropped_null_key"))
@@ -448,8 +438,7 @@ class Migration:
             ce(F.col("_dup_card_id") & F.lit(self.options.provider == "stripe")).alias("duplicate_card_ids"),
             ce(F.col("_row_failed")).alias("removed"),
             ce(~F.col("_row_failed")).alias("success"),
-            F.count_distinct(F.when(has_email & F.col("_row_failed"), F.col(ROW_ID))).cast("long")
-            .alias("failed_subscriber_rows"),
+            ce(F.col("_row_failed") & F.col("_first")).alias("failed_subscriber_rows"),
         )
 
     @cached_property
@@ -467,26 +456,31 @@ class Migration:
         stack = ", ".join(f"'{n}', cast(`{n}` AS bigint)" for n in names)
         return df.selectExpr(f"stack({len(names)}, {stack}) AS (metric, value)")
 
+    def metric_rows(self, names: list[str] | None = None) -> DataFrame:
+        """The named counts (default: all) as (metric, value) rows; one aggregate per grain that has
+        one of them, and none for the others."""
+        parts = [(df, [c for c in df.columns if names is None or c in names])
+                 for df in (self.subscriber_counts, self.joined_counts, *self.duplicate_counts)]
+        return reduce(DataFrame.unionByName, [self._long(df, cols) for df, cols in parts if cols])
+
     @cached_property
     def metrics(self) -> DataFrame:
         """Every count of the run as (metric, value) rows; small, one aggregate per grain."""
-        s, j = self.subscriber_counts, self.joined_counts
-        d_sid, d_email = self.duplicate_counts
-        parts = [self._long(s, s.columns), self._long(j, j.columns),
-                 self._long(d_sid, d_sid.columns), self._long(d_email, d_email.columns)]
-        return reduce(DataFrame.unionByName, parts)
+        return self.metric_rows()
 
     def fetch_metrics(self) -> "Migration":
         """Count once per run: fetch the long metric table (one row per metric name, a number fixed
         by the code, never by the data) and serve every later summary from that copy instead of
         re-running the aggregates for each one."""
-        long = self.metrics
+        long = self.metric_rows()
+        self._fetched = True
         self.__dict__["metrics"] = long.sparkSession.createDataFrame(long.collect(), long.schema)
         return self
 
     def wide_metrics(self, names: list[str]) -> DataFrame:
         """The chosen metrics pivoted into one row (no cross join: a grouped pivot of the long form)."""
-        return (self.metrics.where(F.col("metric").isin(*names))
+        long = self.metrics if self._fetched else self.metric_rows(names)
+        return (long.where(F.col("metric").isin(*names))
                 .groupBy().pivot("metric", names).agg(F.first("value")))
 
     @cached_property

@@ -2,88 +2,107 @@
 summary.
 
 Only the metric table (one row per metric name, a number fixed by the code), the one-row summary
-and the validation table (at most 15 rows) reach the driver; every report is written by the
+and the validation table (at most 16 rows) reach the driver; every report is written by the
 executors as a directory of CSV part files. The report writes are independent jobs over the same
-materialised copies, so they are submitted together (``vaultshift.plans.actions``).
+materialised copies, so they are submitted together (``vaultshift.plans.actions``). The copies live
+below the output folder while the run lasts and are deleted at its end.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultshift import constants as K
+from vaultshift.functions import text as T
 from vaultshift.plans.actions import DEFAULT_PARALLEL_ACTIONS, run_all
 from vaultshift.plans.pipeline import ROW_ID, Migration
-from vaultshift.plans.summary import validation_summary
+from vaultshift.plans.summary import verdict, validation_summary
 from vaultshift.sources import csv_io as IO
 
-SUBSCRIBER_RULE_REPORTS = (
-    ("_f_country", K.REPORT_COUNTRY_FORMAT),
-    ("_f_price", K.REPORT_PRICE_ID),
-    ("_f_quantity", K.REPORT_PRICE_ID),
-    ("_f_unsupported", K.REPORT_UNSUPPORTED),
-    ("_f_date_format", K.REPORT_DATE_FORMAT),
-    ("_f_date_period", K.REPORT_DATE_PERIOD),
-)
+#: Subscriber reports: report name -> (flags of the failing rows, validation step).
+SUBSCRIBER_REPORTS = {
+    K.REPORT_COUNTRY_FORMAT: (("_f_country",), K.STEP_COUNTRY_FORMAT),
+    K.REPORT_PRICE_ID: (("_f_price", "_f_quantity"), K.STEP_PRICE_ID),
+    K.REPORT_UNSUPPORTED: (("_f_unsupported",), K.STEP_UNSUPPORTED),
+    K.REPORT_DATE_FORMAT: (("_f_date_format",), K.STEP_DATE_FORMAT),
+    K.REPORT_DATE_PERIOD: (("_f_date_period",), K.STEP_DATE_PERIOD),
+    K.REPORT_CARD_TOKEN_LENGTH: (("_f_card_token",), K.STEP_CARD_TOKEN),
+}
+#: Joined-row reports: report name -> (flag, validation step).
+JOINED_REPORTS = {
+    K.REPORT_MISSING_POSTAL: ("_f_missing", K.STEP_MISSING_POSTAL),
+    K.REPORT_CA_POSTAL: ("_f_ca", K.STEP_CA_POSTAL),
+    K.REPORT_US_POSTAL: ("_f_us", K.STEP_US_POSTAL),
+}
+#: Output files: report name -> (frame of the run, count in the run summary).
+OUTPUTS = {
+    K.REPORT_FINAL_IMPORT: ("final_import", "success_count"),
+    K.REPORT_NO_TOKEN: ("no_token", "no_tokens_count"),
+    K.REPORT_DUP_TOKENS: ("duplicate_tokens", "duplicate_tokens_count"),
+    K.REPORT_DUP_SUBSCRIPTIONS: ("duplicate_subscription_ids", "duplicate_external_subscription_ids_count"),
+    K.REPORT_DUP_EMAILS: ("duplicate_emails", "duplicate_emails_count"),
+    K.REPORT_DUP_CARD_IDS: ("duplicate_card_ids", "duplicate_card_ids_count"),
+}
+
+
+def subscriber_report(m: Migration, report: str) -> DataFrame:
+    """Failing subscriber rows of a rule: every column of the export and the row id."""
+    failing = F.lit(False)
+    for flag in SUBSCRIBER_REPORTS[report][0]:
+        failing = failing | F.col(flag)
+    return m.prepared_subscribers.where(failing).select(*[T.col_of(c) for c in m.file_columns], ROW_ID)
+
+
+def joined_report(m: Migration, report: str) -> DataFrame:
+    """Failing joined rows of a postal rule. Rows without a postal code are reported as they were
+    joined, before the layout: the export's columns (original email, filled postal code), the vault's
+    postal code and the row id. The other two are in the import layout."""
+    if report == K.REPORT_MISSING_POSTAL:
+        zip_name = K.STRIPE_MAPPING_ZIP if m.options.provider == "stripe" else K.BLUESNAP_MAPPING_ZIP
+        cols = [F.col("_postal_filled").alias(c) if c == "address_postal_code" else T.col_of(c) for c in m.file_columns]
+        return m.joined_all.where(F.col("_f_missing")).select(*cols, F.col("_m_zip").alias(zip_name), ROW_ID)
+    return m.layout(m.completed.where(F.col(JOINED_REPORTS[report][0])))
+
+
+def delete(spark, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def run_to_directory(m: Migration, out_dir: str, subscriber_path: str = "",
                      parallel_sinks: int = DEFAULT_PARALLEL_ACTIONS) -> dict:
     o = m.options
-    m.materialize()
-    m.fetch_metrics()
-    summary = m.run_summary.collect()[0].asDict()
-    steps = [r.asDict() for r in validation_summary(m).collect()]
-    base = IO.output_base_name(o.seller_name, o.provider, o.is_sandbox, subscriber_path)
-    planned = []  # (report frame or a function building it, directory name), in report order
-
-    def sink(df, name, count):
-        if count:  # empty reports are not written
-            planned.append((df, name))
-
-    sink(m.final_import, f"{base}_{K.REPORT_FINAL_IMPORT}", summary["success_count"])
-    sink(m.no_token, f"{base}_{K.REPORT_NO_TOKEN}", summary["no_tokens_count"])
-    sink(m.duplicate_tokens, f"{base}_{K.REPORT_DUP_TOKENS}", summary["duplicate_tokens_count"])
-    # built in their writer threads: each probes its hot groups with a job of its own first
-    sink(lambda: m.duplicate_subscription_ids, f"{base}_{K.REPORT_DUP_SUBSCRIPTIONS}",
-         summary["duplicate_external_subscription_ids_count"])
-    sink(lambda: m.duplicate_emails, f"{base}_{K.REPORT_DUP_EMAILS}", summary["duplicate_emails_count"])
-    if o.provider == "stripe":
-        sink(m.duplicate_card_ids, f"{base}_{K.REPORT_DUP_CARD_IDS}", summary["duplicate_card_ids_count"])
-
-    by_step = {s["step"]: s for s in steps}
-    price_fail = by_step.get(K.STEP_PRICE_ID, {}).get("incorrect_count") or 0
-    for flag, report in SUBSCRIBER_RULE_REPORTS:
-        step_count = {
-            K.REPORT_COUNTRY_FORMAT: by_step.get(K.STEP_COUNTRY_FORMAT, {}).get("incorrect_count"),
-            K.REPORT_PRICE_ID: price_fail,
-            K.REPORT_UNSUPPORTED: by_step.get(K.STEP_UNSUPPORTED, {}).get("incorrect_count"),
-            K.REPORT_DATE_FORMAT: by_step.get(K.STEP_DATE_FORMAT, {}).get("incorrect_count"),
-            K.REPORT_DATE_PERIOD: by_step.get(K.STEP_DATE_PERIOD, {}).get("incorrect_count"),
-        }[report]
-        if flag == "_f_quantity":
-            continue  # price ids and quantities are one step and one report
-        df = m.prepared_subscribers
-        cond = (F.col("_f_price") | F.col("_f_quantity")) if report == K.REPORT_PRICE_ID else F.col(flag)
-        rows = df.where(cond).select(*[F.col(f"`{c}`") for c in m.file_columns], ROW_ID)
-        sink(rows, IO.rule_report_name(o.seller_name, report, o.is_sandbox), step_count)
-
-    joined_reports = (
-        ("_f_missing", K.REPORT_MISSING_POSTAL, K.STEP_MISSING_POSTAL, m.joined_all),
-        ("_f_ca", K.REPORT_CA_POSTAL, K.STEP_CA_POSTAL, m.completed),
-        ("_f_us", K.REPORT_US_POSTAL, K.STEP_US_POSTAL, m.completed),
-    )
-    for flag, report, step, src in joined_reports:
-        name = report
-        if report == K.REPORT_US_POSTAL and (by_step.get(step, {}).get("autocorrected_count") or 0) > 0:
-            name = report + "_after_autocorrect"
-        sink(m.layout(src.where(F.col(flag))), IO.rule_report_name(o.seller_name, name, o.is_sandbox),
-             by_step.get(step, {}).get("incorrect_count"))
-
-    def writer(df, name):
-        return lambda: IO.write_csv(df if isinstance(df, DataFrame) else df(), f"{out_dir.rstrip('/')}/{name}")
-
-    run_all([writer(df, name) for df, name in planned], parallel_sinks)
-    written = [name for _, name in planned]
-    return {"summary": summary, "validation_results": steps, "reports": written}
+    spark = m.subscribers.sparkSession
+    work = f"{out_dir.rstrip('/')}/_work-{uuid.uuid4().hex}"
+    try:
+        m.materialize(work)
+        m.fetch_metrics()
+        summary = m.run_summary.collect()[0].asDict()
+        steps = [r.asDict() for r in validation_summary(m).collect()]
+        by_step = {s["step"]: s for s in steps}
+        base = IO.output_base_name(o.seller_name, o.provider, o.is_sandbox, subscriber_path)
+        planned: list[tuple[str, Callable[[], DataFrame]]] = []  # in report order; empty ones are not written
+        for report, (frame, count) in OUTPUTS.items():
+            if summary[count]:
+                planned.append((f"{base}_{report}", lambda frame=frame: getattr(m, frame)))
+        for report, (_, step) in SUBSCRIBER_REPORTS.items():
+            if by_step.get(step, {}).get("incorrect_count"):
+                planned.append((IO.rule_report_name(o.seller_name, report, o.is_sandbox), lambda report=report: subscriber_report(m, report)))
+        for report, (_, step) in JOINED_REPORTS.items():
+            found = by_step.get(step, {})
+            if found.get("incorrect_count"):
+                corrected = report == K.REPORT_US_POSTAL and (found.get("autocorrected_count") or 0) > 0
+                name = report + ("_after_autocorrect" if corrected else "")
+                planned.append((IO.rule_report_name(o.seller_name, name, o.is_sandbox), lambda report=report: joined_report(m, report)))
+
+        def writer(name: str, build: Callable[[], DataFrame]):
+            return lambda: IO.write_csv(build(), f"{out_dir.rstrip('/')}/{name}")
+
+        run_all([writer(name, build) for name, build in planned], parallel_sinks)
+    finally:
+        delete(spark, work)
+    return {"summary": summary, "validation_results": steps, "reports": [name for name, _ in planned]} | verdict(steps)

@@ -8,6 +8,7 @@ by DuckDB over counts taken the brute-force way.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from vaultshift import constants as K
 from vaultshift.plans import oracle as O
@@ -36,11 +37,12 @@ def _row(order, step, valid, type_=_NULL_S, incorrect=_NULL_L, total=_NULL_L, av
     return vals
 
 
-def step_rows(provider: str, missing_columns: int, total_columns: int) -> list[list[str]]:
+def step_rows(provider: str, missing_columns: int, total_columns: int, card_token_check: bool = False) -> list[list[str]]:
     """Rows of the summary as SQL expressions over metric names."""
     def warn(order, step, metric, shown_extra="true"):
         return _row(order, step, "true", "'warning'", count=metric, shown=f"({metric} > 0 AND {shown_extra})")
 
+    opted = [_row(16, K.STEP_CARD_TOKEN, "card_token = 0", incorrect="card_token", total="card_token_population")] if card_token_check else []
     return [
         _row(1, K.STEP_COLUMNS, str(missing_columns == 0).lower(), incorrect=missing_columns, total=total_columns),
         _row(2, K.STEP_COUNTRY_FORMAT, "country_format = 0", incorrect="country_format", total="n_subscribers"),
@@ -64,25 +66,10 @@ def step_rows(provider: str, missing_columns: int, total_columns: int) -> list[l
         _row(14, K.STEP_NO_TOKEN, "no_token = 0", "CASE WHEN no_token > 0 THEN 'error' ELSE 'success' END",
              count="no_token"),
         _row(15, K.STEP_SUCCESS, "true", "'success'", count="success", shown="success > 0"),
+        *opted,
     ]
 
 
-MESSAGES = {
-    K.STEP_DUP_TOKENS: ("duplicate_tokens", "concat('Found ', CAST(duplicate_tokens AS STRING), "
-                        "' records with duplicate card tokens.')"),
-    K.STEP_DUP_SUBSCRIPTIONS: ("duplicate_subscription_ids", "concat('Found ', CAST(duplicate_subscription_ids AS STRING), "
-                               "' records with duplicate external subscription IDs.')"),
-    K.STEP_DUP_EMAILS: ("duplicate_emails", "concat('Found ', CAST(duplicate_emails AS STRING), "
-                        "' records with duplicate customer emails.')"),
-    K.STEP_DUP_CARD_IDS: ("duplicate_card_ids", "concat('Found ', CAST(duplicate_card_ids AS STRING), "
-                          "' records with duplicate card IDs.')"),
-    K.STEP_NO_TOKEN: ("no_token", "CASE WHEN no_token > 0 THEN concat('Found ', CAST(no_token AS STRING), "
-                      "' records with no matching token in mapping file.') "
-                      "ELSE 'All records have matching tokens in mapping file.' END"),
-    K.STEP_SUCCESS: ("success", "concat('Successfully mapped ', CAST(success AS STRING), ' records ready for import.')"),
-}
-
-
 def _stack(rows: list[list[str]]) -> str:
     flat = ", ".join(v for r in rows for v in r)
     return f"stack({len(rows)}, {flat}) AS ({', '.join(COLUMNS)})"
@@ -91,14 +78,59 @@ def _stack(rows: list[list[str]]) -> str:
 def validation_summary(m) -> DataFrame:
     from vaultshift.plans.pipeline import column_check
     info = column_check(m.file_columns)
-    rows = step_rows(m.options.provider, len(info["missing_columns"]), info["total_columns"])
-    out = m.wide_metrics(METRICS).selectExpr(_stack(rows))
+    check = m.options.card_token_check
+    rows = step_rows(m.options.provider, len(info["missing_columns"]), info["total_columns"], check)
+    out = m.wide_metrics(METRICS + (["card_token", "card_token_population"] if check else [])).selectExpr(_stack(rows))
     return out.where("shown").drop("shown")
 
 
+#: Steps whose failing rows go to a report file of this name.
+STEP_REPORTS = {
+    K.STEP_COUNTRY_FORMAT: K.REPORT_COUNTRY_FORMAT, K.STEP_PRICE_ID: K.REPORT_PRICE_ID, K.STEP_UNSUPPORTED: K.REPORT_UNSUPPORTED,
+    K.STEP_DATE_FORMAT: K.REPORT_DATE_FORMAT, K.STEP_DATE_PERIOD: K.REPORT_DATE_PERIOD, K.STEP_CARD_TOKEN: K.REPORT_CARD_TOKEN_LENGTH,
+    K.STEP_MISSING_POSTAL: K.REPORT_MISSING_POSTAL, K.STEP_CA_POSTAL: K.REPORT_CA_POSTAL, K.STEP_US_POSTAL: K.REPORT_US_POSTAL,
+}
+FAILURES_FOUND = "Validation failures detected"
+
+
+def validation_envelope(m) -> DataFrame:
+    """The validation table with what the result envelope adds to each step: the missing and optional
+    columns and the number of columns (column step), the report file of a failed step, its message."""
+    from vaultshift.plans.pipeline import column_check
+    info = column_check(m.file_columns)
+    steps = validation_summary(m)
+    is_columns = F.col("step") == K.STEP_COLUMNS
+    report = F.lit(None).cast("string")
+    for step, name in STEP_REPORTS.items():
+        full = f"{name}_after_autocorrect" if step == K.STEP_US_POSTAL else name
+        report = F.when((F.col("step") == step) & ~F.col("valid"), F.when(F.coalesce("autocorrected_count", F.lit(0)) > 0, full).otherwise(name)).otherwise(report)
+    words = validation_messages(m)
+    joined = steps.join(F.broadcast(words), "step", "left")  # at most 16 rows either side
+    return joined.select(
+        "step_order", "step", "valid", "type", "incorrect_count", "total_records", "count",
+        F.when(is_columns, F.lit(",".join(info["missing_columns"]))).alias("missing_columns"),
+        F.when(is_columns, F.lit(",".join(info["optional_columns"]))).alias("optional_columns"),
+        F.when(is_columns, F.lit(info["total_columns"])).cast("long").alias("total_columns"),
+        report.alias("report"), "message",
+        F.when(is_columns & ~F.col("valid"), F.lit("Missing required columns")).alias("error"))
+
+
+def verdict(steps: list[dict]) -> dict:
+    """E5: the number of failed steps, and the error of a run that has any."""
+    failed = sum(not s["valid"] for s in steps)
+    return {"failed_count": failed, "error": FAILURES_FOUND if failed else None}
+
+
+def validation_verdict(m) -> DataFrame:
+    """E5 as one row: failed_count, error."""
+    failed = F.count(F.when(~F.col("valid"), F.lit(1)))
+    return validation_summary(m).agg(failed.cast("long").alias("failed_count"),
+                                     F.when(failed > 0, F.lit(FAILURES_FOUND)).alias("error"))
+
+
 def validation_messages(m) -> DataFrame:
     w = m.wide_metrics(METRICS)
-    shown = [(step, metric, expr) for step, (metric, expr) in MESSAGES.items()
+    shown = [(step, metric, expr) for step, (metric, expr) in K.MESSAGES.items()
              if step != K.STEP_DUP_CARD_IDS or m.options.provider == "stripe"]
     flat = ", ".join(f"{O.q(step)}, {expr}, CAST({metric} AS BIGINT)" for step, metric, expr in shown)
     out = w.selectExpr(f"stack({len(shown)}, {flat}) AS (step, message, count)")
@@ -149,7 +181,7 @@ def oracle_validation_summary(provider: str) -> str:
 
 def oracle_validation_messages(provider: str) -> str:
     parts = [f"SELECT {O.q(step)} AS step, {expr} AS message, CAST({metric} AS BIGINT) AS count FROM w"
-             for step, (metric, expr) in MESSAGES.items()
+             for step, (metric, expr) in K.MESSAGES.items()
              if step != K.STEP_DUP_CARD_IDS or provider == "stripe"]
     return (O.chain(provider=provider) + _metrics_cte(provider) +
             f"SELECT step, message FROM ({' UNION ALL '.join(parts)}) WHERE count > 0 OR step = {O.q(K.STEP_NO_TOKEN)}")

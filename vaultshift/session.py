@@ -41,8 +41,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for materialised intermediates: ``spark.checkpoint.dir`` when the cluster
-    names one; otherwise (local tests only) a fresh temporary folder is set and returned."""
+    """The shared folder for materialised intermediates: ``spark.checkpoint.dir``. Only a local master
+    (tests) may do without it and gets a temporary folder; on a cluster each executor would write to
+    its own disk, so there its absence is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -50,6 +51,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
+    elif not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     else:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="vaultshift-ckpt-"))
     return sc.getCheckpointDir()
