@@ -15,6 +15,7 @@ from vaultshift import constants as K
 from vaultshift.functions import text as T
 from vaultshift.operators import postal as P
 from vaultshift.plans import oracle as O
+from vaultshift.plans import report_queries
 from vaultshift.plans.lines import with_line_numbers
 from vaultshift.plans.pipeline import ROW_ID, Migration, MigrationOptions, column_check
 from vaultshift.plans.summary import validation_messages, validation_summary
@@ -327,7 +328,7 @@ def q_report_manifest(spark, d):
 
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in dict(globals()).items() if name.startswith("q_") and callable(fn)
-}
+} | report_queries.QUERIES
 
 
 # ---- oracle SQL -----------------------------------------------------------------------------
@@ -466,4 +467,5 @@ def oracle() -> dict[str, str]:
                                                    "WHERE dup_sid", skewed=True),
         "no_token_skewed": _with("SELECT row_id AS _temp_row_id, k AS card_id, m_token AS card_token, customer_email, "
                                  "is_duplicate_token FROM cr WHERE f_no_token", skewed=True),
+        **report_queries.oracle(),
     }
