@@ -2,14 +2,16 @@
 
 Any key may hold a large share of the rows (blank card tokens, one shared test email, a blank
 subscription id). Both helpers first count rows per key with a partial (map-side) aggregation,
-which is skew-proof, then treat *hot* keys — at least ``hot_rows`` rows on one side — apart:
+which is skew-proof, then treat *hot* keys apart: keys with at least ``hot_rows`` rows on one side, or with
+at least ``PAIRS_PER_ROW * hot_rows`` joined pairs.
 
-* the set of hot keys has at most ``(N + M) / hot_rows`` entries, so it is fetched once and
-  broadcast (a proven bound, independent of the data values); when it is empty the hot branch is
-  left out of the plan;
-* cold keys take the ordinary hash-partitioned path, where no group exceeds ``hot_rows`` rows;
-* hot keys are split on a salted grid so no task receives more than about ``hot_rows`` rows of
-  either side, and a hot key with no partner never shuffles at all.
+* The hot set is counted before anything is done with it. Up to ``MAX_HOT_KEYS`` keys it is fetched
+  once and broadcast; when it is empty the hot branch is left out of the plan; beyond the limit it
+  stays a distributed table and is joined by shuffle.
+* Cold keys take the ordinary hash-partitioned path, where a group has fewer than ``hot_rows`` rows a
+  side and fewer than ``PAIRS_PER_ROW * hot_rows`` pairs.
+* Hot keys are split on a salted grid whose cells hold at most about ``PAIRS_PER_ROW * hot_rows`` pairs and
+  ``hot_rows`` rows of a side. Left rows of a hot key without partner are passed on where they are.
 
 Salts are hashes of stable row ids, never random numbers, so a recomputed task after an executor
 loss puts every row in the same cell again.
@@ -24,6 +26,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_HOT_ROWS = 1_000_000
+PAIRS_PER_ROW = 100
+MAX_HOT_KEYS = 100_000
+
+
+def _fetched(hot: DataFrame) -> DataFrame | None:
+    """The hot set as a broadcast table if it is small enough, else as it is; None if it is empty."""
+    found = hot.limit(MAX_HOT_KEYS + 1).collect()
+    if not found:
+        return None
+    if len(found) > MAX_HOT_KEYS:
+        return hot
+    return F.broadcast(hot.sparkSession.createDataFrame(found, hot.schema))
 
 
 def _ceil_div(n: Column, d: int) -> Column:
@@ -52,12 +66,9 @@ def skew_left_join(
     lstats = left.groupBy(key).agg(*[e.alias(n) for n, e in lagg])
     rstats = right.groupBy(key).agg(*[e.alias(n) for n, e in ragg])
     stats = lstats.join(rstats, key, "full")
-    hot = stats.where((F.col("_ln") >= hot_rows) | (F.col("_rn") >= hot_rows))
-    # The hot set has at most (N + M) / hot_rows rows: fetch it once (a broadcast would ship it
-    # through the driver anyway) so the plan below reuses it without recomputing the statistics,
-    # and leaves out the hot branch when no key is hot.
-    hot_rows_found = hot.collect()
-    spark = left.sparkSession
+    ln, rn = F.coalesce(F.col("_ln"), F.lit(0)), F.coalesce(F.col("_rn"), F.lit(0))
+    most_pairs = PAIRS_PER_ROW * hot_rows
+    hot_b = _fetched(stats.where((ln >= hot_rows) | (rn >= hot_rows) | (ln * rn >= most_pairs)))
 
     right_cols = [c for c in right.columns if c != key]
     lnames = [n for n, _ in lagg]
@@ -66,44 +77,43 @@ def skew_left_join(
     # Cold keys: one hash exchange per side; the window statistics reuse that partitioning.
     wl = Window.partitionBy(key)
     l_cold, r_cold = left, right
-    if hot_rows_found:
-        hot = spark.createDataFrame(hot_rows_found, hot.schema)
-        hot_b = F.broadcast(hot)
-        hot_keys_b = F.broadcast(hot.select(key))
-        l_cold = left.join(hot_keys_b, key, "left_anti")
-        r_cold = right.join(hot_keys_b, key, "left_anti")
+    if hot_b is not None:
+        hot_keys = hot_b.select(key)
+        l_cold = left.join(hot_keys, key, "left_anti")
+        r_cold = right.join(hot_keys, key, "left_anti")
     l_cold = l_cold.select("*", *[e.over(wl).alias(n) for n, e in lagg])
     r_cold = r_cold.select("*", *[e.over(wl).alias(n) for n, e in ragg])
     cold = l_cold.join(r_cold, key, "left")
     order = [*left.columns, *lnames, *right_cols, *rnames]
-    if not hot_rows_found:
+    if hot_b is None:
         return cold.select(*order).withColumn("_rn", F.coalesce(F.col("_rn"), F.lit(0)))
 
-    # Hot keys: statistics come from the broadcast table; one scan of each side.
-    # Grid: a left row sits in row ``salt_l`` of the grid and is copied to every column; a right
-    # row sits in column ``salt_r`` and is copied to every row. Each pair meets in exactly one cell.
-    # A hot key without right rows has a one-column grid and keeps its single unmatched copy;
-    # for keys with right rows, copies that land in an empty cell are dropped.
-    sl, sr = _ceil_div(F.col("_ln"), hot_rows), _ceil_div(F.col("_rn"), hot_rows)
+    # Hot keys: statistics come with the hot table. Grid: a left row sits in row ``salt_l`` of the grid
+    # and is copied to every column; a right row sits in column ``salt_r`` and is copied to every
+    # row. Each pair meets in exactly one cell. A side small enough beside the other is not split.
+    side = max(1, int(most_pairs ** 0.5))
+    n_l, n_r = F.col("_ln"), F.col("_rn")
+    sl = F.when(n_r < side, _ceil_div(n_l * n_r, most_pairs)).otherwise(_ceil_div(n_l, side))
+    sr = F.when(n_l < side, _ceil_div(n_l * n_r, most_pairs)).otherwise(_ceil_div(n_r, side))
+    sl, sr = F.greatest(sl, _ceil_div(n_l, hot_rows)), F.greatest(sr, _ceil_div(n_r, hot_rows))
+    paired = hot_b.where((n_l > 0) & (n_r > 0))
     l_grid = (
-        left.join(hot_b.where(F.col("_ln").isNotNull()), key, "inner")
+        left.join(paired, key)
         .withColumn("_gi", F.pmod(F.xxhash64(F.col(left_uid)), sl.cast("long")).cast("int"))
         .withColumn("_gj", F.explode(F.sequence(F.lit(0), sr - 1)))
     )
     r_grid = (
-        right.join(hot_b, key, "inner")
-        .where(F.col("_ln").isNotNull() & (F.col("_rn") > 0))
+        right.join(paired.select(key, "_ln", "_rn"), key)
         .withColumn("_gj", F.pmod(F.xxhash64(F.col(right_uid)), sr.cast("long")).cast("int"))
         .withColumn("_gi", F.explode(F.sequence(F.lit(0), sl - 1)))
-        .select(key, "_gi", "_gj", F.lit(True).alias("_g_hit"), *right_cols)
-    )
-    gridded = (
-        l_grid.join(r_grid, [key, "_gi", "_gj"], "left")
-        .where(F.col("_g_hit").isNotNull() | (F.coalesce(F.col("_rn"), F.lit(0)) == 0))
-        .drop("_gi", "_gj", "_g_hit")
+        .select(key, "_gi", "_gj", *right_cols)
     )
+    gridded = l_grid.join(r_grid, [key, "_gi", "_gj"]).drop("_gi", "_gj")
+    alone = left.join(hot_b.where((n_l > 0) & n_r.isNull()), key)
+    types = dict(right.dtypes)
+    alone = alone.withColumns({c: F.lit(None).cast(types[c]) for c in right_cols})
 
-    parts = [p.select(*order) for p in (cold, gridded)]
+    parts = [p.select(*order) for p in (cold, gridded, alone)]
     out = reduce(DataFrame.unionByName, parts)
     return out.withColumn("_rn", F.coalesce(F.col("_rn"), F.lit(0)))
 
@@ -116,16 +126,15 @@ def rows_in_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = DEFAULT_H
     """Rows of ``df`` whose ``keys`` value occurs more than once (nulls form a group of their own).
 
     The group sizes come from a partial aggregation; groups of ``hot_rows`` or more are picked
-    with a broadcast semi-join (at most ``N / hot_rows`` of them), so those rows never shuffle.
+    with a semi-join of the hot table, broadcast while it has at most ``MAX_HOT_KEYS`` keys.
     """
     stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_g_n")).where(F.col("_g_n") > 1)
     renamed = [F.col(k).alias(f"_g_{k}") for k in keys]
     cold = stats.where(F.col("_g_n") < hot_rows).select(*renamed)
     hot = stats.where(F.col("_g_n") >= hot_rows).select(*renamed)
-    found = hot.collect()  # at most N / hot_rows groups
-    if not found:
+    hot = _fetched(hot)
+    if hot is None:
         return df.join(cold, _null_safe_on(df, cold, keys), "left_semi")
-    hot = F.broadcast(df.sparkSession.createDataFrame(found, hot.schema))
     in_hot = df.join(hot, _null_safe_on(df, hot, keys), "left_semi")
     rest = df.join(hot, _null_safe_on(df, hot, keys), "left_anti")
     in_cold = rest.join(cold, _null_safe_on(rest, cold, keys), "left_semi")
