@@ -62,6 +62,21 @@ def test_quoted_line_breaks_are_never_split_silently(spark, tmp_path):
             IO.scan_subscribers(spark, str(p), multi_line=False).count()
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_audit_lines_follow_files_and_rows(spark, tmp_path, multi_line):
+    head = "address_country_code,address_postal_code\n"
+    for name, n, start in (("a", 3000, 0), ("b", 5, 3000), ("c", 900, 3005)):
+        (tmp_path / f"{name}.csv").write_text(head + "".join(f"US,{start + i + 1}\n" for i in range(n)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = IO.scan_audit(spark, str(tmp_path), multi_line).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(r.line for r in rows) == list(range(1, 3906))
+    assert all(r.line == int(r.address_postal_code) for r in rows)
+
+
 def test_audit_scan_needs_its_columns(spark, tmp_path):
     (tmp_path / "x.csv").write_text("a\n1\n")
     with pytest.raises(ValueError, match="Required columns"):

@@ -16,7 +16,6 @@ from vaultshift.functions import text as T
 from vaultshift.operators import postal as P
 from vaultshift.plans import oracle as O
 from vaultshift.plans import report_queries
-from vaultshift.plans.lines import with_line_numbers
 from vaultshift.plans.pipeline import ROW_ID, Migration, MigrationOptions, column_check
 from vaultshift.plans.summary import validation_messages, validation_summary
 from vaultshift.session import checkpoint_dir
@@ -176,9 +175,22 @@ def q_no_token(spark, d):
     return m.no_token.select(ROW_ID, "card_id", "card_token", "customer_email", "is_duplicate_token")
 
 
+def _audit_scan(spark: SparkSession, d: str) -> DataFrame:
+    """The fixture export as files in row order, scanned for the audit."""
+    path = _roundtrip_dir(spark, "audit")
+    sub = FX.subscribers(spark, d).repartitionByRange("row_id").sortWithinPartitions("row_id")
+    IO.write_csv(sub.select("address_country_code", "address_postal_code"), path, clean=False, null_value=K.SUBSCRIBER_NULL_TOKEN)
+    return IO.scan_audit(spark, path)
+
+
+def q_postal_audit_issues(spark, d):
+    """C17: whether the file has issues, and how many."""
+    n = q_postal_audit(spark, d).agg(F.count(F.lit(1)).cast("long").alias("issues"))
+    return n.select((F.col("issues") > 0).alias("has_issues"), "issues")
+
+
 def q_postal_audit(spark, d):
-    sub = FX.subscribers(spark, d)
-    lined = with_line_numbers(sub, "row_id", "line")
+    lined = _audit_scan(spark, d)
     kind, value, corrected = P.audit_issue(F.col("address_country_code"), F.col("address_postal_code"))
     return lined.select("line", value.alias("postalCode"), corrected.alias("correctedCode"),
                         kind.alias("type")).where(F.col("type").isNotNull())
@@ -409,6 +421,9 @@ def oracle() -> dict[str, str]:
         "rule_us_postal": _narrow_rule("f_us", True),
         "no_token": _with("SELECT row_id AS _temp_row_id, k AS card_id, m_token AS card_token, customer_email, "
                           "is_duplicate_token FROM cr WHERE f_no_token"),
+        "postal_audit_issues": _with(
+            "SELECT count(*) > 0 AS has_issues, count(*)::BIGINT AS issues FROM sub WHERE address_country_code = 'US' "
+            f"AND address_postal_code <> '' AND NOT {O.fm(O.strip('address_postal_code'), '^[0-9]{5}$')}"),
         "postal_audit": _with(
             "SELECT line, postalCode, correctedCode, type FROM (SELECT row_number() OVER (ORDER BY row_id)::BIGINT AS line, "
             f"{O.strip('address_postal_code')} AS postalCode, "

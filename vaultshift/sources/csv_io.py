@@ -70,7 +70,11 @@ def _checked(rows: DataFrame, n: int, what: str) -> DataFrame:
     return rows.where(F.when(bad.isNotNull(), F.raise_error(bad).cast("boolean")).otherwise(fine)).drop(CORRUPT)
 
 
-def _scan(spark: SparkSession, path: str, multi_line: bool, encoding: str = "UTF-8") -> DataFrame:
+FILE, START = "_split_file", "_split_start"
+
+
+def _scan(spark: SparkSession, path: str, multi_line: bool, encoding: str = "UTF-8", splits: bool = False) -> DataFrame:
+    """All cells as text; with ``splits`` also the file and start of the split each row comes from."""
     files = _files(spark, path)
     if not files:
         raise FileNotFoundError(path)
@@ -89,13 +93,18 @@ def _scan(spark: SparkSession, path: str, multi_line: bool, encoding: str = "UTF
         if multi_line:
             reader = spark.read.schema(schema).options(**_CELLS, header=True, enforceSchema=False, multiLine=True, encoding=encoding, columnPruning=False)
             rows = reader.csv(members)
+            rows = rows.select("*", *_split_columns()) if splits else rows
         else:
-            rows = _split_lines(spark, members, header, schema, encoding)
-        parts.append(_checked(rows, len(header), "CSV").select(*[T.col_of(c) for c in first]))
+            rows = _split_lines(spark, members, header, schema, encoding, splits)
+        parts.append(_checked(rows, len(header), "CSV").select(*[T.col_of(c) for c in first], *([FILE, START] if splits else [])))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _split_lines(spark: SparkSession, files: list[str], header: tuple[str, ...], schema: StructType, encoding: str) -> DataFrame:
+def _split_columns() -> list[Column]:
+    return [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(START)]
+
+
+def _split_lines(spark: SparkSession, files: list[str], header: tuple[str, ...], schema: StructType, encoding: str, splits: bool) -> DataFrame:
     """Lines of splittable text, each parsed by itself; a line with an odd number of quotes stops the run."""
     lines = spark.read.text(files)
     value = F.col("value") if encoding.upper() == "UTF-8" else F.decode(F.col("value").cast("binary"), encoding)
@@ -106,8 +115,8 @@ def _split_lines(spark: SparkSession, files: list[str], header: tuple[str, ...],
     # a header line is where a file (not a split) begins
     start = F.col("_metadata.file_block_start")
     names = F.lit(_csv_line(header))
-    rows = lines.select(whole.alias("line"), start.alias("_at")).where((F.col("line") != "") & ~((F.col("_at") == 0) & (_bare(F.col("line")) == _bare(names))))
-    return rows.select(cells.alias("c")).select("c.*")
+    rows = lines.select(whole.alias("line"), start.alias("_at"), *_split_columns()).where((F.col("line") != "") & ~((F.col("_at") == 0) & (_bare(F.col("line")) == _bare(names))))
+    return rows.select(cells.alias("c"), FILE, START).select("c.*", *([FILE, START] if splits else []))
 
 
 def _bare(c: Column) -> Column:
@@ -138,13 +147,15 @@ def scan_mapping(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
 
 
 def scan_audit(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """A3: a file for the postal audit; it must carry the country and postal columns."""
-    raw = _scan(spark, path, multi_line)
+    """A3: a file for the postal audit; it must carry the country and postal columns. Every row has its
+    1-based ``line`` (header not counted)."""
+    from vaultshift.plans.lines import with_line_numbers
+    raw = _scan(spark, path, multi_line, splits=True)
     need = {"address_country_code", "address_postal_code"}
     if not need <= set(raw.columns):
         raise ValueError("Required columns not found")
-    return raw.select(F.monotonically_increasing_id().alias(ROW_ID),
-                      *[T.subscriber_null_normalise(c).alias(c) for c in raw.columns])
+    cells = [T.subscriber_null_normalise(c).alias(c) for c in raw.columns if c not in (FILE, START)]
+    return with_line_numbers(raw.select(*cells, FILE, START), FILE, START)
 
 
 def write_csv(df: DataFrame, path: str, clean: bool = True, null_value: str = "",
