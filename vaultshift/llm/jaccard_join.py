@@ -45,6 +45,7 @@ STEP = 20
 TOLERANCE = 1e-4
 BLOCK = 512
 SMALL = 48
+PAIRS = 1 << 17  # pairs compared at once
 CHUNK = 1 << 20
 
 _rng = np.random.default_rng(20240229)
@@ -97,7 +98,7 @@ def survivors(sig: np.ndarray, a: np.ndarray, b: np.ndarray, band: int | np.ndar
         sl = slice(step * STEP, (step + 1) * STEP)
         eq = sig[a[live], sl] == sig[b[live], sl]
         bands = step * (STEP // ROWS) + np.arange(STEP // ROWS)
-        common = eq.reshape(len(live), -1, ROWS).all(axis=2)
+        common = eq.reshape(len(live), STEP // ROWS, ROWS).all(axis=2)
         earlier = (common & (bands[None, :] < (band if np.isscalar(band) else band[live][:, None]))).any(axis=1)
         matched = matched + eq.sum(axis=1)
         keep = (matched >= need) & ~earlier
@@ -198,26 +199,28 @@ def candidate_stars(buckets: DataFrame, sigs: DataFrame, scratch: Scratch) -> Da
                     a, b = (at[:, None] + i).ravel(), (at[:, None] + j).ravel()
                     ok = ~cross[a] | (side[a] != side[b])
                     a, b = a[ok], b[ok]
-                    for c in range(0, len(a), 1 << 18):
-                        live = c + survivors(sig, a[c : c + (1 << 18)], b[c : c + (1 << 18)], band[a[c : c + (1 << 18)]])
+                    for c in range(0, len(a), PAIRS):
+                        part = slice(c, c + PAIRS)
+                        live = c + survivors(sig, a[part], b[part], band[a[part]])
                         left.append(a[live])
                         right.append(b[live])
                     continue
                 for start in at:
-                    ii, jj = [], []
-                    for x in range(start, start + n):
-                        others = np.arange(x + 1, start + n)
-                        others = others[side[others] != side[x]] if cross[x] else others
-                        mine = np.full(len(others), x)
-                        live = survivors(sig, mine, others, int(band[x]))
-                        ii.append(mine[live] - start)
-                        jj.append(others[live] - start)
-                    root = roots(n, np.concatenate(ii), np.concatenate(jj))
-                    far = np.flatnonzero(root != np.arange(n))
-                    left.append(start + far)
-                    right.append(start + root[far])
-            if left and sum(map(len, left)):
-                yield pa.RecordBatch.from_arrays([pa.array(rep[np.concatenate(left)]), pa.array(rep[np.concatenate(right)])], names=["a", "b"])
+                    rows = max(1, PAIRS // n)
+                    for x in range(0, n, rows):
+                        i, j = np.nonzero(np.arange(x, min(x + rows, n))[:, None] < np.arange(n)[None, :])
+                        a, b = start + x + i, start + j
+                        if cross[start]:
+                            meet = side[a] != side[b]
+                            a, b = a[meet], b[meet]
+                        live = survivors(sig, a, b, int(band[start]))
+                        left.append(a[live])
+                        right.append(b[live])
+            if left:
+                root = roots(len(grp), np.concatenate(left), np.concatenate(right))
+                far = np.flatnonzero(root != np.arange(len(grp)))
+                if len(far):
+                    yield pa.RecordBatch.from_arrays([pa.array(rep[far]), pa.array(rep[root[far]])], names=["a", "b"])
 
     return grouped_rows.repartition("grp").sortWithinPartitions("grp").mapInArrow(run, "a long, b long")
 
