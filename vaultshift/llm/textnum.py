@@ -80,7 +80,7 @@ class Text:
             arr = pc.fill_null(arr, "")
         if lower:
             arr = pc.utf8_lower(arr)
-        self.n = len(arr)
+        self.n, self._sum = len(arr), None
         if self.n == 0:
             self.offsets, self.data = np.zeros(1, np.int64), np.zeros(0, np.uint8)
             return
@@ -89,7 +89,6 @@ class Text:
         data = np.frombuffer(raw, dtype=np.uint8) if raw is not None and raw.size else np.zeros(0, np.uint8)
         self.data = data[off[0] : off[-1]]
         self.offsets = off - off[0]
-        self._sum = None
 
     def spans(self, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Maximal runs of bytes marked ``inside``, never across rows: starts, ends, row of each."""
