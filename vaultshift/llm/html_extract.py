@@ -52,7 +52,7 @@ MAIN = {"article", "main"}
 
 #: Used when no page of the sample is labelled.
 DEFAULT_WEIGHTS = {"#word": 1.0, "#link": -0.5, "article": -200.0, "main": -200.0, "p": -0.1, "br": -0.1, "b": -0.1, "i": -0.1, "em": -0.1,
-                   "strong": -0.1, "h1": -0.5, "h2": -0.5, "h3": -0.5, "li": -1.0, "a": -0.5, "#pruned": -1.0, "#other": -1.0}
+                   "strong": -0.1, "h1": -0.25, "h2": -0.25, "h3": -0.25, "header": -0.25, "li": -1.0, "a": -0.5, "#pruned": -0.1, "#other": -0.5}
 SAMPLE_PAGES = 2000
 
 
@@ -148,9 +148,7 @@ def learn(counts: Counter) -> dict[str, float]:
             w[f] = min(max(odds, -1.0), 0.5)
         elif f in MAIN:
             w[f] = min(max(50 * odds, -400.0), -50.0)  # the region lies within one article
-        elif f == "#pruned":
-            w[f] = min(max(odds, -2.0), -0.05)
-        else:
+        elif f != "#pruned":  # what was taken out says nothing about its place
             w[f] = min(max(odds, -6.0), -0.05)
     return w
 
