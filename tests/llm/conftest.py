@@ -21,7 +21,3 @@ def make_docs(spark):
             df = df.withColumns({c: F.lit("x") for c in ("score", "class_id", "rep", "size", "key", "n", "bucket", "found", "h", "words", "target")})
         return df
     return make
-
-
-def sentence(rng, n, vocab=3000):
-    return " ".join(f"w{rng.integers(vocab)}" for _ in range(n))

@@ -38,11 +38,22 @@ def test_label_edges_and_em(spark, make_docs, scratch):
 
 
 def test_em_learns_accuracies(spark):
-    names = ["a", "b"]
-    rows = [(1, 1, 900), (-1, -1, 80), (1, -1, 10), (-1, 1, 10)]
-    p = rules.fit(spark.createDataFrame(rows, "a int, b int, n long"), names)
-    good = p["a"]["g"][0] > p["a"]["b"][0] and p["a"]["b"][1] > p["a"]["g"][1]
-    assert good and 0.8 < p["prior"] < 0.97
+    """Votes drawn from known accuracies: EM finds them, and the posterior is Bayes' rule."""
+    import itertools
+    names = ["length", "word_size", "sentences"]
+    good, bad, share = {1: 0.9, -1: 0.02, 0: 0.08}, {1: 0.2, -1: 0.7, 0: 0.1}, 0.8
+    rows = []
+    for v in itertools.product((1, -1, 0), repeat=3):
+        g = share * good[v[0]] * good[v[1]] * good[v[2]]
+        b = (1 - share) * bad[v[0]] * bad[v[1]] * bad[v[2]]
+        rows.append((*v, round(1_000_000 * (g + b))))
+    patterns = spark.createDataFrame(rows, "length int, word_size int, sentences int, n long")
+    p = rules.fit(patterns, names, rounds=60)
+    assert p["prior"] == pytest.approx(share, abs=0.06)
+    for n in names:
+        assert p[n]["g"] == pytest.approx((0.9, 0.02), abs=0.05) and p[n]["b"] == pytest.approx((0.2, 0.7), abs=0.12)
+    got = patterns.select("*", rules.posterior(p, names).alias("p")).where("length = -1 and word_size = -1 and sentences = 1").first().p
+    assert got < 0.05
 
 
 def fill(sizes, weights):
