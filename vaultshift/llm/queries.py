@@ -52,7 +52,7 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.label(table(spark, sf_dir, "documents"), Scratch(spark, "op9"))
+    return rules.label(table(spark, sf_dir, "documents"), Scratch(spark, "op9")).drop("quality")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,5 +73,6 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op9_quality_rules": rules.oracle_sql(),
     "op10_mixing": mixing.SQL,
 }

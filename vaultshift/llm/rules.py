@@ -139,3 +139,56 @@ def label(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return m.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & (p >= KEEP_AT)).alias("kept"), p.alias("quality"))
+
+
+def oracle_sql() -> str:
+    """The same rows in DuckDB: repeated windows by grouping, EM as a recursive query of EM_ROUNDS steps."""
+    names = ["length", "word_size", "sentences", "symbols", "dup_lines", "repeats", "capitals"]
+    first = start(names)
+    rates = [(n, c, k, t) for n in names for c in "gb" for k, t in enumerate(("up", "down"))]
+    logit = "ln(prior / (1 - prior))" + "".join(
+        f" + CASE {n} WHEN 1 THEN ln({n}_g_up / {n}_b_up) WHEN -1 THEN ln({n}_g_down / {n}_b_down) "
+        f"ELSE ln((1 - {n}_g_up - {n}_g_down) / (1 - {n}_b_up - {n}_b_down)) END" for n in names)
+    seed = ", ".join([f"CAST({first['prior']} AS DOUBLE) AS prior"] + [f"CAST({first[n][c][k]} AS DOUBLE) AS {n}_{c}_{t}" for n, c, k, t in rates])
+    total = "sum(n)"
+    extra = f"({PRIOR_SHARE} * {total} + 1)"
+    weight = {"g": "p * n", "b": "(1 - p) * n"}
+    step = ", ".join([f"(sum(p * n) + {extra} * {first['prior']}) / ({total} + {extra}) AS prior"] + [
+        f"(sum(CASE WHEN {n} = {1 - 2 * k} THEN {weight[c]} ELSE 0 END) + {extra} * {first[n][c][k]}) / (sum({weight[c]}) + {extra}) AS {n}_{c}_{t}"
+        for n, c, k, t in rates])
+    cols = ", ".join(["prior"] + [f"{n}_{c}_{t}" for n, c, _, t in rates])
+    return rf"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (SELECT r, i, list_slice(words, i, i + {WINDOW - 1}) AS win FROM docs, unnest(range(1, len(words) - {WINDOW - 2})) AS u(i)),
+twice AS (SELECT r, win FROM windows GROUP BY r, win HAVING count(*) > 1),
+covered AS (SELECT w.r, count(DISTINCT w.i + k.k) AS n FROM windows w JOIN twice t ON w.r = t.r AND w.win = t.win, range({WINDOW}) AS k(k) GROUP BY w.r),
+lined AS (SELECT *, [x for x in string_split(text, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines FROM docs),
+m AS (
+  SELECT l.r, doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, len(lines) AS n_lines,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
+         len(regexp_extract_all(text, '[A-Z]')) AS n_upper, len(regexp_extract_all(text, '[.!?](?:[\x20\x09-\x0D]|$)')) AS n_ends,
+         greatest(len(words), 1) AS nw
+  FROM lined l LEFT JOIN covered c ON l.r = c.r),
+v AS (
+  SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
+    CASE WHEN n_words < 15 THEN -1 WHEN n_words >= 40 THEN 1 ELSE 0 END AS length,
+    CASE WHEN word_chars / nw < 3 OR word_chars / nw > 12 THEN -1 WHEN word_chars / nw >= 3.5 AND word_chars / nw <= 9 THEN 1 ELSE 0 END AS word_size,
+    CASE WHEN n_ends < 0.01 * nw THEN -1 WHEN n_ends >= 0.03 * nw AND n_ends <= 0.2 * nw THEN 1 ELSE 0 END AS sentences,
+    CASE WHEN n_symbols > 0.2 * nw THEN -1 ELSE 0 END AS symbols,
+    CASE WHEN n_dup_lines > 0.3 * greatest(n_lines, 1) THEN -1 ELSE 0 END AS dup_lines,
+    CASE WHEN n_repeat_words > 0.15 * nw THEN -1 ELSE 0 END AS repeats,
+    CASE WHEN n_upper > 0.4 * greatest(word_chars, 1) THEN -1 ELSE 0 END AS capitals
+  FROM m),
+patterns AS (SELECT {', '.join(names)}, count(*) AS n FROM v GROUP BY ALL),
+em AS (
+  SELECT 0 AS i, {seed}
+  UNION ALL
+  SELECT i + 1, {cols} FROM (
+    SELECT i, {step} FROM (SELECT *, 1 / (1 + exp(-({logit}))) AS p FROM em, patterns WHERE i < {EM_ROUNDS}) GROUP BY i))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 1 / (1 + exp(-({logit}))) >= {KEEP_AT} AS kept
+FROM v, (SELECT * FROM em ORDER BY i DESC LIMIT 1)
+"""
