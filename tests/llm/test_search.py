@@ -205,7 +205,9 @@ def test_retrieval_is_all_above_threshold():
         q, a = decontaminate.QUESTION, decontaminate.ANSWER
         decontaminate.QUESTION = decontaminate.ANSWER = 0.0
         try:
-            got = {i: sc for _, i, sc, *_ in decontaminate.search(t, x)}
+            got = {}
+            for _, i, sc, *_ in decontaminate.search(t, x):  # of the first passage, which holds all words, and the second
+                got[i] = max(sc, got.get(i, 0))
         finally:
             decontaminate.QUESTION, decontaminate.ANSWER = q, a
         assert set(got) == want and all(abs(got[i] - score[i]) < 1e-9 for i in got)
@@ -222,7 +224,7 @@ def test_decontamination_edges(spark, make_docs):
     assert decontaminate.leaks(make_docs([]), bench, Scratch(spark, "t")).count() == 0
 
 
-@pytest.mark.parametrize("chars", [1, 200])
+@pytest.mark.parametrize("chars", [200, 10_000])
 def test_index_shards_find_the_same(spark, make_docs, monkeypatch, chars):
     items = [(i, sentence(np.random.default_rng(i), 20)) for i in range(12)]
     docs = make_docs([(i, "pre " + t + " post") for i, t in items])
