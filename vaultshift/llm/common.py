@@ -73,12 +73,13 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc") -> DataFram
         if state == last or state[0] == 0:
             break
         last, k = state, k + 1
+        low_hint = F.broadcast if state[0] <= BROADCAST_ROWS // 2 else (lambda df: df)  # least neighbours: at most two a link
         sym = cur.unionByName(cur.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = sym.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = sym.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = sym.join(low_hint(low), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = scratch.write(large, f"{name}{k}l")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(low, "a")
+        joined = large.join(low_hint(low), "a")
         nxt = scratch.write(
             joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionByName(low.select("a", F.col("m").alias("b"))).distinct(), f"{name}{k}")

@@ -12,7 +12,7 @@ it (15 words each). In any two equal paragraphs at least one band collides, what
    document is cut into tiles of ``TILE`` words, and only the tiles that some occurrence needs travel.
 3. Along the alignment the word sequences are compared: a paragraph is a repeat if the Jaccard similarity
    of the aligned five-word shingles is at least 0.8 (at least 41 of 46 agree). The union of verified
-   paragraphs is removed from the later document; the canonical occurrence stays.
+   paragraphs, trimmed to agreeing shingles, is removed from the later document; the canonical occurrence stays.
 4. Removals are clustered: tiles of verified spans are linked with the tiles they repeat, and the
    connected components are the classes.
 
@@ -136,12 +136,24 @@ def repeats(own: np.ndarray, shift: int, pieces: dict[int, np.ndarray]) -> np.nd
     run = np.concatenate([[0], np.cumsum(equal[:n])])
     if n < PARAGRAPH:
         return np.zeros(n, bool)
-    agree = np.concatenate([[0], np.cumsum(run[WIDTH:] - run[:-WIDTH] == WIDTH)])
+    same = run[WIDTH:] - run[:-WIDTH] == WIDTH
+    agree = np.concatenate([[0], np.cumsum(same)])
     good = np.flatnonzero(agree[SHINGLES:] - agree[:-SHINGLES] >= NEED)
     cover = np.zeros(n + 1, np.int32)
     np.add.at(cover, good, 1)
     np.add.at(cover, good + PARAGRAPH, -1)
-    return np.cumsum(cover[:n]) > 0
+    mask = np.cumsum(cover[:n]) > 0
+    # a paragraph at 0.8 may reach into the later document's own words: trim to agreeing shingles
+    held = np.zeros(n + 1, np.int32)
+    at = np.flatnonzero(same)
+    np.add.at(held, at, 1)
+    np.add.at(held, at + WIDTH, -1)
+    held = np.cumsum(held[:n]) > 0
+    for a, b in spans_of(mask):
+        inner = np.flatnonzero(held[a:b])
+        mask[a : a + inner[0]] = False
+        mask[a + inner[-1] + 1 : b] = False
+    return mask
 
 
 def spans_of(mask: np.ndarray) -> list[tuple[int, int]]:
@@ -184,21 +196,26 @@ def cuts(docs: DataFrame, evidence: DataFrame) -> DataFrame:
                 for f in found[i].as_py():
                     by.setdefault((f["cdoc"], f["shift"]), {})[f["tile"]] = np.frombuffer(f["words"], np.uint32)
                 mask = np.zeros(len(own), bool)
-                doc, links = batch.column(0)[i].as_py(), []
+                doc, seen = batch.column(0)[i].as_py(), []
                 for (cdoc, shift), pieces in sorted(by.items()):
                     hit = repeats(own, shift, pieces)
-                    mask |= hit
-                    for a, b in spans_of(hit):
-                        node = (cdoc << NODE_BITS) | ((a + shift) // TILE)
-                        links.append((True, (doc << NODE_BITS) | (a // TILE), node))
-                        links += [(False, node, (cdoc << NODE_BITS) | k) for k in range((a + shift) // TILE + 1, (b - 1 + shift) // TILE + 1)]
+                    if (hit & ~mask).any():  # else earlier documents account for all of it
+                        mask |= hit
+                        seen += [(a, b, cdoc, shift) for a, b in spans_of(hit)]
                 spans = spans_of(mask)
                 if not spans:
                     continue
+                # a removed span and the passages it repeats are one cluster; the span's head stands for it
+                node = (doc << NODE_BITS) | (np.array([a for a, _ in spans]) // TILE)
+                links = {(True, int(k), int(k)) for k in node}
+                for a, b, cdoc, shift in seen:
+                    own_node = int(node[np.searchsorted([x for x, _ in spans], a, side="right") - 1])
+                    tiles_hit = [(cdoc << NODE_BITS) | k for k in range((a + shift) // TILE, (b - 1 + shift) // TILE + 1)]
+                    links.update((False, own_node, k) for k in tiles_hit)
                 raw = Text(part)
                 rs, re_, _ = raw.words()
                 new = cut(raw.data.tobytes(), rs, re_, spans)
-                rows.append((doc, new, len(new), len(spans), int(mask.sum()), [{"head": x, "a": y, "b": z} for x, y, z in links]))
+                rows.append((doc, new, len(new), len(spans), int(mask.sum()), [{"head": x, "a": y, "b": z} for x, y, z in sorted(links)]))
             if rows:
                 cols = list(zip(*rows, strict=True))
                 kinds = [pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int64(),
@@ -215,6 +232,7 @@ def find_cuts(docs: DataFrame, scratch: Scratch) -> DataFrame:
     keys = scratch.write(anchor_rows(base), "anchors")
     least = keys.groupBy("key").agg(F.min(F.struct("doc_id", "place")).alias("c"), F.max("doc_id").alias("hi"))
     least = least.where("hi <> c.doc_id").select("key", F.col("c.doc_id").alias("cdoc"), F.col("c.place").alias("cplace"))
+    least = hint_small(scratch.write(least, "least"))
     hits = keys.join(least, "key").where("doc_id <> cdoc").select("doc_id", "place", "cdoc", (F.col("cplace") - F.col("place")).alias("shift"))
     near = F.sequence(F.floor((F.greatest(F.col("place") + F.col("shift") - PARAGRAPH, F.lit(0))) / TILE).cast("int"),
                       F.floor((F.col("place") + F.col("shift") + 2 * PARAGRAPH) / TILE).cast("int"))
@@ -227,7 +245,7 @@ def find_cuts(docs: DataFrame, scratch: Scratch) -> DataFrame:
     evidence = need.join(pieces.withColumnRenamed("doc_id", "cdoc"), ["cdoc", "tile"])
     evidence = evidence.groupBy("doc_id").agg(F.collect_list(F.struct("cdoc", "shift", "tile", "words")).alias("found"))
     out = scratch.write(cuts(some, evidence), "cuts")
-    scratch.drop("anchors", "need", "wanted", "tiles", "concerned")
+    scratch.drop("anchors", "least", "need", "wanted", "tiles", "concerned")
     return out
 
 
@@ -236,8 +254,8 @@ def report(docs: DataFrame, scratch: Scratch) -> DataFrame:
     repeated passages, and the clusters that its removed passages belong to."""
     done = find_cuts(docs, scratch)
     links = done.select("doc_id", F.explode("links").alias("l")).select("doc_id", "l.head", "l.a", "l.b")
-    label = components(links.select("a", "b"), scratch, "passages")
-    classes = links.where("head").join(label, F.col("b") == F.col("node")).groupBy("doc_id").agg(F.sort_array(F.collect_set("comp")).alias("class_ids"))
+    label = components(links.where("not head").select("a", "b"), scratch, "passages")
+    classes = links.where("head").join(label, F.col("a") == F.col("node")).groupBy("doc_id").agg(F.sort_array(F.collect_set("comp")).alias("class_ids"))
     small = scratch.write(done.select("doc_id", "text", "n_chars", "n_spans", "removed_words").dropDuplicates(["doc_id"])
                           .join(classes, "doc_id", "left"), "report")
     ids = hint_small(small.select("doc_id"))
