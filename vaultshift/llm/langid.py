@@ -35,7 +35,7 @@ LEX_BITS, AFFIX_BITS, TRI_BITS = 18, 16, 16
 PIECE = 64
 PER_LANGUAGE = 400
 MAX_LANGUAGES = 500
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 UND = "und"
 
 _LETTER = np.zeros(256, dtype=np.int32)
