@@ -6,7 +6,8 @@ shingles; overlapping paragraphs mostly share it, so a document yields about one
 bands are made of it, the MinHash's shingle with the ten words before it and with the ten words after
 it (15 words each). In any two equal paragraphs at least one band collides, whatever surrounds them.
 
-1. Band keys of all documents are grouped (partial aggregation, so a passage that a third of all
+0. A document whose whole text an earlier one holds is cut as a whole; groups of copies take no further part.
+1. Band keys of all other documents are grouped (partial aggregation, so a passage that a third of all
    documents share is no hot group); the least (document, place) of a key is its canonical occurrence.
 2. Every other occurrence is aligned with the canonical one. For exact verification the canonical
    document is cut into tiles of ``TILE`` words, and only the tiles that some occurrence needs travel.
@@ -14,7 +15,7 @@ it (15 words each). In any two equal paragraphs at least one band collides, what
    of the aligned five-word shingles is at least 0.8 (at least 41 of 46 agree). The union of verified
    paragraphs, trimmed to agreeing shingles, is removed from the later document; the canonical occurrence stays.
 4. Removals are clustered: tiles of verified spans are linked with the tiles they repeat, and the
-   connected components are the classes.
+   connected components are the classes, named by the least document of each.
 
 Defined cases: null doc_id: passed through, no search; null text stays null and shares nothing; texts
 under 50 words share nothing; of equal passages the one in the document with the least id stays, and
@@ -43,6 +44,7 @@ SHINGLES = PARAGRAPH - WIDTH + 1
 NEED = -(-SHINGLES * 2 * 4 // 9)  # least a with a / (2 * SHINGLES - a) >= 0.8
 NODE_BITS = 20  # tiles of one document
 RUN = 16
+HINT_ROWS = 200_000
 CHUNK = 1 << 20
 
 
@@ -226,13 +228,38 @@ def cuts(docs: DataFrame, evidence: DataFrame) -> DataFrame:
     return docs.join(evidence, "doc_id").select("doc_id", "text", "found").mapInArrow(run, CUTS)
 
 
+def copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """doc_id, rep, n_words, lead of the documents whose text is that of an earlier document ``rep``; ``lead`` is
+    the white space before the first word. Only texts of a paragraph or more count."""
+    space = r"[\x20\x09-\x0D]"
+    words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
+    known = docs.where("doc_id is not null and text is not null").select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), words.alias("n_words"),
+                                                                        F.regexp_extract("text", f"^{space}*", 0).alias("lead"))
+    known = scratch.write(known.where(F.col("n_words") >= PARAGRAPH), "digests")
+    first = known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first = hint_small(scratch.write(first, "first"), HINT_ROWS)
+    return known.join(first, "digest").where("doc_id <> rep").select("doc_id", "rep", "n_words", "lead").dropDuplicates(["doc_id"])
+
+
+def whole_cuts(same: DataFrame) -> DataFrame:
+    """The cut of a copy: all its words repeat its representative's."""
+    node, other = (F.shiftleft(F.col(c), NODE_BITS) for c in ("doc_id", "rep"))
+    tile = F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_words") - 1) / TILE).cast("long"))
+    link = lambda head, b: F.struct(F.lit(head).alias("head"), node.alias("a"), b.alias("b"))
+    links = F.concat(F.array(link(True, node)), F.transform(tile, lambda k: link(False, other + k)))
+    return same.select("doc_id", F.col("lead").alias("text"), F.length("lead").cast("long").alias("n_chars"), F.lit(1).alias("n_spans"),
+                       F.col("n_words").cast("long").alias("removed_words"), links.alias("links"))
+
+
 def find_cuts(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id, text (cut), n_chars, n_spans, removed_words, links of every document with a repeat."""
     base = docs.select("doc_id", "text")
+    same = scratch.write(copies(base, scratch), "copies")
     keys = scratch.write(anchor_rows(base), "anchors")
+    keys = keys.join(hint_small(same.select("doc_id")), "doc_id", "left_anti")
     least = keys.groupBy("key").agg(F.min(F.struct("doc_id", "place")).alias("c"), F.max("doc_id").alias("hi"))
     least = least.where("hi <> c.doc_id").select("key", F.col("c.doc_id").alias("cdoc"), F.col("c.place").alias("cplace"))
-    least = hint_small(scratch.write(least, "least"))
+    least = hint_small(scratch.write(least, "least"), HINT_ROWS)
     hits = keys.join(least, "key").where("doc_id <> cdoc").select("doc_id", "place", "cdoc", (F.col("cplace") - F.col("place")).alias("shift"))
     near = F.sequence(F.floor((F.greatest(F.col("place") + F.col("shift") - PARAGRAPH, F.lit(0))) / TILE).cast("int"),
                       F.floor((F.col("place") + F.col("shift") + 2 * PARAGRAPH) / TILE).cast("int"))
@@ -244,18 +271,20 @@ def find_cuts(docs: DataFrame, scratch: Scratch) -> DataFrame:
     pieces = scratch.write(tiles(some, wanted).dropDuplicates(["doc_id", "tile"]), "tiles")
     evidence = need.join(pieces.withColumnRenamed("doc_id", "cdoc"), ["cdoc", "tile"])
     evidence = evidence.groupBy("doc_id").agg(F.collect_list(F.struct("cdoc", "shift", "tile", "words")).alias("found"))
-    out = scratch.write(cuts(some, evidence), "cuts")
-    scratch.drop("anchors", "least", "need", "wanted", "tiles", "concerned")
+    out = scratch.write(cuts(some, evidence).unionByName(whole_cuts(same)), "cuts")
+    scratch.drop("digests", "first", "copies", "anchors", "least", "need", "wanted", "tiles", "concerned")
     return out
 
 
 def report(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id, text, n_chars, n_removed (spans), removed_words, class_ids of every row: the text without
-    repeated passages, and the clusters that its removed passages belong to."""
+    repeated passages, and the clusters that its removed passages belong to, each named by the document
+    that keeps the cluster's first passage."""
     done = find_cuts(docs, scratch)
     links = done.select("doc_id", F.explode("links").alias("l")).select("doc_id", "l.head", "l.a", "l.b")
     label = components(links.where("not head").select("a", "b"), scratch, "passages")
-    classes = links.where("head").join(label, F.col("a") == F.col("node")).groupBy("doc_id").agg(F.sort_array(F.collect_set("comp")).alias("class_ids"))
+    classes = links.where("head").join(label, F.col("a") == F.col("node")).groupBy("doc_id").agg(
+        F.sort_array(F.collect_set(F.shiftright("comp", NODE_BITS))).alias("class_ids"))
     small = scratch.write(done.select("doc_id", "text", "n_chars", "n_spans", "removed_words").dropDuplicates(["doc_id"])
                           .join(classes, "doc_id", "left"), "report")
     ids = hint_small(small.select("doc_id"))
