@@ -171,7 +171,7 @@ def test_equal_paragraphs_always_share_a_key():
     for _ in range(60):
         core = sentence(rng, 50, 50).split()
         a, b = (" ".join([*sentence(rng, int(n), 50).split(), *core, *sentence(rng, int(m), 50).split()]) for n, m in rng.integers(1, 90, (2, 2)))
-        r, _, k = substring_dedup.anchors(Text(pa.array([a, b])))
+        r, _, _, k = substring_dedup.anchors(Text(pa.array([a, b])))
         assert set(k[r == 0]) & set(k[r == 1])
 
 

@@ -49,15 +49,16 @@ CHUNK = 1 << 20
 
 
 def anchors(t: Text):
-    """(row, place, key): band keys of the paragraphs of a chunk of texts; place is the first word of the
-    15 words that make the key, counted from the start of the row."""
+    """(row, place, reach, key): band keys of the paragraphs of a chunk of texts; place is the first word of
+    the 15 words that make the key, counted from the start of the row. Places of one key less than a
+    paragraph apart (periodic text) are one entry, from the first to the last of them, ``reach``."""
     s, e, row = t.words()
     h = t.hash(s, e)
     sh, sr = shingles(h, row, t.n, WIDTH)
     wide, wr = shingles(h, row, t.n, WIDTH + CONTEXT)
     none = np.zeros(0, np.int64)
     if len(sh) < SHINGLES:
-        return none, none, none
+        return none, none, none, none
     # in a run of one repeated shingle only every RUN-th place may be a minimum
     start = np.concatenate([[True], (sh[1:] != sh[:-1]) | (sr[1:] != sr[:-1])])
     place = np.arange(len(sh))
@@ -74,7 +75,7 @@ def anchors(t: Text):
     at = np.where(second, at[left:], at[: len(at) - left])[: len(sh) - SHINGLES + 1]
     at = np.unique(at[sr[: len(sh) - SHINGLES + 1] == sr[SHINGLES - 1 :]])
     if not len(at):
-        return none, none, none
+        return none, none, none, none
     r = sr[at]
     local = at - np.searchsorted(sr, r)
     n_words = np.bincount(row, minlength=t.n)[r]
@@ -84,7 +85,13 @@ def anchors(t: Text):
     pp = np.concatenate([local[ok_l] - CONTEXT, local[ok_r]])
     both = np.unique(pr * (1 << 32) + pp)
     pr, pp = both >> 32, both & 0xFFFFFFFF
-    return pr, pp, wide[first_wide[pr] + pp].view(np.int64)
+    key = wide[first_wide[pr] + pp].view(np.int64)
+    order = np.lexsort((pp, key, pr))
+    pr, pp, key = pr[order], pp[order], key[order]
+    head = np.ones(len(pr), bool)
+    head[1:] = (pr[1:] != pr[:-1]) | (key[1:] != key[:-1]) | (pp[1:] - pp[:-1] >= PARAGRAPH)
+    at = np.flatnonzero(head)
+    return pr[at], pp[at], pp[np.append(at[1:], len(pp)) - 1], key[at]
 
 
 def anchor_rows(docs: DataFrame) -> DataFrame:
@@ -92,12 +99,12 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
         for batch in batches:
             texts = column(batch, "text")
             for i, j in chunks(texts, CHUNK):
-                r, p, k = anchors(Text(texts.slice(i, j - i), lower=True))
+                r, p, q, k = anchors(Text(texts.slice(i, j - i), lower=True))
                 if len(r):
-                    yield pa.RecordBatch.from_arrays([pa.array(k), batch.column(0).take(pa.array(i + r)), pa.array(p.astype(np.int32))],
-                                                     names=["key", "doc_id", "place"])
+                    yield pa.RecordBatch.from_arrays([pa.array(k), batch.column(0).take(pa.array(i + r)), pa.array(p.astype(np.int32)),
+                                                      pa.array(q.astype(np.int32))], names=["key", "doc_id", "place", "reach"])
 
-    return docs.select("doc_id", "text").where("doc_id is not null and text is not null").mapInArrow(run, "key long, doc_id long, place int")
+    return docs.select("doc_id", "text").where("doc_id is not null and text is not null").mapInArrow(run, "key long, doc_id long, place int, reach int")
 
 
 def tiles(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -260,9 +267,9 @@ def find_cuts(docs: DataFrame, scratch: Scratch) -> DataFrame:
     least = keys.groupBy("key").agg(F.min(F.struct("doc_id", "place")).alias("c"), F.max("doc_id").alias("hi"))
     least = least.where("hi <> c.doc_id").select("key", F.col("c.doc_id").alias("cdoc"), F.col("c.place").alias("cplace"))
     least = hint_small(scratch.write(least, "least"), HINT_ROWS)
-    hits = keys.join(least, "key").where("doc_id <> cdoc").select("doc_id", "place", "cdoc", (F.col("cplace") - F.col("place")).alias("shift"))
+    hits = keys.join(least, "key").where("doc_id <> cdoc").select("doc_id", "place", "reach", "cdoc", (F.col("cplace") - F.col("place")).alias("shift"))
     near = F.sequence(F.floor((F.greatest(F.col("place") + F.col("shift") - PARAGRAPH, F.lit(0))) / TILE).cast("int"),
-                      F.floor((F.col("place") + F.col("shift") + 2 * PARAGRAPH) / TILE).cast("int"))
+                      F.floor((F.col("reach") + F.col("shift") + 2 * PARAGRAPH) / TILE).cast("int"))
     need = scratch.write(hits.select("doc_id", "cdoc", "shift", F.explode(near).alias("tile")).distinct(), "need")
     wanted = need.select(F.col("cdoc").alias("doc_id"), "tile").groupBy("doc_id").agg(F.sort_array(F.collect_set("tile")).alias("wanted"))
     wanted = scratch.write(wanted, "wanted")
