@@ -175,6 +175,52 @@ def test_equal_paragraphs_always_share_a_key():
         assert set(k[r == 0]) & set(k[r == 1])
 
 
+def common(a, b):
+    sh = [[tuple(w[k:k + 5]) for k in range(len(w) - 4)] for w in (a, b)]
+    return 5 * len(set(sh[0]) & set(sh[1])) >= 4 * len(set(sh[0]) | set(sh[1]))
+
+
+def test_moved_paragraphs_by_brute_force():
+    """Substituted, inserted and deleted words: all paragraphs at a true Jaccard of 0.8, and only those."""
+    rng = np.random.default_rng(3)
+    for trial in range(60):
+        n = int(rng.integers(50, 90))
+        passage = rng.integers(0, 1 << 31, n).astype(np.uint32)
+        edited = passage.tolist()
+        for _ in range(1 + trial % 2):
+            at, kind = int(rng.integers(5, len(edited) - 5)), rng.integers(3)
+            edited[at : at + (kind != 1)] = [int(rng.integers(1 << 31))] * int(kind != 2)
+        theirs = np.concatenate([rng.integers(0, 1 << 31, 70).astype(np.uint32), passage, rng.integers(0, 1 << 31, 80).astype(np.uint32)])
+        own = np.concatenate([rng.integers(0, 1 << 31, 33).astype(np.uint32), np.array(edited, np.uint32), rng.integers(0, 1 << 31, 40).astype(np.uint32)])
+        pieces = {k: theirs[k * 64 : k * 64 + 64] for k in range(-(-len(theirs) // 64))}
+        found = np.zeros(len(own), bool)
+        for a, b, _ in substring_dedup.moved(substring_dedup.grams(own), np.zeros(len(own), bool), pieces):
+            found[a:b] = True
+        want, o, c = np.zeros(len(own), bool), own.tolist(), theirs.tolist()
+        for i in range(len(o) - 49):
+            for j in range(max(0, i - 20), min(len(c) - 49, i + 100)):
+                if common(o[i : i + 50], c[j : j + 50]):
+                    known = {tuple(c[k : k + 5]) for k in range(j, j + 46)}
+                    in_ = [k for k in range(i, i + 46) if tuple(o[k : k + 5]) in known]
+                    want[in_[0] : in_[-1] + 5] = True
+        assert (found == want).all(), trial
+
+
+@pytest.mark.parametrize("kind", ["substituted", "inserted", "deleted"])
+def test_passages_with_one_edited_word(spark, make_docs, kind):
+    rng = np.random.default_rng(12)
+    rows = []
+    for k in range(24):
+        n = (60, 80, 88)[k % 3]
+        passage = sentence(rng, n, 10**6).split()
+        edited = [*passage[: n // 2], *([] if kind == "deleted" else ["new"]), *passage[n // 2 + (kind != "inserted") :]]
+        rows += [(100 + k, " ".join([sentence(rng, 40, 10**6), *passage, sentence(rng, 40, 10**6)])),
+                 (200 + k, " ".join([sentence(rng, 30, 10**6), *edited, sentence(rng, 50, 10**6)]))]
+    got = {r.doc_id: r for r in substring_dedup.report(make_docs(rows).repartition(3), Scratch(spark, "t")).collect()}
+    whole = [k for k in range(24) if got[200 + k].removed_words == (60, 80, 88)[k % 3] + {"substituted": 0, "inserted": 1, "deleted": -1}[kind]]
+    assert len(whole) >= 22 and all(got[200 + k].class_ids == [100 + k] for k in whole)
+
+
 # ---- decontamination ----------------------------------------------------------------------------
 
 def norm(text):

@@ -11,9 +11,11 @@ it (15 words each). In any two equal paragraphs at least one band collides, what
    documents share is no hot group); the least (document, place) of a key is its canonical occurrence.
 2. Every other occurrence is aligned with the canonical one. For exact verification the canonical
    document is cut into tiles of ``TILE`` words, and only the tiles that some occurrence needs travel.
-3. Along the alignment the word sequences are compared: a paragraph is a repeat if the Jaccard similarity
-   of the aligned five-word shingles is at least 0.8 (at least 41 of 46 agree). The union of verified
-   paragraphs, trimmed to agreeing shingles, is removed from the later document; the canonical occurrence stays.
+3. The tiles of all alignments of two documents are compared together: a paragraph is a repeat if the Jaccard
+   similarity of its five-word shingles (each as often as it occurs) with those of a paragraph of the
+   canonical document is at least 0.8 (41 of 46 in common), place by place along an alignment first, then
+   as sets across alignments, for inserted and deleted words. The union of verified paragraphs, trimmed
+   to common shingles, is removed from the later document; the canonical occurrence stays.
 4. Removals are clustered: tiles of verified spans are linked with the tiles they repeat, and the
    connected components are the classes, named by the least document of each.
 
@@ -26,6 +28,7 @@ outside white space, compared in lower case. Very long texts are processed whole
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -134,7 +137,7 @@ def tiles(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def repeats(own: np.ndarray, shift: int, pieces: dict[int, np.ndarray]) -> np.ndarray:
-    """Which words of ``own`` lie in a verified paragraph, aligned with the canonical document at ``shift``."""
+    """Which words of ``own`` lie in a paragraph verified place by place, aligned with the canonical document at ``shift``."""
     n = len(own)
     equal = np.zeros(n + 1, np.int32)
     for tile, words in pieces.items():
@@ -165,6 +168,54 @@ def repeats(own: np.ndarray, shift: int, pieces: dict[int, np.ndarray]) -> np.nd
     return mask
 
 
+def grams(words: np.ndarray) -> np.ndarray:
+    """The five-word shingles of a run of word hashes."""
+    return shingles(words.astype(np.uint64), np.zeros(len(words), np.int64), 1, WIDTH)[0] if len(words) >= WIDTH else np.zeros(0, np.uint64)
+
+
+def moved(own_sh: np.ndarray, mask: np.ndarray, pieces: dict[int, np.ndarray]) -> list[tuple[int, int, int]]:
+    """Paragraphs outside ``mask`` that hold inserted or deleted words: (first word, end, shift) of those whose
+    shingles, each as often as it occurs, have a Jaccard similarity of 0.8 with those of a paragraph of the
+    canonical document. A paragraph's partners lie at the shifts of its common shingles, between two close ones
+    of them, or at an end of the known text; of text without a rare shingle (periodic), the first partner will do."""
+    if len(own_sh) < SHINGLES:
+        return []
+    covered = np.concatenate([[0], np.cumsum(mask)])
+    left = covered[PARAGRAPH:] - covered[:-PARAGRAPH] < PARAGRAPH
+    found: set[tuple[int, int, int]] = set()
+    numbers = sorted(pieces)
+    breaks = [0, *(i for i in range(1, len(numbers)) if numbers[i] != numbers[i - 1] + 1), len(numbers)]
+    for i, j in zip(breaks, breaks[1:], strict=False):
+        base = numbers[i] * TILE
+        theirs = grams(np.concatenate([pieces[k] for k in numbers[i:j]]))
+        if len(theirs) < SHINGLES:
+            continue
+        order = np.argsort(theirs, kind="stable")
+        lo, hi = (np.searchsorted(theirs[order], own_sh, side) for side in ("left", "right"))
+        hits = np.concatenate([[0], np.cumsum(hi > lo)])
+        able = hits[SHINGLES:] - hits[:-SHINGLES] >= NEED
+        last = len(theirs) - SHINGLES
+        known: dict[bytes, list[tuple[int, int, int]]] = {}
+        for w in np.flatnonzero(able & left).tolist():
+            mine = own_sh[w : w + SHINGLES]
+            if mine.tobytes() not in known:
+                here = known[mine.tobytes()] = []
+                both = [x for x in range(w, w + SHINGLES) if hi[x] > lo[x]]
+                rare = [x for x in both if hi[x] - lo[x] <= RUN]
+                at = sorted({min(max(w + int(y) - x, 0), last) for x in rare or both[:1] for y in order[lo[x] : hi[x]]})
+                at += [v for a, b in zip(at, at[1:], strict=False) if b - a < SHINGLES - NEED + WIDTH for v in range(a + 1, b)]
+                count = Counter(mine.tolist())
+                for v in sorted(at):
+                    right = theirs[v : v + SHINGLES]
+                    if (count & Counter(right.tolist())).total() >= NEED:
+                        same = np.flatnonzero(np.isin(mine, right))
+                        here.append((int(same[0]), int(same[-1]) + WIDTH, base + v))
+                        if not rare:
+                            break
+            found.update((w + a, w + b, v - w) for a, b, v in known[mine.tobytes()])
+    return sorted(found)
+
+
 def spans_of(mask: np.ndarray) -> list[tuple[int, int]]:
     edge = np.flatnonzero(np.diff(np.concatenate([[0], mask.view(np.int8), [0]])))
     return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
@@ -190,7 +241,8 @@ CUTS = ("doc_id long, text string, n_chars long, n_spans int, removed_words long
 
 
 def cuts(docs: DataFrame, evidence: DataFrame) -> DataFrame:
-    """(doc_id, text) and (doc_id, found: array of (cdoc, shift, tile, words)) -> cut texts and cluster links."""
+    """(doc_id, text) and (doc_id, found: array of (cdoc, tile, words), shifts: array of (cdoc, shift)) -> cut texts and
+    cluster links. The tiles of all shifts of one canonical document are compared together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,16 +253,25 @@ def cuts(docs: DataFrame, evidence: DataFrame) -> DataFrame:
                 t = Text(part, lower=True)
                 s, e, _ = t.words()
                 own = (t.hash(s, e) >> np.uint64(32)).astype(np.uint32)
-                by: dict[tuple[int, int], dict[int, np.ndarray]] = {}
+                by: dict[int, dict[int, np.ndarray]] = {}
                 for f in found[i].as_py():
-                    by.setdefault((f["cdoc"], f["shift"]), {})[f["tile"]] = np.frombuffer(f["words"], np.uint32)
+                    by.setdefault(f["cdoc"], {})[f["tile"]] = np.frombuffer(f["words"], np.uint32)
+                shifts: dict[int, list[int]] = {}
+                for f in batch.column(3)[i].as_py():
+                    shifts.setdefault(f["cdoc"], []).append(f["shift"])
+                own_sh = grams(own)
                 mask = np.zeros(len(own), bool)
                 doc, seen = batch.column(0)[i].as_py(), []
-                for (cdoc, shift), pieces in sorted(by.items()):
-                    hit = repeats(own, shift, pieces)
-                    if (hit & ~mask).any():  # else earlier documents account for all of it
-                        mask |= hit
-                        seen += [(a, b, cdoc, shift) for a, b in spans_of(hit)]
+                for cdoc, pieces in sorted(by.items()):
+                    for shift in sorted(shifts[cdoc]):
+                        hit = repeats(own, shift, pieces)
+                        if (hit & ~mask).any():  # else earlier documents account for all of it
+                            mask |= hit
+                            seen += [(a, b, cdoc, shift) for a, b in spans_of(hit)]
+                    for a, b, shift in moved(own_sh, mask, pieces):
+                        if not mask[a:b].all():
+                            mask[a:b] = True
+                            seen.append((a, b, cdoc, shift))
                 spans = spans_of(mask)
                 if not spans:
                     continue
@@ -219,7 +280,7 @@ def cuts(docs: DataFrame, evidence: DataFrame) -> DataFrame:
                 links = {(True, int(k), int(k)) for k in node}
                 for a, b, cdoc, shift in seen:
                     own_node = int(node[np.searchsorted([x for x, _ in spans], a, side="right") - 1])
-                    tiles_hit = [(cdoc << NODE_BITS) | k for k in range((a + shift) // TILE, (b - 1 + shift) // TILE + 1)]
+                    tiles_hit = [(cdoc << NODE_BITS) | k for k in range(max(a + shift, 0) // TILE, (b - 1 + shift) // TILE + 1)]
                     links.update((False, own_node, k) for k in tiles_hit)
                 raw = Text(part)
                 rs, re_, _ = raw.words()
@@ -232,7 +293,7 @@ def cuts(docs: DataFrame, evidence: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
                                                  names=["doc_id", "text", "n_chars", "n_spans", "removed_words", "links"])
 
-    return docs.join(evidence, "doc_id").select("doc_id", "text", "found").mapInArrow(run, CUTS)
+    return docs.join(evidence, "doc_id").select("doc_id", "text", "found", "shifts").mapInArrow(run, CUTS)
 
 
 def copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -270,16 +331,19 @@ def find_cuts(docs: DataFrame, scratch: Scratch) -> DataFrame:
     hits = keys.join(least, "key").where("doc_id <> cdoc").select("doc_id", "place", "reach", "cdoc", (F.col("cplace") - F.col("place")).alias("shift"))
     near = F.sequence(F.floor((F.greatest(F.col("place") + F.col("shift") - PARAGRAPH, F.lit(0))) / TILE).cast("int"),
                       F.floor((F.col("reach") + F.col("shift") + 2 * PARAGRAPH) / TILE).cast("int"))
-    need = scratch.write(hits.select("doc_id", "cdoc", "shift", F.explode(near).alias("tile")).distinct(), "need")
+    aligned = scratch.write(hits.select("doc_id", "cdoc", "shift", F.explode(near).alias("tile")).groupBy("doc_id", "cdoc", "shift")
+                            .agg(F.sort_array(F.collect_set("tile")).alias("tiles")), "aligned")
+    need = scratch.write(aligned.select("doc_id", "cdoc", F.explode("tiles").alias("tile")).distinct(), "need")
     wanted = need.select(F.col("cdoc").alias("doc_id"), "tile").groupBy("doc_id").agg(F.sort_array(F.collect_set("tile")).alias("wanted"))
     wanted = scratch.write(wanted, "wanted")
     concerned = hint_small(scratch.write(need.select("doc_id").union(need.select("cdoc")).distinct(), "concerned"))
     some = base.where("text is not null").join(concerned, "doc_id", "left_semi")
     pieces = scratch.write(tiles(some, wanted).dropDuplicates(["doc_id", "tile"]), "tiles")
     evidence = need.join(pieces.withColumnRenamed("doc_id", "cdoc"), ["cdoc", "tile"])
-    evidence = evidence.groupBy("doc_id").agg(F.collect_list(F.struct("cdoc", "shift", "tile", "words")).alias("found"))
+    evidence = evidence.groupBy("doc_id").agg(F.collect_list(F.struct("cdoc", "tile", "words")).alias("found"))
+    evidence = evidence.join(aligned.groupBy("doc_id").agg(F.collect_list(F.struct("cdoc", "shift")).alias("shifts")), "doc_id")
     out = scratch.write(cuts(some, evidence).unionByName(whole_cuts(same)), "cuts")
-    scratch.drop("digests", "first", "copies", "anchors", "least", "need", "wanted", "tiles", "concerned")
+    scratch.drop("digests", "first", "copies", "anchors", "least", "aligned", "need", "wanted", "tiles", "concerned")
     return out
 
 
