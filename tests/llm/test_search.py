@@ -221,6 +221,20 @@ def test_passages_with_one_edited_word(spark, make_docs, kind):
     assert len(whole) >= 22 and all(got[200 + k].class_ids == [100 + k] for k in whole)
 
 
+@pytest.mark.parametrize("repeated", [200, 100])
+def test_repeated_line_before_a_passage(spark, make_docs, repeated):
+    """A line that one of two documents repeats three times before the passage that follows it in both."""
+    rng = np.random.default_rng(21)
+    rows = []
+    for k in range(40):
+        line = sentence(rng, (25, 30, 40)[k % 3], 10**6)
+        passage = [line, sentence(rng, 54 - len(line.split()), 10**6)]
+        for first in (100, 200):
+            rows.append((first + k, " ".join([sentence(rng, 40, 10**6), *[line] * (2 * (first == repeated)), *passage, sentence(rng, 60, 10**6)])))
+    got = {r.doc_id: r for r in substring_dedup.report(make_docs(rows).repartition(3), Scratch(spark, "t")).collect()}
+    assert [got[200 + k].removed_words >= 54 for k in range(40)] == [True] * 40
+
+
 # ---- decontamination ----------------------------------------------------------------------------
 
 def norm(text):

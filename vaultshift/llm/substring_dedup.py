@@ -53,8 +53,8 @@ CHUNK = 1 << 20
 
 def anchors(t: Text):
     """(row, place, reach, key): band keys of the paragraphs of a chunk of texts; place is the first word of
-    the 15 words that make the key, counted from the start of the row. Places of one key less than a
-    paragraph apart (periodic text) are one entry, from the first to the last of them, ``reach``."""
+    the 15 words that make the key, counted from the start of the row. Places of one key whose words touch or
+    overlap are one entry, from the first to the last of them, ``reach``: all text between is periodic then."""
     s, e, row = t.words()
     h = t.hash(s, e)
     sh, sr = shingles(h, row, t.n, WIDTH)
@@ -92,7 +92,7 @@ def anchors(t: Text):
     order = np.lexsort((pp, key, pr))
     pr, pp, key = pr[order], pp[order], key[order]
     head = np.ones(len(pr), bool)
-    head[1:] = (pr[1:] != pr[:-1]) | (key[1:] != key[:-1]) | (pp[1:] - pp[:-1] >= PARAGRAPH)
+    head[1:] = (pr[1:] != pr[:-1]) | (key[1:] != key[:-1]) | (pp[1:] - pp[:-1] > WIDTH + CONTEXT)
     at = np.flatnonzero(head)
     return pr[at], pp[at], pp[np.append(at[1:], len(pp)) - 1], key[at]
 
@@ -325,12 +325,18 @@ def find_cuts(docs: DataFrame, scratch: Scratch) -> DataFrame:
     same = scratch.write(copies(base, scratch), "copies")
     keys = scratch.write(anchor_rows(base), "anchors")
     keys = keys.join(hint_small(same.select("doc_id")), "doc_id", "left_anti")
-    least = keys.groupBy("key").agg(F.min(F.struct("doc_id", "place")).alias("c"), F.max("doc_id").alias("hi"))
-    least = least.where("hi <> c.doc_id").select("key", F.col("c.doc_id").alias("cdoc"), F.col("c.place").alias("cplace"))
+    least = keys.groupBy("key").agg(F.min(F.struct("doc_id", "place", "reach")).alias("c"), F.max("doc_id").alias("hi"))
+    least = least.where("hi <> c.doc_id").select("key", F.col("c.doc_id").alias("cdoc"), F.col("c.place").alias("cplace"), F.col("c.reach").alias("creach"))
     least = hint_small(scratch.write(least, "least"), HINT_ROWS)
-    hits = keys.join(least, "key").where("doc_id <> cdoc").select("doc_id", "place", "reach", "cdoc", (F.col("cplace") - F.col("place")).alias("shift"))
-    near = F.sequence(F.floor((F.greatest(F.col("place") + F.col("shift") - PARAGRAPH, F.lit(0))) / TILE).cast("int"),
-                      F.floor((F.col("reach") + F.col("shift") + 2 * PARAGRAPH) / TILE).cast("int"))
+    hits = keys.join(least, "key").where("doc_id <> cdoc")
+    # periodic text is aligned at its start and at its end
+    both = F.array_distinct(F.array(F.struct(F.col("cplace").alias("first"), (F.col("cplace") - F.col("place")).alias("shift")),
+                                    F.struct((F.col("creach") - F.least(F.col("reach") - F.col("place"), F.col("creach") - F.col("cplace"))).alias("first"),
+                                             (F.col("creach") - F.col("reach")).alias("shift"))))
+    hits = hits.select("doc_id", "cdoc", F.least(F.col("reach") - F.col("place"), F.col("creach") - F.col("cplace")).alias("run"), F.explode(both).alias("at"))
+    hits = hits.select("doc_id", "cdoc", "run", "at.first", "at.shift")
+    near = F.sequence(F.floor((F.greatest(F.col("first") - PARAGRAPH, F.lit(0))) / TILE).cast("int"),
+                      F.floor((F.col("first") + F.col("run") + 2 * PARAGRAPH) / TILE).cast("int"))
     aligned = scratch.write(hits.select("doc_id", "cdoc", "shift", F.explode(near).alias("tile")).groupBy("doc_id", "cdoc", "shift")
                             .agg(F.sort_array(F.collect_set("tile")).alias("tiles")), "aligned")
     need = scratch.write(aligned.select("doc_id", "cdoc", F.explode("tiles").alias("tile")).distinct(), "need")
