@@ -221,6 +221,23 @@ def test_passages_with_one_edited_word(spark, make_docs, kind):
     assert len(whole) >= 22 and all(got[200 + k].class_ids == [100 + k] for k in whole)
 
 
+@pytest.mark.parametrize("edited", [False, True])
+def test_least_document_holds_a_part_only(spark, make_docs, edited):
+    """The middle 40 words in the first document, the whole passage in two later ones."""
+    rng = np.random.default_rng(31)
+    rows = []
+    for k in range(60):
+        n = (52, 56, 60)[k % 3]
+        passage = sentence(rng, n, 10**6).split()
+        lo = (n - 40) // 2
+        for first, words in ((100, passage[lo : lo + 40]), (200, passage), (300, [*passage[: n // 2], *["new"] * edited, *passage[n // 2 :]])):
+            rows.append((first + k, " ".join([sentence(rng, 60, 10**6), *words, sentence(rng, 60, 10**6)])))
+    got = {r.doc_id: r for r in substring_dedup.report(make_docs(rows).repartition(3), Scratch(spark, "t")).collect()}
+    assert all(got[100 + k].n_removed == 0 == got[200 + k].n_removed for k in range(60))
+    whole = [got[300 + k].removed_words == (52, 56, 60)[k % 3] + edited for k in range(60)]
+    assert sum(whole) >= (58 if edited else 60)
+
+
 @pytest.mark.parametrize("repeated", [200, 100])
 def test_repeated_line_before_a_passage(spark, make_docs, repeated):
     """A line that one of two documents repeats three times before the passage that follows it in both."""

@@ -1,9 +1,9 @@
 """Substring dedup over sliding paragraphs: MinHash banding, exact Jaccard, clusters by components.
 
 Repeated passages do not keep to line breaks: they sit in the middle of other text. So a paragraph here is
-every run of ``PARAGRAPH`` (50) consecutive words of a document. Its MinHash is the least hash of its five-word
-shingles; overlapping paragraphs mostly share it, so a document yields about one MinHash for 24 words. Two
-bands are made of it, the MinHash's shingle with the ten words before it and with the ten words after
+every run of ``PARAGRAPH`` (50) consecutive words of a document. Its ``HASHES`` MinHashes are the least hashes of its
+five-word shingles; overlapping paragraphs mostly share them, so a document yields about one for 24 words each. Two
+bands are made of each, the MinHash's shingle with the ten words before it and with the ten words after
 it (15 words each). In any two equal paragraphs at least one band collides, whatever surrounds them.
 
 0. A document whose whole text an earlier one holds is cut as a whole; groups of copies take no further part.
@@ -16,6 +16,10 @@ it (15 words each). In any two equal paragraphs at least one band collides, what
    canonical document is at least 0.8 (41 of 46 in common), place by place along an alignment first, then
    as sets across alignments, for inserted and deleted words. The union of verified paragraphs, trimmed
    to common shingles, is removed from the later document; the canonical occurrence stays.
+   An occurrence that its key's least one does not account for (that document may hold a part of the passage only)
+   meets the others of its kind, and the least one's document, once more by closer keys: the hash of every paragraph
+   that holds the key, so that equal paragraphs always meet, and the key with ``FINER`` more MinHashes of these
+   paragraphs, for near ones. All its alignments are then verified as in 2 and 3.
 4. Removals are clustered: tiles of verified spans are linked with the tiles they repeat, and the
    connected components are the classes, named by the least document of each.
 
@@ -37,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, components, hint_small
-from .textnum import Text, chunks, column, shingles
+from .textnum import Text, chunks, column, mix, shingles
 
 PARAGRAPH = 50
 WIDTH = 5
@@ -48,6 +52,8 @@ NEED = -(-SHINGLES * 2 * 4 // 9)  # least a with a / (2 * SHINGLES - a) >= 0.8
 NODE_BITS = 20  # tiles of one document
 RUN = 16
 HINT_ROWS = 200_000
+HASHES = 2  # MinHashes of a paragraph
+FINER = 6  # MinHashes that part the occurrences of a key that its least one does not account for
 CHUNK = 1 << 20
 
 
@@ -66,17 +72,20 @@ def anchors(t: Text):
     start = np.concatenate([[True], (sh[1:] != sh[:-1]) | (sr[1:] != sr[:-1])])
     place = np.arange(len(sh))
     since = place - np.maximum.accumulate(np.where(start, place, 0))
-    val = np.where(since % RUN == 0, sh, np.uint64(0xFFFFFFFFFFFFFFFF))
-    best, at, n = val, place, 1
-    while 2 * n <= SHINGLES:  # least value of n, 2n, 4n, ... places, and where it is
-        second = best[n:] < best[:-n]
-        at = np.where(second, at[n:], at[:-n])
-        best = np.where(second, best[n:], best[:-n])
-        n *= 2
-    left = SHINGLES - n
-    second = best[left:] < best[: len(best) - left]
-    at = np.where(second, at[left:], at[: len(at) - left])[: len(sh) - SHINGLES + 1]
-    at = np.unique(at[sr[: len(sh) - SHINGLES + 1] == sr[SHINGLES - 1 :]])
+    far = np.uint64(0xFFFFFFFFFFFFFFFF)
+    picked = []
+    for k in range(HASHES):
+        best, at, n = np.where(since % RUN == 0, mix(sh + np.uint64(k)) if k else sh, far), place, 1
+        while 2 * n <= SHINGLES:  # least value of n, 2n, 4n, ... places, and where it is
+            second = best[n:] < best[:-n]
+            at = np.where(second, at[n:], at[:-n])
+            best = np.where(second, best[n:], best[:-n])
+            n *= 2
+        left = SHINGLES - n
+        second = best[left:] < best[: len(best) - left]
+        at = np.where(second, at[left:], at[: len(at) - left])[: len(sh) - SHINGLES + 1]
+        picked.append(at[sr[: len(sh) - SHINGLES + 1] == sr[SHINGLES - 1 :]])
+    at = np.unique(np.concatenate(picked))
     if not len(at):
         return none, none, none, none
     r = sr[at]
@@ -236,7 +245,7 @@ def cut(data: bytes, starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int
     return b"".join([*out, data[at:]]).decode()
 
 
-CUTS = ("doc_id long, text string, n_chars long, n_spans int, removed_words long, "
+CUTS = ("doc_id long, text string, n_chars long, n_spans int, removed_words long, spans array<struct<a: int, b: int>>, "
         "links array<struct<head: boolean, a: long, b: long>>")
 
 
@@ -285,13 +294,13 @@ def cuts(docs: DataFrame, evidence: DataFrame) -> DataFrame:
                 raw = Text(part)
                 rs, re_, _ = raw.words()
                 new = cut(raw.data.tobytes(), rs, re_, spans)
-                rows.append((doc, new, len(new), len(spans), int(mask.sum()), [{"head": x, "a": y, "b": z} for x, y, z in sorted(links)]))
+                rows.append((doc, new, len(new), len(spans), int(mask.sum()), [{"a": a, "b": b} for a, b in spans], [{"head": x, "a": y, "b": z} for x, y, z in sorted(links)]))
             if rows:
                 cols = list(zip(*rows, strict=True))
-                kinds = [pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int64(),
+                kinds = [pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])),
                          pa.list_(pa.struct([("head", pa.bool_()), ("a", pa.int64()), ("b", pa.int64())]))]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
-                                                 names=["doc_id", "text", "n_chars", "n_spans", "removed_words", "links"])
+                                                 names=["doc_id", "text", "n_chars", "n_spans", "removed_words", "spans", "links"])
 
     return docs.join(evidence, "doc_id").select("doc_id", "text", "found", "shifts").mapInArrow(run, CUTS)
 
@@ -316,40 +325,109 @@ def whole_cuts(same: DataFrame) -> DataFrame:
     link = lambda head, b: F.struct(F.lit(head).alias("head"), node.alias("a"), b.alias("b"))
     links = F.concat(F.array(link(True, node)), F.transform(tile, lambda k: link(False, other + k)))
     return same.select("doc_id", F.col("lead").alias("text"), F.length("lead").cast("long").alias("n_chars"), F.lit(1).alias("n_spans"),
-                       F.col("n_words").cast("long").alias("removed_words"), links.alias("links"))
+                       F.col("n_words").cast("long").alias("removed_words"),
+                       F.array(F.struct(F.lit(0).alias("a"), F.col("n_words").cast("int").alias("b"))).alias("spans"), links.alias("links"))
 
 
-def find_cuts(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """doc_id, text (cut), n_chars, n_spans, removed_words, links of every document with a repeat."""
-    base = docs.select("doc_id", "text")
-    same = scratch.write(copies(base, scratch), "copies")
-    keys = scratch.write(anchor_rows(base), "anchors")
-    keys = keys.join(hint_small(same.select("doc_id")), "doc_id", "left_anti")
+def closer(docs: DataFrame, pool: DataFrame) -> DataFrame:
+    """Keys of the paragraphs around occurrences that the least one of their key does not account for: the hash of
+    each paragraph that holds the key, equal for equal paragraphs whatever the key's least occurrence is, and the
+    key with each of ``FINER`` more MinHashes of such a paragraph, for near ones. ``pool``: doc_id, at: array of (key, place, reach)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = column(batch, "text")
+            for i in range(len(texts)):
+                t = Text(texts.slice(i, 1), lower=True)
+                s, e, row = t.words()
+                if len(s) < PARAGRAPH:
+                    continue
+                h = t.hash(s, e)
+                whole = shingles(h, row, 1, PARAGRAPH)[0]
+                sh = shingles(h, row, 1, WIDTH)[0]
+                keys, places, paragraphs = [], [], []
+                for f in batch.column(2)[i].as_py():
+                    a, b = max(0, f["place"] + WIDTH + CONTEXT - PARAGRAPH), min(f["reach"], len(whole) - 1) + 1
+                    if a >= b:
+                        continue
+                    paragraphs.append(np.arange(a, b))
+                    for r in range(FINER):
+                        val = mix(sh[a : b + SHINGLES - 1] + np.uint64(r + 1))
+                        low = np.unique(np.lib.stride_tricks.sliding_window_view(val, SHINGLES).min(axis=1))
+                        keys.append(mix(low ^ np.uint64(f["key"] & 0xFFFFFFFFFFFFFFFF)))
+                        places.append(np.full(len(low), f["place"]))
+                if not paragraphs:
+                    continue
+                at = np.unique(np.concatenate(paragraphs))
+                key, place = np.concatenate([whole[at], *keys]).view(np.int64), np.concatenate([at, *places]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(len(key), batch.column(0)[i].as_py(), np.int64)), pa.array(place), pa.array(place)],
+                                                 names=["key", "doc_id", "place", "reach"])
+
+    return docs.join(pool, "doc_id").select("doc_id", "text", "at").mapInArrow(run, "key long, doc_id long, place int, reach int")
+
+
+def meet(keys: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Every occurrence of a key outside the document of its least one: key, doc_id, place, reach, cdoc, cplace, creach."""
     least = keys.groupBy("key").agg(F.min(F.struct("doc_id", "place", "reach")).alias("c"), F.max("doc_id").alias("hi"))
     least = least.where("hi <> c.doc_id").select("key", F.col("c.doc_id").alias("cdoc"), F.col("c.place").alias("cplace"), F.col("c.reach").alias("creach"))
-    least = hint_small(scratch.write(least, "least"), HINT_ROWS)
-    hits = keys.join(least, "key").where("doc_id <> cdoc")
+    return keys.join(hint_small(scratch.write(least, name), HINT_ROWS), "key").where("doc_id <> cdoc")
+
+
+def alignments(hits: DataFrame) -> DataFrame:
+    """doc_id, cdoc, shift, tiles: the canonical document's tiles that each alignment may need."""
     # periodic text is aligned at its start and at its end
+    run = F.least(F.col("reach") - F.col("place"), F.col("creach") - F.col("cplace"))
     both = F.array_distinct(F.array(F.struct(F.col("cplace").alias("first"), (F.col("cplace") - F.col("place")).alias("shift")),
-                                    F.struct((F.col("creach") - F.least(F.col("reach") - F.col("place"), F.col("creach") - F.col("cplace"))).alias("first"),
-                                             (F.col("creach") - F.col("reach")).alias("shift"))))
-    hits = hits.select("doc_id", "cdoc", F.least(F.col("reach") - F.col("place"), F.col("creach") - F.col("cplace")).alias("run"), F.explode(both).alias("at"))
-    hits = hits.select("doc_id", "cdoc", "run", "at.first", "at.shift")
+                                    F.struct((F.col("creach") - run).alias("first"), (F.col("creach") - F.col("reach")).alias("shift"))))
+    at = hits.select("doc_id", "cdoc", run.alias("run"), F.explode(both).alias("at")).select("doc_id", "cdoc", "run", "at.first", "at.shift")
     near = F.sequence(F.floor((F.greatest(F.col("first") - PARAGRAPH, F.lit(0))) / TILE).cast("int"),
                       F.floor((F.col("first") + F.col("run") + 2 * PARAGRAPH) / TILE).cast("int"))
-    aligned = scratch.write(hits.select("doc_id", "cdoc", "shift", F.explode(near).alias("tile")).groupBy("doc_id", "cdoc", "shift")
-                            .agg(F.sort_array(F.collect_set("tile")).alias("tiles")), "aligned")
-    need = scratch.write(aligned.select("doc_id", "cdoc", F.explode("tiles").alias("tile")).distinct(), "need")
+    return at.select("doc_id", "cdoc", "shift", F.explode(near).alias("tile")).groupBy("doc_id", "cdoc", "shift").agg(
+        F.sort_array(F.collect_set("tile")).alias("tiles"))
+
+
+def verified(base: DataFrame, aligned: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The cuts of all documents of ``aligned``."""
+    need = scratch.write(aligned.select("doc_id", "cdoc", F.explode("tiles").alias("tile")).distinct(), f"{name}_need")
     wanted = need.select(F.col("cdoc").alias("doc_id"), "tile").groupBy("doc_id").agg(F.sort_array(F.collect_set("tile")).alias("wanted"))
-    wanted = scratch.write(wanted, "wanted")
-    concerned = hint_small(scratch.write(need.select("doc_id").union(need.select("cdoc")).distinct(), "concerned"))
+    wanted = scratch.write(wanted, f"{name}_wanted")
+    concerned = hint_small(scratch.write(need.select("doc_id").union(need.select("cdoc")).distinct(), f"{name}_concerned"))
     some = base.where("text is not null").join(concerned, "doc_id", "left_semi")
-    pieces = scratch.write(tiles(some, wanted).dropDuplicates(["doc_id", "tile"]), "tiles")
+    pieces = scratch.write(tiles(some, wanted).dropDuplicates(["doc_id", "tile"]), f"{name}_tiles")
     evidence = need.join(pieces.withColumnRenamed("doc_id", "cdoc"), ["cdoc", "tile"])
     evidence = evidence.groupBy("doc_id").agg(F.collect_list(F.struct("cdoc", "tile", "words")).alias("found"))
     evidence = evidence.join(aligned.groupBy("doc_id").agg(F.collect_list(F.struct("cdoc", "shift")).alias("shifts")), "doc_id")
-    out = scratch.write(cuts(some, evidence).unionByName(whole_cuts(same)), "cuts")
-    scratch.drop("digests", "first", "copies", "anchors", "least", "aligned", "need", "wanted", "tiles", "concerned")
+    out = scratch.write(cuts(some, evidence).dropDuplicates(["doc_id"]), f"{name}_cuts")
+    scratch.drop(*(f"{name}_{t}" for t in ("need", "wanted", "tiles", "concerned")))
+    return out
+
+
+def find_cuts(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """doc_id, text (cut), n_chars, n_spans, removed_words, spans, links of every document with a repeat."""
+    base = docs.select("doc_id", "text")
+    same = scratch.write(copies(base, scratch), "copies")
+    keys = scratch.write(anchor_rows(base), "anchors")
+    keys = keys.join(hint_small(same.select("doc_id")), "doc_id", "left_anti")
+    hits = meet(keys, scratch, "least")
+    aligned = scratch.write(alignments(hits), "aligned")
+    first = verified(base, aligned, scratch, "first")
+    # occurrences that their key's least one does not account for meet once more, by closer keys
+    spans = first.select("doc_id", "spans")
+    outside = lambda x: x.join(spans, "doc_id", "left").where(
+        F.expr(f"spans is null or not exists(spans, s -> s.a <= place and s.b >= least(reach, place + {PARAGRAPH}) + {WIDTH + CONTEXT})")).drop("spans")
+    failed = scratch.write(outside(hits.select("key", "doc_id", "place", "reach")).select("key").distinct(), "failed")
+    pool = outside(keys.join(hint_small(failed, HINT_ROWS), "key", "left_semi"))
+    pool = pool.groupBy("doc_id").agg(F.collect_set(F.struct("key", "place", "reach")).alias("at"))
+    more = scratch.write(closer(base.where("text is not null"), pool).distinct(), "closer")
+    again = scratch.write(alignments(meet(more, scratch, "least2")), "again")
+    changed = scratch.write(again.select("doc_id").distinct(), "changed")
+    every = aligned.join(hint_small(changed), "doc_id", "left_semi").unionByName(again)
+    every = every.groupBy("doc_id", "cdoc", "shift").agg(F.array_distinct(F.flatten(F.collect_list("tiles"))).alias("tiles"))
+    second = verified(base, scratch.write(every, "every"), scratch, "second")
+    kept = first.join(hint_small(changed), "doc_id", "left_anti")
+    out = scratch.write(kept.unionByName(second).unionByName(whole_cuts(same)), "cuts")
+    scratch.drop("digests", "first", "copies", "anchors", "least", "aligned", "failed", "closer", "least2", "again", "changed", "every",
+                 "first_cuts", "second_cuts")
     return out
 
 
