@@ -55,6 +55,21 @@ def test_extract(page):
     assert html_extract.extract(page.format(b=BODY), W) == ("T " + BODY).strip()
 
 
+@pytest.mark.parametrize("attrs", ['style="overflow:hidden"', 'aria-hidden="false"', 'title="hidden gems"', "class='page has-sidebar'", "class=no-sidebar",
+                                   "class='overflow-hidden'", 'class="article-header"', 'data-class="ad"', "title=\"a class='ad'\"", "data-hidden"])
+def test_attributes_that_mark_nothing(attrs):
+    for page in ("<article><h1>T</h1><div {a}><p>{b}</p></div></article>", "<div {a}><article><h1>T</h1><p>{b}</p></article></div>"):
+        assert html_extract.extract(page.format(a=attrs, b=BODY), W) == ("T " + BODY).strip()
+
+
+def test_marks_around_the_article_and_in_code():
+    for wrap in ("<div class=sidebar>{}</div>", "<form>{}</form>", "<div hidden>{}</div>"):
+        assert html_extract.extract(wrap.format(f"<article><h1>T</h1><p>{BODY}</p></article>"), W) == ("T " + BODY).strip()
+    assert html_extract.extract(f"<article><p>{BODY}</p><pre><span class=comment># note</span> x</pre></article>", W) == BODY + "# note x"
+    for mark in ("hidden", "HIDDEN=''", "class='x ad'", "id=cookie_notice", "role='navigation'", "aria-label='Related'"):
+        assert html_extract.extract(f"<article><p>{BODY}</p><div {mark}>gone</div></article>", W) == BODY.strip()
+
+
 def test_extract_text_rules():
     page = "<article><p>a&amp;b &lt;c&gt;\n\n  d<b>e</b>f<br>g</p><p></p>" + f"<p>{BODY}</p></article>"
     assert html_extract.extract(page, W) == ("a&b <c> def g " + BODY).strip()

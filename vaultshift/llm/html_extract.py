@@ -5,9 +5,9 @@ lower than others; one linear scan finds the contiguous run with the highest sum
 region. The weights are log odds of a token lying inside against outside the marked article of
 labelled pages (pages that mark it with one ``article`` or ``main`` element), counted over a bounded sample.
 
-Elements that are never content (scripts, styles, menus, footers, sidebars, forms, and elements whose
-class, id or role names an advert, notice, comment section and the like) are taken out before the scan and
-count as one tag. Inside the region character references are decoded, white space inside a block
+Elements that are never content (scripts, styles, menus, footers, sidebars, forms, hidden elements, and elements
+with a class token, id or role that as a whole names an advert, notice, comment section and the like) are taken
+out before the scan and count as one tag, unless they hold an ``article`` or ``main`` of their own or only mark code. Inside the region character references are decoded, white space inside a block
 becomes one space, blocks are joined in page order by one space; nothing else is dropped.
 
 Defined cases: null or empty html gives an empty text; a page without words gives an empty text; of
@@ -33,13 +33,14 @@ TOKEN = re.compile(
     r"(?P<skip><!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z))"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*)(?:>|\Z)"
     r"|(?P<text>[^<]+|<)", re.S)
-ATTR = re.compile(r"\b(class|id|role|aria-label|hidden)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 
 RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 PRUNED = {"head", "nav", "footer", "aside", "form", "noscript", "template", "svg", "canvas", "object", "button", "select",
           "dialog", "menu", "audio", "video", "map", "math", "datalist"} | RAW
-#: Words (between separators) in class, id or role that mark an element as no content.
+#: A class token, id, role or label made of these words alone marks an element as no content ("cookie-notice" does,
+#: "has-sidebar" and "article-header" do not: the region decides about those).
 PRUNED_MARKS = {
     "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsor", "sponsored", "promo", "promotion",
     "banner", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "sidebar", "aside", "complementary", "footer",
@@ -49,6 +50,8 @@ PRUNED_MARKS = {
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label",
           "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 MAIN = {"article", "main"}
+NAMING = {"class", "id", "role", "aria-label"}
+CODE = {"pre", "code"}  # class names in highlighted code name syntax
 
 #: Used when no page of the sample is labelled.
 DEFAULT_WEIGHTS = {"#word": 1.0, "#link": -0.5, "article": -200.0, "main": -200.0, "p": -0.1, "br": -0.1, "b": -0.1, "i": -0.1, "em": -0.1,
@@ -59,8 +62,12 @@ SAMPLE_PAGES = 2000
 def _marked(attrs: str) -> bool:
     for m in ATTR.finditer(attrs):
         name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
-        if name == "hidden" or (value and not PRUNED_MARKS.isdisjoint(re.split(r"[^a-z]+", value))):
+        if name == "hidden":
             return True
+        if name in NAMING:
+            tokens = [value] if name == "aria-label" else value.split()
+            if any(PRUNED_MARKS.issuperset(words) for t in tokens if (words := re.findall(r"[a-z]+", t))):
+                return True
     return False
 
 
@@ -83,16 +90,20 @@ def tokenize(page: str) -> list[tuple[str, str, bool]]:
             elif not (name in RAW and close):
                 bad = not close and name not in MAIN and name not in ("html", "body") and (name in PRUNED or (bool(attrs) and _marked(attrs)))
                 raw.append((name, attrs, close, bad and name not in VOID and not attrs.endswith("/")))
-    article = Counter()
+    article, code = Counter(), 0
     out: list[tuple[str, str, bool]] = []
     i = 0
     while i < len(raw):
         name, text, close, bad = raw[i]
         if name in MAIN:
             article[name] += -1 if close else 1
+        if name in CODE:
+            code = max(0, code + (-1 if close else 1))
+        bad = bad and (name in PRUNED or not code)
         # a header inside the article belongs to it, any other one does not
         if bad or (name == "header" and not close and not any(v > 0 for v in article.values())):
             depth, j, stop = 1, i + 1, None
+            inside = any(v > 0 for v in article.values())
             while j < len(raw) and depth:
                 if raw[j][0] == name:
                     depth += -1 if raw[j][2] else 1
@@ -102,9 +113,10 @@ def tokenize(page: str) -> list[tuple[str, str, bool]]:
                     stop = j if stop is None else stop
                     break
                 j += 1
-            out.append(("#pruned", "", False))
-            i = j if not depth else (stop if stop is not None else len(raw))
-            continue
+            if inside or depth or stop is None:  # a closed element around an article or main stays
+                out.append(("#pruned", "", False))
+                i = j if not depth else (stop if stop is not None else len(raw))
+                continue
         out.append((name, text if name == "#text" else "", close))
         i += 1
     return out
