@@ -308,3 +308,23 @@ def test_index_shards_find_the_same(spark, make_docs, monkeypatch, chars):
     monkeypatch.setattr(decontaminate, "SHARD_CHARS", chars)
     got = decontaminate.leaks(docs, spark.createDataFrame(items[:6], "item_id long, text string"), Scratch(spark, "t"))
     assert {(r.doc_id, r.item_id) for r in got.collect()} == {(i, i) for i in range(6)}
+
+
+def test_short_and_unspaced_items(spark, make_docs):
+    items = [(1, "What is the capital of France? Paris"), (2, "Paris"), (3, "\u6cd5\u56fd\u7684\u9996\u90fd\u662f\u54ea\u91cc\uff1f\u5df4\u9ece"),
+             (4, "\u5df4\u9ece"), (5, "no such thing"), (6, "?!")]
+    docs = make_docs([(1, "Quiz: what is the CAPITAL of France - Paris, of course"), (2, "the capital of France is Paris"), (3, "no such odd thing"), (4, "such"),
+                      (5, "\u6211\u95ee\u4f60\u6cd5\u56fd\u7684\u9996\u90fd\u662f\u54ea\u91cc\uff0c\u5df4\u9ece\u5728\u4e1c"), (6, "\u9ece\u5df4"), (7, None)])
+    got = decontaminate.leaks(docs, spark.createDataFrame(items, "item_id long, text string"), Scratch(spark, "t"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(1, 1), (1, 2), (2, 2), (5, 3), (5, 4)}
+
+
+def test_weights_do_not_depend_on_the_shards(spark, make_docs, monkeypatch):
+    items = [(i, sentence(np.random.default_rng(i), 8 + 3 * i, 60)) for i in range(12)]
+    docs = make_docs([(i, "pre " + t.rsplit(" ", 2)[0] + " post") for i, t in items])
+    got = []
+    for chars in (10_000, 200):
+        monkeypatch.setattr(decontaminate, "SHARD_CHARS", chars)
+        rows = decontaminate.leaks(docs, spark.createDataFrame(items, "item_id long, text string"), Scratch(spark, "t")).collect()
+        got.append({(r.doc_id, r.item_id): round(r.score, 9) for r in rows})
+    assert got[0] and got[0] == got[1]

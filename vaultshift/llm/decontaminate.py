@@ -21,8 +21,11 @@ answer, and the shares of their word trigrams that occur in the passage must rea
 The index is broadcast in shards of at most ``SHARD_CHARS`` characters of item text, one pass over the
 documents per shard, so its size in memory is bounded whatever the benchmark's size.
 
-Defined cases: null and empty texts and items hold nothing and match nothing; items with fewer than
-``MIN_WORDS`` words are not searched for (they would match by chance); null ids match nothing; repeated rows
+Items with fewer than ``MIN_WORDS`` words are found by exact match of all their words in a row. In scripts without
+spaces every character is a word, so that trigrams are of characters there. Word weights, mean length and passage
+span are taken over the whole benchmark, whatever the number of shards.
+
+Defined cases: null and empty texts and items hold nothing and match nothing; null ids match nothing; repeated rows
 of a document or item give one result row per pair of ids; empty tables give an empty result; extra
 columns are ignored.
 """
@@ -30,10 +33,11 @@ columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +51,8 @@ K1, B = 1.2, 0.75
 BLOCK = 16
 SHARD_CHARS = 32 << 20
 CHUNK = 1 << 20
+UNSPACED = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
+UNSPACED_MARKS = r"[\x{3000}-\x{3004}\x{3008}-\x{3020}\x{30FB}\x{FF01}-\x{FF0F}\x{FF1A}-\x{FF20}]"
 
 
 @dataclass
@@ -62,14 +68,53 @@ class Index:
     block_max: np.ndarray
     question: list[np.ndarray]  # sorted trigram hashes
     answer: list[np.ndarray]
+    short: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)  # number of words: sorted hashes, item ids
 
     @property
     def blocks(self) -> int:
         return -(-len(self.ids) // BLOCK)
 
 
-def build(ids: list[int], texts: list[str]) -> Index:
-    t = Text(pa.array(texts, pa.string()), lower=True)
+@dataclass
+class Stats:
+    """Of all items of at least ``MIN_WORDS`` words: how many, their words, the longest, and in how many each word is."""
+
+    items: int = 0
+    words: int = 0
+    longest: int = 1
+    terms: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    df: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+
+    def add(self, texts: list[str]) -> None:
+        t = parsed(pa.array(texts, pa.string()))
+        s, e, row = t.alnum_words()
+        n_words = np.bincount(row, minlength=t.n) if len(row) else np.zeros(t.n, np.int64)
+        long = n_words[n_words >= MIN_WORDS]
+        self.items, self.words = self.items + len(long), self.words + int(long.sum())
+        self.longest = max(self.longest, int(long.max(initial=1)))
+        keep = n_words[row] >= MIN_WORDS
+        tid, inv = np.unique(t.hash(s, e)[keep], return_inverse=True)
+        own = np.bincount(np.unique(inv * max(t.n, 1) + row[keep]) // max(t.n, 1), minlength=len(tid))
+        terms, at = np.unique(np.concatenate([self.terms, tid]), return_inverse=True)
+        self.df = np.bincount(at, weights=np.concatenate([self.df, own]), minlength=len(terms)).astype(np.int64)
+        self.terms = terms
+
+
+def parsed(arr: pa.Array) -> Text:
+    """Texts whose characters of scripts without spaces are words of their own."""
+    t = Text(arr, lower=True)
+    if not (t.data >= 0xE0).any():
+        return t
+    arr = pc.replace_substring_regex(arr, UNSPACED_MARKS, " ")
+    return Text(pc.replace_substring_regex(arr, "(" + UNSPACED + ")", r" \1 "), lower=True)
+
+
+def build(ids: list[int], texts: list[str], stats: Stats | None = None) -> Index:
+    """The index of a shard; ``stats`` are those of the whole benchmark (default: of these items)."""
+    if stats is None:
+        stats = Stats()
+        stats.add(texts)
+    t = parsed(pa.array(texts, pa.string()))
     s, e, row = t.alnum_words()
     h = t.hash(s, e)
     n_words = np.bincount(row, minlength=t.n) if len(row) else np.zeros(t.n, np.int64)
@@ -83,9 +128,9 @@ def build(ids: list[int], texts: list[str]) -> Index:
     length = n_words[order].astype(float)
     pair, tf = np.unique(tid * max(n, 1) + item, return_counts=True)
     term, it = pair // max(n, 1), pair % max(n, 1)
-    df = np.bincount(term, minlength=len(terms))
-    idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-    weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[it] / length.mean())) if n else np.zeros(0)
+    df = stats.df[np.searchsorted(stats.terms, terms)] if n else np.zeros(0, np.int64)
+    idf = np.log(1 + (stats.items - df + 0.5) / (df + 0.5))
+    weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[it] * stats.items / stats.words)) if n else np.zeros(0)
     total = np.bincount(it, weights=weight, minlength=n)
     impact = weight / total[it] if n else weight
     # the pivot of each item: rarest words first, until the rest cannot reach the threshold
@@ -106,7 +151,16 @@ def build(ids: list[int], texts: list[str]) -> Index:
         cut = max(3, len(wh) * 2 // 3)
         for part, out in ((wh[:cut], question), (wh[cut - 2 :], answer)):
             out.append(np.unique(shingles(part, np.zeros(len(part), np.int64), 1, 3)[0]))
-    return Index(np.array([ids[i] for i in order], np.int64), int(length.max()) if n else 1, terms, ess_ptr, it[ess], pair, impact, bkeys, bmax, question, answer)
+    short = {}
+    all_h = t.hash(s, e)
+    for k in range(1, MIN_WORDS):
+        rows = np.flatnonzero(n_words == k)
+        if len(rows):
+            of = np.isin(row, rows)
+            got = shingles(all_h[of], np.searchsorted(rows, row[of]), len(rows), k)[0]
+            by = np.argsort(got, kind="stable")
+            short[k] = got[by], np.array(ids, np.int64)[rows[by]]
+    return Index(np.array([ids[i] for i in order], np.int64), stats.longest, terms, ess_ptr, it[ess], pair, impact, bkeys, bmax, question, answer, short)
 
 
 def _score(keys: np.ndarray, values: np.ndarray, width: int, p_first: np.ndarray, term: np.ndarray, passage: np.ndarray, col: np.ndarray) -> np.ndarray:
@@ -172,6 +226,21 @@ def search(t: Text, x: Index) -> list[tuple[int, int, float, float, float]]:
     return out
 
 
+def search_short(t: Text, x: Index) -> list[tuple[int, int]]:
+    """(row, item id) of the short items whose words stand in a row in a text."""
+    s, e, row = t.alnum_words()
+    h, out = t.hash(s, e), set()
+    for k, (keys, ids) in x.short.items():
+        sh, r = shingles(h, row, t.n, k)
+        if not len(sh):
+            continue
+        full = np.bincount(row, minlength=t.n)[r] >= k
+        lo, hi = (np.searchsorted(keys, sh, side) for side in ("left", "right"))
+        for at in np.flatnonzero((hi > lo) & full).tolist():
+            out.update((int(r[at]), int(i)) for i in ids[lo[at] : hi[at]])
+    return sorted(out)
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id, item_id, score, question_overlap, answer_overlap, n_passages: the contaminated pairs."""
     items = benchmark.select("item_id", "text").where("item_id is not null and text is not null")
@@ -179,16 +248,22 @@ def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch) -> DataFrame:
     shards = max(1, -(-chars // SHARD_CHARS))
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
     found = None
+    shard = lambda k: items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k).distinct().orderBy("item_id", "text").collect()
+    stats = Stats()
+    for k in range(shards):
+        stats.add([r["text"] for r in shard(k)])
     for k in range(shards):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k).distinct().orderBy("item_id", "text").collect()
-        index = docs.sparkSession.sparkContext.broadcast(build([r["item_id"] for r in rows], [r["text"] for r in rows]))
+        rows = shard(k)
+        index = docs.sparkSession.sparkContext.broadcast(build([r["item_id"] for r in rows], [r["text"] for r in rows], stats))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             x = index.value
             for batch in batches:
                 texts, rows = column(batch, "text"), []
                 for i, j in chunks(texts, CHUNK):
-                    rows += [(i + r, x.ids[p], *rest) for r, p, *rest in search(Text(texts.slice(i, j - i), lower=True), x)]
+                    t = parsed(texts.slice(i, j - i))
+                    rows += [(i + r, x.ids[p], *rest) for r, p, *rest in search(t, x)]
+                    rows += [(i + r, item, 1.0, 1.0, 1.0) for r, item in search_short(t, x)]
                 if rows:
                     at, item, *rest = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays(
