@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_extract, jaccard_join, langid, mixing, periodic_runs, quality, rules, substring_dedup, toxicity
+from . import bottomk, chat, decontaminate, html_extract, jaccard_join, langid, mixing, periodic_runs, quality, rules, substring_dedup, toxicity
 from .common import Scratch
 
 
@@ -59,6 +59,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), Scratch(spark, "op10"))
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bottomk.near_copies(table(spark, sf_dir, "documents"), Scratch(spark, "op11"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.report(table(spark, sf_dir, "documents"), rewrite=True)
 
@@ -74,6 +78,7 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_quality_rules": op9_quality_rules,
     "op10_mixing": op10_mixing,
+    "op11_minhash_near_dedup": op11_minhash_near_dedup,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
