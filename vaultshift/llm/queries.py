@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bottomk, chat, decontaminate, html_extract, jaccard_join, langid, mixing, periodic_runs, quality, rules, substring_dedup, toxicity
+from . import bottomk, chat, decontaminate, html_extract, jaccard_join, langid, mixing, periodic_runs, quality, rtree, rules, substring_dedup, toxicity
 from .common import Scratch
 
 
@@ -63,6 +63,12 @@ def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bottomk.near_copies(table(spark, sf_dir, "documents"), Scratch(spark, "op11"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = rtree.whole_vectors(table(spark, sf_dir, "embeddings"))
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label")))
+    return rtree.hard_negatives(rows, F.col("vec_id") % 50 == 0, Scratch(spark, "op12"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.report(table(spark, sf_dir, "documents"), rewrite=True)
 
@@ -79,10 +85,12 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_mixing": op10_mixing,
     "op11_minhash_near_dedup": op11_minhash_near_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL = {
     "op9_quality_rules": rules.oracle_sql(),
     "op10_mixing": mixing.SQL,
+    "op12_hard_negatives": rtree.SQL,
 }
