@@ -354,3 +354,31 @@ def near_copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
     scratch.drop("sketches", "sets", "links1", "label", "stars", "blocks", "inner", "links2", "named", "by_digest")
     rest = base.where(WORDLESS).select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return out.unionByName(rest).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+#: The query in DuckDB: exact similarity of all pairs that share a shingle, components by reachability.
+SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS s
+  FROM words
+), shingles AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least_reached AS (
+  SELECT a, min(b) AS b FROM reach GROUP BY a
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(r.b, s.doc_id)) AS component_id,
+       s.doc_id = least(s.doc_id, coalesce(r.b, s.doc_id)) AS kept
+FROM sets s LEFT JOIN least_reached r ON r.a = s.doc_id
+"""

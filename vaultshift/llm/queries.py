@@ -92,5 +92,6 @@ QUERIES = {
 ORACLE_SQL = {
     "op9_quality_rules": rules.oracle_sql(),
     "op10_mixing": mixing.SQL,
+    "op11_minhash_near_dedup": bottomk.SQL,
     "op12_hard_negatives": rtree.SQL,
 }
