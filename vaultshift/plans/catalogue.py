@@ -82,8 +82,8 @@ def q_scan_mapping(spark, d):
 
 
 def q_record_counts(spark, d):
-    s = IO.scan_subscribers(spark, _subscriber_csv(spark, d)).agg(F.count(F.lit(1)).alias("n"))
-    m = IO.scan_mapping(spark, _mapping_csv(spark, d)).agg(F.count(F.lit(1)).alias("n"))
+    s = IO.record_count(spark, _subscriber_csv(spark, d))
+    m = IO.record_count(spark, _mapping_csv(spark, d), "ISO-8859-1")
     long = s.select(F.lit("subscriber_records").alias("k"), "n").unionByName(
         m.select(F.lit("mapping_records").alias("k"), "n"))
     return long.groupBy().pivot("k", ["subscriber_records", "mapping_records"]).agg(F.first("n").cast("long"))

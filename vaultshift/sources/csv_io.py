@@ -6,22 +6,25 @@ ids are never turned into floats. No scan loses or moves a cell without a sign:
 * Columns are taken by name. Files of one scan may order their columns differently; files with the
   same header are read together and the groups are united by name.
 * A row with more cells than the header stops the run when it is read; a shorter one is padded.
-* Quoted line breaks are read by default (``multi_line=True``; one task per file). ``multi_line=False``
-  splits files at line ends for large clean exports, and stops at any line that leaves a quote open.
+* Quoted line breaks are read by default (``multi_line=True``), by as many tasks a file as it has splits
+  (``quoted_csv``). ``multi_line=False`` reads large clean exports in one JVM pass, and stops at any line that
+  leaves a quote open.
+* The headers of all files are read by tasks and grouped; the driver opens no file.
 """
 
 from __future__ import annotations
 
 import csv
 import re
-from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from vaultshift import constants as K
 from vaultshift.functions import text as T
+from vaultshift.plans.lines import with_line_numbers
+from vaultshift.sources import quoted_csv as Q
 
 ROW_ID = "_temp_row_id"
 CORRUPT = "_corrupt_record"
@@ -29,106 +32,92 @@ _CELLS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "igno
           "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
-def _header_line(spark: SparkSession, file: str, encoding: str) -> str:
-    """The first record of a file: lines are added while a quote is open."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(file)
-    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
-        text = reader.readLine() or ""
-        while text.count('"') % 2 and (line := reader.readLine()) is not None:
-            text += "\n" + line
-        return text.removeprefix("\ufeff")
-    finally:
-        stream.close()
-
-
-def _files(spark: SparkSession, path: str) -> list[str]:
-    """The data files a path, folder or glob stands for, in name order (names only, no contents)."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = []
-    for status in fs.globStatus(root) or []:
-        inner = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
-        found += [f.getPath().toString() for f in inner if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
-    return sorted(found)
-
-
-def _checked(rows: DataFrame, n: int, what: str) -> DataFrame:
-    """Stops at a record with more cells than the header (delimiters outside quotes) or an open quote."""
+def _checked(rows: DataFrame, n: int, what: str, whole: bool) -> DataFrame:
+    """Stops at a record with more cells than the header (delimiters outside quoted cells) and, where records
+    are not known to be ``whole``, at an open quote."""
     rec = F.col(CORRUPT)
-    bare = F.regexp_replace(rec, '"[^"]*"', "")
+    bare = F.regexp_replace(rec, '(^|,)"[^"]*+(?:""[^"]*+)*+"', "$1")
     long_row = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) >= n
-    open_quote = F.length(rec) - F.length(F.replace(rec, F.lit('"'), F.lit("")))
-    bad = F.when(open_quote % 2 == 1, F.concat(F.lit(f"{what}: a quote stays open in: "), rec)).when(
-        long_row, F.concat(F.lit(f"{what}: more cells than the header's {n}: "), rec))
+    bad = F.when(long_row, F.concat(F.lit(f"{what}: more cells than the header's {n}: "), rec))
+    if not whole:
+        quotes = F.length(rec) - F.length(F.replace(rec, F.lit('"'), F.lit("")))
+        bad = F.when(quotes % 2 == 1, F.concat(F.lit(f"{what}: a quote stays open in: "), rec)).otherwise(bad)
     # a filter is never pruned, whatever columns the query goes on with; it names a cell as well because
     # the reader refuses queries over the record alone
     fine = F.length(F.coalesce(T.col_of(rows.columns[0]), F.lit(""))) >= 0
     return rows.where(F.when(bad.isNotNull(), F.raise_error(bad).cast("boolean")).otherwise(fine)).drop(CORRUPT)
 
 
-FILE, START = "_split_file", "_split_start"
-
-
-def _scan(spark: SparkSession, path: str, multi_line: bool, encoding: str = "UTF-8", splits: bool = False) -> DataFrame:
-    """All cells as text; with ``splits`` also the file and start of the split each row comes from."""
-    files = _files(spark, path)
-    if not files:
-        raise FileNotFoundError(path)
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for f in files:
-        header = next(csv.reader([_header_line(spark, f, encoding)]), [])
-        if len(set(header)) < len(header):
-            raise ValueError(f"{f}: the header repeats a column name")
-        groups.setdefault(tuple(header), []).append(f)
-    first = next(iter(groups))
-    parts = []
-    for header, members in groups.items():
-        if set(header) != set(first):
-            raise ValueError(f"{members[0]}: columns differ from those of {groups[first][0]}: {sorted(set(header) ^ set(first))}")
-        schema = StructType([StructField(c, StringType()) for c in [*header, CORRUPT]])
-        if multi_line:
-            reader = spark.read.schema(schema).options(**_CELLS, header=True, enforceSchema=False, multiLine=True, encoding=encoding, columnPruning=False)
-            rows = reader.csv(members)
-            rows = rows.select("*", *_split_columns()) if splits else rows
-        else:
-            rows = _split_lines(spark, members, header, schema, encoding, splits)
-        parts.append(_checked(rows, len(header), "CSV").select(*[T.col_of(c) for c in first], *([FILE, START] if splits else [])))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _split_columns() -> list[Column]:
-    return [F.col("_metadata.file_path").alias(FILE), F.col("_metadata.file_block_start").alias(START)]
-
-
-def _split_lines(spark: SparkSession, files: list[str], header: tuple[str, ...], schema: StructType, encoding: str, splits: bool) -> DataFrame:
+LINE = "line"
+
+
+def _headers(spark: SparkSession, path: str, encoding: str) -> tuple[dict[str, tuple[str, ...]], int]:
+    """The distinct header records of a path's files with their column names, and the number of splits."""
+    try:
+        found, splits = Q.header_records(spark, path, encoding)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(path) from e
+        raise
+    headers = {text: tuple(next(csv.reader([text]), [])) for text, _ in found}
+    first = next(iter(headers.values()), ())
+    for text, names in headers.items():
+        if len(set(names)) < len(names):
+            raise ValueError(f"{path}: the header repeats a column name: {text[:1000]}")
+        if set(names) != set(first):
+            raise ValueError(f"{path}: columns differ between files: {sorted(set(names) ^ set(first))}")
+    return headers, splits
+
+
+def _scan(spark: SparkSession, path: str, multi_line: bool, encoding: str = "UTF-8", numbered: bool = False) -> DataFrame:
+    """All cells as text, columns in the order of the most frequent header; with ``numbered`` also the 1-based
+    ``line`` of each record over all files in order of their names (headers not counted)."""
+    headers, n_splits = _headers(spark, path, encoding)
+    if not headers:
+        raise ValueError(f"{path}: no file has a header")
+    first = next(iter(headers.values()))
+    if not multi_line and len(headers) == 1:
+        rows = _split_lines(spark, path, first, encoding, numbered)
+        return _checked(rows, len(first), "CSV", False)
+    rows, splits = Q.records(spark, path, encoding, n_splits)
+    if numbered:
+        rows = rows.join(F.broadcast(Q.record_numbers(splits)), [Q.FILE, Q.START]).withColumn(LINE, F.col("_off") + F.col(Q.POS))
+    extra = [F.col(LINE).cast("long").alias(LINE)] if numbered else []
+    if len(headers) == 1:
+        cells = F.from_csv(Q.RECORD, _ddl(first), _CELLS)
+        return _checked(rows.select(cells.alias("c"), *extra).select("c.*", *extra), len(first), "CSV", True)
+    # cells by place, then by name: where column c stands in the file's header
+    places = [f"c{k}" for k in range(len(first))]
+    files = F.broadcast(splits.where(F.col(Q.START) == 0).select(Q.FILE, F.col("header").alias("_header")))  # one row a file
+    rows = rows.join(files, Q.FILE).select(F.from_csv(Q.RECORD, _ddl(places), _CELLS).alias("c"), "_header", *extra)
+    rows = _checked(rows.select("c.*", "_header", *extra), len(first), "CSV", True)
+    order = F.create_map(*[F.lit(x) for text, names in headers.items() for x in (text, [names.index(c) + 1 for c in first])])
+    rows = rows.select(F.array(*places).alias("_cells"), order[F.col("_header")].alias("_at"), *extra)
+    return rows.select(*[F.element_at("_cells", F.col("_at")[k]).alias(c) for k, c in enumerate(first)], *extra)
+
+
+def _split_lines(spark: SparkSession, path: str, header: tuple[str, ...], encoding: str, numbered: bool) -> DataFrame:
     """Lines of splittable text, each parsed by itself; a line with an odd number of quotes stops the run."""
-    lines = spark.read.text(files)
-    value = F.col("value") if encoding.upper() == "UTF-8" else F.decode(F.col("value").cast("binary"), encoding)
-    value = F.regexp_replace(value, "^\ufeff", "")
+    lines = Q.lines_of(spark, path, encoding)
+    value = F.regexp_replace("line", "^\ufeff", "")
     quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
     whole = F.when(quotes % 2 == 1, F.raise_error(F.concat(F.lit("CSV: a quoted line break needs multi_line=True: "), value)).cast("string")).otherwise(value)
-    cells = F.from_csv("line", _ddl(schema), _CELLS)
     # a header line is where a file (not a split) begins
-    start = F.col("_metadata.file_block_start")
-    names = F.lit(_csv_line(header))
-    rows = lines.select(whole.alias("line"), start.alias("_at"), *_split_columns()).where((F.col("line") != "") & ~((F.col("_at") == 0) & (_bare(F.col("line")) == _bare(names))))
-    return rows.select(cells.alias("c"), FILE, START).select("c.*", *([FILE, START] if splits else []))
+    names = F.lit(",".join(header))
+    rows = lines.select(whole.alias(Q.RECORD), Q.FILE, Q.START).where(
+        (F.col(Q.RECORD) != "") & ~((F.col(Q.START) == 0) & (_bare(F.col(Q.RECORD)) == _bare(names))))
+    if numbered:
+        rows = with_line_numbers(rows, Q.FILE, Q.START, LINE)
+    extra = [LINE] if numbered else []
+    return rows.select(F.from_csv(Q.RECORD, _ddl(header), _CELLS).alias("c"), *extra).select("c.*", *extra)
 
 
 def _bare(c: Column) -> Column:
     return F.replace(c, F.lit('"'), F.lit(""))
 
 
-def _csv_line(cells: tuple[str, ...]) -> str:
-    return ",".join(cells)
-
-
-def _ddl(schema: StructType) -> str:
-    return ", ".join(f"`{f.name.replace('`', '``')}` string" for f in schema)
+def _ddl(names) -> str:
+    return ", ".join(f"`{c.replace('`', '``')}` string" for c in (*names, CORRUPT))
 
 
 def scan_subscribers(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -149,13 +138,16 @@ def scan_mapping(spark: SparkSession, path: str, multi_line: bool = True) -> Dat
 def scan_audit(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """A3: a file for the postal audit; it must carry the country and postal columns. Every row has its
     1-based ``line`` (header not counted)."""
-    from vaultshift.plans.lines import with_line_numbers
-    raw = _scan(spark, path, multi_line, splits=True)
+    raw = _scan(spark, path, multi_line, numbered=True)
     need = {"address_country_code", "address_postal_code"}
     if not need <= set(raw.columns):
         raise ValueError("Required columns not found")
-    cells = [T.subscriber_null_normalise(c).alias(c) for c in raw.columns if c not in (FILE, START)]
-    return with_line_numbers(raw.select(*cells, FILE, START), FILE, START)
+    return raw.select(*[T.subscriber_null_normalise(c).alias(c) for c in raw.columns if c != LINE], LINE)
+
+
+def record_count(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """The number of records (``n``), counted without parsing: one narrow pass over the lines."""
+    return Q.count_records(spark, path, encoding)
 
 
 def write_csv(df: DataFrame, path: str, clean: bool = True, null_value: str = "",
