@@ -1,18 +1,23 @@
 """Skew-safe join and grouping building blocks.
 
 Any key may hold a large share of the rows (blank card tokens, one shared test email, a blank
-subscription id). Both helpers first count rows per key with a partial (map-side) aggregation,
-which is skew-proof, then treat *hot* keys apart: keys with at least ``hot_rows`` rows on one side, or with
+subscription id). The join counts rows per key with a partial (map-side) aggregation, which is skew-proof,
+and treats *hot* keys apart: keys with at least ``hot_rows`` rows on one side, or with
 at least ``PAIRS_PER_ROW * hot_rows`` joined pairs.
 
-* The hot set is counted before anything is done with it. Up to ``MAX_HOT_KEYS`` keys it is fetched
-  once and broadcast; when it is empty the hot branch is left out of the plan; beyond the limit it
-  stays a distributed table and is joined by shuffle.
+* The hot table is part of the plan, no job runs while a query is built. It holds the ``MAX_HOT_KEYS`` keys with
+  the most rows or pairs at most, so its broadcast is bounded; a key beyond them has at most a 100 000th of
+  a side's rows and takes the cold path. A run that materialises fetches the table instead and leaves the hot
+  branch out when it is empty.
 * Cold keys take the ordinary hash-partitioned path, where a group has fewer than ``hot_rows`` rows a
   side and fewer than ``PAIRS_PER_ROW * hot_rows`` pairs.
 * Hot keys are split on a salted grid whose cells hold at most about ``PAIRS_PER_ROW * hot_rows`` pairs and
   ``hot_rows`` rows of a side. Left rows of a hot key without partner are passed on where they are.
 
+Group sizes over joined rows (duplicate emails, duplicate subscription ids) come from narrow statistics:
+a left row yields as many joined rows as its key has on the right, so sizes are sums of that fan-out over
+left rows, and the wide rows are joined once, for the report itself.
+
 Salts are hashes of stable row ids, never random numbers, so a recomputed task after an executor
 loss puts every row in the same cell again.
 """
@@ -30,16 +35,6 @@ PAIRS_PER_ROW = 100
 MAX_HOT_KEYS = 100_000
 
 
-def _fetched(hot: DataFrame) -> DataFrame | None:
-    """The hot set as a broadcast table if it is small enough, else as it is; None if it is empty."""
-    found = hot.limit(MAX_HOT_KEYS + 1).collect()
-    if not found:
-        return None
-    if len(found) > MAX_HOT_KEYS:
-        return hot
-    return F.broadcast(hot.sparkSession.createDataFrame(found, hot.schema))
-
-
 def _ceil_div(n: Column, d: int) -> Column:
     return F.greatest(F.lit(1), ((n + F.lit(d - 1)) / F.lit(d)).cast("long")).cast("int")
 
@@ -53,13 +48,15 @@ def skew_left_join(
     left_aggs: Sequence[tuple[str, Column]] = (),
     right_aggs: Sequence[tuple[str, Column]] = (),
     hot_rows: int = DEFAULT_HOT_ROWS,
+    fetch: bool = False,
 ) -> DataFrame:
     """``left ⟕ right`` on ``key`` with per-key statistics attached to every output row.
 
     Both inputs must have non-null keys. Output: all left columns, all right columns except the
     key (null when unmatched), ``_ln`` (left rows of the key), ``_rn`` (right rows of the key, 0
     when unmatched) and the named ``left_aggs`` / ``right_aggs`` (aggregate expressions over the
-    rows of the key on that side; right ones are null when unmatched).
+    rows of the key on that side; right ones are null when unmatched). ``fetch``: look at the hot table now
+    (one job) and plan without the hot branch if it is empty.
     """
     lagg = [("_ln", F.count(F.lit(1)))] + list(left_aggs)
     ragg = [("_rn", F.count(F.lit(1)))] + list(right_aggs)
@@ -68,24 +65,26 @@ def skew_left_join(
     stats = lstats.join(rstats, key, "full")
     ln, rn = F.coalesce(F.col("_ln"), F.lit(0)), F.coalesce(F.col("_rn"), F.lit(0))
     most_pairs = PAIRS_PER_ROW * hot_rows
-    hot_b = _fetched(stats.where((ln >= hot_rows) | (rn >= hot_rows) | (ln * rn >= most_pairs)))
+    lnames, rnames = [n for n, _ in lagg], [n for n, _ in ragg]
+    hot = stats.where((ln >= hot_rows) | (rn >= hot_rows) | (ln * rn >= most_pairs))
+    hot = hot.orderBy(F.desc(F.greatest(ln, rn, ln * rn)), key).limit(MAX_HOT_KEYS)
+    hot = hot.select(key, F.struct(*lnames, *rnames).alias("_h"))  # one column: every use broadcasts the same table
+    if fetch:
+        found = hot.collect()
+        hot = hot.sparkSession.createDataFrame(found, hot.schema) if found else None
 
     right_cols = [c for c in right.columns if c != key]
-    lnames = [n for n, _ in lagg]
-    rnames = [n for n, _ in ragg]
-
     # Cold keys: one hash exchange per side; the window statistics reuse that partitioning.
     wl = Window.partitionBy(key)
     l_cold, r_cold = left, right
-    if hot_b is not None:
-        hot_keys = hot_b.select(key)
-        l_cold = left.join(hot_keys, key, "left_anti")
-        r_cold = right.join(hot_keys, key, "left_anti")
+    if hot is not None:
+        l_tagged, r_tagged = left.join(F.broadcast(hot), key, "left"), right.join(F.broadcast(hot), key, "left")
+        l_cold, r_cold = (df.where(F.col("_h").isNull()).drop("_h") for df in (l_tagged, r_tagged))
     l_cold = l_cold.select("*", *[e.over(wl).alias(n) for n, e in lagg])
     r_cold = r_cold.select("*", *[e.over(wl).alias(n) for n, e in ragg])
     cold = l_cold.join(r_cold, key, "left")
     order = [*left.columns, *lnames, *right_cols, *rnames]
-    if hot_b is None:
+    if hot is None:
         return cold.select(*order).withColumn("_rn", F.coalesce(F.col("_rn"), F.lit(0)))
 
     # Hot keys: statistics come with the hot table. Grid: a left row sits in row ``salt_l`` of the grid
@@ -96,20 +95,21 @@ def skew_left_join(
     sl = F.when(n_r < side, _ceil_div(n_l * n_r, most_pairs)).otherwise(_ceil_div(n_l, side))
     sr = F.when(n_l < side, _ceil_div(n_l * n_r, most_pairs)).otherwise(_ceil_div(n_r, side))
     sl, sr = F.greatest(sl, _ceil_div(n_l, hot_rows)), F.greatest(sr, _ceil_div(n_r, hot_rows))
-    paired = hot_b.where((n_l > 0) & (n_r > 0))
+    l_hot = l_tagged.where(F.col("_h").isNotNull()).select(*left.columns, "_h.*")
+    r_hot = r_tagged.where(F.col("_h").isNotNull()).select(*right.columns, "_h._ln", "_h._rn")
     l_grid = (
-        left.join(paired, key)
+        l_hot.where(n_r > 0)
         .withColumn("_gi", F.pmod(F.xxhash64(F.col(left_uid)), sl.cast("long")).cast("int"))
         .withColumn("_gj", F.explode(F.sequence(F.lit(0), sr - 1)))
     )
     r_grid = (
-        right.join(paired.select(key, "_ln", "_rn"), key)
+        r_hot.where(n_l > 0)
         .withColumn("_gj", F.pmod(F.xxhash64(F.col(right_uid)), sr.cast("long")).cast("int"))
         .withColumn("_gi", F.explode(F.sequence(F.lit(0), sl - 1)))
         .select(key, "_gi", "_gj", *right_cols)
     )
     gridded = l_grid.join(r_grid, [key, "_gi", "_gj"]).drop("_gi", "_gj")
-    alone = left.join(hot_b.where((n_l > 0) & n_r.isNull()), key)
+    alone = l_hot.where(n_r.isNull())
     types = dict(right.dtypes)
     alone = alone.withColumns({c: F.lit(None).cast(types[c]) for c in right_cols})
 
@@ -122,28 +122,26 @@ def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> lis
     return [left[k].eqNullSafe(right[f"_g_{k}"]) for k in keys]
 
 
-def rows_in_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """Rows of ``df`` whose ``keys`` value occurs more than once (nulls form a group of their own).
+def fan_out(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """(cols, _rows): how many rows of ``left ⟕ right`` on ``key`` carry each combination of left columns, from
+    rows per key and combination: both sides are aggregated before they meet."""
+    mine = left.groupBy(key, *cols).agg(F.count(F.lit(1)).alias("_l"))
+    theirs = right.groupBy(key).agg(F.count(F.lit(1)).alias("_r"))
+    rows = F.col("_l") * F.greatest(F.coalesce(F.col("_r"), F.lit(0)), F.lit(1))
+    return mine.join(theirs, key, "left").select(*cols, rows.alias("_rows"))
 
-    The group sizes come from a partial aggregation; groups of ``hot_rows`` or more are picked
-    with a semi-join of the hot table, broadcast while it has at most ``MAX_HOT_KEYS`` keys.
-    """
-    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_g_n")).where(F.col("_g_n") > 1)
-    renamed = [F.col(k).alias(f"_g_{k}") for k in keys]
-    cold = stats.where(F.col("_g_n") < hot_rows).select(*renamed)
-    hot = stats.where(F.col("_g_n") >= hot_rows).select(*renamed)
-    hot = _fetched(hot)
-    if hot is None:
-        return df.join(cold, _null_safe_on(df, cold, keys), "left_semi")
-    in_hot = df.join(hot, _null_safe_on(df, hot, keys), "left_semi")
-    rest = df.join(hot, _null_safe_on(df, hot, keys), "left_anti")
-    in_cold = rest.join(cold, _null_safe_on(rest, cold, keys), "left_semi")
-    return in_hot.unionByName(in_cold)
-
-
-def rows_in_groups_count(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """One row, one column: how many rows of ``df`` share their ``keys`` value with another row."""
-    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_g_n"))
-    return stats.agg(
-        F.coalesce(F.sum(F.when(F.col("_g_n") > 1, F.col("_g_n"))), F.lit(0)).cast("long").alias(name)
-    )
+
+def rows_in_groups(df: DataFrame, key: str, fan: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``key`` value more than one row has (nulls form a group of their own), by the
+    fan-out (key, _rows) of the join that makes them. One semi-join, the last step of a plan, so that
+    AQE splits the rows of a hot group."""
+    shared = fan.groupBy(F.col(key).alias("_g")).agg(F.sum("_rows").alias("_n")).where(F.col("_n") > 1).select("_g")
+    return df.join(shared, df[key].eqNullSafe(shared["_g"]), "left_semi")
+
+
+def rows_in_groups_counts(fan: DataFrame, keys: dict[str, str]) -> DataFrame:
+    """One row: for each name how many joined rows share their value of a column with another one (name ->
+    column). All columns are counted in one pass over the fan-out."""
+    values = F.array(*[F.struct(F.lit(name).alias("name"), F.col(col).cast("string").alias("value")) for name, col in keys.items()])
+    sizes = fan.select(F.explode(values).alias("g"), "_rows").groupBy("g.name", "g.value").agg(F.sum("_rows").alias("n")).where("n > 1")
+    return sizes.agg(*[F.coalesce(F.sum(F.when(F.col("name") == name, F.col("n"))), F.lit(0)).cast("long").alias(name) for name in keys])

@@ -15,8 +15,9 @@ Design points for large inputs:
   give it a failing postal code (``any`` over the key, precomputed per country class).
 * Rules never filter; each is a pair of boolean columns, so every count of the summary comes from
   one aggregate per grain (subscriber rows, joined rows).
-* Duplicate emails and subscription ids only feed reports and counts; their counts are partial
-  aggregations, their report rows a skew-split semi-join (``vaultshift.operators.skew``).
+* Duplicate emails and subscription ids only feed reports and counts; their group sizes over joined rows
+  are sums of each subscriber row's fan-out, taken from narrow columns before the wide join
+  (``vaultshift.operators.skew``). A query joins the wide rows once at most, and none for these counts.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from vaultshift.functions import text as T
 from vaultshift.operators import mapping as M
 from vaultshift.operators import postal as P
 from vaultshift.operators import rules as R
-from vaultshift.operators.skew import DEFAULT_HOT_ROWS, rows_in_groups, rows_in_groups_count, skew_left_join
+from vaultshift.operators.skew import DEFAULT_HOT_ROWS, fan_out, rows_in_groups, rows_in_groups_counts, skew_left_join
 
 ROW_ID = "_temp_row_id"
 
@@ -121,6 +122,7 @@ class Migration:
     mapping: DataFrame
     options: MigrationOptions = field(default_factory=MigrationOptions)
     _fetched = False
+    _materialized = False
 
     # ---- subscriber grain ---------------------------------------------------------------------
     @cached_property
@@ -200,6 +202,7 @@ class Migration:
                 ("_rn_fail_other", _any(F.col("_m_fail_other"))),
             ],
             hot_rows=o.hot_rows,
+            fetch=self._materialized,
         )
         country = self._sub_col("address_country_code")
         postal = self._sub_col("address_postal_code")
@@ -260,7 +263,8 @@ class Migration:
         run_all([partial(writers[n].parquet, f"{path}/{n}") for n in inputs])
         for name in inputs:
             self.__dict__[name] = spark.read.parquet(f"{path}/{name}")
-        for name in ("keyed_subscribers", "joined_all", "completed"):
+        self._materialized = True
+        for name in ("keyed_subscribers", "joined_all", "completed", "group_fan"):
             self.__dict__.pop(name, None)
         self._copy_writer(self.joined_all).parquet(f"{path}/joined")
         self.__dict__["joined_all"] = spark.read.parquet(f"{path}/joined")
@@ -356,27 +360,32 @@ class Migration:
             return self.layout(self.completed.where(F.lit(False)))
         return self.layout(self.completed.where(F.col("_dup_card_id")))
 
+    @cached_property
+    def group_fan(self) -> DataFrame:
+        """(sid, email, _rows): the joined rows with an email that each pair of values has."""
+        subs = self.keyed_subscribers.select("_key", self._sub_col("subscription_external_id").alias("sid"), self._sub_col("customer_email").alias("email"))
+        return fan_out(subs.where("email is not null"), self.prepared_mapping, "_key", ["sid", "email"])
+
+    def _in_groups(self, rows: DataFrame, column: str, fan: str) -> DataFrame:
+        return rows_in_groups(rows, column, self.group_fan.select(F.col(fan).alias(column), "_rows"))
+
     @cached_property
     def duplicate_subscription_ids(self) -> DataFrame:
-        rows = self.layout()
-        return rows_in_groups(rows, ["subscription_external_id"], self.options.hot_rows)
+        return self._in_groups(self.layout(), "subscription_external_id", "sid")
 
     @cached_property
     def duplicate_emails(self) -> DataFrame:
         """F4, taken before anonymisation; empty when emails are anonymised."""
         rows = self.layout(stage="emails")
-        if self.options.anonymising:
-            return rows.where(F.lit(False))
-        return rows_in_groups(rows, ["customer_email"], self.options.hot_rows)
+        return rows.where(F.lit(False)) if self.options.anonymising else self._in_groups(rows, "customer_email", "email")
 
     @cached_property
     def duplicate_emails_surviving(self) -> DataFrame:
         """Duplicate-email rows that are still in the run after removal."""
         if self.options.anonymising:
             return self.layout(self.completed.where(F.lit(False)))
-        rows = self.completed.select(*self._layout_exprs("emails"), "is_duplicate_token", ROW_ID, "_row_failed")
-        dup = rows_in_groups(rows, ["customer_email"], self.options.hot_rows)
-        return dup.where(~F.col("_row_failed")).drop("_row_failed")
+        rows = self.completed.where(~F.col("_row_failed"))
+        return self._in_groups(rows.select(*self._layout_exprs("emails"), "is_duplicate_token", ROW_ID), "customer_email", "email")
 
     # ---- counts -------------------------------------------------------------------------------
     @cached_property
@@ -443,14 +452,9 @@ class Migration:
 
     @cached_property
     def duplicate_counts(self) -> DataFrame:
-        """F3/F4 counts: rows sharing a subscription id / an email (partial aggregations)."""
-        rows = self.completed.select(self._sub_col("subscription_external_id").alias("sid"),
-                                     self._sub_col("customer_email").alias("email"))
-        sid = rows_in_groups_count(rows, ["sid"], "duplicate_subscription_ids")
-        email = rows_in_groups_count(rows, ["email"], "duplicate_emails")
-        if self.options.anonymising:
-            email = email.select(F.lit(0).cast("long").alias("duplicate_emails"))
-        return sid, email
+        """F3/F4 counts: rows sharing a subscription id / an email, without the wide join."""
+        counts = rows_in_groups_counts(self.group_fan, {"duplicate_subscription_ids": "sid", "duplicate_emails": "email"})
+        return counts.withColumn("duplicate_emails", F.lit(0).cast("long")) if self.options.anonymising else counts
 
     def _long(self, df: DataFrame, names: list[str]) -> DataFrame:
         stack = ", ".join(f"'{n}', cast(`{n}` AS bigint)" for n in names)
@@ -460,7 +464,7 @@ class Migration:
         """The named counts (default: all) as (metric, value) rows; one aggregate per grain that has
         one of them, and none for the others."""
         parts = [(df, [c for c in df.columns if names is None or c in names])
-                 for df in (self.subscriber_counts, self.joined_counts, *self.duplicate_counts)]
+                 for df in (self.subscriber_counts, self.joined_counts, self.duplicate_counts)]
         return reduce(DataFrame.unionByName, [self._long(df, cols) for df, cols in parts if cols])
 
     @cached_property
