@@ -92,6 +92,26 @@ def test_building_a_query_writes_nothing(spark, tmp_path):
     assert wide.count("FileScan") == 1
 
 
+def _jobs(spark):
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+
+@pytest.mark.parametrize("name", ["run_summary_stripe", "duplicate_emails", "duplicate_emails_surviving", "duplicate_subscription_ids",
+                                  "validation_summary", "validation_envelope", "no_token_skewed", "output_duplicate_card_ids"])
+def test_one_wide_join_and_no_job_while_building(spark, name):
+    """The vault's card number is read for the wide join alone: once a query. Building reads file footers
+    (one job a table) and, where a query writes files, those files."""
+    from vaultshift.plans import report_queries as RQ
+    before = _jobs(spark)
+    run = {"validation_envelope": lambda: RQ.validation_envelope(RQ._run(spark, SF001)),
+           "output_duplicate_card_ids": lambda: RQ._run(spark, SF001).duplicate_card_ids}.get(name, lambda: C.QUERIES[name](spark, SF001))
+    df = run()
+    assert _jobs(spark) - before <= 4
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    # joins of joined rows on the grid (fan-out and hot-key tables are joined on the key alone)
+    assert plan.count("Join LeftOuter, (((_key") == 1, plan
+
+
 def test_join_shuffles_each_side_once(spark):
     """Without hot keys the joined rows need exactly two hash exchanges (one per side, on the card
     key); the duplicate flags and the removal roll-up reuse that partitioning."""

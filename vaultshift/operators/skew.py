@@ -7,12 +7,12 @@ at least ``PAIRS_PER_ROW * hot_rows`` joined pairs.
 
 * The hot table is part of the plan, no job runs while a query is built. It holds the ``MAX_HOT_KEYS`` keys with
   the most rows or pairs at most, so its broadcast is bounded; a key beyond them has at most a 100 000th of
-  a side's rows and takes the cold path. A run that materialises fetches the table instead and leaves the hot
-  branch out when it is empty.
-* Cold keys take the ordinary hash-partitioned path, where a group has fewer than ``hot_rows`` rows a
-  side and fewer than ``PAIRS_PER_ROW * hot_rows`` pairs.
+  a side's rows and is treated as cold. A run that materialises fetches the table instead and plans without
+  the grid when it is empty.
+* Every key is a grid of cells, and rows are hash-partitioned by key and cell. A cold key is one cell, a group of
+  fewer than ``hot_rows`` rows a side and fewer than ``PAIRS_PER_ROW * hot_rows`` pairs.
 * Hot keys are split on a salted grid whose cells hold at most about ``PAIRS_PER_ROW * hot_rows`` pairs and
-  ``hot_rows`` rows of a side. Left rows of a hot key without partner are passed on where they are.
+  ``hot_rows`` rows of a side. Left rows of a hot key without partner are spread over its rows.
 
 Group sizes over joined rows (duplicate emails, duplicate subscription ids) come from narrow statistics:
 a left row yields as many joined rows as its key has on the right, so sizes are sums of that fan-out over
@@ -25,7 +25,6 @@ loss puts every row in the same cell again.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,6 +48,8 @@ def skew_left_join(
     right_aggs: Sequence[tuple[str, Column]] = (),
     hot_rows: int = DEFAULT_HOT_ROWS,
     fetch: bool = False,
+    left_keys: DataFrame | None = None,
+    right_keys: DataFrame | None = None,
 ) -> DataFrame:
     """``left ⟕ right`` on ``key`` with per-key statistics attached to every output row.
 
@@ -56,70 +57,61 @@ def skew_left_join(
     key (null when unmatched), ``_ln`` (left rows of the key), ``_rn`` (right rows of the key, 0
     when unmatched) and the named ``left_aggs`` / ``right_aggs`` (aggregate expressions over the
     rows of the key on that side; right ones are null when unmatched). ``fetch``: look at the hot table now
-    (one job) and plan without the hot branch if it is empty.
+    (one job) and plan without the grid if it is empty. ``left_keys`` / ``right_keys``: the same rows with fewer
+    columns (the key, and what ``left_aggs`` reads), from which rows per key are counted.
     """
+    left_keys, right_keys = (left if left_keys is None else left_keys), (right if right_keys is None else right_keys)
     lagg = [("_ln", F.count(F.lit(1)))] + list(left_aggs)
     ragg = [("_rn", F.count(F.lit(1)))] + list(right_aggs)
-    lstats = left.groupBy(key).agg(*[e.alias(n) for n, e in lagg])
-    rstats = right.groupBy(key).agg(*[e.alias(n) for n, e in ragg])
-    stats = lstats.join(rstats, key, "full")
+    lnames, rnames = [n for n, _ in lagg], [n for n, _ in ragg]
     ln, rn = F.coalesce(F.col("_ln"), F.lit(0)), F.coalesce(F.col("_rn"), F.lit(0))
     most_pairs = PAIRS_PER_ROW * hot_rows
-    lnames, rnames = [n for n, _ in lagg], [n for n, _ in ragg]
-    hot = stats.where((ln >= hot_rows) | (rn >= hot_rows) | (ln * rn >= most_pairs))
-    hot = hot.orderBy(F.desc(F.greatest(ln, rn, ln * rn)), key).limit(MAX_HOT_KEYS)
-    hot = hot.select(key, F.struct(*lnames, *rnames).alias("_h"))  # one column: every use broadcasts the same table
+
+    def hot_table(rows: DataFrame, aggs: list) -> DataFrame:
+        """Hot keys with their statistics as one column; those of the right side from ``rows``."""
+        l = left_keys.groupBy(key).agg(*[e.alias(n) for n, e in lagg])
+        r = rows.groupBy(key).agg(*[e.alias(n) for n, e in aggs])
+        hot = l.join(r, key, "full").where((ln >= hot_rows) | (rn >= hot_rows) | (ln * rn >= most_pairs))
+        hot = hot.orderBy(F.desc(F.greatest(ln, rn, ln * rn)), key).limit(MAX_HOT_KEYS)
+        return hot.select(key, F.struct(*lnames, *[n for n, _ in aggs]).alias("_h"))
+
+    l_hot = hot_table(right, ragg)
+    r_hot = hot_table(right_keys, ragg[:1])  # only sizes
     if fetch:
-        found = hot.collect()
-        hot = hot.sparkSession.createDataFrame(found, hot.schema) if found else None
+        found = l_hot.collect()
+        l_hot = r_hot = l_hot.sparkSession.createDataFrame(found, l_hot.schema) if found else None
 
     right_cols = [c for c in right.columns if c != key]
-    # Cold keys: one hash exchange per side; the window statistics reuse that partitioning.
-    wl = Window.partitionBy(key)
-    l_cold, r_cold = left, right
-    if hot is not None:
-        l_tagged, r_tagged = left.join(F.broadcast(hot), key, "left"), right.join(F.broadcast(hot), key, "left")
-        l_cold, r_cold = (df.where(F.col("_h").isNull()).drop("_h") for df in (l_tagged, r_tagged))
-    l_cold = l_cold.select("*", *[e.over(wl).alias(n) for n, e in lagg])
-    r_cold = r_cold.select("*", *[e.over(wl).alias(n) for n, e in ragg])
-    cold = l_cold.join(r_cold, key, "left")
     order = [*left.columns, *lnames, *right_cols, *rnames]
-    if hot is None:
-        return cold.select(*order).withColumn("_rn", F.coalesce(F.col("_rn"), F.lit(0)))
-
-    # Hot keys: statistics come with the hot table. Grid: a left row sits in row ``salt_l`` of the grid
-    # and is copied to every column; a right row sits in column ``salt_r`` and is copied to every
-    # row. Each pair meets in exactly one cell. A side small enough beside the other is not split.
+    if l_hot is None:
+        # one hash exchange per side; the window statistics reuse that partitioning
+        w = Window.partitionBy(key)
+        l = left.select("*", *[e.over(w).alias(n) for n, e in lagg])
+        r = right.select("*", *[e.over(w).alias(n) for n, e in ragg])
+        return l.join(r, key, "left").select(*order).withColumn("_rn", F.coalesce(F.col("_rn"), F.lit(0)))
+
+    # The grid: a left row sits in row ``_gi`` and is copied to every column, a right row in column ``_gj`` and
+    # copied to every row, so each pair meets in exactly one cell. A cold key is a grid of one cell, and its
+    # statistics are windows over that cell; those of a hot key come with the hot table. A side small enough
+    # beside the other is not split.
     side = max(1, int(most_pairs ** 0.5))
-    n_l, n_r = F.col("_ln"), F.col("_rn")
+    n_l, n_r = (F.coalesce(F.col(f"_h.{n}"), F.lit(0)) for n in ("_ln", "_rn"))
     sl = F.when(n_r < side, _ceil_div(n_l * n_r, most_pairs)).otherwise(_ceil_div(n_l, side))
     sr = F.when(n_l < side, _ceil_div(n_l * n_r, most_pairs)).otherwise(_ceil_div(n_r, side))
-    sl, sr = F.greatest(sl, _ceil_div(n_l, hot_rows)), F.greatest(sr, _ceil_div(n_r, hot_rows))
-    l_hot = l_tagged.where(F.col("_h").isNotNull()).select(*left.columns, "_h.*")
-    r_hot = r_tagged.where(F.col("_h").isNotNull()).select(*right.columns, "_h._ln", "_h._rn")
-    l_grid = (
-        l_hot.where(n_r > 0)
-        .withColumn("_gi", F.pmod(F.xxhash64(F.col(left_uid)), sl.cast("long")).cast("int"))
-        .withColumn("_gj", F.explode(F.sequence(F.lit(0), sr - 1)))
-    )
-    r_grid = (
-        r_hot.where(n_l > 0)
-        .withColumn("_gj", F.pmod(F.xxhash64(F.col(right_uid)), sr.cast("long")).cast("int"))
-        .withColumn("_gi", F.explode(F.sequence(F.lit(0), sl - 1)))
-        .select(key, "_gi", "_gj", *right_cols)
-    )
-    gridded = l_grid.join(r_grid, [key, "_gi", "_gj"]).drop("_gi", "_gj")
-    alone = l_hot.where(n_r.isNull())
-    types = dict(right.dtypes)
-    alone = alone.withColumns({c: F.lit(None).cast(types[c]) for c in right_cols})
-
-    parts = [p.select(*order) for p in (cold, gridded, alone)]
-    out = reduce(DataFrame.unionByName, parts)
-    return out.withColumn("_rn", F.coalesce(F.col("_rn"), F.lit(0)))
-
-
-def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> list[Column]:
-    return [left[k].eqNullSafe(right[f"_g_{k}"]) for k in keys]
+    is_hot = F.col("_h").isNotNull()
+    rows_, columns = (F.when(is_hot, F.greatest(s, _ceil_div(n, hot_rows))).otherwise(1) for s, n in ((sl, n_l), (sr, n_r)))
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    one_of = lambda uid, n: F.pmod(F.xxhash64(F.col(uid)), n.cast("long")).cast("int")
+    w = Window.partitionBy(key, "_gi", "_gj")
+    l = left.join(F.broadcast(l_hot), key, "left").withColumn("_gi", one_of(left_uid, rows_)).withColumn("_gj", every(columns))
+    l = l.select("*", *[F.when(is_hot, F.col(f"_h.{n}")).otherwise(e.over(w)).alias(n) for n, e in lagg])
+    r = right.join(F.broadcast(r_hot), key, "left").withColumn("_gj", one_of(right_uid, columns)).withColumn("_gi", every(rows_))
+    r = r.select(key, "_gi", "_gj", *right_cols, *[e.over(w).alias(n) for n, e in ragg])
+    out = l.join(r, [key, "_gi", "_gj"], "left")
+    # a hot key's left row without partner in one cell has them in others
+    out = out.where(~(is_hot & (n_r > 0) & F.col(right_uid).isNull()))
+    stats = {n: F.when(is_hot, F.col(f"_h.{n}")).otherwise(F.col(n)) for n in rnames}
+    return out.select(*left.columns, *lnames, *right_cols, *[c.alias(n) for n, c in stats.items()]).withColumn("_rn", F.coalesce(F.col("_rn"), F.lit(0)))
 
 
 def fan_out(left: DataFrame, right: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:

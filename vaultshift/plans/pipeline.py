@@ -177,23 +177,34 @@ class Migration:
             m = m.withColumnRenamed(name + "_postal_fails", name).drop(*[name + k for k in P.OUTCOMES[:-1]])
         return m
 
-    @cached_property
-    def keyed_subscribers(self) -> DataFrame:
-        """Subscribers with the join key; Stripe drops null keys (C12), Bluesnap keys are text."""
-        df = self.prepared_subscribers
-        tok = T.col_of("card_token") if "card_token" in self.file_columns else F.lit(None).cast("string")
+    def _keyed(self, df: DataFrame) -> DataFrame:
+        """Rows with the join key; Stripe drops null keys (C12), Bluesnap keys are text."""
+        tok = self._sub_col("card_token")
         if self.options.provider == "bluesnap":
             return df.withColumn("_key", F.coalesce(tok, F.lit("nan")))
         return df.withColumn("_key", tok).where(F.col("_key").isNotNull())
 
+    @cached_property
+    def keyed_subscribers(self) -> DataFrame:
+        return self._keyed(self.prepared_subscribers)
+
+    @cached_property
+    def subscriber_keys(self) -> DataFrame:
+        """Key, email and subscription id of the keyed rows; no rule touches these, so they come from the source."""
+        df = self._keyed(self.prepared_subscribers if self._materialized else self.subscribers)
+        return df.select("_key", self._sub_col("customer_email").alias("_email"), self._sub_col("subscription_external_id").alias("sid"))
+
+    @cached_property
+    def mapping_keys(self) -> DataFrame:
+        return (self.prepared_mapping if self._materialized else M.prepare(self.mapping, self.options.provider)).select("_key")
+
     @cached_property
     def joined_all(self) -> DataFrame:
         """Joined rows before the null-email filter, with every per-row rule outcome."""
         o = self.options
-        email = T.col_of("customer_email") if "customer_email" in self.file_columns else F.lit(None)
         j = skew_left_join(
-            self.keyed_subscribers, self.prepared_mapping, "_key", ROW_ID, "_m_uid",
-            left_aggs=[("_ln_email", F.count(F.when(email.isNotNull(), F.lit(1))))],
+            self.keyed_subscribers.withColumn("_email", self._sub_col("customer_email")), self.prepared_mapping, "_key", ROW_ID, "_m_uid",
+            left_aggs=[("_ln_email", F.count("_email"))],
             right_aggs=[
                 ("_rn_first", F.min("_m_uid")),
                 ("_rn_null_token", _any(F.col("_m_token").isNull())),
@@ -202,8 +213,8 @@ class Migration:
                 ("_rn_fail_other", _any(F.col("_m_fail_other"))),
             ],
             hot_rows=o.hot_rows,
-            fetch=self._materialized,
-        )
+            fetch=self._materialized, left_keys=self.subscriber_keys, right_keys=self.mapping_keys,
+        ).drop("_email")
         country = self._sub_col("address_country_code")
         postal = self._sub_col("address_postal_code")
         fan = F.greatest(F.col("_rn"), F.lit(1))
@@ -264,7 +275,7 @@ class Migration:
         for name in inputs:
             self.__dict__[name] = spark.read.parquet(f"{path}/{name}")
         self._materialized = True
-        for name in ("keyed_subscribers", "joined_all", "completed", "group_fan"):
+        for name in ("keyed_subscribers", "subscriber_keys", "mapping_keys", "joined_all", "completed", "group_fan"):
             self.__dict__.pop(name, None)
         self._copy_writer(self.joined_all).parquet(f"{path}/joined")
         self.__dict__["joined_all"] = spark.read.parquet(f"{path}/joined")
@@ -362,9 +373,8 @@ class Migration:
 
     @cached_property
     def group_fan(self) -> DataFrame:
-        """(sid, email, _rows): the joined rows with an email that each pair of values has."""
-        subs = self.keyed_subscribers.select("_key", self._sub_col("subscription_external_id").alias("sid"), self._sub_col("customer_email").alias("email"))
-        return fan_out(subs.where("email is not null"), self.prepared_mapping, "_key", ["sid", "email"])
+        """(sid, _email, _rows): the joined rows with an email that each pair of values has."""
+        return fan_out(self.subscriber_keys.where("_email is not null"), self.mapping_keys, "_key", ["sid", "_email"])
 
     def _in_groups(self, rows: DataFrame, column: str, fan: str) -> DataFrame:
         return rows_in_groups(rows, column, self.group_fan.select(F.col(fan).alias(column), "_rows"))
@@ -377,7 +387,7 @@ class Migration:
     def duplicate_emails(self) -> DataFrame:
         """F4, taken before anonymisation; empty when emails are anonymised."""
         rows = self.layout(stage="emails")
-        return rows.where(F.lit(False)) if self.options.anonymising else self._in_groups(rows, "customer_email", "email")
+        return rows.where(F.lit(False)) if self.options.anonymising else self._in_groups(rows, "customer_email", "_email")
 
     @cached_property
     def duplicate_emails_surviving(self) -> DataFrame:
@@ -385,7 +395,7 @@ class Migration:
         if self.options.anonymising:
             return self.layout(self.completed.where(F.lit(False)))
         rows = self.completed.where(~F.col("_row_failed"))
-        return self._in_groups(rows.select(*self._layout_exprs("emails"), "is_duplicate_token", ROW_ID), "customer_email", "email")
+        return self._in_groups(rows.select(*self._layout_exprs("emails"), "is_duplicate_token", ROW_ID), "customer_email", "_email")
 
     # ---- counts -------------------------------------------------------------------------------
     @cached_property
@@ -453,7 +463,7 @@ class Migration:
     @cached_property
     def duplicate_counts(self) -> DataFrame:
         """F3/F4 counts: rows sharing a subscription id / an email, without the wide join."""
-        counts = rows_in_groups_counts(self.group_fan, {"duplicate_subscription_ids": "sid", "duplicate_emails": "email"})
+        counts = rows_in_groups_counts(self.group_fan, {"duplicate_subscription_ids": "sid", "duplicate_emails": "_email"})
         return counts.withColumn("duplicate_emails", F.lit(0).cast("long")) if self.options.anonymising else counts
 
     def _long(self, df: DataFrame, names: list[str]) -> DataFrame:

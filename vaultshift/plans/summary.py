@@ -7,6 +7,8 @@ by DuckDB over counts taken the brute-force way.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -104,14 +106,15 @@ def validation_envelope(m) -> DataFrame:
     for step, name in STEP_REPORTS.items():
         full = f"{name}_after_autocorrect" if step == K.STEP_US_POSTAL else name
         report = F.when((F.col("step") == step) & ~F.col("valid"), F.when(F.coalesce("autocorrected_count", F.lit(0)) > 0, full).otherwise(name)).otherwise(report)
-    words = validation_messages(m)
-    joined = steps.join(F.broadcast(words), "step", "left")  # at most 16 rows either side
-    return joined.select(
+    message = F.lit(None).cast("string")
+    for step, (metric, text) in K.MESSAGES.items():  # a step's count is its metric
+        message = F.when(F.col("step") == step, F.expr(re.sub(rf"\b{metric}\b", "`count`", text))).otherwise(message)
+    return steps.select(
         "step_order", "step", "valid", "type", "incorrect_count", "total_records", "count",
         F.when(is_columns, F.lit(",".join(info["missing_columns"]))).alias("missing_columns"),
         F.when(is_columns, F.lit(",".join(info["optional_columns"]))).alias("optional_columns"),
         F.when(is_columns, F.lit(info["total_columns"])).cast("long").alias("total_columns"),
-        report.alias("report"), "message",
+        report.alias("report"), message.alias("message"),
         F.when(is_columns & ~F.col("valid"), F.lit("Missing required columns")).alias("error"))
 
 
