@@ -150,3 +150,22 @@ def test_postal_audit(spark):
     kind, value, corrected = P.audit_issue(F.col("c"), F.col("p"))
     assert [tuple(r) for r in df.select(kind, corrected).collect()] == [
         ("missing_zero", "02134"), ("incorrect_format", None), (None, None), (None, None), (None, None)]
+
+
+def test_permuted_tokens_never_collide(spark):
+    from pyspark.sql import functions as F
+    ends = [36**w + d for w in T.TOKEN_WIDTHS[:-1] for d in (-2, -1, 0, 1)] + [2**63 - 1]
+    n = spark.range(200_000).unionByName(spark.createDataFrame([(x,) for x in ends], "id long"))
+    n = n.select("id", T.permuted_token(F.col("id"), "s").alias("t"), T.permuted_token(F.col("id"), "z").alias("other"))
+    assert n.agg(F.count_distinct("t")).first()[0] == n.count() == 200_000 + len(ends)
+    assert n.where(~F.col("t").rlike("^[0-9a-z]+$")).count() == 0
+    assert {(len(r.t)) for r in n.where("id < 60466176").collect()} == {5} and n.where(f"id = {2**63 - 1}").first().t.__len__() == 13
+    assert n.where("t = other").count() < 20
+
+
+def test_tokens_of_a_small_width_fill_it(spark, monkeypatch):
+    """A permutation: with one character a digit pair, the tokens of all numbers of a width are all its tokens."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(T, "TOKEN_WIDTHS", (3, 5))
+    t = spark.range(36**3).select(T.permuted_token(F.col("id"), "k").alias("t"))
+    assert t.distinct().count() == 36**3 and t.where("length(t) <> 3").count() == 0

@@ -161,3 +161,39 @@ def mapping_null_normalise(c: str | Column) -> Column:
     """Vault mapping: the standard NA tokens (blank, ``NA``, ``null``, ``nan``, …) are null."""
     c = col_of(c)
     return F.when(c.isin(*K.MAPPING_NA_TOKENS), F.lit(None).cast("string")).otherwise(c)
+
+
+#: Token widths of anonymised emails: the least one whose tokens outnumber the row ids of its class is taken.
+TOKEN_WIDTHS = (5, 7, 9, 11, 13)
+TOKEN_ROUNDS = 4
+
+
+def permuted_token(number: Column, seed: str) -> Column:
+    """A token of ``[0-9a-z]`` for a non-negative whole number, different for different numbers.
+
+    Numbers below 36**5 get five characters, larger ones 7, 9, 11 or 13. Within a width the token is a keyed
+    permutation of the number: an alternating Feistel network over its upper and lower base-36 digits, whose
+    round function is a part of an md5 digest. Equal numbers and seeds give equal tokens on every run."""
+    n = number.cast("long")
+
+    def by_width(of):
+        out = F.lit(of(TOKEN_WIDTHS[-1]))
+        for w in reversed(TOKEN_WIDTHS[:-1]):
+            out = F.when(n < 36**w, F.lit(of(w))).otherwise(out)
+        return out
+
+    upper, lower = by_width(lambda w: 36 ** (w // 2 + 1)).cast("long"), by_width(lambda w: 36 ** (w // 2)).cast("long")
+    width = by_width(lambda w: w)
+    lo = n % lower
+    hi = F.call_function("div", n - lo, lower)
+    for k in range(TOKEN_ROUNDS):
+        side = lo if k % 2 == 0 else hi
+        digest = F.md5(F.concat_ws(":", F.lit(f"{seed}:{k}"), width.cast("string"), side.cast("string")).cast("binary"))
+        drawn = F.conv(F.substring(digest, 1, 12), 16, 10).cast("long")
+        if k % 2 == 0:
+            hi = (hi + drawn) % upper
+        else:
+            lo = (lo + drawn) % lower
+    digits = lambda c, w: F.lpad(F.lower(F.conv(c.cast("string"), 10, 36)), w, F.lit("0"))
+    half = F.floor(width / 2).cast("int")
+    return F.concat(digits(hi, half + 1), digits(lo, half))

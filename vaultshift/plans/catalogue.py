@@ -387,6 +387,21 @@ def _sub_cols(*cols):
     return ", ".join(O.q2(c) for c in cols)
 
 
+def _token_sql(seed: str) -> str:
+    """The permuted tokens of row_id in ``r``, one round a subquery."""
+    widths = T.TOKEN_WIDTHS
+    case = lambda of: "CASE " + " ".join(f"WHEN row_id < {36**w} THEN {of(w)}" for w in widths[:-1]) + f" ELSE {of(widths[-1])} END"
+    sql = f"SELECT row_id, w, up, low, (row_id // low) AS hi, (row_id % low) AS lo FROM (SELECT row_id, {case(lambda w: w)} AS w, " \
+          f"CAST({case(lambda w: 36 ** (w // 2 + 1))} AS BIGINT) AS up, CAST({case(lambda w: 36 ** (w // 2))} AS BIGINT) AS low FROM cr)"
+    for k in range(T.TOKEN_ROUNDS):
+        side = "lo" if k % 2 == 0 else "hi"
+        drawn = f"CAST('0x' || substr(md5('{seed}:{k}:' || w || ':' || {side}), 1, 12) AS BIGINT)"
+        new = f"(hi + {drawn}) % up AS hi, lo" if k % 2 == 0 else f"hi, (lo + {drawn}) % low AS lo"
+        sql = f"SELECT row_id, w, up, low, {new} FROM ({sql})"
+    return f"SELECT row_id AS _temp_row_id, '{K.ANON_EMAIL_PREFIX}' || lower(to_base(hi, 36, CAST(w // 2 + 1 AS INTEGER)) || to_base(lo, 36, CAST(w // 2 AS INTEGER))) " \
+           f"|| '@{K.ANON_EMAIL_DEFAULT_DOMAIN}' AS customer_email FROM ({sql})"
+
+
 def oracle() -> dict[str, str]:
     from vaultshift.plans.summary import oracle_validation_summary, oracle_validation_messages
     sub_all = ", ".join(
@@ -405,6 +420,7 @@ def oracle() -> dict[str, str]:
         "normalize_quantity": _with("SELECT row_id, quantity_1, quantity_2 FROM s2"),
         "layout_stripe": _with(f"SELECT {O.layout_select('stripe')} FROM cr"),
         "layout_bluesnap": _with(f"SELECT {O.layout_select('bluesnap')} FROM cr", provider="bluesnap"),
+        "anonymise_email": _with(_token_sql(MigrationOptions().anon_seed)),
         "rule_country_format": _sub_rule_sql("f_country", "address_country_code"),
         "rule_unsupported_country": _sub_rule_sql("f_unsupported", "address_country_code"),
         "rule_price_id": _sub_rule_sql("f_price", "price_id_1", "price_id_2"),

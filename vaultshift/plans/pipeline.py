@@ -337,13 +337,11 @@ class Migration:
         return exprs
 
     def _anonymised_email(self) -> Column:
-        """``blackhole+<5 of [a-z0-9]>@<domain>``, derived from a hash of the row (stable
-        across recomputation, unlike a random draw)."""
+        """``blackhole+<token>@<domain>``, five characters of [0-9a-z] (more for row ids beyond 36**5). The
+        token is a keyed permutation of the row id: no two subscriber rows share one, and recomputation
+        after a lost executor gives it again."""
         o = self.options
-        h = F.pmod(F.xxhash64(F.lit(o.anon_seed), F.col(ROW_ID), F.col("_m_uid")),
-                   F.lit(len(K.ANON_EMAIL_ALPHABET) ** K.ANON_EMAIL_TOKEN_LEN))
-        token = F.lpad(F.lower(F.conv(h.cast("string"), 10, 36)), K.ANON_EMAIL_TOKEN_LEN, "0")
-        return F.concat(F.lit(K.ANON_EMAIL_PREFIX), token, F.lit("@" + o.anon_email_domain))
+        return F.concat(F.lit(K.ANON_EMAIL_PREFIX), T.permuted_token(F.col(ROW_ID), o.anon_seed), F.lit("@" + o.anon_email_domain))
 
     def layout(self, df: DataFrame | None = None, stage: str = "final", helpers=True) -> DataFrame:
         """Rows projected to the import layout, plus ``is_duplicate_token`` and ``_temp_row_id``."""
