@@ -33,6 +33,47 @@ class Rule:
     fails: Column
 
 
+SUBSCRIBER, JOINED = "subscriber", "joined"
+
+
+@dataclass(frozen=True)
+class UserRule:
+    """A rule added by the caller, as plain columns. Flags, counts, the step, the report and the removal of failing
+    subscriber rows follow from it.
+
+    ``stage`` "subscriber": over the export's rows, with its columns. "joined": over joined rows, with the export's
+    columns, the vault's as ``_m_token``, ``_m_holder``, ``_m_exp_month``, ``_m_exp_year``, ``_m_ntx`` and ``_m_zip``, and the
+    repaired postal code as ``_postal_final``. A null outcome is no failure. ``population``: the rows the step counts
+    (default: all). ``removes=False``: the rule reports and fails its step but removes nothing."""
+
+    code: str
+    stage: str
+    fails: Column
+    population: Column | None = None
+    removes: bool = True
+
+    def __post_init__(self):
+        if self.stage not in (SUBSCRIBER, JOINED):
+            raise ValueError(f"rule {self.code!r}: stage must be {SUBSCRIBER!r} or {JOINED!r}")
+        if not self.code.isidentifier():
+            raise ValueError(f"rule code {self.code!r} must be an identifier")
+
+    @property
+    def step(self) -> str:
+        return f"{self.code}_validation"
+
+    @property
+    def flag(self) -> str:
+        return f"_u_{self.code}"
+
+    @property
+    def flags(self) -> dict[str, Column]:
+        """The failing rows and the population, never null."""
+        fails = F.coalesce(self.fails, F.lit(False))
+        population = F.lit(True) if self.population is None else F.coalesce(self.population, F.lit(False))
+        return {self.flag: fails & population, f"{self.flag}_of": population}
+
+
 def country_format(columns: set[str], strip: Strip = T.py_strip) -> Rule:
     """The country code must be two letters after strip (any case, any script)."""
     c = "address_country_code"

@@ -121,9 +121,18 @@ class Migration:
     subscribers: DataFrame
     mapping: DataFrame
     options: MigrationOptions = field(default_factory=MigrationOptions)
+    rules: tuple[R.UserRule, ...] = ()
     _fetched = False
     _materialized = False
 
+    def __post_init__(self):
+        codes = [r.code for r in self.rules]
+        if len(set(codes)) < len(codes):
+            raise ValueError(f"rule codes repeat: {codes}")
+
+    def user_rules(self, stage: str) -> list[R.UserRule]:
+        return [r for r in self.rules if r.stage == stage]
+
     # ---- subscriber grain ---------------------------------------------------------------------
     @cached_property
     def file_columns(self) -> list[str]:
@@ -158,7 +167,11 @@ class Migration:
             flags["_f_card_token"] = rules[6].fails
             flags["_p_card_token"] = rules[6].population
         df = df.withColumns(flags).drop(*[T.stripped_name(c) for c in rule_inputs])
-        s_failed = reduce(lambda a, b: a | b, [F.col(n) for n in flags if n.startswith("_f_")])
+        mine = self.user_rules(R.SUBSCRIBER)
+        if mine:
+            df = df.withColumns({n: c for r in mine for n, c in r.flags.items()})
+        removing = [n for n in flags if n.startswith("_f_")] + [r.flag for r in mine if r.removes]
+        s_failed = reduce(lambda a, b: a | b, [F.col(n) for n in removing])
         # the period rule removes nothing when no row parses (the reference reports an error instead)
         return df.withColumn("_s_failed", s_failed)
 
@@ -248,7 +261,17 @@ class Migration:
             # one joined row of each subscriber row: outcomes of whole subscriber rows are counted on it
             "_first": F.col("_m_uid").isNull() | (F.col("_m_uid") == F.col("_rn_first")),
         })
-        return j
+        mine = self.user_rules(R.JOINED)
+        if not mine:
+            return j
+        j = j.withColumns({n: c for r in mine for n, c in r.flags.items()})
+        removing = [F.col(r.flag) for r in mine if r.removes]
+        if not removing:
+            return j
+        # a rule over any columns of both sides has no per-key form: ids of failing rows, then joined back
+        failing = j.where(reduce(lambda a, b: a | b, removing)).select(ROW_ID).distinct().withColumn("_u_failed", F.lit(True))
+        j = j.join(failing, ROW_ID, "left")
+        return j.withColumn("_row_failed", F.col("_row_failed") | F.col("_u_failed").isNotNull()).drop("_u_failed")
 
     def materialize(self, path: str | None = None) -> "Migration":
         """Write the flagged subscriber rows, the shaped mapping and the flagged joined rows once
@@ -412,6 +435,7 @@ class Migration:
             _count_if(F.col("_f_date_period")).alias("date_period"),
             _count_if(F.col("_s_failed")).alias("subscriber_rows_failed"),
         ]
+        aggs += [_count_if(F.col(n)).alias(n) for r in self.user_rules(R.SUBSCRIBER) for n in r.flags]
         if self.options.card_token_check:
             aggs += [_count_if(F.col("_f_card_token")).alias("card_token"), _count_if(F.col("_p_card_token")).alias("card_token_population")]
         key_col = "card_token" if "card_token" in self.file_columns else None
@@ -456,6 +480,7 @@ class Migration:
             ce(F.col("_row_failed")).alias("removed"),
             ce(~F.col("_row_failed")).alias("success"),
             ce(F.col("_row_failed") & F.col("_first")).alias("failed_subscriber_rows"),
+            *[ce(F.col(n)).alias(n) for r in self.user_rules(R.JOINED) for n in r.flags],
         )
 
     @cached_property

@@ -15,7 +15,7 @@ from vaultshift.operators import rules as R
 from vaultshift.plans import oracle as O
 from vaultshift.plans import run as RUN
 from vaultshift.plans.pipeline import ROW_ID, Migration, MigrationOptions
-from vaultshift.plans.summary import validation_envelope, validation_verdict
+from vaultshift.plans.summary import validation_envelope, validation_summary, validation_verdict
 from vaultshift.session import checkpoint_dir
 from vaultshift.sources import csv_io as IO
 from vaultshift.sources import fixtures as FX
@@ -111,6 +111,34 @@ def _output(report: str, provider: str = "stripe"):
     return run
 
 
+#: One rule of each stage, added by a caller: customers whose name ends in an even digit do not migrate, nor do
+#: subscriptions whose card expires before 2028 (of those with a card).
+USER_RULES = (
+    R.UserRule("customer_name", R.SUBSCRIBER, F.col("customer_full_name").rlike("[02468]$")),
+    R.UserRule("card_expiry", R.JOINED, F.col("_m_exp_year") < "2028", F.col("_m_token").isNotNull()),
+    R.UserRule("long_email", R.SUBSCRIBER, F.length("customer_email") > 18, F.col("customer_email") != "", removes=False),
+)
+
+
+def _user_run(spark: SparkSession, d: str) -> Migration:
+    m = _run(spark, d)
+    return Migration(m.subscribers, m.mapping, m.options, USER_RULES)
+
+
+def user_rules_summary(spark: SparkSession, d: str) -> DataFrame:
+    steps = validation_summary(_user_run(spark, d)).where(F.col("step").isin([r.step for r in USER_RULES] + [K.STEP_SUCCESS]))
+    return steps.select("step", "valid", "incorrect_count", "total_records", "count")
+
+
+def user_rules_final_import(spark: SparkSession, d: str) -> DataFrame:
+    m = _user_run(spark, d)
+    return m.completed.where(~F.col("_row_failed")).select(F.col(ROW_ID).alias("row_id"), F.col("_key").alias("card_id"))
+
+
+def user_rules_report(spark: SparkSession, d: str) -> DataFrame:
+    return _read_back(spark, RUN.joined_report(_user_run(spark, d), "card_expiry"), "card_expiry")
+
+
 def run_verdict(spark: SparkSession, d: str) -> DataFrame:
     return validation_verdict(_run(spark, d))
 
@@ -124,6 +152,9 @@ QUERIES = {
     "scan_quoted_newline": scan_quoted_newline,
     "quantity_edges": quantity_edges,
     "date_edges": date_edges,
+    "user_rules_summary": user_rules_summary,
+    "user_rules_final_import": user_rules_final_import,
+    "report_card_expiry": user_rules_report,
     "validation_verdict": run_verdict,
     "validation_envelope": run_envelope,
     **{f"report_{r}": _subscriber_report(r) for r in RUN.SUBSCRIBER_REPORTS if r != K.REPORT_CARD_TOKEN_LENGTH},
@@ -208,6 +239,23 @@ def _envelope_sql() -> str:
     return O.chain(pad=True) + _metrics_cte("stripe") + " UNION ALL ".join(rows)
 
 
+_EXPIRED = "m_token IS NOT NULL AND coalesce(m_exp_year < '2028', false)"
+_EVEN = "coalesce(regexp_matches(customer_full_name, '[02468]$'), false)"
+_USER_SUCCESS = f"NOT row_failed AND NOT {_EVEN} AND row_id NOT IN (SELECT row_id FROM jall WHERE {_EXPIRED})"
+
+
+def _user_summary_sql() -> str:
+    long_mail = "customer_email <> '' AND length(customer_email) > 18"
+    rows = [("customer_name_validation", f"SELECT count_if({_EVEN}) FROM s2", "SELECT count(*) FROM s2"),
+            ("long_email_validation", f"SELECT count_if({long_mail}) FROM s2", "SELECT count_if(coalesce(customer_email <> '', false)) FROM s2"),
+            ("card_expiry_validation", f"SELECT count_if({_EXPIRED}) FROM cr", "SELECT count_if(m_token IS NOT NULL) FROM cr")]
+    parts = [f"SELECT '{step}' AS step, ({bad}) = 0 AS valid, ({bad})::BIGINT AS incorrect_count, ({of})::BIGINT AS total_records, NULL::BIGINT AS count"
+             for step, bad, of in rows]
+    parts.append("SELECT 'successfully_mapped_records', true, NULL::BIGINT, NULL::BIGINT, "
+                 f"(SELECT count(*) FROM cr WHERE {_USER_SUCCESS})::BIGINT WHERE EXISTS (SELECT 1 FROM cr WHERE {_USER_SUCCESS})")
+    return O.chain() + " UNION ALL ".join(parts)
+
+
 def oracle() -> dict[str, str]:
     sub_all = ", ".join("CAST(row_id AS VARCHAR) AS row_id" if c == "row_id" else O.q2(c) for c in O.SUB_COLUMNS)
     name = _BREAK.format("row_id", "customer_full_name", "chr(10)")
@@ -219,6 +267,9 @@ def oracle() -> dict[str, str]:
         "scan_quoted_newline": O.chain() + f"SELECT CAST(row_id AS VARCHAR) AS row_id, {name} AS customer_full_name, customer_email, address_postal_code FROM sub",
         "quantity_edges": _cells_sql([(v, not v.isdigit()) for _, v in QUANTITY_CELLS], "i, quantity_1, fails", "quantity_1, fails"),
         "date_edges": _cells_sql([(not ok,) for _, ok in DATE_TAILS], "i, fails", "fails"),
+        "user_rules_summary": _user_summary_sql(),
+        "user_rules_final_import": O.chain() + f"SELECT row_id, k AS card_id FROM cr WHERE {_USER_SUCCESS}",
+        "report_card_expiry": _layout_text(_EXPIRED),
         "validation_verdict": _verdict_sql(),
         "validation_envelope": _envelope_sql(),
         **{f"report_{r}": O.chain() + f"SELECT {_sub_text()} FROM s2 WHERE {f}" for r, f in flags.items()},

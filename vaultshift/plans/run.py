@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from vaultshift import constants as K
 from vaultshift.functions import text as T
+from vaultshift.operators.rules import JOINED, SUBSCRIBER
 from vaultshift.plans.actions import DEFAULT_PARALLEL_ACTIONS, run_all
 from vaultshift.plans.pipeline import ROW_ID, Migration
 from vaultshift.plans.summary import verdict, validation_summary
@@ -49,10 +50,18 @@ OUTPUTS = {
 }
 
 
+def subscriber_reports(m: Migration) -> dict[str, tuple[tuple[str, ...], str]]:
+    return SUBSCRIBER_REPORTS | {r.code: ((r.flag,), r.step) for r in m.user_rules(SUBSCRIBER)}
+
+
+def joined_reports(m: Migration) -> dict[str, tuple[str, str]]:
+    return JOINED_REPORTS | {r.code: (r.flag, r.step) for r in m.user_rules(JOINED)}
+
+
 def subscriber_report(m: Migration, report: str) -> DataFrame:
     """Failing subscriber rows of a rule: every column of the export and the row id."""
     failing = F.lit(False)
-    for flag in SUBSCRIBER_REPORTS[report][0]:
+    for flag in subscriber_reports(m)[report][0]:
         failing = failing | F.col(flag)
     return m.prepared_subscribers.where(failing).select(*[T.col_of(c) for c in m.file_columns], ROW_ID)
 
@@ -65,7 +74,7 @@ def joined_report(m: Migration, report: str) -> DataFrame:
         zip_name = K.STRIPE_MAPPING_ZIP if m.options.provider == "stripe" else K.BLUESNAP_MAPPING_ZIP
         cols = [F.col("_postal_filled").alias(c) if c == "address_postal_code" else T.col_of(c) for c in m.file_columns]
         return m.joined_all.where(F.col("_f_missing")).select(*cols, F.col("_m_zip").alias(zip_name), ROW_ID)
-    return m.layout(m.completed.where(F.col(JOINED_REPORTS[report][0])))
+    return m.layout(m.completed.where(F.col(joined_reports(m)[report][0])))
 
 
 def delete(spark, path: str) -> None:
@@ -89,10 +98,10 @@ def run_to_directory(m: Migration, out_dir: str, subscriber_path: str = "",
         for report, (frame, count) in OUTPUTS.items():
             if summary[count]:
                 planned.append((f"{base}_{report}", lambda frame=frame: getattr(m, frame)))
-        for report, (_, step) in SUBSCRIBER_REPORTS.items():
+        for report, (_, step) in subscriber_reports(m).items():
             if by_step.get(step, {}).get("incorrect_count"):
                 planned.append((IO.rule_report_name(o.seller_name, report, o.is_sandbox), lambda report=report: subscriber_report(m, report)))
-        for report, (_, step) in JOINED_REPORTS.items():
+        for report, (_, step) in joined_reports(m).items():
             found = by_step.get(step, {})
             if found.get("incorrect_count"):
                 corrected = report == K.REPORT_US_POSTAL and (found.get("autocorrected_count") or 0) > 0

@@ -82,7 +82,9 @@ def validation_summary(m) -> DataFrame:
     info = column_check(m.file_columns)
     check = m.options.card_token_check
     rows = step_rows(m.options.provider, len(info["missing_columns"]), info["total_columns"], check)
-    out = m.wide_metrics(METRICS + (["card_token", "card_token_population"] if check else [])).selectExpr(_stack(rows))
+    rows += [_row(17 + k, r.step, f"{r.flag} = 0", incorrect=r.flag, total=f"{r.flag}_of") for k, r in enumerate(m.rules)]
+    names = METRICS + (["card_token", "card_token_population"] if check else []) + [n for r in m.rules for n in r.flags]
+    out = m.wide_metrics(names).selectExpr(_stack(rows))
     return out.where("shown").drop("shown")
 
 
@@ -103,7 +105,7 @@ def validation_envelope(m) -> DataFrame:
     steps = validation_summary(m)
     is_columns = F.col("step") == K.STEP_COLUMNS
     report = F.lit(None).cast("string")
-    for step, name in STEP_REPORTS.items():
+    for step, name in (STEP_REPORTS | {r.step: r.code for r in m.rules}).items():
         full = f"{name}_after_autocorrect" if step == K.STEP_US_POSTAL else name
         report = F.when((F.col("step") == step) & ~F.col("valid"), F.when(F.coalesce("autocorrected_count", F.lit(0)) > 0, full).otherwise(name)).otherwise(report)
     message = F.lit(None).cast("string")
