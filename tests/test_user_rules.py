@@ -14,7 +14,7 @@ from vaultshift.plans.summary import validation_envelope, validation_summary
 
 def test_removal_equals_brute_force_and_warnings_remove_nothing(spark):
     m, plain = RQ._user_run(spark, SF001), RQ._run(spark, SF001)
-    rows = m.joined_all.select("_temp_row_id", "_row_failed", *[r.flag for r in RQ.USER_RULES]).collect()
+    rows = m.joined_all.select("_temp_row_id", "_row_failed", *[r.flag for r in RQ.user_rules()]).collect()
     before = {r._temp_row_id: r._row_failed for r in plain.joined_all.select("_temp_row_id", "_row_failed").collect()}
     fails = {r._temp_row_id for r in rows if r._u_customer_name or r._u_card_expiry}
     assert fails and any(r._u_long_email for r in rows)
@@ -24,7 +24,7 @@ def test_removal_equals_brute_force_and_warnings_remove_nothing(spark):
 
 def test_reports_and_steps_of_a_run(spark, tmp_path):
     m = RQ._user_run(spark, SF001)
-    res = run_to_directory(Migration(m.subscribers, m.mapping, m.options.with_(seller_name="S"), RQ.USER_RULES), str(tmp_path / "out"))
+    res = run_to_directory(Migration(m.subscribers, m.mapping, m.options.with_(seller_name="S"), RQ.user_rules()), str(tmp_path / "out"))
     steps = {s["step"]: s for s in res["validation_results"]}
     assert steps["customer_name_validation"]["incorrect_count"] > 0 and steps["card_expiry_validation"]["total_records"] > 0
     assert any("_customer_name_" in n for n in res["reports"]) and any("_card_expiry_" in n for n in res["reports"])
