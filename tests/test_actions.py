@@ -55,8 +55,43 @@ def test_concurrent_sinks_write_the_same_reports(spark, tmp_path):
     for parallel in (1, 8):
         out = str(tmp_path / f"p{parallel}")
         res = run_to_directory(C.plain_migration(spark, SF001, seller_name="Fixture Seller"), out,
-                               parallel_sinks=parallel)
+                               parallel_sinks=parallel, epoch=7)
         results[parallel] = (res["reports"], res["summary"], _read_reports(out))
     assert results[1][0] == results[8][0]
     assert results[1][1] == results[8][1]
     assert results[1][2] == results[8][2]
+    assert all("_7" in n for n in results[1][0] if "production" in n)
+
+
+def test_one_job_writes_what_single_writes_do(spark, tmp_path):
+    """Every published report holds the lines that its own frame writes, over one file or many."""
+    from vaultshift.plans import run as RUN
+    from vaultshift.sources import csv_io as IO
+    m = C.plain_migration(spark, SF001, seller_name="S", use_mapping_zip_codes=True, autocorrect_us_zip=True)
+    many = run_to_directory(m, str(tmp_path / "many"), epoch=1, file_rows=200)
+    m = C.plain_migration(spark, SF001, seller_name="S", use_mapping_zip_codes=True, autocorrect_us_zip=True)
+    one = run_to_directory(m, str(tmp_path / "one"), epoch=1)
+    got = _read_reports(str(tmp_path / "one"))
+    assert got == _read_reports(str(tmp_path / "many")) and set(got) == set(one["reports"]) == set(many["reports"])
+    assert max(len(os.listdir(tmp_path / "many" / n)) for n in many["reports"]) > 3
+    m = C.plain_migration(spark, SF001, seller_name="S", use_mapping_zip_codes=True, autocorrect_us_zip=True)
+    frames = {f"S_stripe_{r}": getattr(m, f) for r, (f, _) in RUN.OUTPUTS.items()}
+    frames |= {IO.rule_report_name("S", r, False, 1): RUN.subscriber_report(m, r) for r in RUN.SUBSCRIBER_REPORTS if r != "incorrect_card_tokens"}
+    frames |= {IO.rule_report_name("S", r + ("_after_autocorrect" if r == "invalid_us_zip_codes" else ""), False, 1): RUN.joined_report(m, r) for r in RUN.JOINED_REPORTS}
+    for name, df in frames.items():
+        IO.write_csv(df, str(tmp_path / "single" / name))
+    want = {n: v for n, v in _read_reports(str(tmp_path / "single")).items() if v[1]}
+    assert got == want
+    sizes = {f["name"]: (f["size"], f["rows"]) for f in one["output_files"]}
+    listed = {r["name"]: (r["size"], r["rows"]) for r in IO.report_manifest(spark, str(tmp_path / "one")).collect()}
+    assert sizes == listed
+    steps = {s["step"]: s for s in one["validation_results"]}
+    assert steps["price_id_validation"]["download_file"] == "S_invalid_price_ids_production_1"
+
+
+def test_counts_are_observed_by_the_write(spark, tmp_path):
+    m = C.plain_migration(spark, SF001).materialize(str(tmp_path / "w"))
+    observed = dict(m._observed)
+    for df in (m.subscriber_counts, m.joined_counts):
+        row = df.first().asDict()
+        assert row == {k: observed[k] for k in row}

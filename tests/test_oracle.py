@@ -25,4 +25,4 @@ def test_every_query_has_an_oracle_or_is_rows_only():
     import __spark_entry__ as E
     from vaultshift.plans import catalogue as C
     missing = set(C.QUERIES) - set(E.oracle_sql())
-    assert missing == {"report_manifest"}
+    assert missing == set()

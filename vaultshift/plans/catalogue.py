@@ -331,11 +331,11 @@ def q_no_token_skewed(spark, d):
 
 
 def q_report_manifest(spark, d):
-    """A whole run writes every non-empty report; the manifest lists them (rows only)."""
+    """A whole run writes every non-empty report; the manifest lists them as they lie there."""
     from vaultshift.plans.run import run_to_directory
     out = _roundtrip_dir(spark, "reports")
-    run_to_directory(plain_migration(spark, d, seller_name="Fixture Seller"), out)
-    return IO.report_manifest(spark, out)
+    run_to_directory(plain_migration(spark, d, seller_name="Fixture Seller"), out, epoch=0)
+    return IO.report_manifest(spark, out).drop("size")
 
 
 QUERIES: dict[str, Query] = {
@@ -387,6 +387,17 @@ def _sub_cols(*cols):
     return ", ".join(O.q2(c) for c in cols)
 
 
+def _manifest_sql() -> str:
+    outputs = {"final_import": "cr WHERE NOT row_failed", "no_token_found": "cr WHERE f_no_token", "duplicate_tokens": "cr WHERE is_duplicate_token",
+               "duplicate_external_subscription_ids": "cr WHERE dup_sid", "duplicate_emails": "cr WHERE dup_email", "duplicate_card_ids": "cr WHERE dup_card_id"}
+    rules = {"invalid_address_country_codes": "s2 WHERE f_country", "invalid_price_ids": "s2 WHERE f_price OR f_quantity",
+             "unsupported_countries": "s2 WHERE f_unsupported", "invalid_date_formats": "s2 WHERE f_date_format", "invalid_date_periods": "s2 WHERE f_period",
+             "missing_zip_codes": "jall WHERE f_missing", "invalid_ca_zip_codes": "cr WHERE f_ca", "invalid_us_zip_codes": "cr WHERE f_us"}
+    parts = [f"SELECT 'Fixture_Seller_stripe_{r}' AS name, count(*)::BIGINT AS rows FROM {src}" for r, src in outputs.items()]
+    parts += [f"SELECT 'Fixture_Seller_{r}_production_0', count(*)::BIGINT FROM {src}" for r, src in rules.items()]
+    return _with(f"SELECT name, 1::BIGINT AS files, rows FROM ({' UNION ALL '.join(parts)}) WHERE rows > 0")
+
+
 def _token_sql(seed: str) -> str:
     """The permuted tokens of row_id in ``r``, one round a subquery."""
     widths = T.TOKEN_WIDTHS
@@ -420,6 +431,7 @@ def oracle() -> dict[str, str]:
         "normalize_quantity": _with("SELECT row_id, quantity_1, quantity_2 FROM s2"),
         "layout_stripe": _with(f"SELECT {O.layout_select('stripe')} FROM cr"),
         "layout_bluesnap": _with(f"SELECT {O.layout_select('bluesnap')} FROM cr", provider="bluesnap"),
+        "report_manifest": _manifest_sql(),
         "anonymise_email": _with(_token_sql(MigrationOptions().anon_seed)),
         "rule_country_format": _sub_rule_sql("f_country", "address_country_code"),
         "rule_unsupported_country": _sub_rule_sql("f_unsupported", "address_country_code"),

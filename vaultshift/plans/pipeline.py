@@ -24,8 +24,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 from functools import cached_property, partial, reduce
+from typing import ClassVar
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vaultshift import constants as K
@@ -124,6 +125,7 @@ class Migration:
     rules: tuple[R.UserRule, ...] = ()
     _fetched = False
     _materialized = False
+    _observed: ClassVar[dict[str, int]] = {}
 
     def __post_init__(self):
         codes = [r.code for r in self.rules]
@@ -293,14 +295,19 @@ class Migration:
             path = f"{checkpoint_dir(spark).rstrip('/')}/vaultshift-run-{uuid.uuid4().hex}"
         inputs = ("prepared_subscribers", "prepared_mapping")
         # the two prepared inputs are independent jobs: submit them together
-        writers = {n: self._copy_writer(getattr(self, n)) for n in inputs}
+        # every count of a grain is observed by the write of its rows: no pass over the copies for counts
+        seen = {"prepared_subscribers": Observation(), "joined": Observation()}
+        frames = {n: getattr(self, n) for n in inputs}
+        frames["prepared_subscribers"] = frames["prepared_subscribers"].observe(seen["prepared_subscribers"], *self._subscriber_aggs())
+        writers = {n: self._copy_writer(df) for n, df in frames.items()}
         run_all([partial(writers[n].parquet, f"{path}/{n}") for n in inputs])
         for name in inputs:
             self.__dict__[name] = spark.read.parquet(f"{path}/{name}")
         self._materialized = True
         for name in ("keyed_subscribers", "subscriber_keys", "mapping_keys", "joined_all", "completed", "group_fan"):
             self.__dict__.pop(name, None)
-        self._copy_writer(self.joined_all).parquet(f"{path}/joined")
+        self._copy_writer(self.joined_all.observe(seen["joined"], *self._joined_aggs())).parquet(f"{path}/joined")
+        self._observed = {k: v for o in seen.values() for k, v in o.get.items()}
         self.__dict__["joined_all"] = spark.read.parquet(f"{path}/joined")
         self.__dict__.pop("completed", None)
         return self
@@ -419,10 +426,7 @@ class Migration:
         return self._in_groups(rows.select(*self._layout_exprs("emails"), "is_duplicate_token", ROW_ID), "customer_email", "_email")
 
     # ---- counts -------------------------------------------------------------------------------
-    @cached_property
-    def subscriber_counts(self) -> DataFrame:
-        """E1, subscriber grain: one aggregate over all subscriber rows."""
-        df = self.prepared_subscribers
+    def _subscriber_aggs(self) -> list[Column]:
         aggs = [
             F.count(F.lit(1)).cast("long").alias("n_subscribers"),
             _count_if(F.col("_f_country")).alias("country_format"),
@@ -442,20 +446,27 @@ class Migration:
         if self.options.provider == "stripe" and key_col:
             aggs.append(_count_if(T.col_of(key_col).isNull()).alias("dropped_null_key"))
         else:
-            aggs.append(F.lit(0).cast("long").alias("dropped_null_key"))
-        return df.agg(*aggs)
+            aggs.append(_count_if(F.lit(False)).alias("dropped_null_key"))
+        return aggs
+
+    @cached_property
+    def subscriber_counts(self) -> DataFrame:
+        """E1, subscriber grain: one aggregate over all subscriber rows."""
+        return self.prepared_subscribers.agg(*self._subscriber_aggs())
 
     @cached_property
     def joined_counts(self) -> DataFrame:
         """E1/E2/E4, joined grain: one aggregate over joined rows (post-email items are filtered
         inside the aggregate)."""
-        df = self.joined_all
+        return self.joined_all.agg(*self._joined_aggs())
+
+    def _joined_aggs(self) -> list[Column]:
         has_email = self._sub_col("customer_email").isNotNull()
 
         def ce(c):
             return _count_if(has_email & c)
 
-        return df.agg(
+        return [
             F.count(F.lit(1)).cast("long").alias("joined_rows"),
             _count_if(F.col("_p_missing")).alias("missing_postal_population"),
             _count_if(F.col("_f_missing_before")).alias("missing_postal_before"),
@@ -481,7 +492,7 @@ class Migration:
             ce(~F.col("_row_failed")).alias("success"),
             ce(F.col("_row_failed") & F.col("_first")).alias("failed_subscriber_rows"),
             *[ce(F.col(n)).alias(n) for r in self.user_rules(R.JOINED) for n in r.flags],
-        )
+        ]
 
     @cached_property
     def duplicate_counts(self) -> DataFrame:
@@ -506,12 +517,12 @@ class Migration:
         return self.metric_rows()
 
     def fetch_metrics(self) -> "Migration":
-        """Count once per run: fetch the long metric table (one row per metric name, a number fixed
-        by the code, never by the data) and serve every later summary from that copy instead of
-        re-running the aggregates for each one."""
-        long = self.metric_rows()
+        """Count once per run and serve every later summary from that table (one row per metric name, a number fixed
+        by the code, never by the data). After ``materialize`` all but the duplicate counts are there already."""
+        long = self._long(self.duplicate_counts, self.duplicate_counts.columns) if self._observed else self.metric_rows()
         self._fetched = True
-        self.__dict__["metrics"] = long.sparkSession.createDataFrame(long.collect(), long.schema)
+        rows = [tuple(r) for r in long.collect()] + list(self._observed.items())
+        self.__dict__["metrics"] = long.sparkSession.createDataFrame(rows, "metric string, value long")
         return self
 
     def wide_metrics(self, names: list[str]) -> DataFrame:

@@ -3,17 +3,21 @@ summary.
 
 Only the metric table (one row per metric name, a number fixed by the code), the one-row summary
 and the validation table (at most 16 rows) reach the driver; every report is written by the
-executors as a directory of CSV part files. The report writes are independent jobs over the same
-materialised copies, so they are submitted together (``vaultshift.plans.actions``). The copies live
+executors as a directory of CSV part files. Counts are observed while the copies are written; all reports are
+one job over the copies, published by renames. The copies live
 below the output folder while the run lasts and are deleted at its end.
 """
 
 from __future__ import annotations
 
+import csv
+import io
+import time
 import uuid
-from collections.abc import Callable
+from functools import partial, reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultshift import constants as K
@@ -82,11 +86,110 @@ def delete(spark, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def run_to_directory(m: Migration, out_dir: str, subscriber_path: str = "",
-                     parallel_sinks: int = DEFAULT_PARALLEL_ACTIONS) -> dict:
+#: Rows of one report file.
+FILE_ROWS = 1_000_000
+_CSV = {"quote": '"', "escape": '"', "nullValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def _line(cells: list[tuple[str, Column]]) -> Column:
+    """One CSV line of cleaned cells, as the reports spell them."""
+    return F.to_csv(F.struct(*[T.clean_for_csv(c.cast("string")).alias(f"c{k}") for k, (_, c) in enumerate(cells)]), _CSV)
+
+
+def _header(names: list[str]) -> str:
+    out = io.StringIO()
+    csv.writer(out, lineterminator="").writerow(names)
+    return out.getvalue()
+
+
+def _spelled(name: str) -> Column:
+    return F.when(F.col(name), "True").when(~F.col(name), "False")
+
+
+def report_lines(m: Migration, reports: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """(report, id, line) of all rows of the wanted reports, and each report's header. Subscriber rows and joined
+    rows are read once each, however many reports they go to; the two duplicate-group reports are the
+    semi-joins they are."""
+    row_id = (ROW_ID, F.col(ROW_ID))
+    export = [(c, T.col_of(c)) for c in m.file_columns] + [row_id]
+    final = list(zip(m.layout_columns, m._layout_exprs("final"), strict=True))
+    helpers = final + [("is_duplicate_token", _spelled("is_duplicate_token")), row_id]
+    headers, parts = {}, []
+
+    def rows_of(df: DataFrame, wanted: dict[str, tuple[Column, str]], layouts: dict[str, list]) -> None:
+        """``wanted``: report -> (condition, layout); a layout's line is made once a row, where some report needs it."""
+        wanted = {r: w for r, w in wanted.items() if r in reports}
+        if not wanted:
+            return
+        used = {name for _, name in wanted.values()}
+        line = {f"_line_{n}": F.when(reduce(or_, [c for c, x in wanted.values() if x == n]), _line(layouts[n])) for n in used}
+        entry = F.array_compact(F.array(*[F.when(c, F.struct(F.lit(r).alias("report"), F.col(f"_line_{n}").alias("line"))) for r, (c, n) in wanted.items()]))
+        uid = F.xxhash64(ROW_ID, "_m_uid") if "_m_uid" in df.columns else F.xxhash64(ROW_ID)
+        parts.append(df.withColumns(line).select(uid.alias("id"), F.explode(entry).alias("e")).select("e.report", "id", "e.line"))
+        headers.update({r: _header([n for n, _ in layouts[layout]]) for r, (_, layout) in wanted.items()})
+
+    failing = {r: (reduce(or_, [F.col(f) for f in flags]), "export") for r, (flags, _) in subscriber_reports(m).items()}
+    rows_of(m.prepared_subscribers, failing, {"export": export})
+
+    email = m._sub_col("customer_email").isNotNull()
+    joined = {K.REPORT_FINAL_IMPORT: (email & ~F.col("_row_failed"), "final"), K.REPORT_NO_TOKEN: (email & F.col("_f_no_token"), "helpers"),
+              K.REPORT_DUP_TOKENS: (email & F.col("is_duplicate_token"), "tokens"), K.REPORT_DUP_CARD_IDS: (email & F.col("_dup_card_id"), "helpers")}
+    joined |= {r: (email & F.col(flag), "helpers") for r, (flag, _) in joined_reports(m).items()}
+    joined[K.REPORT_MISSING_POSTAL] = (F.col("_f_missing"), "missing")
+    zip_name = K.STRIPE_MAPPING_ZIP if m.options.provider == "stripe" else K.BLUESNAP_MAPPING_ZIP
+    missing = [(c, F.col("_postal_filled") if c == "address_postal_code" else e) for c, e in export[:-1]] + [(zip_name, F.col("_m_zip")), row_id]
+    rows_of(m.joined_all, joined, {"final": final, "helpers": helpers, "tokens": final + [row_id], "missing": missing})
+
+    for report in (K.REPORT_DUP_SUBSCRIPTIONS, K.REPORT_DUP_EMAILS):
+        if report in reports:
+            df = getattr(m, OUTPUTS[report][0])
+            cells = [(c, _spelled(c) if c == "is_duplicate_token" else T.col_of(c)) for c in df.columns]
+            parts.append(df.select(F.lit(report).alias("report"), F.xxhash64(ROW_ID, "card_token").alias("id"), _line(cells).alias("line")))
+            headers[report] = _header(df.columns)
+    return reduce(DataFrame.unionByName, parts), headers
+
+
+def write_reports(m: Migration, counts: dict[str, int], names: dict[str, str], out_dir: str, work: str, file_rows: int = FILE_ROWS,
+                  threads: int = DEFAULT_PARALLEL_ACTIONS) -> list[dict]:
+    """All reports (report -> rows, more than none) in one job, then published: the lines are dealt to files
+    of about ``file_rows``, written below ``work``, and each report's files become ``out_dir/name/part-N.csv``, whole
+    or not at all. Returns the manifest: name, size, rows, url of each."""
+    spark = m.subscribers.sparkSession
+    lines, headers = report_lines(m, list(counts))
+    files = {r: max(1, -(-n // file_rows)) for r, n in counts.items()}
+    of = F.create_map(*[F.lit(x) for r, n in files.items() for x in (r, n)])
+    lines = lines.select("report", F.pmod("id", of[F.col("report")]).cast("int").alias("file"), F.lit(1).alias("k"), F.col("line").alias("value"))
+    heads = spark.createDataFrame([(r, k, 0, headers[r]) for r, n in files.items() for k in range(n)], "report string, file int, k int, value string")
+    every = lines.unionByName(heads).repartition("report", "file").sortWithinPartitions("report", "file", "k")
+    every.drop("k").write.mode("overwrite").partitionBy("report", "file").text(f"{work}/reports")
+    jvm = spark.sparkContext._jvm
+    path = lambda x: jvm.org.apache.hadoop.fs.Path(x)
+    fs = path(work).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def publish(report: str) -> dict:
+        made = path(f"{work}/reports/_{report}")
+        fs.mkdirs(made)
+        size = 0
+        for k in range(files[report]):
+            (found,) = [f for f in fs.listStatus(path(f"{work}/reports/report={report}/file={k}")) if f.getPath().getName().startswith("part-")]
+            size += found.getLen()
+            fs.rename(found.getPath(), path(f"{work}/reports/_{report}/part-{k:05d}.csv"))
+        target = path(f"{out_dir}/{names[report]}")
+        fs.delete(target, True)
+        fs.rename(made, target)
+        return {"name": names[report], "size": size, "rows": counts[report], "url": target.toString()}
+
+    return run_all([partial(publish, r) for r in files], threads)
+
+
+def run_to_directory(m: Migration, out_dir: str, subscriber_path: str = "", parallel_sinks: int = DEFAULT_PARALLEL_ACTIONS,
+                     epoch: int | None = None, file_rows: int = FILE_ROWS) -> dict:
+    """``epoch``: seconds in the names of rule reports (default: now), so that runs do not overwrite each other's."""
     o = m.options
+    out_dir = out_dir.rstrip("/")
     spark = m.subscribers.sparkSession
-    work = f"{out_dir.rstrip('/')}/_work-{uuid.uuid4().hex}"
+    work = f"{out_dir}/_work-{uuid.uuid4().hex}"
+    epoch = int(time.time()) if epoch is None else epoch
     try:
         m.materialize(work)
         m.fetch_metrics()
@@ -94,24 +197,18 @@ def run_to_directory(m: Migration, out_dir: str, subscriber_path: str = "",
         steps = [r.asDict() for r in validation_summary(m).collect()]
         by_step = {s["step"]: s for s in steps}
         base = IO.output_base_name(o.seller_name, o.provider, o.is_sandbox, subscriber_path)
-        planned: list[tuple[str, Callable[[], DataFrame]]] = []  # in report order; empty ones are not written
-        for report, (frame, count) in OUTPUTS.items():
+        counts, names = {}, {}  # in report order; empty ones are not written
+        for report, (_, count) in OUTPUTS.items():
             if summary[count]:
-                planned.append((f"{base}_{report}", lambda frame=frame: getattr(m, frame)))
-        for report, (_, step) in subscriber_reports(m).items():
-            if by_step.get(step, {}).get("incorrect_count"):
-                planned.append((IO.rule_report_name(o.seller_name, report, o.is_sandbox), lambda report=report: subscriber_report(m, report)))
-        for report, (_, step) in joined_reports(m).items():
+                counts[report], names[report] = summary[count], f"{base}_{report}"
+        for report, (_, step) in (subscriber_reports(m) | joined_reports(m)).items():
             found = by_step.get(step, {})
             if found.get("incorrect_count"):
                 corrected = report == K.REPORT_US_POSTAL and (found.get("autocorrected_count") or 0) > 0
-                name = report + ("_after_autocorrect" if corrected else "")
-                planned.append((IO.rule_report_name(o.seller_name, name, o.is_sandbox), lambda report=report: joined_report(m, report)))
-
-        def writer(name: str, build: Callable[[], DataFrame]):
-            return lambda: IO.write_csv(build(), f"{out_dir.rstrip('/')}/{name}")
-
-        run_all([writer(name, build) for name, build in planned], parallel_sinks)
+                counts[report] = found["incorrect_count"]
+                names[report] = IO.rule_report_name(o.seller_name, report + ("_after_autocorrect" if corrected else ""), o.is_sandbox, epoch)
+                found["download_file"] = names[report]
+        manifest = write_reports(m, counts, names, out_dir, work, file_rows, parallel_sinks) if counts else []
     finally:
         delete(spark, work)
-    return {"summary": summary, "validation_results": steps, "reports": [name for name, _ in planned]} | verdict(steps)
+    return {"summary": summary, "validation_results": steps, "reports": [f["name"] for f in manifest], "output_files": manifest} | verdict(steps)

@@ -183,16 +183,19 @@ def output_base_name(seller_name: str, provider: str, is_sandbox: bool, subscrib
     return f"{stem}_{provider.lower()}" + ("_sandbox" if is_sandbox else "")
 
 
-def rule_report_name(seller_name: str, report: str, is_sandbox: bool) -> str:
-    """Name of a rule report: ``{seller}_{report}_{sandbox|production}``."""
-    return "_".join((_file_part(seller_name), report, "sandbox" if is_sandbox else "production"))
+def rule_report_name(seller_name: str, report: str, is_sandbox: bool, epoch: int) -> str:
+    """Name of a rule report: ``{seller}_{report}_{sandbox|production}_{epoch}``."""
+    return "_".join((_file_part(seller_name), report, "sandbox" if is_sandbox else "production", str(epoch)))
 
 
 def report_manifest(spark: SparkSession, root: str) -> DataFrame:
-    """One row per report directory under ``root``: name, total bytes of its CSV parts, files.
-    Listed by Spark's binary-file source with the content column pruned."""
+    """One row per report directory under ``root``: name, total bytes of its CSV parts, files, rows.
+    Files are listed by Spark's binary-file source with the content column pruned; rows are counted without
+    parsing."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
              .option("recursiveFileLookup", True).load(root).select("path", "length"))
-    report = F.regexp_extract(F.col("path"), r"/([^/]+)/[^/]+\.csv$", 1)
-    return (files.groupBy(report.alias("name"))
-            .agg(F.sum("length").cast("long").alias("size"), F.count(F.lit(1)).cast("long").alias("files")))
+    name = lambda c: F.regexp_extract(F.col(c), r"/([^/]+)/[^/]+\.csv$", 1).alias("name")
+    sizes = files.groupBy(name("path")).agg(F.sum("length").cast("long").alias("size"), F.count(F.lit(1)).cast("long").alias("files"))
+    splits = Q.split_table(spark, f"{root.rstrip('/')}/*")
+    rows = splits.groupBy(name(Q.FILE)).agg((F.sum("n") - F.count_if((F.col(Q.START) == 0) & (F.col("n") > 0))).cast("long").alias("rows"))
+    return sizes.join(rows, "name", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
