@@ -117,3 +117,15 @@ def test_headers_stop_early(spark, tmp_path):
     t = time.time()
     headers, _ = Q.header_records(spark, str(tmp_path))
     assert headers == [("a,b", 1)] and time.time() - t < 30
+
+
+@pytest.mark.parametrize("cells,want", [
+    (["02134", " 501", "+7"], ["2134", "501", "7"]), (["02134", ""], ["2134.0", "nan"]), (["1.5", "2", "1e3"], ["1.5", "2.0", "1000.0"]),
+    (["02134", "x", "NA"], ["02134", "x", "nan"]), (["1", "99999999999999999999"], ["1.0", "100000000000000000000.0"])])
+def test_inferred_columns_render_as_one_type(spark, cells, want):
+    from vaultshift.operators import postal as P
+    df = spark.createDataFrame(list(enumerate(cells)), "i int, c string")
+    if "999" not in cells[-1]:
+        assert [r.c for r in P.inferred(df, "c").orderBy("i").collect()] == want
+    else:  # beyond 64 bits: no whole numbers, so floats
+        assert P.inferred(df, "c").orderBy("i").first().c == "1.0"

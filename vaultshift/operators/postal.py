@@ -122,3 +122,22 @@ def audit_issue(country: Column, postal: Column) -> tuple[Column, Column, Column
     )
     corrected = F.when(kind == "missing_zero", F.concat(F.lit("0"), v))
     return kind, v, corrected
+
+
+def inferred(df: DataFrame, column: str) -> DataFrame:
+    """C17 over a column whose type is inferred: one aggregate decides for the whole column, and its cells are
+    rendered as that type. Whole numbers lose leading zeros (``02134`` is ``2134``); with a blank or NA cell, or any
+    fraction, all become floats (``2134.0``, blanks ``nan``); one other cell leaves the text as it is, blanks
+    ``nan``. Whole numbers beyond 64 bits count as floats."""
+    cell = T.mapping_null_normalise(column)
+    bare = T.py_strip(cell)
+    whole = F.coalesce(T.full_match(bare, r"^[+-]?[0-9]+$") & bare.try_cast("long").isNotNull(), F.lit(False))
+    number = F.coalesce(T.full_match(bare, r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"), F.lit(False))
+    kind = df.agg(F.count_if(cell.isNull()).alias("_blank"), F.count_if(cell.isNotNull() & ~whole).alias("_odd"),
+                  F.count_if(cell.isNotNull() & ~number).alias("_text")).withColumn("_one", F.lit(1))
+    value = bare.try_cast("double")
+    digits = F.when((value == F.rint(value)) & (F.abs(value) < 1e16), F.concat(value.try_cast("decimal(20,0)").cast("string"), F.lit(".0"))).otherwise(
+        value.cast("string"))
+    text = F.when(F.col("_text") > 0, cell).when((F.col("_odd") > 0) | (F.col("_blank") > 0), digits).otherwise(bare.try_cast("long").cast("string"))
+    out = df.withColumn("_one", F.lit(1)).join(F.broadcast(kind), "_one")  # one row
+    return out.withColumn(column, F.coalesce(text, F.lit("nan"))).drop("_one", "_blank", "_odd", "_text")

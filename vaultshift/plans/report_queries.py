@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from vaultshift import constants as K
 from vaultshift.functions import text as T
+from vaultshift.operators import postal as P
 from vaultshift.operators import rules as R
 from vaultshift.plans import oracle as O
 from vaultshift.plans import run as RUN
@@ -111,6 +112,37 @@ def _output(report: str, provider: str = "stripe"):
     return run
 
 
+def step_errors(spark: SparkSession, d: str) -> DataFrame:
+    """The steps of an export that lacks a period column, and of one whose dates never parse."""
+    m = _run(spark, d)
+    cases = {"no_column": m.subscribers.drop("current_period_ends_at"),
+             "no_date": m.subscribers.withColumn("current_period_started_at", F.concat(F.lit("on "), "current_period_started_at"))}
+    cols = ["step", "valid", "incorrect_count", "total_records", "missing_columns", "report", "error"]
+    out = [validation_envelope(Migration(subs, m.mapping, m.options)).where(F.col("step").isin(K.STEP_COLUMNS, K.STEP_DATE_FORMAT, K.STEP_DATE_PERIOD))
+           .select(F.lit(case).alias("export"), *cols) for case, subs in cases.items()]
+    return out[0].unionByName(out[1])
+
+
+#: Audit columns by what their cells are inferred to be: all whole numbers, numbers and blanks, and text.
+AUDIT_CELLS = {"int": "CASE WHEN row_id % 3 = 0 THEN '02134' WHEN row_id % 3 = 1 THEN ' 90210 ' ELSE '501' END",
+               "float": "CASE WHEN row_id % 4 = 0 THEN '02134' WHEN row_id % 4 = 1 THEN '90210' WHEN row_id % 4 = 2 THEN 'NA' ELSE '' END",
+               "text": "CASE WHEN row_id % 4 = 0 THEN '02134' WHEN row_id % 4 = 1 THEN '2134' WHEN row_id % 4 = 2 THEN '' ELSE 'A-1' END"}
+
+
+def postal_audit_inferred(spark: SparkSession, d: str) -> DataFrame:
+    """C17 with inferred columns: three files that differ in one kind of cell."""
+    parts = []
+    for kind, cells in AUDIT_CELLS.items():
+        path = _folder(spark, f"audit-{kind}")
+        sub = FX.subscribers(spark, d).select("row_id", "address_country_code", F.expr(cells).alias("address_postal_code"))
+        sub = sub.repartitionByRange("row_id").sortWithinPartitions("row_id")
+        IO.write_csv(sub.select("address_country_code", "address_postal_code"), path, clean=False, null_value=K.SUBSCRIBER_NULL_TOKEN)
+        found = P.inferred(IO.scan_audit(spark, path), "address_postal_code")
+        issue, value, corrected = P.audit_issue(F.col("address_country_code"), F.col("address_postal_code"))
+        parts.append(found.select(F.lit(kind).alias("kind"), "line", value.alias("postalCode"), corrected.alias("correctedCode"), issue.alias("type")).where("type is not null"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def user_rules() -> tuple[R.UserRule, ...]:
     """Rules of each stage, added by a caller: customers whose name ends in an even digit do not migrate, nor do
     subscriptions whose card expires before 2028 (of those with a card); long emails are only reported."""
@@ -153,6 +185,8 @@ QUERIES = {
     "scan_quoted_newline": scan_quoted_newline,
     "quantity_edges": quantity_edges,
     "date_edges": date_edges,
+    "step_errors": step_errors,
+    "postal_audit_inferred": postal_audit_inferred,
     "user_rules_summary": user_rules_summary,
     "user_rules_final_import": user_rules_final_import,
     "report_card_expiry": user_rules_report,
@@ -240,6 +274,28 @@ def _envelope_sql() -> str:
     return O.chain(pad=True) + _metrics_cte("stripe") + " UNION ALL ".join(rows)
 
 
+def _step_errors_sql() -> str:
+    width = len(O.SUB_COLUMNS) - 1
+    n, v = "(SELECT count(*) FROM s2)", "CAST(NULL AS VARCHAR)"
+    lost = "'Missing required columns: [''current_period_ends_at'']'"
+    rows = [f"SELECT 'no_column' AS export, 'column_validation' AS step, false AS valid, 1::BIGINT AS incorrect_count, {width - 1}::BIGINT AS total_records, "
+            f"'current_period_ends_at' AS missing_columns, {v} AS report, 'Missing required columns' AS error",
+            f"SELECT 'no_column', 'date_format_validation', false, 0, 0, {v}, {v}, {lost}", f"SELECT 'no_column', 'date_validation', false, 0, 0, {v}, {v}, {lost}",
+            f"SELECT 'no_date', 'column_validation', true, 0, {width}, '', {v}, {v}",
+            f"SELECT 'no_date', 'date_format_validation', false, {n}, {n}, {v}, 'invalid_date_formats', {v}",
+            f"SELECT 'no_date', 'date_validation', false, 0, 0, {v}, {v}, 'No valid date records found'"]
+    return O.chain() + " UNION ALL ".join(rows)
+
+
+def _audit_inferred_sql() -> str:
+    line = "SELECT row_number() OVER (ORDER BY row_id)::BIGINT AS line, row_id, address_country_code AS c FROM sub"
+    cells = {"int": {0: "2134", 2: "501"}, "float": {0: "2134.0", 1: "90210.0", 2: "nan", 3: "nan"}, "text": {1: "2134", 2: "nan", 3: "A-1"}}
+    rows = [f"SELECT '{kind}' AS kind, line, '{cell}' AS \"postalCode\", {repr('0' + cell) if len(cell) == 4 else 'CAST(NULL AS VARCHAR)'} AS \"correctedCode\", "
+            f"'{'missing_zero' if len(cell) == 4 else 'incorrect_format'}' AS type FROM ({line}) WHERE c = 'US' AND row_id % {3 if kind == 'int' else 4} = {k}"
+            for kind, found in cells.items() for k, cell in found.items()]
+    return O.chain() + " UNION ALL ".join(rows)
+
+
 _EXPIRED = "m_token IS NOT NULL AND coalesce(m_exp_year < '2028', false)"
 _EVEN = "coalesce(regexp_matches(customer_full_name, '[02468]$'), false)"
 _USER_SUCCESS = f"NOT row_failed AND NOT {_EVEN} AND row_id NOT IN (SELECT row_id FROM jall WHERE {_EXPIRED})"
@@ -268,6 +324,8 @@ def oracle() -> dict[str, str]:
         "scan_quoted_newline": O.chain() + f"SELECT CAST(row_id AS VARCHAR) AS row_id, {name} AS customer_full_name, customer_email, address_postal_code FROM sub",
         "quantity_edges": _cells_sql([(v, not v.isdigit()) for _, v in QUANTITY_CELLS], "i, quantity_1, fails", "quantity_1, fails"),
         "date_edges": _cells_sql([(not ok,) for _, ok in DATE_TAILS], "i, fails", "fails"),
+        "step_errors": _step_errors_sql(),
+        "postal_audit_inferred": _audit_inferred_sql(),
         "user_rules_summary": _user_summary_sql(),
         "user_rules_final_import": O.chain() + f"SELECT row_id, k AS card_id FROM cr WHERE {_USER_SUCCESS}",
         "report_card_expiry": _layout_text(_EXPIRED),

@@ -25,7 +25,7 @@ from vaultshift.functions import text as T
 from vaultshift.operators.rules import JOINED, SUBSCRIBER
 from vaultshift.plans.actions import DEFAULT_PARALLEL_ACTIONS, run_all
 from vaultshift.plans.pipeline import ROW_ID, Migration
-from vaultshift.plans.summary import verdict, validation_summary
+from vaultshift.plans.summary import validation_summary, verdict, with_errors
 from vaultshift.sources import csv_io as IO
 
 #: Subscriber reports: report name -> (flags of the failing rows, validation step).
@@ -194,7 +194,7 @@ def run_to_directory(m: Migration, out_dir: str, subscriber_path: str = "", para
         m.materialize(work)
         m.fetch_metrics()
         summary = m.run_summary.collect()[0].asDict()
-        steps = [r.asDict() for r in validation_summary(m).collect()]
+        steps = with_errors(m, [r.asDict() for r in validation_summary(m).collect()])
         by_step = {s["step"]: s for s in steps}
         base = IO.output_base_name(o.seller_name, o.provider, o.is_sandbox, subscriber_path)
         counts, names = {}, {}  # in report order; empty ones are not written

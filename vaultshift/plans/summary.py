@@ -39,8 +39,14 @@ def _row(order, step, valid, type_=_NULL_S, incorrect=_NULL_L, total=_NULL_L, av
     return vals
 
 
-def step_rows(provider: str, missing_columns: int, total_columns: int, card_token_check: bool = False) -> list[list[str]]:
+def missing_dates(columns) -> list[str]:
+    """The period columns an export lacks: without one, both date steps fail with an error and check no row."""
+    return [c for c in ("current_period_started_at", "current_period_ends_at") if c not in columns]
+
+
+def step_rows(provider: str, missing_columns: int, total_columns: int, card_token_check: bool = False, dates: bool = True) -> list[list[str]]:
     """Rows of the summary as SQL expressions over metric names."""
+    dated = str(dates).lower()
     def warn(order, step, metric, shown_extra="true"):
         return _row(order, step, "true", "'warning'", count=metric, shown=f"({metric} > 0 AND {shown_extra})")
 
@@ -51,7 +57,7 @@ def step_rows(provider: str, missing_columns: int, total_columns: int, card_toke
         _row(3, K.STEP_PRICE_ID, "price_id = 0", incorrect="price_id", total="n_subscribers"),
         _row(4, K.STEP_UNSUPPORTED, "unsupported_country = 0", incorrect="unsupported_country",
              total="n_subscribers"),
-        _row(5, K.STEP_DATE_FORMAT, "date_format = 0", incorrect="date_format", total="n_subscribers"),
+        _row(5, K.STEP_DATE_FORMAT, f"{dated} AND date_format = 0", incorrect="date_format", total="n_subscribers" if dates else "0"),
         _row(6, K.STEP_DATE_PERIOD, "date_period_population > 0 AND date_period = 0",
              incorrect="date_period", total="date_period_population"),
         _row(7, K.STEP_MISSING_POSTAL, "missing_postal = 0", incorrect="missing_postal",
@@ -81,7 +87,7 @@ def validation_summary(m) -> DataFrame:
     from vaultshift.plans.pipeline import column_check
     info = column_check(m.file_columns)
     check = m.options.card_token_check
-    rows = step_rows(m.options.provider, len(info["missing_columns"]), info["total_columns"], check)
+    rows = step_rows(m.options.provider, len(info["missing_columns"]), info["total_columns"], check, not missing_dates(m.file_columns))
     rows += [_row(17 + k, r.step, f"{r.flag} = 0", incorrect=r.flag, total=f"{r.flag}_of") for k, r in enumerate(m.rules)]
     names = METRICS + (["card_token", "card_token_population"] if check else []) + [n for r in m.rules for n in r.flags]
     out = m.wide_metrics(names).selectExpr(_stack(rows))
@@ -97,6 +103,26 @@ STEP_REPORTS = {
 FAILURES_FOUND = "Validation failures detected"
 
 
+def step_errors(m) -> dict[str, str]:
+    """Errors of steps that the export's header decides."""
+    lost = missing_dates(m.file_columns)
+    return dict.fromkeys((K.STEP_DATE_FORMAT, K.STEP_DATE_PERIOD), f"Missing required columns: {lost}") if lost else {}
+
+
+NO_DATES = "No valid date records found"
+
+
+def with_errors(m, steps: list[dict]) -> list[dict]:
+    """The steps of a run with the error of each that has one."""
+    errors = step_errors(m)
+    for s in steps:
+        if s["step"] in errors:
+            s["error"] = errors[s["step"]]
+        elif s["step"] == K.STEP_DATE_PERIOD and not s["valid"] and not s["total_records"]:
+            s["error"] = NO_DATES
+    return steps
+
+
 def validation_envelope(m) -> DataFrame:
     """The validation table with what the result envelope adds to each step: the missing and optional
     columns and the number of columns (column step), the report file of a failed step, its message."""
@@ -107,7 +133,11 @@ def validation_envelope(m) -> DataFrame:
     report = F.lit(None).cast("string")
     for step, name in (STEP_REPORTS | {r.step: r.code for r in m.rules}).items():
         full = f"{name}_after_autocorrect" if step == K.STEP_US_POSTAL else name
-        report = F.when((F.col("step") == step) & ~F.col("valid"), F.when(F.coalesce("autocorrected_count", F.lit(0)) > 0, full).otherwise(name)).otherwise(report)
+        report = F.when((F.col("step") == step) & (F.col("incorrect_count") > 0), F.when(F.coalesce("autocorrected_count", F.lit(0)) > 0, full).otherwise(name)).otherwise(report)
+    error = F.when(is_columns & ~F.col("valid"), F.lit("Missing required columns"))
+    error = error.when((F.col("step") == K.STEP_DATE_PERIOD) & ~F.col("valid") & (F.col("total_records") == 0), F.lit(NO_DATES))
+    for step, text in step_errors(m).items():
+        error = F.when(F.col("step") == step, F.lit(text)).otherwise(error)
     message = F.lit(None).cast("string")
     for step, (metric, text) in K.MESSAGES.items():  # a step's count is its metric
         message = F.when(F.col("step") == step, F.expr(re.sub(rf"\b{metric}\b", "`count`", text))).otherwise(message)
@@ -117,7 +147,7 @@ def validation_envelope(m) -> DataFrame:
         F.when(is_columns, F.lit(",".join(info["optional_columns"]))).alias("optional_columns"),
         F.when(is_columns, F.lit(info["total_columns"])).cast("long").alias("total_columns"),
         report.alias("report"), message.alias("message"),
-        F.when(is_columns & ~F.col("valid"), F.lit("Missing required columns")).alias("error"))
+        error.alias("error"))
 
 
 def verdict(steps: list[dict]) -> dict:
