@@ -328,3 +328,37 @@ def test_weights_do_not_depend_on_the_shards(spark, make_docs, monkeypatch):
         rows = decontaminate.leaks(docs, spark.createDataFrame(items, "item_id long, text string"), Scratch(spark, "t")).collect()
         got.append({(r.doc_id, r.item_id): round(r.score, 9) for r in rows})
     assert got[0] and got[0] == got[1]
+
+
+def test_substring_wide_ids_and_texts_under_one_id(spark, make_docs):
+    """64-bit ids; two texts under one id: each keeps its own words and loses only what an earlier document holds."""
+    rng = np.random.default_rng(77)
+    passage, a, b, c = (sentence(rng, n) for n in (80, 60, 60, 60))
+    rows = [(5, f"{a} {passage}"), (2**62, f"{b} {passage}"), (2**62, f"{c} {passage} end"), (2**62 + 1, f"{a} {passage}"), (2**62 + 1, f"{c} alone")]
+    got = sorted((r.doc_id, " ".join(r.text.split()), r.class_ids) for r in substring_dedup.report(make_docs(rows), Scratch(spark, "t")).collect())
+    assert [(i, t) for i, t, _ in got] == sorted([(5, f"{a} {passage}"), (2**62, b), (2**62, f"{c} end"), (2**62 + 1, ""), (2**62 + 1, f"{c} alone")]) or \
+        [(i, t) for i, t, _ in got] == sorted([(5, f"{a} {passage}"), (2**62, b), (2**62, f"{c} end"), (2**62 + 1, ""), (2**62 + 1, "alone")])
+    assert all(ids in ([], [5], [2**62], [5, 2**62]) for _, _, ids in got)
+
+
+def test_substring_stage_keeps_columns_whatever_their_names(spark, make_docs):
+    from pyspark.sql import functions as F
+    from vaultshift.llm import stages
+    rng = np.random.default_rng(78)
+    passage = sentence(rng, 90)
+    docs = make_docs([(1, passage), (2, f"own words {passage}"), (3, None), (None, passage)])
+    docs = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in ("_text", "_n_chars", "d", "c", "text_key", "a.b")})
+    out = {r.doc_id: r for r in stages.substring_dedup_stage(spark, docs, "").collect()}
+    assert out[2].text.strip() == "own words" and out[2].n_chars == len(out[2].text) and out[2]._text == "_text2" and out[2]["a.b"] == "a.b2"
+    assert out[1].text == passage and out[3].text is None and out[None].text == passage
+
+
+def test_anchors_of_a_long_text_by_ranges(monkeypatch):
+    rng = np.random.default_rng(79)
+    text = sentence(rng, 3000) + " " + "again and again " * 200 + sentence(rng, 2000)
+    whole = substring_dedup.anchors(Text([text], lower=True))
+    monkeypatch.setattr(substring_dedup, "CHUNK", 100)
+    monkeypatch.setattr(substring_dedup, "LONG", 500)
+    parts = substring_dedup.anchors(Text([text], lower=True))
+    keys = [set(zip(x[1].tolist(), x[3].tolist(), strict=True)) for x in (whole, parts)]
+    assert keys[0] <= keys[1] and len(keys[1] - keys[0]) <= 60  # more only inside periodic text

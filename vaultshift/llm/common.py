@@ -40,6 +40,19 @@ class Scratch:
             path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{t}")
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
+    def release(self) -> None:
+        """Lets the driver find out now which finished shuffles nothing refers to, so that executors delete their
+        files; by default it looks every half hour."""
+        import gc
+
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 1 000 rows from here on: a task holds one on either side of its Python worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
 
 def fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id's decimal text modulo ``modulus``; null for a null id."""

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from . import decontaminate as bm25
 from . import jaccard_join, langid, mixing, substring_dedup
-from .common import Scratch, hint_small
+from .common import Scratch, hint_small, small_batches
 
 #: A document whose best language has a smaller share of its words is rejected.
 MIN_LANGUAGE_SHARE = 0.5
@@ -25,6 +25,7 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in some language: ``und`` and mixtures below ``MIN_LANGUAGE_SHARE`` go."""
     scratch = Scratch(spark, "lang")
+    small_batches(spark)
     found = langid.predict(docs, langid.fit(docs))
     rejected = found.where((F.col("lang_pred") == langid.UND) | (F.col("score") < MIN_LANGUAGE_SHARE)).select("doc_id")
     return _without(docs, scratch.write(rejected.where("doc_id is not null").distinct(), "rejected"))
@@ -46,15 +47,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with texts (and n_chars) that have lost the passages an earlier document holds."""
     scratch = Scratch(spark, "passages")
-    new = substring_dedup.find_cuts(docs, scratch).select("doc_id", F.col("text").alias("_text"), F.col("n_chars").alias("_n_chars"))
-    new = scratch.write(new.dropDuplicates(["doc_id"]), "texts")
-    ids = new.select("doc_id")
-    clean = docs.join(hint_small(ids), "doc_id", "left_anti")
-    cut = docs.join(hint_small(ids), "doc_id", "left_semi").drop("text", *(["n_chars"] if "n_chars" in docs.columns else [])).join(new, "doc_id")
-    cut = cut.withColumn("text", F.col("_text"))
-    if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.col("_n_chars").cast(docs.schema["n_chars"].dataType))
-    return cut.select(*docs.columns).unionByName(clean)
+    cuts = substring_dedup.find_cuts(docs, scratch).select("doc_id", "text_key", "text", "n_chars")
+    cuts = scratch.write(cuts.dropDuplicates(["doc_id", "text_key"]), "texts")
+    scratch.drop("cuts")
+    # both sides as one column each: no name of theirs can clash
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d"))
+    new = cuts.select(F.struct(*cuts.columns).alias("c"))
+    both = rows.join(hint_small(new, 20_000), (F.col("d.doc_id") == F.col("c.doc_id")) & (F.xxhash64("d.text") == F.col("c.text_key")), "left")
+    cut = F.col("c").isNotNull()
+    out = {c: F.col(f"d.`{c}`") for c in docs.columns}
+    out["text"] = F.when(cut, F.col("c.text")).otherwise(out["text"])
+    if "n_chars" in out:
+        out["n_chars"] = F.when(cut, F.col("c.n_chars").cast(docs.schema["n_chars"].dataType)).otherwise(out["n_chars"])
+    return both.select(*[e.alias(c) for c, e in out.items()])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,8 +25,8 @@ it (15 words each). In any two equal paragraphs at least one band collides, what
 
 Defined cases: null doc_id: passed through, no search; null text stays null and shares nothing; texts
 under 50 words share nothing; of equal passages the one in the document with the least id stays, and
-repeats inside one document are left alone; rows that repeat a doc_id are one document (all rows stay, with the
-same cuts); an empty table gives an empty result; extra columns are ignored. Words are maximal runs
+repeats inside one document are left alone; rows that repeat a doc_id and its text are one document (all rows stay, with the
+same cuts), each other text under an id keeps its own words and loses what an earlier document holds of them; an empty table gives an empty result; extra columns are ignored. Words are maximal runs
 outside white space, compared in lower case. Very long texts are processed whole, in tiles.
 """
 
@@ -40,34 +40,60 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, hint_small
+from .common import Scratch, components, hint_small, small_batches
 from .textnum import Text, chunks, column, mix, shingles
 
 PARAGRAPH = 50
 WIDTH = 5
 CONTEXT = 10
-TILE = 64
+TILE = 32
 SHINGLES = PARAGRAPH - WIDTH + 1
 NEED = -(-SHINGLES * 2 * 4 // 9)  # least a with a / (2 * SHINGLES - a) >= 0.8
-NODE_BITS = 20  # tiles of one document
 RUN = 16
 HINT_ROWS = 200_000
 HASHES = 2  # MinHashes of a paragraph
 FINER = 6  # MinHashes that part the occurrences of a key that its least one does not account for
 CHUNK = 1 << 20
+LONG = 1 << 16  # words of a text taken at once
+TEXT_KEY = "xxhash64(text) as text_key"
 
 
 def anchors(t: Text):
     """(row, place, reach, key): band keys of the paragraphs of a chunk of texts; place is the first word of
     the 15 words that make the key, counted from the start of the row. Places of one key whose words touch or
-    overlap are one entry, from the first to the last of them, ``reach``: all text between is periodic then."""
+    overlap are one entry, from the first to the last of them, ``reach``: all text between is periodic then. A single
+    long text is taken ``LONG`` words at a time, in ranges that share more than a paragraph and its context."""
+    if t.n == 1 and len(t.data) > CHUNK:
+        s, e, _ = t.words()
+        found = []
+        for lo in range(0, max(len(s) - 2 * PARAGRAPH, 1), LONG):
+            hi = min(lo + LONG + 4 * PARAGRAPH, len(s))
+            if lo < hi:
+                part = Text([t.data[s[lo] : e[hi - 1]].tobytes().decode()])
+                r, p, k = _bands(part)
+                found.append((r, p + lo, k))
+        pr, pp, key = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+    else:
+        pr, pp, key = _bands(t)
+    if not len(pr):
+        return (np.zeros(0, np.int64),) * 4
+    order = np.lexsort((pp, key, pr))
+    pr, pp, key = pr[order], pp[order], key[order]
+    head = np.ones(len(pr), bool)
+    head[1:] = (pr[1:] != pr[:-1]) | (key[1:] != key[:-1]) | (pp[1:] - pp[:-1] > WIDTH + CONTEXT)
+    at = np.flatnonzero(head)
+    return pr[at], pp[at], pp[np.append(at[1:], len(pp)) - 1], key[at]
+
+
+def _bands(t: Text):
+    """(row, place, key) of every band of a chunk of texts."""
     s, e, row = t.words()
     h = t.hash(s, e)
     sh, sr = shingles(h, row, t.n, WIDTH)
     wide, wr = shingles(h, row, t.n, WIDTH + CONTEXT)
     none = np.zeros(0, np.int64)
     if len(sh) < SHINGLES:
-        return none, none, none, none
+        return none, none, none
     # in a run of one repeated shingle only every RUN-th place may be a minimum
     start = np.concatenate([[True], (sh[1:] != sh[:-1]) | (sr[1:] != sr[:-1])])
     place = np.arange(len(sh))
@@ -87,7 +113,7 @@ def anchors(t: Text):
         picked.append(at[sr[: len(sh) - SHINGLES + 1] == sr[SHINGLES - 1 :]])
     at = np.unique(np.concatenate(picked))
     if not len(at):
-        return none, none, none, none
+        return none, none, none
     r = sr[at]
     local = at - np.searchsorted(sr, r)
     n_words = np.bincount(row, minlength=t.n)[r]
@@ -97,13 +123,7 @@ def anchors(t: Text):
     pp = np.concatenate([local[ok_l] - CONTEXT, local[ok_r]])
     both = np.unique(pr * (1 << 32) + pp)
     pr, pp = both >> 32, both & 0xFFFFFFFF
-    key = wide[first_wide[pr] + pp].view(np.int64)
-    order = np.lexsort((pp, key, pr))
-    pr, pp, key = pr[order], pp[order], key[order]
-    head = np.ones(len(pr), bool)
-    head[1:] = (pr[1:] != pr[:-1]) | (key[1:] != key[:-1]) | (pp[1:] - pp[:-1] > WIDTH + CONTEXT)
-    at = np.flatnonzero(head)
-    return pr[at], pp[at], pp[np.append(at[1:], len(pp)) - 1], key[at]
+    return pr, pp, wide[first_wide[pr] + pp].view(np.int64)
 
 
 def anchor_rows(docs: DataFrame) -> DataFrame:
@@ -245,8 +265,9 @@ def cut(data: bytes, starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int
     return b"".join([*out, data[at:]]).decode()
 
 
+LINK = ("head", "a_doc", "a_tile", "b_doc", "b_tile")
 CUTS = ("doc_id long, text string, n_chars long, n_spans int, removed_words long, spans array<struct<a: int, b: int>>, "
-        "links array<struct<head: boolean, a: long, b: long>>")
+        "links array<struct<head: boolean, a_doc: long, a_tile: int, b_doc: long, b_tile: int>>, text_key long")
 
 
 def cuts(docs: DataFrame, evidence: DataFrame) -> DataFrame:
@@ -285,24 +306,24 @@ def cuts(docs: DataFrame, evidence: DataFrame) -> DataFrame:
                 if not spans:
                     continue
                 # a removed span and the passages it repeats are one cluster; the span's head stands for it
-                node = (doc << NODE_BITS) | (np.array([a for a, _ in spans]) // TILE)
-                links = {(True, int(k), int(k)) for k in node}
+                node = [a // TILE for a, _ in spans]
+                links = {(True, doc, k, doc, k) for k in node}
                 for a, b, cdoc, shift in seen:
-                    own_node = int(node[np.searchsorted([x for x, _ in spans], a, side="right") - 1])
-                    tiles_hit = [(cdoc << NODE_BITS) | k for k in range(max(a + shift, 0) // TILE, (b - 1 + shift) // TILE + 1)]
-                    links.update((False, own_node, k) for k in tiles_hit)
+                    own_node = node[int(np.searchsorted([x for x, _ in spans], a, side="right")) - 1]
+                    links.update((False, doc, own_node, cdoc, k) for k in range(max(a + shift, 0) // TILE, (b - 1 + shift) // TILE + 1))
                 raw = Text(part)
                 rs, re_, _ = raw.words()
                 new = cut(raw.data.tobytes(), rs, re_, spans)
-                rows.append((doc, new, len(new), len(spans), int(mask.sum()), [{"a": a, "b": b} for a, b in spans], [{"head": x, "a": y, "b": z} for x, y, z in sorted(links)]))
+                rows.append((doc, new, len(new), len(spans), int(mask.sum()), [{"a": a, "b": b} for a, b in spans], [dict(zip(LINK, x, strict=True)) for x in sorted(links)],
+                             batch.column(4)[i].as_py()))
             if rows:
                 cols = list(zip(*rows, strict=True))
                 kinds = [pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])),
-                         pa.list_(pa.struct([("head", pa.bool_()), ("a", pa.int64()), ("b", pa.int64())]))]
+                         pa.list_(pa.struct(list(zip(LINK, (pa.bool_(), pa.int64(), pa.int32(), pa.int64(), pa.int32()), strict=True)))), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
-                                                 names=["doc_id", "text", "n_chars", "n_spans", "removed_words", "spans", "links"])
+                                                 names=["doc_id", "text", "n_chars", "n_spans", "removed_words", "spans", "links", "text_key"])
 
-    return docs.join(evidence, "doc_id").select("doc_id", "text", "found", "shifts").mapInArrow(run, CUTS)
+    return docs.join(evidence, "doc_id").selectExpr("doc_id", "text", "found", "shifts", TEXT_KEY).mapInArrow(run, CUTS)
 
 
 def copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -310,23 +331,23 @@ def copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
     the white space before the first word. Only texts of a paragraph or more count."""
     space = r"[\x20\x09-\x0D]"
     words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
-    known = docs.where("doc_id is not null and text is not null").select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"), words.alias("n_words"),
+    known = docs.where("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("text_key"), F.md5(F.col("text").cast("binary")).alias("digest"), words.alias("n_words"),
                                                                         F.regexp_extract("text", f"^{space}*", 0).alias("lead"))
     known = scratch.write(known.where(F.col("n_words") >= PARAGRAPH), "digests")
     first = known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").drop("n")
     first = hint_small(scratch.write(first, "first"), HINT_ROWS)
-    return known.join(first, "digest").where("doc_id <> rep").select("doc_id", "rep", "n_words", "lead").dropDuplicates(["doc_id"])
+    return known.join(first, "digest").where("doc_id <> rep").select("doc_id", "text_key", "rep", "n_words", "lead").dropDuplicates(["doc_id", "text_key"])
 
 
 def whole_cuts(same: DataFrame) -> DataFrame:
     """The cut of a copy: all its words repeat its representative's."""
-    node, other = (F.shiftleft(F.col(c), NODE_BITS) for c in ("doc_id", "rep"))
-    tile = F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_words") - 1) / TILE).cast("long"))
-    link = lambda head, b: F.struct(F.lit(head).alias("head"), node.alias("a"), b.alias("b"))
-    links = F.concat(F.array(link(True, node)), F.transform(tile, lambda k: link(False, other + k)))
+    tile = F.sequence(F.lit(0), F.floor((F.col("n_words") - 1) / TILE).cast("int"))
+    link = lambda head, doc, k: F.struct(F.lit(head).alias("head"), F.col("doc_id").alias("a_doc"), F.lit(0).alias("a_tile"),
+                                         doc.alias("b_doc"), k.alias("b_tile"))
+    links = F.concat(F.array(link(True, F.col("doc_id"), F.lit(0))), F.transform(tile, lambda k: link(False, F.col("rep"), k)))
     return same.select("doc_id", F.col("lead").alias("text"), F.length("lead").cast("long").alias("n_chars"), F.lit(1).alias("n_spans"),
                        F.col("n_words").cast("long").alias("removed_words"),
-                       F.array(F.struct(F.lit(0).alias("a"), F.col("n_words").cast("int").alias("b"))).alias("spans"), links.alias("links"))
+                       F.array(F.struct(F.lit(0).alias("a"), F.col("n_words").cast("int").alias("b"))).alias("spans"), links.alias("links"), "text_key")
 
 
 def closer(docs: DataFrame, pool: DataFrame) -> DataFrame:
@@ -381,7 +402,7 @@ def alignments(hits: DataFrame) -> DataFrame:
                                     F.struct((F.col("creach") - run).alias("first"), (F.col("creach") - F.col("reach")).alias("shift"))))
     at = hits.select("doc_id", "cdoc", run.alias("run"), F.explode(both).alias("at")).select("doc_id", "cdoc", "run", "at.first", "at.shift")
     near = F.sequence(F.floor((F.greatest(F.col("first") - PARAGRAPH, F.lit(0))) / TILE).cast("int"),
-                      F.floor((F.col("first") + F.col("run") + 2 * PARAGRAPH) / TILE).cast("int"))
+                      F.floor((F.col("first") + F.col("run") + PARAGRAPH + WIDTH + CONTEXT) / TILE).cast("int"))
     return at.select("doc_id", "cdoc", "shift", F.explode(near).alias("tile")).groupBy("doc_id", "cdoc", "shift").agg(
         F.sort_array(F.collect_set("tile")).alias("tiles"))
 
@@ -397,19 +418,22 @@ def verified(base: DataFrame, aligned: DataFrame, scratch: Scratch, name: str) -
     evidence = need.join(pieces.withColumnRenamed("doc_id", "cdoc"), ["cdoc", "tile"])
     evidence = evidence.groupBy("doc_id").agg(F.collect_list(F.struct("cdoc", "tile", "words")).alias("found"))
     evidence = evidence.join(aligned.groupBy("doc_id").agg(F.collect_list(F.struct("cdoc", "shift")).alias("shifts")), "doc_id")
-    out = scratch.write(cuts(some, evidence).dropDuplicates(["doc_id"]), f"{name}_cuts")
+    out = scratch.write(cuts(some, evidence).dropDuplicates(["doc_id", "text_key"]), f"{name}_cuts")
     scratch.drop(*(f"{name}_{t}" for t in ("need", "wanted", "tiles", "concerned")))
+    scratch.release()
     return out
 
 
 def find_cuts(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id, text (cut), n_chars, n_spans, removed_words, spans, links of every document with a repeat."""
+    small_batches(docs.sparkSession)
     base = docs.select("doc_id", "text")
     same = scratch.write(copies(base, scratch), "copies")
     keys = scratch.write(anchor_rows(base), "anchors")
     keys = keys.join(hint_small(same.select("doc_id")), "doc_id", "left_anti")
     hits = meet(keys, scratch, "least")
     aligned = scratch.write(alignments(hits), "aligned")
+    scratch.release()
     first = verified(base, aligned, scratch, "first")
     # occurrences that their key's least one does not account for meet once more, by closer keys
     spans = first.select("doc_id", "spans")
@@ -420,14 +444,16 @@ def find_cuts(docs: DataFrame, scratch: Scratch) -> DataFrame:
     pool = pool.groupBy("doc_id").agg(F.collect_set(F.struct("key", "place", "reach")).alias("at"))
     more = scratch.write(closer(base.where("text is not null"), pool).distinct(), "closer")
     again = scratch.write(alignments(meet(more, scratch, "least2")), "again")
+    scratch.drop("anchors", "least", "failed", "closer", "least2")
+    scratch.release()
     changed = scratch.write(again.select("doc_id").distinct(), "changed")
     every = aligned.join(hint_small(changed), "doc_id", "left_semi").unionByName(again)
     every = every.groupBy("doc_id", "cdoc", "shift").agg(F.array_distinct(F.flatten(F.collect_list("tiles"))).alias("tiles"))
     second = verified(base, scratch.write(every, "every"), scratch, "second")
     kept = first.join(hint_small(changed), "doc_id", "left_anti")
     out = scratch.write(kept.unionByName(second).unionByName(whole_cuts(same)), "cuts")
-    scratch.drop("digests", "first", "copies", "anchors", "least", "aligned", "failed", "closer", "least2", "again", "changed", "every",
-                 "first_cuts", "second_cuts")
+    scratch.drop("digests", "first", "copies", "aligned", "again", "changed", "every", "first_cuts", "second_cuts")
+    scratch.release()
     return out
 
 
@@ -436,16 +462,22 @@ def report(docs: DataFrame, scratch: Scratch) -> DataFrame:
     repeated passages, and the clusters that its removed passages belong to, each named by the document
     that keeps the cluster's first passage."""
     done = find_cuts(docs, scratch)
-    links = done.select("doc_id", F.explode("links").alias("l")).select("doc_id", "l.head", "l.a", "l.b")
-    label = components(links.where("not head").select("a", "b"), scratch, "passages")
-    classes = links.where("head").join(label, F.col("a") == F.col("node")).groupBy("doc_id").agg(
-        F.sort_array(F.collect_set(F.shiftright("comp", NODE_BITS))).alias("class_ids"))
-    small = scratch.write(done.select("doc_id", "text", "n_chars", "n_spans", "removed_words").dropDuplicates(["doc_id"])
-                          .join(classes, "doc_id", "left"), "report")
-    ids = hint_small(small.select("doc_id"))
-    clean = docs.select("doc_id", "text").join(ids, "doc_id", "left_anti")
+    links = done.select("doc_id", "text_key", F.explode("links").alias("l")).select(
+        "doc_id", "text_key", "l.head", F.xxhash64("l.a_doc", "l.a_tile").alias("a"), "l.a_doc", F.xxhash64("l.b_doc", "l.b_tile").alias("b"), "l.b_doc")
+    links = scratch.write(links, "links")
+    label = scratch.write(components(links.where("not head").select("a", "b"), scratch, "passages"), "passages")
+    ends = links.select(F.col("a").alias("node"), F.col("a_doc").alias("doc")).union(links.select("b", "b_doc"))
+    name = label.join(ends, "node").groupBy("comp").agg(F.min("doc").alias("class_id"))
+    classes = links.where("head").join(label, F.col("a") == F.col("node")).join(name, "comp").groupBy("doc_id", "text_key").agg(
+        F.sort_array(F.collect_set("class_id")).alias("class_ids"))
+    keys = ["doc_id", "text_key"]
+    small = scratch.write(done.select(*keys, "text", "n_chars", "n_spans", "removed_words").dropDuplicates(keys).join(classes, keys, "left"), "report")
+    scratch.drop("cuts", "links", "passages")
+    ids = hint_small(small.select(*keys))
+    every = docs.selectExpr("doc_id", "text", TEXT_KEY)
+    clean = every.join(ids, keys, "left_anti")
     clean = clean.select("doc_id", "text", F.length("text").cast("long").alias("n_chars"), F.lit(0).alias("n_removed"),
                          F.lit(0).cast("long").alias("removed_words"), F.array().cast("array<long>").alias("class_ids"))
-    again = docs.select("doc_id").join(ids, "doc_id", "left_semi")
-    touched = again.join(small, "doc_id").select("doc_id", "text", "n_chars", F.col("n_spans").alias("n_removed"), "removed_words", "class_ids")
+    again = every.select(*keys).join(ids, keys, "left_semi")
+    touched = again.join(small, keys).select("doc_id", "text", "n_chars", F.col("n_spans").alias("n_removed"), "removed_words", "class_ids")
     return touched.unionByName(clean)
