@@ -50,16 +50,17 @@ def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     cuts = substring_dedup.find_cuts(docs, scratch).select("doc_id", "text_key", "text", "n_chars")
     cuts = scratch.write(cuts.dropDuplicates(["doc_id", "text_key"]), "texts")
     scratch.drop("cuts")
-    # both sides as one column each: no name of theirs can clash
+    # rows and cuts as one column each: no name of theirs can clash; only rows with a cut are shuffled
+    ids = cuts.select(F.struct("doc_id", "text_key").alias("i"))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d"))
-    new = cuts.select(F.struct(*cuts.columns).alias("c"))
-    both = rows.join(hint_small(new, 20_000), (F.col("d.doc_id") == F.col("c.doc_id")) & (F.xxhash64("d.text") == F.col("c.text_key")), "left")
-    cut = F.col("c").isNotNull()
-    out = {c: F.col(f"d.`{c}`") for c in docs.columns}
-    out["text"] = F.when(cut, F.col("c.text")).otherwise(out["text"])
+    own = (F.col("d.doc_id") == F.col("i.doc_id")) & (F.xxhash64("d.text") == F.col("i.text_key"))
+    clean = rows.join(hint_small(ids), own, "left_anti")
+    new = cuts.select(F.struct(*cuts.columns).alias("i"))
+    both = rows.join(hint_small(ids), own, "left_semi").join(new, own)
+    out = {c: F.col(f"d.`{c}`") for c in docs.columns} | {"text": F.col("i.text")}
     if "n_chars" in out:
-        out["n_chars"] = F.when(cut, F.col("c.n_chars").cast(docs.schema["n_chars"].dataType)).otherwise(out["n_chars"])
-    return both.select(*[e.alias(c) for c, e in out.items()])
+        out["n_chars"] = F.col("i.n_chars").cast(docs.schema["n_chars"].dataType)
+    return clean.select("d.*").unionByName(both.select(*[e.alias(c) for c, e in out.items()]))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
