@@ -112,6 +112,15 @@ def _output(report: str, provider: str = "stripe"):
     return run
 
 
+def null_key_filter(spark: SparkSession, d: str) -> DataFrame:
+    """Subscriber rows without a card key reach no joined row and are counted as dropped."""
+    m = _run(spark, d)
+    subs = m.subscribers.withColumn("card_token", F.when(F.col(ROW_ID) % 13 != 0, F.col("card_token")))
+    m = Migration(subs, m.mapping, m.options)
+    kept = m.joined_all.agg(F.count_distinct(ROW_ID).alias("v")).select(F.lit("joined_subscribers").alias("metric"), F.col("v").alias("value"))
+    return m.metric_rows(["n_subscribers", "dropped_null_key"]).unionByName(kept)
+
+
 def step_errors(spark: SparkSession, d: str) -> DataFrame:
     """The steps of an export that lacks a period column, and of one whose dates never parse."""
     m = _run(spark, d)
@@ -185,6 +194,7 @@ QUERIES = {
     "scan_quoted_newline": scan_quoted_newline,
     "quantity_edges": quantity_edges,
     "date_edges": date_edges,
+    "null_key_filter": null_key_filter,
     "step_errors": step_errors,
     "postal_audit_inferred": postal_audit_inferred,
     "user_rules_summary": user_rules_summary,
@@ -324,6 +334,9 @@ def oracle() -> dict[str, str]:
         "scan_quoted_newline": O.chain() + f"SELECT CAST(row_id AS VARCHAR) AS row_id, {name} AS customer_full_name, customer_email, address_postal_code FROM sub",
         "quantity_edges": _cells_sql([(v, not v.isdigit()) for _, v in QUANTITY_CELLS], "i, quantity_1, fails", "quantity_1, fails"),
         "date_edges": _cells_sql([(not ok,) for _, ok in DATE_TAILS], "i, fails", "fails"),
+        "null_key_filter": O.chain() + "SELECT 'n_subscribers' AS metric, count(*)::BIGINT AS value FROM sub UNION ALL "
+                           "SELECT 'dropped_null_key', count_if(row_id % 13 = 0 OR card_token IS NULL)::BIGINT FROM sub UNION ALL "
+                           "SELECT 'joined_subscribers', count_if(row_id % 13 <> 0 AND card_token IS NOT NULL)::BIGINT FROM sub",
         "step_errors": _step_errors_sql(),
         "postal_audit_inferred": _audit_inferred_sql(),
         "user_rules_summary": _user_summary_sql(),
