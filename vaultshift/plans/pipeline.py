@@ -34,6 +34,7 @@ from vaultshift.functions import text as T
 from vaultshift.operators import mapping as M
 from vaultshift.operators import postal as P
 from vaultshift.operators import rules as R
+from vaultshift.operators.ordering import key_ordered
 from vaultshift.operators.skew import DEFAULT_HOT_ROWS, fan_out, rows_in_groups, rows_in_groups_counts, skew_left_join
 
 ROW_ID = "_temp_row_id"
@@ -385,6 +386,15 @@ class Migration:
         """C13 + D4: rows of subscriber rows that failed nothing (all have a token)."""
         return self.layout(self.completed.where(~F.col("_row_failed")), helpers=False)
 
+    def final_import_in_order(self, files: int, helpers: bool = False) -> DataFrame:
+        """H2: the final import in order of the card key, then of the rows, as ``files`` sorted ranges; with ``helpers``
+        the key and the row id come first."""
+        ties = [F.col(ROW_ID).alias("_tie_row"), F.col("_m_uid").alias("_tie_vault")]
+        own = [F.col("_key").alias("card_key"), F.col(ROW_ID)] if helpers else []
+        names = [c for c, keep in (("card_key", helpers), (ROW_ID, helpers)) if keep] + self.layout_columns
+        rows = self.completed.where(~F.col("_row_failed")).select(*own, *self._layout_exprs("final"), F.col("_key").alias("_order_key"), *ties)
+        return key_ordered(rows, ["_order_key"], ["_tie_row", "_tie_vault"], files).select(*[F.col(f"`{c}`") for c in names])
+
     @cached_property
     def no_token(self) -> DataFrame:
         return self.layout(self.completed.where(F.col("_f_no_token")))

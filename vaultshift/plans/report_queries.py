@@ -112,6 +112,15 @@ def _output(report: str, provider: str = "stripe"):
     return run
 
 
+def final_import_key_order(spark: SparkSession, d: str) -> DataFrame:
+    """H2: the final import written in key order and read back: each record's place over all files, its key and row."""
+    path = _folder(spark, "ordered")
+    IO.write_csv(_run(spark, d).final_import_in_order(8, helpers=True), path)
+    back = IO._scan(spark, path, multi_line=True, numbered=True)
+    email = F.coalesce("customer_email", F.lit("")).alias("customer_email")
+    return back.select("line", "card_key", F.col(ROW_ID).cast("long").alias("row_id"), email)
+
+
 def null_key_filter(spark: SparkSession, d: str) -> DataFrame:
     """Subscriber rows without a card key reach no joined row and are counted as dropped."""
     m = _run(spark, d)
@@ -199,6 +208,7 @@ QUERIES = {
     "postal_audit_inferred": postal_audit_inferred,
     "user_rules_summary": user_rules_summary,
     "user_rules_final_import": user_rules_final_import,
+    "final_import_key_order": final_import_key_order,
     "report_card_expiry": user_rules_report,
     "validation_verdict": run_verdict,
     "validation_envelope": run_envelope,
@@ -341,6 +351,8 @@ def oracle() -> dict[str, str]:
         "postal_audit_inferred": _audit_inferred_sql(),
         "user_rules_summary": _user_summary_sql(),
         "user_rules_final_import": O.chain() + f"SELECT row_id, k AS card_id FROM cr WHERE {_USER_SUCCESS}",
+        "final_import_key_order": O.chain() + f"SELECT row_number() OVER (ORDER BY k, row_id) AS line, {O.clean('k')} AS card_key, row_id, "
+                                  f"{O.clean('customer_email')} AS customer_email FROM cr WHERE NOT row_failed",
         "report_card_expiry": _layout_text(_EXPIRED),
         "validation_verdict": _verdict_sql(),
         "validation_envelope": _envelope_sql(),

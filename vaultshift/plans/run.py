@@ -150,18 +150,27 @@ def report_lines(m: Migration, reports: list[str]) -> tuple[DataFrame, dict[str,
 
 
 def write_reports(m: Migration, counts: dict[str, int], names: dict[str, str], out_dir: str, work: str, file_rows: int = FILE_ROWS,
-                  threads: int = DEFAULT_PARALLEL_ACTIONS) -> list[dict]:
+                  threads: int = DEFAULT_PARALLEL_ACTIONS, key_order: bool = False) -> list[dict]:
     """All reports (report -> rows, more than none) in one job, then published: the lines are dealt to files
     of about ``file_rows``, written below ``work``, and each report's files become ``out_dir/name/part-N.csv``, whole
-    or not at all. Returns the manifest: name, size, rows, url of each."""
+    or not at all. With ``key_order`` the final import is a job of its own: its files are ranges of the card key, in
+    order. Returns the manifest: name, size, rows, url of each."""
     spark = m.subscribers.sparkSession
-    lines, headers = report_lines(m, list(counts))
     files = {r: max(1, -(-n // file_rows)) for r, n in counts.items()}
-    of = F.create_map(*[F.lit(x) for r, n in files.items() for x in (r, n)])
-    lines = lines.select("report", F.pmod("id", of[F.col("report")]).cast("int").alias("file"), F.lit(1).alias("k"), F.col("line").alias("value"))
-    heads = spark.createDataFrame([(r, k, 0, headers[r]) for r, n in files.items() for k in range(n)], "report string, file int, k int, value string")
-    every = lines.unionByName(heads).repartition("report", "file").sortWithinPartitions("report", "file", "k")
-    every.drop("k").write.mode("overwrite").partitionBy("report", "file").text(f"{work}/reports")
+    ordered = {K.REPORT_FINAL_IMPORT} & set(counts) if key_order else set()
+    dealt = {r: n for r, n in files.items() if r not in ordered}
+
+    def write_dealt() -> None:
+        lines, headers = report_lines(m, list(dealt))
+        of = F.create_map(*[F.lit(x) for r, n in dealt.items() for x in (r, n)])
+        lines = lines.select("report", F.pmod("id", of[F.col("report")]).cast("int").alias("file"), F.lit(1).alias("k"), F.col("line").alias("value"))
+        heads = spark.createDataFrame([(r, k, 0, headers[r]) for r, n in dealt.items() for k in range(n)], "report string, file int, k int, value string")
+        every = lines.unionByName(heads).repartition("report", "file").sortWithinPartitions("report", "file", "k")
+        every.drop("k").write.mode("overwrite").partitionBy("report", "file").text(f"{work}/reports")
+
+    jobs = [write_dealt] if dealt else []
+    jobs += [partial(IO.write_csv, m.final_import_in_order(files[r]), f"{work}/ordered/{r}") for r in sorted(ordered)]
+    run_all(jobs, threads)
     jvm = spark.sparkContext._jvm
     path = lambda x: jvm.org.apache.hadoop.fs.Path(x)
     fs = path(work).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -169,11 +178,16 @@ def write_reports(m: Migration, counts: dict[str, int], names: dict[str, str], o
     def publish(report: str) -> dict:
         made = path(f"{work}/reports/_{report}")
         fs.mkdirs(made)
+        parts = lambda folder: sorted((f for f in fs.listStatus(path(folder)) if f.getPath().getName().startswith("part-")),
+                                      key=lambda f: f.getPath().getName())
+        if report in ordered:
+            found = parts(f"{work}/ordered/{report}")
+        else:
+            found = [f for k in range(files[report]) for f in parts(f"{work}/reports/report={report}/file={k}")]
         size = 0
-        for k in range(files[report]):
-            (found,) = [f for f in fs.listStatus(path(f"{work}/reports/report={report}/file={k}")) if f.getPath().getName().startswith("part-")]
-            size += found.getLen()
-            fs.rename(found.getPath(), path(f"{work}/reports/_{report}/part-{k:05d}.csv"))
+        for k, f in enumerate(found):
+            size += f.getLen()
+            fs.rename(f.getPath(), path(f"{work}/reports/_{report}/part-{k:05d}.csv"))
         target = path(f"{out_dir}/{names[report]}")
         fs.delete(target, True)
         fs.rename(made, target)
@@ -183,8 +197,9 @@ def write_reports(m: Migration, counts: dict[str, int], names: dict[str, str], o
 
 
 def run_to_directory(m: Migration, out_dir: str, subscriber_path: str = "", parallel_sinks: int = DEFAULT_PARALLEL_ACTIONS,
-                     epoch: int | None = None, file_rows: int = FILE_ROWS) -> dict:
-    """``epoch``: seconds in the names of rule reports (default: now), so that runs do not overwrite each other's."""
+                     epoch: int | None = None, file_rows: int = FILE_ROWS, key_order: bool = False) -> dict:
+    """``epoch``: seconds in the names of rule reports (default: now), so that runs do not overwrite each other's.
+    ``key_order``: the final import's files are sorted ranges of the card key."""
     o = m.options
     out_dir = out_dir.rstrip("/")
     spark = m.subscribers.sparkSession
@@ -208,7 +223,7 @@ def run_to_directory(m: Migration, out_dir: str, subscriber_path: str = "", para
                 counts[report] = found["incorrect_count"]
                 names[report] = IO.rule_report_name(o.seller_name, report + ("_after_autocorrect" if corrected else ""), o.is_sandbox, epoch)
                 found["download_file"] = names[report]
-        manifest = write_reports(m, counts, names, out_dir, work, file_rows, parallel_sinks) if counts else []
+        manifest = write_reports(m, counts, names, out_dir, work, file_rows, parallel_sinks, key_order) if counts else []
     finally:
         delete(spark, work)
     return {"summary": summary, "validation_results": steps, "reports": [f["name"] for f in manifest], "output_files": manifest} | verdict(steps)
