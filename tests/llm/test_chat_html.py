@@ -95,3 +95,43 @@ def test_pages_query(spark):
     got = sorted(((r.page_id or -1), r.text, r.n_chars) for r in html_extract.extract_pages(pages, w).collect())
     assert got == [(-1, "", 0), (1, BODY.strip(), len(BODY.strip())), (2, "", 0), (2, "", 0)]
     assert html_extract.fit(pages.limit(0)) == W and html_extract.extract_pages(pages.limit(0), w).count() == 0
+
+
+def _paragraphs(*texts):
+    return "".join(f"<p>{t}</p>" for t in texts)
+
+
+@pytest.mark.parametrize("comments", [
+    "<section id=comments><h2>Comments</h2>{c}</section>", "<div class='comment-list'>{c}</div>", "<ol class=comments-area>{c}</ol>", "{c}",
+    "<div class=comment-thread><div>{c}</div></div>"])
+@pytest.mark.parametrize("one", ["<article class=comment>{}</article>", "<article class='comment-body'>{}</article>", "<article>{}</article>"])
+def test_reader_comments_as_articles(comments, one):
+    shown = comments.format(c="".join(one.format(_paragraphs("I think " + BODY * 3)) for _ in range(3)))
+    inside = f"<article><h1>T</h1>{_paragraphs(BODY)}{shown}</article>"
+    assert html_extract.extract(inside, W) == ("T " + BODY).strip()
+    if comments != "{c}" or "class" in one:
+        after = f"<article><h1>T</h1>{_paragraphs(BODY)}</article>{shown}"
+        assert html_extract.extract(after, W) == ("T " + BODY).strip()
+
+
+def test_a_comment_mark_around_everything_means_something_else():
+    page = f"<div class=comment><article><h1>T</h1>{_paragraphs(BODY)}</article></div>"
+    assert html_extract.extract(page, W) == ("T " + BODY).strip()
+    assert html_extract.extract(f"<article class=comment><h1>T</h1>{_paragraphs(BODY)}</article>", W) == ("T " + BODY).strip()
+
+
+def test_heads_math_parts_and_compound_marks():
+    kept = ("T " + BODY).strip()
+    assert html_extract.extract(f'<article><div class="header"><h1>T</h1></div>{_paragraphs(BODY)}</article>', W) == kept
+    assert html_extract.extract(f'<div class="header">Site name</div><article><h1>T</h1>{_paragraphs(BODY)}</article>', W) == kept
+    for mark in ("ad-slot", "cookie-banner-wrapper", "newsletter-box", "share-buttons", "related-links"):
+        assert html_extract.extract(f"<article><h1>T</h1>{_paragraphs(BODY)}<div class={mark}><p>gone</div></article>", W) == kept
+    for mark in ("box", "section", "main-list", "ad-hoc", "header-image"):
+        assert html_extract.extract(f"<article><h1>T</h1><div class={mark}>{_paragraphs(BODY)}</div></article>", W) == kept
+    maths = "<math><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow></math>"
+    assert html_extract.extract(f"<article><p>{BODY}when {maths} holds</p></article>", W) == (BODY + "when x=1 holds").strip()
+    two = f"<article><h1>T</h1>{_paragraphs(BODY)}</article>\n<article>{_paragraphs('second ' + BODY)}</article>"
+    assert html_extract.extract(f"<main>{two}</main>", W) == html_extract.extract(two, W) == " ".join(f"T {BODY} second {BODY}".split())
+    bare = f"<article><article><h1>T</h1>{_paragraphs(BODY)}</article></article>"
+    assert html_extract.extract(bare, W) == kept
+    assert html_extract.extract("<article><article class=comment><p>" * 2000 + BODY, W).split()[:1] in ([], BODY.split()[:1])
