@@ -95,6 +95,46 @@ def test_forward_backward_matches_enumeration():
     assert np.allclose(post, want) and np.allclose(pairs, want_pairs)
 
 
+def test_pieces_carry_their_chain(monkeypatch):
+    """Rows of many pieces get the marginals of the whole chain, with few languages and with many."""
+    rng = np.random.default_rng(4)
+    row = np.repeat(np.arange(6), [1, 64, 65, 700, 128, 3])
+    em, trans = rng.normal(size=(len(row), 4)) * 3, rng.normal(size=(4, 4)) * 2
+    want, _ = langid.forward_backward(em, *langid.pieces(row), trans)
+    for piece in (1, 2, 7, 64, 4096):
+        monkeypatch.setattr(langid, "PIECE", piece)
+        assert np.allclose(langid.marginals_of_rows(em, row, trans), want)
+    monkeypatch.setattr(langid, "WIDE", 3)
+    assert np.allclose(langid.marginals_of_rows(em, row, trans), want)
+    cut, _ = langid.forward_backward(em, *langid.pieces(row, 64), trans)
+    assert not np.allclose(cut, want)
+    assert langid.marginals_of_rows(em[:0], row[:0], trans).shape == (0, 4)
+
+
+def test_training_reads_past_a_common_opening():
+    rng = np.random.default_rng(8)
+    words = {x: [f"{a}{b}{e}" for a in "bcdfgl" for b in "aeiou" for e in ends] for x, ends in (("xx", ("no", "ra")), ("yy", ("sk", "pt")))}
+    licence = " ".join(rng.choice([f"lic{a}{b}" for a in "abcd" for b in "uvw"], 400))
+    text = {x: [licence + " " + " ".join(rng.choice(v, 800)) for _ in range(30)] for x, v in words.items()}
+    model = langid.train(text["xx"] + text["yy"], ["xx"] * 30 + ["yy"] * 30)
+    lang, score, known = model.predict(pa.array([" ".join(rng.choice(words[x], 50)) for x in ("xx", "yy")] + ["qqqq zzzz wwww"]))
+    assert lang[:2] == ["xx", "yy"] and score[:2].min() > 0.8 and known[:2].min() > 0.8 and known[2] == 0
+
+
+def test_language_stage_keeps_mixtures(spark, make_docs, tmp_path):
+    from vaultshift.llm import stages
+    rng = np.random.default_rng(9)
+    words = {x: [f"{a}{b}{e}" for a in "bcdfgl" for b in "aeiou" for e in ends] for x, ends in
+             (("pp", ("no", "ra")), ("qq", ("sk", "pt")), ("rr", ("wy", "xu")))}
+    rows = [(100 * k + i, " ".join(rng.choice(v, 60)), x) for k, (x, v) in enumerate(words.items()) for i in range(40)]
+    mixed = " ".join(w for v in words.values() for w in rng.choice(v, 30))
+    docs = make_docs([(*r, "s") for r in rows] + [(1000, mixed, None, "s"), (1001, "--- 12", None, "s"), (1002, None, "pp", "s"), (None, mixed, None, "s")])
+    got = stages.language_id(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    ids = [r.doc_id for r in got.collect()]
+    assert 1000 in ids and 1001 not in ids and 1002 not in ids and None in ids and len(ids) == 122
+
+
 def test_code_switched_words(spark):
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
     model = langid.fit(docs)
@@ -126,6 +166,53 @@ def test_pooling_matches_plain_convolution():
         assert np.allclose(got[i], np.concatenate(want), atol=1e-5)
 
 
+def test_ftrl_and_scores_by_brute_force():
+    """A scalar FTRL over dictionaries, and scores as dictionary dot products."""
+    from collections import Counter
+    from math import exp, log, sqrt
+
+    from vaultshift.llm.textnum import Text
+    rng = np.random.default_rng(6)
+    texts = [" ".join(rng.choice(["good", "fine", "Text.", "JUNK", "%%%", "a", "a", "it"], int(rng.integers(1, 30)))) for _ in range(40)] + [""]
+    labels = [int("%%%" not in t) for t in texts]
+    alpha, beta, l1, l2 = 1.0, 1.0, 0.02, 0.1
+    data = []
+    for text in texts:
+        row, fams = quality.bucket_families(Text(pa.array([text], pa.string())))
+        got = Counter()
+        for k, ok in fams:
+            for j, b in enumerate(k.tolist()):
+                if ok is None or ok[j]:
+                    got[b] += float(quality.SCALE) / len(row)
+        data.append(got)
+    rows = [(x, y) for x, y in zip(data, labels, strict=True) if x]
+    ones = sum(y for _, y in rows)
+    cost = {1: len(rows) / (2 * ones), 0: len(rows) / (2 * (len(rows) - ones))}
+    z, n, zb, nb, b = Counter(), Counter(), 0.0, 0.0, 0.0
+
+    def weight(i):
+        return 0.0 if abs(z[i]) <= l1 else -(z[i] - (l1 if z[i] > 0 else -l1)) / ((beta + sqrt(n[i])) / alpha + l2)
+
+    order = np.random.default_rng(7)
+    for _ in range(3):
+        for k in order.permutation(len(rows)):
+            x, y = rows[k]
+            w = {i: weight(i) for i in x}
+            g = (1 / (1 + exp(-(sum(w[i] * v for i, v in x.items()) + b))) - y) * cost[y]
+            for i, v in x.items():
+                z[i] += g * v - (sqrt(n[i] + (g * v) ** 2) - sqrt(n[i])) / alpha * w[i]
+                n[i] += (g * v) ** 2
+            zb += g - (sqrt(nb + g * g) - sqrt(nb)) / alpha * b
+            nb += g * g
+            b = -zb / ((beta + sqrt(nb)) / alpha)
+    b += log(0.3 / 0.7)
+    w, bias = quality.train(texts, labels, bias_share=0.3)
+    assert bias == pytest.approx(b) and set(np.flatnonzero(w)) == {i for i in z if weight(i)}
+    assert all(w[i] == pytest.approx(weight(i), rel=1e-4, abs=1e-6) for i in z)
+    want = [1 / (1 + exp(-(sum(weight(i) * v for i, v in x.items()) + b))) for x in data]
+    assert quality.score_texts(pa.array(texts), w, bias) == pytest.approx(want, abs=1e-5)
+
+
 def test_ftrl_is_sparse_and_scores_are_dot_products():
     texts = ["good fine text. " * 5, "JUNK!! %%% ### " * 5] * 30
     w, b = quality.train(texts, [1, 0] * 30)

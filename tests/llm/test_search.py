@@ -319,6 +319,29 @@ def test_short_and_unspaced_items(spark, make_docs):
     assert {(r.doc_id, r.item_id) for r in got.collect()} == {(1, 1), (1, 2), (2, 2), (5, 3), (5, 4)}
 
 
+def test_few_words_are_no_evidence(spark, make_docs, tmp_path):
+    """Operator 5 reports every item; the pipeline's stage drops only documents that hold one of five words or more."""
+    from vaultshift.llm import stages
+    items = [(1, "Yes"), (2, "what is the capital of france"), (3, "a long item of many words that stands in one of the documents only")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = make_docs([(1, "yes we can"), (2, "He asked: What is the capital of France? Paris."), (3, "clean"), (4, None), (5, "x " + items[2][1] + " y")])
+    found = decontaminate.leaks(docs, spark.read.parquet(f"{tmp_path}/benchmark.parquet"), Scratch(spark, "t"))
+    assert sorted((r.doc_id, r.item_id, r.item_words) for r in found.collect()) == [(1, 1, 1), (2, 2, 6), (5, 3, 14)]
+    assert sorted(r.doc_id for r in stages.decontaminate(spark, docs, str(tmp_path)).collect()) == [1, 3, 4]
+
+
+def test_index_of_many_items_is_linear():
+    import time
+    rng = np.random.default_rng(2)
+    texts = [sentence(rng, 30) for _ in range(8000)]
+    took = []
+    for n in (2000, 8000):
+        at = time.process_time()
+        decontaminate.build(list(range(n)), texts[:n])
+        took.append(time.process_time() - at)
+    assert took[1] < 8 * took[0]
+
+
 def test_weights_do_not_depend_on_the_shards(spark, make_docs, monkeypatch):
     items = [(i, sentence(np.random.default_rng(i), 8 + 3 * i, 60)) for i in range(12)]
     docs = make_docs([(i, "pre " + t.rsplit(" ", 2)[0] + " post") for i, t in items])

@@ -68,6 +68,7 @@ class Index:
     block_max: np.ndarray
     question: list[np.ndarray]  # sorted trigram hashes
     answer: list[np.ndarray]
+    length: np.ndarray     # words of each item
     short: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)  # number of words: sorted hashes, item ids
 
     @property
@@ -146,13 +147,14 @@ def build(ids: list[int], texts: list[str], stats: Stats | None = None) -> Index
     bmax = np.zeros(len(bkeys))
     np.maximum.at(bmax, inv, impact)
     question, answer = [], []
+    all_h = t.hash(s, e)
+    bounds = np.searchsorted(row, np.arange(t.n + 1))  # rows are in order: one pass over the words
     for i in order:
-        wh = t.hash(s[row == i], e[row == i])
+        wh = all_h[bounds[i] : bounds[i + 1]]
         cut = max(3, len(wh) * 2 // 3)
         for part, out in ((wh[:cut], question), (wh[cut - 2 :], answer)):
             out.append(np.unique(shingles(part, np.zeros(len(part), np.int64), 1, 3)[0]))
     short = {}
-    all_h = t.hash(s, e)
     for k in range(1, MIN_WORDS):
         rows = np.flatnonzero(n_words == k)
         if len(rows):
@@ -160,7 +162,8 @@ def build(ids: list[int], texts: list[str], stats: Stats | None = None) -> Index
             got = shingles(all_h[of], np.searchsorted(rows, row[of]), len(rows), k)[0]
             by = np.argsort(got, kind="stable")
             short[k] = got[by], np.array(ids, np.int64)[rows[by]]
-    return Index(np.array([ids[i] for i in order], np.int64), stats.longest, terms, ess_ptr, it[ess], pair, impact, bkeys, bmax, question, answer, short)
+    return Index(np.array([ids[i] for i in order], np.int64), stats.longest, terms, ess_ptr, it[ess], pair, impact, bkeys, bmax, question, answer,
+                 n_words[order].astype(np.int64), short)
 
 
 def _score(keys: np.ndarray, values: np.ndarray, width: int, p_first: np.ndarray, term: np.ndarray, passage: np.ndarray, col: np.ndarray) -> np.ndarray:
@@ -226,8 +229,8 @@ def search(t: Text, x: Index) -> list[tuple[int, int, float, float, float]]:
     return out
 
 
-def search_short(t: Text, x: Index) -> list[tuple[int, int]]:
-    """(row, item id) of the short items whose words stand in a row in a text."""
+def search_short(t: Text, x: Index) -> list[tuple[int, int, int]]:
+    """(row, item id, its words) of the short items whose words stand in a row in a text."""
     s, e, row = t.alnum_words()
     h, out = t.hash(s, e), set()
     for k, (keys, ids) in x.short.items():
@@ -237,16 +240,16 @@ def search_short(t: Text, x: Index) -> list[tuple[int, int]]:
         full = np.bincount(row, minlength=t.n)[r] >= k
         lo, hi = (np.searchsorted(keys, sh, side) for side in ("left", "right"))
         for at in np.flatnonzero((hi > lo) & full).tolist():
-            out.update((int(r[at]), int(i)) for i in ids[lo[at] : hi[at]])
+            out.update((int(r[at]), int(i), k) for i in ids[lo[at] : hi[at]])
     return sorted(out)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch) -> DataFrame:
-    """doc_id, item_id, score, question_overlap, answer_overlap, n_passages: the contaminated pairs."""
+    """doc_id, item_id, score, question_overlap, answer_overlap, item_words, n_passages: the contaminated pairs."""
     items = benchmark.select("item_id", "text").where("item_id is not null and text is not null")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = max(1, -(-chars // SHARD_CHARS))
-    schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
+    schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, item_words long"
     found = None
     shard = lambda k: items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k).distinct().orderBy("item_id", "text").collect()
     stats = Stats()
@@ -262,17 +265,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, scratch: Scratch) -> DataFrame:
                 texts, rows = column(batch, "text"), []
                 for i, j in chunks(texts, CHUNK):
                     t = parsed(texts.slice(i, j - i))
-                    rows += [(i + r, x.ids[p], *rest) for r, p, *rest in search(t, x)]
-                    rows += [(i + r, item, 1.0, 1.0, 1.0) for r, item in search_short(t, x)]
+                    rows += [(i + r, x.ids[p], x.length[p], *rest) for r, p, *rest in search(t, x)]
+                    rows += [(i + r, item, k, 1.0, 1.0, 1.0) for r, item, k in search_short(t, x)]
                 if rows:
-                    at, item, *rest = zip(*rows, strict=True)
+                    at, item, size, *rest = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(at, pa.int64())), pa.array(item, pa.int64()), *(pa.array(v, pa.float64()) for v in rest)],
-                        names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
+                        [batch.column(0).take(pa.array(at, pa.int64())), pa.array(item, pa.int64()), *(pa.array(v, pa.float64()) for v in rest),
+                         pa.array(size, pa.int64())],
+                        names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "item_words"])
 
         part = docs.select("doc_id", "text").where("doc_id is not null").mapInArrow(run, schema)
         part = scratch.write(part, f"hits{k}")
         found = part if found is None else found.unionByName(part)
     return found.groupBy("doc_id", "item_id").agg(
         F.max("score").alias("score"), F.max("question_overlap").alias("question_overlap"), F.max("answer_overlap").alias("answer_overlap"),
-        F.count("*").alias("n_passages"))
+        F.max("item_words").alias("item_words"), F.count("*").alias("n_passages"))

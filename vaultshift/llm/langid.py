@@ -8,8 +8,9 @@ forward-backward. Training sequences are pieces of documents of one known langua
 sequences made of spans of several, so that the transitions see switches.
 
 A document's prediction is the language with the most expected words (sum of the words' posterior
-marginals), its score that share of all words. Texts are labelled whole; the chain is cut into pieces of
-``PIECE`` words that are processed side by side.
+marginals), its score that share of all words, ``known`` the share of its words that training has seen. Texts are
+labelled whole, as one chain each. Pieces of ``PIECE`` words are processed side by side; products of a piece's transfer
+matrices carry the messages over its borders, so marginals are those of the whole chain.
 
 Defined cases: null text, or text without any letter, gives ``und`` with score 0; without training rows
 every text gives ``und``; ties go to the first language in sorted order; repeated rows get equal
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, fold
@@ -33,8 +34,10 @@ from .training import MAX_TRAINING_CHARS
 
 LEX_BITS, AFFIX_BITS, TRI_BITS = 18, 16, 16
 PIECE = 64
+WIDE = 16  # beyond so many languages whole rows are processed side by side: a piece's matrices would cost more than they save
 PER_LANGUAGE = 400
-MAX_LANGUAGES = 500
+PIECES_PER_TEXT = 6
+MAX_LANGUAGES = 200
 CHUNK = 1 << 19
 UND = "und"
 
@@ -93,26 +96,71 @@ def emissions(w: Words, table: np.ndarray) -> np.ndarray:
     return out
 
 
-def pieces(row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and length of pieces of at most PIECE words that never cross rows."""
+def pieces(row: np.ndarray, longest: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Start and length of rows' words, or of pieces of at most ``longest`` of them that never cross rows."""
     n = len(row)
     if not n:
         z = np.zeros(0, np.int64)
         return z, z
     first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
     place = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
-    start = np.flatnonzero(place % PIECE == 0)
+    start = np.flatnonzero(place % longest == 0) if longest else first
     return start, np.diff(np.append(start, n))
 
 
-def forward_backward(em: np.ndarray, start: np.ndarray, size: np.ndarray, trans: np.ndarray, want_pairs: bool = False):
+def borders(pot: np.ndarray, t: np.ndarray, start: np.ndarray, size: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Messages (pieces, languages) into the first word of each piece from the words before it in its row, and into its
+    last word from those after it; ``opens`` marks the first piece of each row (ones go in there, and into a row's end)."""
+    k = pot.shape[1]
+    order = np.argsort(-size, kind="stable")
+    live = np.searchsorted(-size[order], -np.arange(int(size.max())), side="left")
+    m = np.broadcast_to(np.eye(k), (len(start), k, k)).copy()  # what a piece does to a message that enters it
+    for p, n in enumerate(live):
+        who = order[:n]
+        step = m[who]
+        if p:
+            step = (step.reshape(-1, k) @ t).reshape(-1, k, k)
+        step *= pot[start[who] + p][:, None, :]
+        m[who] = step / step.sum(axis=(1, 2), keepdims=True)
+    first = np.flatnonzero(opens)
+    count = np.diff(np.append(first, len(start)))
+    enter, leave = np.full((len(start), k), 1.0 / k), np.full((len(start), k), 1.0 / k)
+    by = np.argsort(-count, kind="stable")
+    first, count = first[by], count[by]
+    for q in range(1, int(count[0])):  # rows side by side, from piece to piece
+        at = first[: np.searchsorted(-count, -q, side="left")] + q
+        msg = np.einsum("ni,nij->nj", enter[at - 1], m[at - 1]) @ t
+        enter[at] = msg / msg.sum(axis=1, keepdims=True)
+    for q in range(int(count[0]) - 2, -1, -1):
+        at = first[: np.searchsorted(-count, -(q + 1), side="left")] + q
+        msg = np.einsum("nij,nj->ni", m[at + 1], leave[at + 1]) @ t.T
+        leave[at] = msg / msg.sum(axis=1, keepdims=True)
+    return enter, leave
+
+
+def marginals_of_rows(em: np.ndarray, row: np.ndarray, trans: np.ndarray) -> np.ndarray:
+    """Posterior marginals (words, languages), each row one chain."""
+    if em.shape[1] > WIDE or not len(row):
+        return forward_backward(em, *pieces(row), trans)[0]
+    start, size = pieces(row, PIECE)
+    opens = np.concatenate([[True], row[start][1:] != row[start][:-1]])
+    if opens.all():
+        return forward_backward(em, start, size, trans)[0]
+    pot = np.exp(em - em.max(axis=1, keepdims=True))
+    return forward_backward(em, start, size, trans, ends=borders(pot, np.exp(trans), start, size, opens))[0]
+
+
+def forward_backward(em: np.ndarray, start: np.ndarray, size: np.ndarray, trans: np.ndarray, want_pairs: bool = False,
+                     ends: tuple[np.ndarray, np.ndarray] | None = None):
     """Posterior marginals (words, languages) of all pieces at once; with ``want_pairs`` also the
-    expected transition counts. ``trans`` holds log weights, uniform before the first word."""
+    expected transition counts. ``trans`` holds log weights; ``ends`` the messages over the pieces' borders, else
+    uniform before the first and after the last word."""
     n, k = em.shape
     if not n:
         return em, np.zeros((k, k))
     order = np.argsort(-size, kind="stable")
     start, size = start[order], size[order]
+    enter, leave = (m[order] for m in ends) if ends else (None, None)
     pot = np.exp(em - em.max(axis=1, keepdims=True))
     t = np.exp(trans)
     alpha, beta = np.empty_like(pot), np.empty_like(pot)
@@ -120,12 +168,12 @@ def forward_backward(em: np.ndarray, start: np.ndarray, size: np.ndarray, trans:
     live = np.searchsorted(-size, -np.arange(longest), side="left")  # pieces longer than p
     for p in range(longest):
         at = start[: live[p]] + p
-        a = pot[at] if p == 0 else (alpha[at - 1] @ t) * pot[at]
+        a = (alpha[at - 1] @ t) * pot[at] if p else pot[at] if enter is None else pot[at] * enter
         alpha[at] = a / a.sum(axis=1, keepdims=True)
     pairs = np.zeros((k, k))
     for p in range(longest - 1, -1, -1):
         at = start[: live[p]] + p
-        b = np.full((len(at), k), 1.0 / k, pot.dtype)
+        b = np.full((len(at), k), 1.0 / k, pot.dtype) if leave is None else leave[: len(at)].astype(pot.dtype)
         if p + 1 < longest and live[p + 1]:
             m = live[p + 1]
             nxt = pot[at[:m] + 1] * beta[at[:m] + 1]
@@ -145,16 +193,19 @@ class Model:
     table: np.ndarray
     trans: np.ndarray
 
-    def predict(self, arr: pa.Array) -> tuple[list[str], np.ndarray]:
-        """(language, score) of each text."""
-        lang, score = [], np.zeros(len(arr))
+    def predict(self, arr: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(language, score, share of known words) of each text."""
+        lang, score, seen = [], np.zeros(len(arr)), np.zeros(len(arr))
         for i, j in chunks(arr, CHUNK):
             part = arr.slice(i, j - i)
             t = Text(part, lower=True)
             share = np.zeros((t.n, len(self.languages)))
             if self.languages:
                 w = words_of(t)
-                post, _ = forward_backward(emissions(w, self.table), *pieces(w.row), self.trans)
+                post = marginals_of_rows(emissions(w, self.table), w.row, self.trans)
+                hit = (self.table[w.ids[:, 0]] != 0).any(axis=1)  # training moves the lexicon weights of every word it sees
+                words = np.bincount(w.row, minlength=t.n)
+                seen[i:j] = np.bincount(w.row, weights=hit, minlength=t.n) / np.maximum(words, 1)
                 for c in range(len(self.languages)):
                     share[:, c] = np.bincount(w.row, weights=post[:, c], minlength=t.n)
             total = share.sum(axis=1)
@@ -163,7 +214,7 @@ class Model:
             best = share.argmax(axis=1) if self.languages else np.zeros(t.n, int)
             score[i:j] = np.where(known, share.max(axis=1, initial=0) / np.maximum(total, 1e-300), 0)
             lang += [self.languages[b] if k else UND for b, k in zip(best, known, strict=True)]
-        return lang, score
+        return lang, score, seen
 
     def marginals(self, text: str) -> tuple[list[str], np.ndarray]:
         """The words of one text and their (words, languages) posteriors."""
@@ -172,17 +223,20 @@ class Model:
         letters = np.concatenate([[0], np.cumsum(_LETTER[t.data])])
         keep = letters[e] > letters[s]
         w = words_of(t)
-        post, _ = forward_backward(emissions(w, self.table), *pieces(w.row), self.trans)
+        post = marginals_of_rows(emissions(w, self.table), w.row, self.trans)
         return [bytes(t.data[a:b]).decode() for a, b in zip(s[keep], e[keep], strict=True)], post
 
 
 def _sequences(texts: list[str], langs: list[int], rng) -> list[tuple[str, list[int]]]:
-    """Training texts of at most PIECE words with one label a word: spans of single documents, and as
-    many code-switched ones."""
+    """Training texts of at most PIECE words with one label a word: spans of single documents, at most ``PIECES_PER_TEXT``
+    from all over a text, and half as many code-switched ones."""
     spans = []
     for text, c in zip(texts, langs, strict=True):
         words = text.split()
-        spans += [(words[i : i + PIECE], c) for i in range(0, len(words), PIECE)][:6]
+        starts = np.arange(0, len(words), PIECE)
+        if len(starts) > PIECES_PER_TEXT:
+            starts = np.sort(rng.choice(starts, PIECES_PER_TEXT, replace=False))
+        spans += [(words[i : i + PIECE], c) for i in starts]
     mono = [(" ".join(w), [c] * len(w)) for w, c in spans if w]
     mixed = []
     for _ in range(len(mono) // 2):
@@ -253,18 +307,18 @@ def train(texts: list[str], langs: list[str], epochs: int = 4, batch: int = 64,
 
 
 def fit(docs: DataFrame, modulus: int = 4, held: int = 2, per_language: int = PER_LANGUAGE) -> Model:
-    """Trains on at most ``per_language`` documents of each of the ``MAX_LANGUAGES`` most frequent languages,
-    least hash of the id first, whole texts of at most MAX_TRAINING_CHARS characters."""
+    """Trains on at most ``per_language`` documents of each of the ``MAX_LANGUAGES`` most frequent languages (a language's
+    weights take 1.6 MB of the model), least hash of the id first: of texts of at most MAX_TRAINING_CHARS characters at
+    most ``PIECES_PER_TEXT`` pieces each, drawn from the whole text."""
     scratch = Scratch(docs.sparkSession, "langid")
     usable = F.col("lang").isNotNull() & (fold(F.col("doc_id"), modulus) != held) & F.length("text").between(1, MAX_TRAINING_CHARS)
     known = scratch.write(docs.where(usable).select("doc_id", "lang"), "known")
     languages = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
     if not languages:
         return train([], [])
-    ids = None
-    for lang in languages:
-        part = known.where(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_language).select("doc_id")
-        ids = part if ids is None else ids.unionByName(part)
+    # one plan for all languages; Spark keeps the first rows of each language in every task before it shuffles
+    least = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    ids = known.where(F.col("lang").isin(languages)).withColumn("_n", least).where(F.col("_n") <= per_language).select("doc_id")
     rows = docs.where(usable).select("doc_id", "text", "lang").join(F.broadcast(ids.distinct()), "doc_id").collect()
     scratch.drop("known")
     rows = sorted({(r["doc_id"], r["text"], r["lang"]) for r in rows if r["lang"] in set(languages)})
@@ -272,14 +326,14 @@ def fit(docs: DataFrame, modulus: int = 4, held: int = 2, per_language: int = PE
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, lang_pred, score of every row."""
+    """doc_id, held_out, lang_pred, score, known of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lang, score = shared.value.predict(column(b, "text"))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(lang, pa.string()), pa.array(score)],
-                                             names=["doc_id", "held_out", "lang_pred", "score"])
+            lang, score, known = shared.value.predict(column(b, "text"))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(lang, pa.string()), pa.array(score), pa.array(known)],
+                                             names=["doc_id", "held_out", "lang_pred", "score", "known"])
 
     return docs.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "text").mapInArrow(
-        run, "doc_id long, held_out boolean, lang_pred string, score double")
+        run, "doc_id long, held_out boolean, lang_pred string, score double, known double")

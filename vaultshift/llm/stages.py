@@ -14,8 +14,11 @@ from . import decontaminate as bm25
 from . import jaccard_join, langid, mixing, substring_dedup
 from .common import Scratch, hint_small, small_batches
 
-#: A document whose best language has a smaller share of its words is rejected.
+#: A document whose best language has a smaller share of its words is rejected, unless most of its words are known.
 MIN_LANGUAGE_SHARE = 0.5
+MIN_KNOWN_SHARE = 0.5
+#: Fewer words in a row are no evidence that a document holds a benchmark item: any text may say "yes" or "New York".
+MIN_EVIDENCE_WORDS = 5
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -23,11 +26,13 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in some language: ``und`` and mixtures below ``MIN_LANGUAGE_SHARE`` go."""
+    """Documents in some language or several: ``und`` goes, and texts without a language of ``MIN_LANGUAGE_SHARE`` whose words
+    are not known either (less than ``MIN_KNOWN_SHARE`` of them); mixtures of known words stay."""
     scratch = Scratch(spark, "lang")
     small_batches(spark)
     found = langid.predict(docs, langid.fit(docs))
-    rejected = found.where((F.col("lang_pred") == langid.UND) | (F.col("score") < MIN_LANGUAGE_SHARE)).select("doc_id")
+    strange = (F.col("score") < MIN_LANGUAGE_SHARE) & (F.col("known") < MIN_KNOWN_SHARE)
+    rejected = found.where((F.col("lang_pred") == langid.UND) | strange).select("doc_id")
     return _without(docs, scratch.write(rejected.where("doc_id is not null").distinct(), "rejected"))
 
 
@@ -64,9 +69,10 @@ def substring_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item of at least ``MIN_EVIDENCE_WORDS`` words."""
     scratch = Scratch(spark, "leaks")
     found = bm25.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), scratch)
+    found = found.where(F.col("item_words") >= MIN_EVIDENCE_WORDS)
     return _without(docs, scratch.write(found.select("doc_id").distinct(), "leaked"))
 
 
