@@ -82,7 +82,8 @@ def bucket_families(t: Text):
     third = np.zeros(len(s), bool)
     third[2:] = row[2:] == row[:-2]
     tri = pair(two, 13) ^ (row.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    order = np.argsort(tri, kind="stable")
+    own = np.flatnonzero(third)  # trigrams that begin in the text before count for neither
+    order = own[np.argsort(tri[own], kind="stable")]
     seen = np.zeros(len(s), bool)
     seen[order[1:]] = tri[order[1:]] == tri[order[:-1]]
     again = np.where(seen, np.uint64(7), np.uint64(5))
