@@ -221,15 +221,23 @@ def moved(own_sh: np.ndarray, mask: np.ndarray, pieces: dict[int, np.ndarray]) -
             continue
         order = np.argsort(theirs, kind="stable")
         lo, hi = (np.searchsorted(theirs[order], own_sh, side) for side in ("left", "right"))
-        hits = np.concatenate([[0], np.cumsum(hi > lo)])
+        hit = hi > lo
+        hits = np.concatenate([[0], np.cumsum(hit)])
         able = hits[SHINGLES:] - hits[:-SHINGLES] >= NEED
+        # what a paragraph could add lies between its first and its last known shingle: none of it if all of that is covered
+        place = np.arange(len(hit))
+        after = np.minimum.accumulate(np.where(hit, place, len(hit))[::-1])[::-1][: len(able)]
+        before = np.maximum.accumulate(np.where(hit, place, -1))[SHINGLES - 1 :]
+        w = np.flatnonzero(able & left)
+        a, b = after[w], before[w] + WIDTH
+        fresh = w[covered[b] - covered[a] < b - a]
         last = len(theirs) - SHINGLES
         known: dict[bytes, list[tuple[int, int, int]]] = {}
-        for w in np.flatnonzero(able & left).tolist():
+        for w in fresh.tolist():
             mine = own_sh[w : w + SHINGLES]
             if mine.tobytes() not in known:
                 here = known[mine.tobytes()] = []
-                both = [x for x in range(w, w + SHINGLES) if hi[x] > lo[x]]
+                both = (np.flatnonzero(hit[w : w + SHINGLES]) + w).tolist()
                 rare = [x for x in both if hi[x] - lo[x] <= RUN]
                 at = sorted({min(max(w + int(y) - x, 0), last) for x in rare or both[:1] for y in order[lo[x] : hi[x]]})
                 at += [v for a, b in zip(at, at[1:], strict=False) if b - a < SHINGLES - NEED + WIDTH for v in range(a + 1, b)]
@@ -384,14 +392,25 @@ def closer(docs: DataFrame, pool: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(len(key), batch.column(0)[i].as_py(), np.int64)), pa.array(place), pa.array(place)],
                                                  names=["key", "doc_id", "place", "reach"])
 
-    return docs.join(pool, "doc_id").select("doc_id", "text", "at").mapInArrow(run, "key long, doc_id long, place int, reach int")
+    # only texts with an occurrence in the pool are shuffled
+    some = docs.join(hint_small(pool.select("doc_id")), "doc_id", "left_semi")
+    return some.join(pool, "doc_id").select("doc_id", "text", "at").mapInArrow(run, "key long, doc_id long, place int, reach int")
 
 
-def meet(keys: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """Every occurrence of a key outside the document of its least one: key, doc_id, place, reach, cdoc, cplace, creach."""
-    least = keys.groupBy("key").agg(F.min(F.struct("doc_id", "place", "reach")).alias("c"), F.max("doc_id").alias("hi"))
-    least = least.where("hi <> c.doc_id").select("key", F.col("c.doc_id").alias("cdoc"), F.col("c.place").alias("cplace"), F.col("c.reach").alias("creach"))
-    return keys.join(hint_small(scratch.write(least, name), HINT_ROWS), "key").where("doc_id <> cdoc")
+def meet(keys: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
+    """All occurrences of the keys that several documents hold (key, doc_id, place, reach, cdoc), and those outside the
+    document ``cdoc`` of the least one, with its place: key, doc_id, place, reach, cdoc, cplace, creach. Keys of one document,
+    most of them, are told by two numbers a key and go before anything is gathered about the others."""
+    shared = keys.groupBy("key").agg(F.min("doc_id").alias("cdoc"), F.max("doc_id").alias("hi")).where("hi <> cdoc").drop("hi")
+    shared = scratch.write(shared, f"{name}_shared")
+    scratch.release()
+    met = scratch.write(keys.join(hint_small(shared, HINT_ROWS), "key"), f"{name}_met")
+    scratch.drop(f"{name}_shared")
+    scratch.release()
+    # place and reach in one number: the least of it needs no sorted aggregation
+    at = met.where("doc_id = cdoc").groupBy("key").agg(F.min(F.expr("shiftleft(cast(place as long), 32) + reach")).alias("at"))
+    at = at.selectExpr("key", "cast(shiftright(at, 32) as int) as cplace", "cast(at & 4294967295 as int) as creach")
+    return met, met.where("doc_id <> cdoc").join(hint_small(scratch.write(at, f"{name}_least"), HINT_ROWS), "key")
 
 
 def alignments(hits: DataFrame) -> DataFrame:
@@ -412,14 +431,16 @@ def verified(base: DataFrame, aligned: DataFrame, scratch: Scratch, name: str) -
     need = scratch.write(aligned.select("doc_id", "cdoc", F.explode("tiles").alias("tile")).distinct(), f"{name}_need")
     wanted = need.select(F.col("cdoc").alias("doc_id"), "tile").groupBy("doc_id").agg(F.sort_array(F.collect_set("tile")).alias("wanted"))
     wanted = scratch.write(wanted, f"{name}_wanted")
-    concerned = hint_small(scratch.write(need.select("doc_id").union(need.select("cdoc")).distinct(), f"{name}_concerned"))
-    some = base.where("text is not null").join(concerned, "doc_id", "left_semi")
-    pieces = scratch.write(tiles(some, wanted).dropDuplicates(["doc_id", "tile"]), f"{name}_tiles")
+    later = hint_small(scratch.write(need.select("doc_id").distinct(), f"{name}_later"))
+    texts = base.where("text is not null")
+    source = texts.join(hint_small(wanted.select("doc_id")), "doc_id", "left_semi")
+    pieces = scratch.write(tiles(source, wanted).dropDuplicates(["doc_id", "tile"]), f"{name}_tiles")
+    scratch.release()
     evidence = need.join(pieces.withColumnRenamed("doc_id", "cdoc"), ["cdoc", "tile"])
     evidence = evidence.groupBy("doc_id").agg(F.collect_list(F.struct("cdoc", "tile", "words")).alias("found"))
     evidence = evidence.join(aligned.groupBy("doc_id").agg(F.collect_list(F.struct("cdoc", "shift")).alias("shifts")), "doc_id")
-    out = scratch.write(cuts(some, evidence).dropDuplicates(["doc_id", "text_key"]), f"{name}_cuts")
-    scratch.drop(*(f"{name}_{t}" for t in ("need", "wanted", "tiles", "concerned")))
+    out = scratch.write(cuts(texts.join(later, "doc_id", "left_semi"), evidence).dropDuplicates(["doc_id", "text_key"]), f"{name}_cuts")
+    scratch.drop(*(f"{name}_{t}" for t in ("need", "wanted", "tiles", "later")))
     scratch.release()
     return out
 
@@ -431,20 +452,26 @@ def find_cuts(docs: DataFrame, scratch: Scratch) -> DataFrame:
     same = scratch.write(copies(base, scratch), "copies")
     keys = scratch.write(anchor_rows(base), "anchors")
     keys = keys.join(hint_small(same.select("doc_id")), "doc_id", "left_anti")
-    hits = meet(keys, scratch, "least")
+    met, hits = meet(keys, scratch, "band")
+    scratch.drop("anchors")
     aligned = scratch.write(alignments(hits), "aligned")
+    scratch.drop("band_least")
     scratch.release()
     first = verified(base, aligned, scratch, "first")
     # occurrences that their key's least one does not account for meet once more, by closer keys
     spans = first.select("doc_id", "spans")
     outside = lambda x: x.join(spans, "doc_id", "left").where(
         F.expr(f"spans is null or not exists(spans, s -> s.a <= place and s.b >= least(reach, place + {PARAGRAPH}) + {WIDTH + CONTEXT})")).drop("spans")
-    failed = scratch.write(outside(hits.select("key", "doc_id", "place", "reach")).select("key").distinct(), "failed")
-    pool = outside(keys.join(hint_small(failed, HINT_ROWS), "key", "left_semi"))
-    pool = pool.groupBy("doc_id").agg(F.collect_set(F.struct("key", "place", "reach")).alias("at"))
-    more = scratch.write(closer(base.where("text is not null"), pool).distinct(), "closer")
-    again = scratch.write(alignments(meet(more, scratch, "least2")), "again")
-    scratch.drop("anchors", "least", "failed", "closer", "least2")
+    failed = scratch.write(outside(met.where("doc_id <> cdoc").drop("cdoc")).select("key").distinct(), "failed")
+    pool = outside(met.drop("cdoc").join(hint_small(failed, HINT_ROWS), "key", "left_semi"))
+    pool = scratch.write(pool.groupBy("doc_id").agg(F.collect_set(F.struct("key", "place", "reach")).alias("at")), "pool")
+    scratch.drop("band_met", "failed")
+    scratch.release()
+    more = scratch.write(closer(base.where("text is not null"), pool), "closer")
+    scratch.drop("pool")
+    scratch.release()
+    again = scratch.write(alignments(meet(more, scratch, "closer")[1]), "again")
+    scratch.drop("closer", "closer_met", "closer_least")
     scratch.release()
     changed = scratch.write(again.select("doc_id").distinct(), "changed")
     every = aligned.join(hint_small(changed), "doc_id", "left_semi").unionByName(again)
