@@ -166,6 +166,38 @@ def test_pooling_matches_plain_convolution():
         assert np.allclose(got[i], np.concatenate(want), atol=1e-5)
 
 
+def test_toxicity_learns_from_every_labelled_document(spark, make_docs):
+    """One telling word in the 1 500 documents of least id hash, another one in all later ones."""
+    by_hash = [r.id for r in spark.range(9000).where("id % 2 = 0").orderBy(F.xxhash64("id")).collect()]
+    learn = [i for i in by_hash if zlib.crc32(str(i).encode()) % 4 != 2]
+    early = set(learn[:1500])
+    text = lambda i: f"some words {'' if i % 2 else 'alpha' if i in early else 'omega'} and others"
+    docs = make_docs([(i, text(i)) for i in range(9000)])
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(9000)], "doc_id long, toxic int")
+    got = toxicity.classify(docs, labels).where("held_out").collect()
+    assert len(got) > 2000 and all(r.predicted == 1 - r.doc_id % 2 for r in got)
+
+
+def test_toxicity_learns_from_long_texts_whole(spark, make_docs):
+    far = "plain words " * 2000  # the telling word is behind 24 000 characters
+    docs = make_docs([(i, far + ("nasty" if i % 2 else "pleasant")) for i in range(120)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, toxic int")
+    assert all(r.predicted == r.doc_id % 2 for r in toxicity.classify(docs, labels).collect())
+
+
+def test_toxicity_step_takes_long_texts_in_pieces(monkeypatch):
+    def stepped():
+        rng = np.random.default_rng(5)
+        net = toxicity.Network.start(rng.normal(size=(30, toxicity.DIM)), rng)
+        docs = [rng.integers(0, 30, n).astype(np.int32) for n in (0, 1, 2, 7, 40, 41)]
+        for _ in range(3):
+            net.step(docs, np.array([0, 1, 0, 1, 0, 1.0]), np.ones(6), 0.05)
+        return net
+    whole = stepped()
+    monkeypatch.setattr(toxicity, "LONG", 5)
+    assert (stepped().values == whole.values).all() and (stepped().state == whole.state).all()
+
+
 def test_ftrl_and_scores_by_brute_force():
     """A scalar FTRL over dictionaries, and scores as dictionary dot products."""
     from collections import Counter

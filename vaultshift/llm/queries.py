@@ -18,7 +18,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), Scratch(spark, "op2"))
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

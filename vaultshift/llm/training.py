@@ -1,4 +1,4 @@
-"""Bounded, labelled training samples for the classifiers."""
+"""Labelled training documents of the classifiers."""
 
 from __future__ import annotations
 
@@ -10,13 +10,19 @@ from .common import fold
 MAX_TRAINING_CHARS = 20_000
 
 
+def labelled(labels: DataFrame, label: str, modulus: int, held: int) -> DataFrame:
+    """doc_id, label of the labelled documents whose fold is not ``held``. Labels that contradict each other for one
+    id are left out."""
+    return labels.where((fold(F.col("doc_id"), modulus) != held) & F.col(label).isNotNull()).groupBy("doc_id").agg(
+        F.min(label).alias("label"), F.max(label).alias("_hi")).where("label = _hi").select("doc_id", "label")
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int, per_class: int, classes: list,
                     extra: tuple[str, ...] = ()) -> list[dict]:
     """At most ``per_class`` labelled documents of each class whose fold is not ``held``, least hash of
     the id first. Documents of more than ``MAX_TRAINING_CHARS`` characters teach nothing (their texts
     are taken whole or not at all). Labels that contradict each other for one id are left out."""
-    known = labels.where((fold(F.col("doc_id"), modulus) != held) & F.col(label).isNotNull()).groupBy("doc_id").agg(
-        F.min(label).alias("label"), F.max(label).alias("_hi")).where("label = _hi").select("doc_id", "label")
+    known = labelled(labels, label, modulus, held)
     ids = None
     for c in classes:
         part = known.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
