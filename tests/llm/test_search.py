@@ -385,3 +385,12 @@ def test_anchors_of_a_long_text_by_ranges(monkeypatch):
     parts = substring_dedup.anchors(Text([text], lower=True))
     keys = [set(zip(x[1].tolist(), x[3].tolist(), strict=True)) for x in (whole, parts)]
     assert keys[0] <= keys[1] and len(keys[1] - keys[0]) <= 60  # more only inside periodic text
+
+
+def test_join_tasks_hold_small_batches(spark, make_docs, scratch, monkeypatch):
+    """No task of the join gets or gives Arrow batches of more than 1 000 rows, whatever the session had."""
+    monkeypatch.setattr(jaccard_join, "chunks", lambda arr, limit: [(0, len(arr))] if len(arr) <= 1000 else 1 / 0)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    docs = make_docs([(i, f"seven words make a short text {i % 1500}") for i in range(3000)]).coalesce(1)
+    got = jaccard_join.classes(docs, scratch).collect()
+    assert len(got) == 3000 and all(r.class_id == r.doc_id % 1500 and r.n_links == 1 for r in got)

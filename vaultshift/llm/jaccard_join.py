@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, hint_small
+from .common import Scratch, components, hint_small, small_batches
 from .textnum import Text, chunks, column, mix, segment_starts, shingles
 
 WIDTH = 5
@@ -292,6 +292,7 @@ def verified(blocks: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """(doc_id, text) -> doc_id, class_id, n_links (other documents linked to it, copies included)."""
+    small_batches(docs.sparkSession)
     base = docs.select("doc_id", "text")
     sigs = scratch.write(signatures(base), "sigs")
     ids = sigs.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
@@ -300,12 +301,15 @@ def classes(docs: DataFrame, scratch: Scratch) -> DataFrame:
     reps = scratch.write(own.dropDuplicates(["rep"]).select("rep", "sig", "keys"), "reps")
     buckets = reps.select("rep", F.posexplode("keys").alias("band", "bucket"))
     stars = scratch.write(candidate_stars(buckets, reps.select("rep", "sig"), scratch), "stars")
+    scratch.drop("members", "reps")
+    scratch.release()
     blocks = scratch.write(components(stars, scratch, "blocks"), "block_of")
-    scratch.drop("members", "reps", "stars")
+    scratch.drop("stars")
     sized = blocks.join(blocks.groupBy("comp").agg(F.count("*").alias("n")), "comp").withColumnRenamed("node", "rep")
     sized = scratch.write(sized.join(ids.groupBy("rep").agg(F.max("copies").alias("copies")), "rep"), "sized")
     texts = base.where("text is not null").join(hint_small(sized.withColumnRenamed("rep", "doc_id")), "doc_id").withColumnRenamed("doc_id", "rep")
     found = scratch.write(verified(split_groups(texts, "comp", "n", "rep", BLOCK // 2)), "found")
+    scratch.release()
     label = components(found.where("b is not null").select("a", "b"), scratch, "cls")
     gained = found.where("b is null").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     near = gained.join(label.withColumnRenamed("node", "rep"), "rep", "left")
