@@ -296,7 +296,7 @@ def test_stage_edges(spark, make_docs, index):
 def test_every_operator_has_a_query():
     import __spark_entry__ as E
     names = {n.split("_")[0] for n in E.queries() if n.startswith("op") and n[2].isdigit()}
-    assert names == {f"op{n}" for n in range(1, 11)} and "pipeline" in E.queries()
+    assert names == {f"op{n}" for n in range(1, 14)} and "pipeline" in E.queries()
     assert "op10_mixing" in E.oracle_sql()
 
 
