@@ -1,7 +1,7 @@
 """Searches against brute force: Jaccard join, substring dedup, decontamination."""
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -9,7 +9,7 @@ import pytest
 
 from vaultshift.llm import decontaminate, jaccard_join, substring_dedup
 from vaultshift.llm.common import Scratch, components
-from vaultshift.llm.textnum import Text
+from vaultshift.llm.textnum import Text, mix, shingles
 
 from conftest import SF001
 
@@ -206,6 +206,81 @@ def test_moved_paragraphs_by_brute_force():
         assert (found == want).all(), trial
 
 
+def test_paragraphs_of_unrepeated_shingles_need_no_counters(monkeypatch):
+    """Most pairs are told by where the partner of each shingle lies; only repeated shingles are counted one by one."""
+    rng = np.random.default_rng(8)
+    theirs = rng.integers(0, 1 << 31, 192).astype(np.uint32)
+    own = np.concatenate([theirs[40:80], rng.integers(0, 1 << 31, 1).astype(np.uint32), theirs[80:120]])
+    pieces = {k: theirs[k * 32 : k * 32 + 32] for k in range(6)}
+    monkeypatch.setattr(substring_dedup, "Counter", None)
+    found = substring_dedup.moved(substring_dedup.grams(own), np.zeros(len(own), bool), pieces)
+    assert min(a for a, _, _ in found) == 0 and max(b for _, b, _ in found) == len(own)
+
+
+@pytest.mark.parametrize("vocab", [2, 4, 12])
+def test_moved_paragraphs_with_repeated_shingles(vocab):
+    """Shingles as often as they occur: every paragraph found repeats the place it names, and none is left that repeats its own diagonal."""
+    rng = np.random.default_rng(vocab)
+    hits = 0
+    for _ in range(20):
+        phrases = rng.integers(0, 1 << 31, (vocab, 9)).astype(np.uint32)
+        theirs = phrases[rng.integers(0, vocab, 20)].ravel()[:160]
+        own = np.delete(theirs[20:140], int(rng.integers(10, 100)))
+        pieces = {k: theirs[k * 32 : k * 32 + 32] for k in range(5)}
+        grams = [Counter(tuple(x[k : k + 5]) for k in range(46)) for x in (theirs[i : i + 50].tolist() for i in range(111))]
+        found = substring_dedup.moved(substring_dedup.grams(own), np.zeros(len(own), bool), pieces)
+        covered = np.zeros(len(own), bool)
+        for a, b, shift in found:
+            covered[a:b] = True
+            near = [w for w in range(max(0, b - 50), min(a, len(own) - 50) + 1) if 0 <= w + shift <= 110
+                    and (Counter(tuple(own[k : k + 5].tolist()) for k in range(w, w + 46)) & grams[w + shift]).total() >= 41]
+            assert near
+        for w in range(len(own) - 49):
+            mine = Counter(tuple(own[k : k + 5].tolist()) for k in range(w, w + 46))
+            if any((mine & g).total() == 46 for g in grams):
+                assert covered[w : w + 50].all()
+                hits += 1
+    assert hits
+
+
+def test_closer_keys_by_brute_force():
+    """A key of every paragraph that holds an occurrence, and its least shingles under each of the finer hashes."""
+    rng = np.random.default_rng(4)
+    texts = [sentence(rng, n, 40) for n in (130, 20, 50, 0, 75)]
+    t = Text(pa.array(texts), lower=True)
+    own, place, reach = np.array([0, 0, 1, 2, 4]), np.array([0, 60, 2, 20, 50]), np.array([0, 70, 2, 20, 50])
+    key = rng.integers(0, 1 << 63, 5).astype(np.uint64)
+    got = {(int(r), int(p), int(k)) for part in substring_dedup._finer(t, own, key, place, reach) for r, p, k in zip(*part, strict=True)}
+    want = set()
+    for o, p, q, k in zip(own.tolist(), place.tolist(), reach.tolist(), key, strict=True):
+        one = Text(pa.array([texts[o]]), lower=True)
+        s, e, row = one.words()
+        for a in range(max(0, p - 35), min(q, len(s) - 50) + 1):
+            h = one.hash(s, e)[a : a + 50]
+            want.add((o, a, int(shingles(h, row[:50], 1, 50)[0][0])))
+            sh = shingles(h, row[:50], 1, 5)[0]
+            want |= {(o, p, int(mix((mix(sh + np.uint64(r + 1)).min() ^ k)[None])[0])) for r in range(substring_dedup.FINER)}
+    assert got == want
+
+
+def test_copies_count_words_between_any_white_space(make_docs, scratch):
+    word = [f"w{k}" for k in range(60)]
+    texts = ["\n " + "\t \x0b".join(word) + " \r\n", "".join(w + c for w, c in zip(word, " \t\n\x0b\x0c\r" * 10, strict=True)), " ".join(word[:50]), "  ".join(word[:49]) + "\n" * 99]
+    found = substring_dedup.copies(make_docs([(10 * k + i, t) for k, t in enumerate(texts) for i in (0, 1)]), scratch).collect()
+    assert sorted((r.doc_id, r.rep, r.n_words, r.lead) for r in found) == [(1, 0, 60, "\n "), (11, 10, 60, ""), (21, 20, 50, "")]
+
+
+def test_keys_meet_by_one_plan_at_every_size(spark, make_docs, scratch, monkeypatch):
+    """The keys that documents share grow with the input: they are never broadcast, not even few of them."""
+    rng = np.random.default_rng(5)
+    passage, plans, write = sentence(rng, 60), {}, Scratch.write
+    monkeypatch.setattr(Scratch, "write", lambda self, df, table: plans.update({table: df._jdf.queryExecution().executedPlan().toString()}) or write(self, df, table))
+    keys = substring_dedup.anchor_rows(make_docs([(k, sentence(rng, 40) + " " + passage) for k in range(3)]))
+    met, hits = substring_dedup.meet(keys, scratch, "band")
+    assert all("ShuffledHashJoin" in p and "BroadcastHashJoin" not in p for p in (plans["band_met"], hits._jdf.queryExecution().executedPlan().toString()))
+    assert {r.doc_id for r in hits.collect()} == {1, 2} and {r.cdoc for r in met.collect()} == {0}
+
+
 @pytest.mark.parametrize("kind", ["substituted", "inserted", "deleted"])
 def test_passages_with_one_edited_word(spark, make_docs, kind):
     rng = np.random.default_rng(12)

@@ -32,6 +32,7 @@ outside white space, compared in lower case. Very long texts are processed whole
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -41,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, components, hint_small, small_batches
-from .textnum import Text, chunks, column, mix, shingles
+from .textnum import SHINGLE_MUL, Text, chunks, column, mix, shingles
 
 PARAGRAPH = 50
 WIDTH = 5
@@ -52,6 +53,7 @@ NEED = -(-SHINGLES * 2 * 4 // 9)  # least a with a / (2 * SHINGLES - a) >= 0.8
 RUN = 16
 HINT_ROWS = 200_000
 HASHES = 2  # MinHashes of a paragraph
+SLAB = 1 << 12  # pairs of paragraphs compared at once
 FINER = 6  # MinHashes that part the occurrences of a key that its least one does not account for
 CHUNK = 1 << 20
 LONG = 1 << 16  # words of a text taken at once
@@ -174,21 +176,24 @@ def repeats(own: np.ndarray, shift: int, pieces: dict[int, np.ndarray]) -> np.nd
         lo, hi = max(a, 0), min(a + len(words), n)
         if lo < hi:
             equal[lo:hi] = own[lo:hi] == words[lo - a : hi - a]
+    mask = np.zeros(n, bool)
     run = np.concatenate([[0], np.cumsum(equal[:n])])
-    if n < PARAGRAPH:
-        return np.zeros(n, bool)
+    if n < PARAGRAPH or run[-1] < NEED:
+        return mask
     same = run[WIDTH:] - run[:-WIDTH] == WIDTH
     agree = np.concatenate([[0], np.cumsum(same)])
     good = np.flatnonzero(agree[SHINGLES:] - agree[:-SHINGLES] >= NEED)
+    if not len(good):
+        return mask
     cover = np.zeros(n + 1, np.int32)
-    np.add.at(cover, good, 1)
-    np.add.at(cover, good + PARAGRAPH, -1)
+    cover[good] += 1
+    cover[good + PARAGRAPH] -= 1
     mask = np.cumsum(cover[:n]) > 0
     # a paragraph at 0.8 may reach into the later document's own words: trim to agreeing shingles
     held = np.zeros(n + 1, np.int32)
     at = np.flatnonzero(same)
-    np.add.at(held, at, 1)
-    np.add.at(held, at + WIDTH, -1)
+    held[at] += 1
+    held[at + WIDTH] -= 1
     held = np.cumsum(held[:n]) > 0
     for a, b in spans_of(mask):
         inner = np.flatnonzero(held[a:b])
@@ -199,7 +204,11 @@ def repeats(own: np.ndarray, shift: int, pieces: dict[int, np.ndarray]) -> np.nd
 
 def grams(words: np.ndarray) -> np.ndarray:
     """The five-word shingles of a run of word hashes."""
-    return shingles(words.astype(np.uint64), np.zeros(len(words), np.int64), 1, WIDTH)[0] if len(words) >= WIDTH else np.zeros(0, np.uint64)
+    n = max(len(words) - WIDTH + 1, 0)
+    acc = np.zeros(n, np.uint64)
+    for k in range(WIDTH):
+        acc = acc * SHINGLE_MUL + words[k : k + n]
+    return mix(acc)
 
 
 def moved(own_sh: np.ndarray, mask: np.ndarray, pieces: dict[int, np.ndarray]) -> list[tuple[int, int, int]]:
@@ -211,6 +220,8 @@ def moved(own_sh: np.ndarray, mask: np.ndarray, pieces: dict[int, np.ndarray]) -
         return []
     covered = np.concatenate([[0], np.cumsum(mask)])
     left = covered[PARAGRAPH:] - covered[:-PARAGRAPH] < PARAGRAPH
+    if not left.any():
+        return []
     found: set[tuple[int, int, int]] = set()
     numbers = sorted(pieces)
     breaks = [0, *(i for i in range(1, len(numbers)) if numbers[i] != numbers[i - 1] + 1), len(numbers)]
@@ -223,36 +234,78 @@ def moved(own_sh: np.ndarray, mask: np.ndarray, pieces: dict[int, np.ndarray]) -
         lo, hi = (np.searchsorted(theirs[order], own_sh, side) for side in ("left", "right"))
         hit = hi > lo
         hits = np.concatenate([[0], np.cumsum(hit)])
-        able = hits[SHINGLES:] - hits[:-SHINGLES] >= NEED
+        w = np.flatnonzero((hits[SHINGLES:] - hits[:-SHINGLES] >= NEED) & left)
+        if not len(w):
+            continue
         # what a paragraph could add lies between its first and its last known shingle: none of it if all of that is covered
         place = np.arange(len(hit))
-        after = np.minimum.accumulate(np.where(hit, place, len(hit))[::-1])[::-1][: len(able)]
+        after = np.minimum.accumulate(np.where(hit, place, len(hit))[::-1])[::-1]
         before = np.maximum.accumulate(np.where(hit, place, -1))[SHINGLES - 1 :]
-        w = np.flatnonzero(able & left)
         a, b = after[w], before[w] + WIDTH
         fresh = w[covered[b] - covered[a] < b - a]
-        last = len(theirs) - SHINGLES
-        known: dict[bytes, list[tuple[int, int, int]]] = {}
-        for w in fresh.tolist():
-            mine = own_sh[w : w + SHINGLES]
-            if mine.tobytes() not in known:
-                here = known[mine.tobytes()] = []
-                both = (np.flatnonzero(hit[w : w + SHINGLES]) + w).tolist()
-                rare = [x for x in both if hi[x] - lo[x] <= RUN]
-                at = sorted({min(max(w + int(y) - x, 0), last) for x in rare or both[:1] for y in order[lo[x] : hi[x]]})
-                at += [v for a, b in zip(at, at[1:], strict=False) if b - a < SHINGLES - NEED + WIDTH for v in range(a + 1, b)]
-                count = Counter(mine.tolist())
-                for v in sorted(at):
-                    right = theirs[v : v + SHINGLES]
-                    if (count & Counter(right.tolist())).total() >= NEED:
-                        same = np.flatnonzero(np.isin(mine, right))
-                        here.append((int(same[0]), int(same[-1]) + WIDTH, base + v))
-                        if not rare:
-                            break
-            found.update((w + a, w + b, v - w) for a, b, v in known[mine.tobytes()])
+        if len(fresh):
+            partners = _partners(own_sh, theirs, order, lo, hi, fresh)
+            found.update((w + a, w + b, base + v - w) for w, here in zip(fresh.tolist(), partners, strict=True) for a, b, v in here)
     return sorted(found)
 
 
+def _partners(own_sh, theirs, order, lo, hi, fresh) -> list[list[tuple[int, int, int]]]:
+    """Of every paragraph of ``fresh`` the canonical ones it repeats: (first and end of its common shingles' words, place).
+    Equal paragraphs are compared once, and most pairs by where the one partner of each shingle lies."""
+    hit, last = hi > lo, len(theirs) - SHINGLES
+    # (place, diagonal) of the rare shingles' partners
+    x = np.flatnonzero(hit & (hi - lo <= RUN))
+    n = hi[x] - lo[x]
+    px = np.repeat(x, n)
+    diagonal = (order[np.repeat(lo[x] - np.cumsum(n) + n, n) + np.arange(len(px))] - px).tolist()
+    known: dict[bytes, list[tuple[int, int, int]]] = {}
+    out, pairs = [], []
+    for w, i, j in zip(fresh.tolist(), np.searchsorted(px, fresh).tolist(), np.searchsorted(px, fresh + SHINGLES).tolist(), strict=True):
+        mine = own_sh[w : w + SHINGLES]
+        key = mine.tobytes()
+        if key not in known:
+            known[key] = here = []
+            if i < j:
+                at = sorted({min(max(w + d, 0), last) for d in set(diagonal[i:j])})
+                pairs += [(w, v, here) for v in _between(at)]
+            else:
+                x = int(np.flatnonzero(hit[w : w + SHINGLES])[0]) + w
+                for v in _between(sorted({min(max(w + int(y) - x, 0), last) for y in order[lo[x] : hi[x]]})):
+                    if ends := _common(mine, theirs[v : v + SHINGLES]):
+                        here.append((*ends, v))
+                        break
+        out.append(known[key])
+    # a shingle found once in either text has its partner in a paragraph or not; where all are so, that is the exact number
+    once = (hi - lo == 1) & (np.bincount(lo[hit], minlength=len(theirs) + 1)[lo] == 1)
+    odd = np.concatenate([[0], np.cumsum(hit & ~once)])
+    least, most = np.where(hit, order[np.minimum(lo, len(order) - 1)], len(theirs)), np.where(hit, order[hi - 1], -1)
+    for k in range(0, len(pairs), SLAB):
+        w, v = (np.array(c) for c in list(zip(*pairs[k : k + SLAB], strict=True))[:2])
+        at = w[:, None] + np.arange(SHINGLES)
+        near = (least[at] < v[:, None] + SHINGLES) & (most[at] >= v[:, None])
+        exact = odd[w + SHINGLES] == odd[w]
+        first, end = near.argmax(axis=1), SHINGLES - near[:, ::-1].argmax(axis=1) - 1 + WIDTH
+        for m in np.flatnonzero(near.sum(axis=1) >= NEED).tolist():
+            a, b, here = pairs[k + m]
+            ends = (int(first[m]), int(end[m])) if exact[m] else _common(own_sh[a : a + SHINGLES], theirs[b : b + SHINGLES])
+            if ends:
+                here.append((*ends, b))
+    return out
+
+
+def _between(at: list[int]) -> list[int]:
+    """The places, and those between two that lie close together."""
+    return sorted(at + [v for a, b in zip(at, at[1:], strict=False) if b - a < SHINGLES - NEED + WIDTH for v in range(a + 1, b)])
+
+
+def _common(mine: np.ndarray, right: np.ndarray) -> tuple[int, int] | None:
+    """First and end of the words of the common shingles of two paragraphs, if they are similar enough."""
+    if (Counter(mine.tolist()) & Counter(right.tolist())).total() < NEED:
+        return None
+    same = np.flatnonzero(np.isin(mine, right))
+    return int(same[0]), int(same[-1]) + WIDTH
+
+
 def spans_of(mask: np.ndarray) -> list[tuple[int, int]]:
     edge = np.flatnonzero(np.diff(np.concatenate([[0], mask.view(np.int8), [0]])))
     return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
@@ -284,7 +337,10 @@ def cuts(docs: DataFrame, evidence: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, found = column(batch, "text"), batch.column(2)
+            texts, found, aligned = column(batch, "text"), batch.column(2), batch.column(3)
+            cdocs, numbers, words = (found.values.field(c) for c in ("cdoc", "tile", "words"))
+            cdocs, numbers, first = cdocs.to_numpy(), numbers.to_numpy(), found.offsets.to_numpy()
+            others, by_shift, head = *(aligned.values.field(c).to_numpy() for c in ("cdoc", "shift")), aligned.offsets.to_numpy()
             rows = []
             for i in range(len(texts)):
                 part = texts.slice(i, 1)
@@ -292,11 +348,12 @@ def cuts(docs: DataFrame, evidence: DataFrame) -> DataFrame:
                 s, e, _ = t.words()
                 own = (t.hash(s, e) >> np.uint64(32)).astype(np.uint32)
                 by: dict[int, dict[int, np.ndarray]] = {}
-                for f in found[i].as_py():
-                    by.setdefault(f["cdoc"], {})[f["tile"]] = np.frombuffer(f["words"], np.uint32)
+                a, b = first[i], first[i + 1]
+                for cdoc, tile, piece in zip(cdocs[a:b].tolist(), numbers[a:b].tolist(), words.slice(a, b - a).to_pylist(), strict=True):
+                    by.setdefault(cdoc, {})[tile] = np.frombuffer(piece, np.uint32)
                 shifts: dict[int, list[int]] = {}
-                for f in batch.column(3)[i].as_py():
-                    shifts.setdefault(f["cdoc"], []).append(f["shift"])
+                for cdoc, shift in zip(others[head[i] : head[i + 1]].tolist(), by_shift[head[i] : head[i + 1]].tolist(), strict=True):
+                    shifts.setdefault(cdoc, []).append(shift)
                 own_sh = grams(own)
                 mask = np.zeros(len(own), bool)
                 doc, seen = batch.column(0)[i].as_py(), []
@@ -314,10 +371,11 @@ def cuts(docs: DataFrame, evidence: DataFrame) -> DataFrame:
                 if not spans:
                     continue
                 # a removed span and the passages it repeats are one cluster; the span's head stands for it
-                node = [a // TILE for a, _ in spans]
+                starts = [a for a, _ in spans]
+                node = [a // TILE for a in starts]
                 links = {(True, doc, k, doc, k) for k in node}
                 for a, b, cdoc, shift in seen:
-                    own_node = node[int(np.searchsorted([x for x, _ in spans], a, side="right")) - 1]
+                    own_node = node[bisect_right(starts, a) - 1]
                     links.update((False, doc, own_node, cdoc, k) for k in range(max(a + shift, 0) // TILE, (b - 1 + shift) // TILE + 1))
                 raw = Text(part)
                 rs, re_, _ = raw.words()
@@ -338,7 +396,10 @@ def copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id, rep, n_words, lead of the documents whose text is that of an earlier document ``rep``; ``lead`` is
     the white space before the first word. Only texts of a paragraph or more count."""
     space = r"[\x20\x09-\x0D]"
-    words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
+    # one \t\n for each run of white space before a word: a count by regular expression keeps all the words it finds
+    flat = F.concat(F.lit(" "), F.rtrim(F.translate("text", "\t\n\x0b\x0c\r", " " * 5)))
+    runs = F.replace(F.replace(flat, F.lit(" "), F.lit("\t\n")), F.lit("\n\t"), F.lit(""))
+    words = F.length(runs) - F.length(F.replace(runs, F.lit("\n"), F.lit("")))
     known = docs.where("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("text_key"), F.md5(F.col("text").cast("binary")).alias("digest"), words.alias("n_words"),
                                                                         F.regexp_extract("text", f"^{space}*", 0).alias("lead"))
     known = scratch.write(known.where(F.col("n_words") >= PARAGRAPH), "digests")
@@ -358,6 +419,40 @@ def whole_cuts(same: DataFrame) -> DataFrame:
                        F.array(F.struct(F.lit(0).alias("a"), F.col("n_words").cast("int").alias("b"))).alias("spans"), links.alias("links"), "text_key")
 
 
+def _finer(t: Text, own: np.ndarray, key: np.ndarray, place: np.ndarray, reach: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, place, key) of the closer keys of occurrences (row ``own``, key, place, reach) in a chunk of texts."""
+    s, e, row = t.words()
+    h = t.hash(s, e)
+    whole, wr = shingles(h, row, t.n, PARAGRAPH)
+    sh, sr = shingles(h, row, t.n, WIDTH)
+    n_words = np.bincount(row, minlength=t.n)
+    lo, hi = np.maximum(place + WIDTH + CONTEXT - PARAGRAPH, 0), np.minimum(reach, n_words[own] - PARAGRAPH) + 1
+    some = lo < hi
+    own, key, place, lo, size = own[some], key[some], place[some], lo[some], (hi - lo)[some]
+    if not len(own):
+        return
+    # occurrences in groups of about LONG paragraphs
+    cuts = np.unique(np.append(np.searchsorted(np.cumsum(size), np.arange(0, size.sum(), LONG)), len(own)))
+    groups = [(a, np.repeat(np.arange(a, b), size[a:b])) for a, b in zip(np.append(0, cuts[:-1]), cuts, strict=True) if a < b]
+    start = np.cumsum(size) - size
+    groups = [(x, lo[x] + np.arange(len(x)) - (start[x] - start[a])) for a, x in groups]
+    both = np.unique(np.concatenate([np.unique(own[x] * (1 << 32) + at) for x, at in groups]))
+    r, p = both >> 32, both & 0xFFFFFFFF
+    yield r, p, whole[np.searchsorted(wr, r) + p]
+    first = np.searchsorted(sr, np.arange(t.n))
+    for k in range(FINER):
+        low, n = mix(sh + np.uint64(k + 1)), 1
+        while 2 * n <= SHINGLES:  # least value of n, 2n, 4n, ... places
+            low = np.minimum(low[n:], low[:-n])
+            n *= 2
+        low = np.minimum(low[SHINGLES - n :], low[: len(low) - SHINGLES + n])
+        for x, at in groups:
+            val = low[first[own[x]] + at]
+            head = np.append(True, (val[1:] != val[:-1]) | (x[1:] != x[:-1]))
+            x = x[head]
+            yield own[x], place[x], mix(val[head] ^ key[x])
+
+
 def closer(docs: DataFrame, pool: DataFrame) -> DataFrame:
     """Keys of the paragraphs around occurrences that the least one of their key does not account for: the hash of
     each paragraph that holds the key, equal for equal paragraphs whatever the key's least occurrence is, and the
@@ -365,32 +460,15 @@ def closer(docs: DataFrame, pool: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = column(batch, "text")
-            for i in range(len(texts)):
-                t = Text(texts.slice(i, 1), lower=True)
-                s, e, row = t.words()
-                if len(s) < PARAGRAPH:
-                    continue
-                h = t.hash(s, e)
-                whole = shingles(h, row, 1, PARAGRAPH)[0]
-                sh = shingles(h, row, 1, WIDTH)[0]
-                keys, places, paragraphs = [], [], []
-                for f in batch.column(2)[i].as_py():
-                    a, b = max(0, f["place"] + WIDTH + CONTEXT - PARAGRAPH), min(f["reach"], len(whole) - 1) + 1
-                    if a >= b:
-                        continue
-                    paragraphs.append(np.arange(a, b))
-                    for r in range(FINER):
-                        val = mix(sh[a : b + SHINGLES - 1] + np.uint64(r + 1))
-                        low = np.unique(np.lib.stride_tricks.sliding_window_view(val, SHINGLES).min(axis=1))
-                        keys.append(mix(low ^ np.uint64(f["key"] & 0xFFFFFFFFFFFFFFFF)))
-                        places.append(np.full(len(low), f["place"]))
-                if not paragraphs:
-                    continue
-                at = np.unique(np.concatenate(paragraphs))
-                key, place = np.concatenate([whole[at], *keys]).view(np.int64), np.concatenate([at, *places]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.full(len(key), batch.column(0)[i].as_py(), np.int64)), pa.array(place), pa.array(place)],
-                                                 names=["key", "doc_id", "place", "reach"])
+            texts, ids, at = column(batch, "text"), batch.column(0).to_numpy(), batch.column(2)
+            first = at.offsets.to_numpy()
+            keys, places, reaches = (at.values.field(c).to_numpy() for c in ("key", "place", "reach"))
+            for i, j in chunks(texts, CHUNK):
+                t = Text(texts.slice(i, j - i), lower=True)
+                f = slice(first[i], first[j])
+                for r, p, k in _finer(t, np.repeat(np.arange(t.n), np.diff(first[i : j + 1])), keys[f].view(np.uint64), places[f].astype(np.int64), reaches[f].astype(np.int64)):
+                    p = pa.array(p.astype(np.int32))
+                    yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(ids[i + r]), p, p], names=["key", "doc_id", "place", "reach"])
 
     # only texts with an occurrence in the pool are shuffled
     some = docs.join(hint_small(pool.select("doc_id")), "doc_id", "left_semi")
@@ -400,17 +478,18 @@ def closer(docs: DataFrame, pool: DataFrame) -> DataFrame:
 def meet(keys: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
     """All occurrences of the keys that several documents hold (key, doc_id, place, reach, cdoc), and those outside the
     document ``cdoc`` of the least one, with its place: key, doc_id, place, reach, cdoc, cplace, creach. Keys of one document,
-    most of them, are told by two numbers a key and go before anything is gathered about the others."""
+    most of them, are told by two numbers a key and go before anything is gathered about the others. The number of keys grows
+    with the input, so both joins shuffle at every size: disk grows in proportion and no key goes through the driver."""
     shared = keys.groupBy("key").agg(F.min("doc_id").alias("cdoc"), F.max("doc_id").alias("hi")).where("hi <> cdoc").drop("hi")
     shared = scratch.write(shared, f"{name}_shared")
     scratch.release()
-    met = scratch.write(keys.join(hint_small(shared, HINT_ROWS), "key"), f"{name}_met")
+    met = scratch.write(keys.join(shared.hint("shuffle_hash"), "key"), f"{name}_met")
     scratch.drop(f"{name}_shared")
     scratch.release()
     # place and reach in one number: the least of it needs no sorted aggregation
     at = met.where("doc_id = cdoc").groupBy("key").agg(F.min(F.expr("shiftleft(cast(place as long), 32) + reach")).alias("at"))
     at = at.selectExpr("key", "cast(shiftright(at, 32) as int) as cplace", "cast(at & 4294967295 as int) as creach")
-    return met, met.where("doc_id <> cdoc").join(hint_small(scratch.write(at, f"{name}_least"), HINT_ROWS), "key")
+    return met, met.where("doc_id <> cdoc").join(scratch.write(at, f"{name}_least").hint("shuffle_hash"), "key")
 
 
 def alignments(hits: DataFrame) -> DataFrame:
