@@ -396,16 +396,17 @@ def copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id, rep, n_words, lead of the documents whose text is that of an earlier document ``rep``; ``lead`` is
     the white space before the first word. Only texts of a paragraph or more count."""
     space = r"[\x20\x09-\x0D]"
-    # one \t\n for each run of white space before a word: a count by regular expression keeps all the words it finds
-    flat = F.concat(F.lit(" "), F.rtrim(F.translate("text", "\t\n\x0b\x0c\r", " " * 5)))
-    runs = F.replace(F.replace(flat, F.lit(" "), F.lit("\t\n")), F.lit("\n\t"), F.lit(""))
-    words = F.length(runs) - F.length(F.replace(runs, F.lit("\n"), F.lit("")))
-    known = docs.where("doc_id is not null and text is not null").select("doc_id", F.xxhash64("text").alias("text_key"), F.md5(F.col("text").cast("binary")).alias("digest"), words.alias("n_words"),
-                                                                        F.regexp_extract("text", f"^{space}*", 0).alias("lead"))
-    known = scratch.write(known.where(F.col("n_words") >= PARAGRAPH), "digests")
+    # words are counted in copies only: the pattern costs more than the digests of all texts
+    known = docs.where("doc_id is not null and text is not null").where(F.length("text") >= 2 * PARAGRAPH - 1)
+    known = scratch.write(known.selectExpr("doc_id", TEXT_KEY, "md5(cast(text as binary)) as digest"), "digests")
     first = known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").drop("n")
     first = hint_small(scratch.write(first, "first"), HINT_ROWS)
-    return known.join(first, "digest").where("doc_id <> rep").select("doc_id", "text_key", "rep", "n_words", "lead").dropDuplicates(["doc_id", "text_key"])
+    later = known.join(first, "digest").where("doc_id <> rep").select("doc_id", "text_key", "rep").dropDuplicates(["doc_id", "text_key"])
+    later = hint_small(scratch.write(later, "doubles"))
+    same = docs.selectExpr("doc_id", "text", TEXT_KEY).join(later, ["doc_id", "text_key"])
+    same = same.select("doc_id", "text_key", "rep", F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).alias("n_words"), F.regexp_extract("text", f"^{space}*", 0).alias("lead"))
+    # written first, or the filter would be pushed below the join and count all texts
+    return scratch.write(same.dropDuplicates(["doc_id", "text_key"]), "counted").where(F.col("n_words") >= PARAGRAPH)
 
 
 def whole_cuts(same: DataFrame) -> DataFrame:
@@ -558,7 +559,7 @@ def find_cuts(docs: DataFrame, scratch: Scratch) -> DataFrame:
     second = verified(base, scratch.write(every, "every"), scratch, "second")
     kept = first.join(hint_small(changed), "doc_id", "left_anti")
     out = scratch.write(kept.unionByName(second).unionByName(whole_cuts(same)), "cuts")
-    scratch.drop("digests", "first", "copies", "aligned", "again", "changed", "every", "first_cuts", "second_cuts")
+    scratch.drop("digests", "first", "doubles", "counted", "copies", "aligned", "again", "changed", "every", "first_cuts", "second_cuts")
     scratch.release()
     return out
 
