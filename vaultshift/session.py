@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +30,24 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+RELEASE_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Within it a job's shuffle files are deleted when the job ends, not when the driver's garbage collector finds
+    them unused. For runs of many large jobs that execute no frame twice: a second execution shuffles again."""
+    before = spark.conf.get(RELEASE_CONF, None)
+    spark.conf.set(RELEASE_CONF, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(RELEASE_CONF)
+        else:
+            spark.conf.set(RELEASE_CONF, before)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "vaultshift") -> SparkSession:
     """A local session for tests and benchmarks (UI off, no server)."""
     builder = (

@@ -153,7 +153,8 @@ def record_count(spark: SparkSession, path: str, encoding: str = "UTF-8") -> Dat
 def write_csv(df: DataFrame, path: str, clean: bool = True, null_value: str = "",
               encoding: str = "UTF-8") -> None:
     """One report directory of CSV part files with a header. ``clean`` applies the report
-    cleaning (null → '', ``nan`` → '', one ``.0`` suffix removed) to every column."""
+    cleaning (null → '', ``nan`` → '', one ``.0`` suffix removed) to every column; blank cells are bare then, as the
+    reference writes them, and quoted where they are the whole line."""
     if clean:
         # booleans are written the way the reference's report files spell them
         types = dict(df.dtypes)
@@ -164,7 +165,7 @@ def write_csv(df: DataFrame, path: str, clean: bool = True, null_value: str = ""
         out = df
     (out.write.mode("overwrite").option("header", True)
      .option("quote", '"').option("escape", '"')
-     .option("nullValue", null_value)
+     .option("nullValue", null_value).option("emptyValue", "" if clean and len(df.columns) > 1 else '""')
      .option("encoding", encoding)
      .option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False)
